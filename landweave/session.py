@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,5 +37,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package's code to the executors, once for each Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_landweave_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory(prefix="landweave-code-") as folder:
+        staged = Path(folder, "code", package.name)
+        shutil.copytree(package, staged, ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(f"{folder}/landweave", "zip", staged.parent))
+    context._landweave_shipped = True
+
+
 def local_cpus() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 1))
