@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -43,10 +44,12 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_landweave_shipped", False):
         return
     package = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory(prefix="landweave-code-") as folder:
-        staged = Path(folder, "code", package.name)
-        shutil.copytree(package, staged, ignore=shutil.ignore_patterns("__pycache__"))
-        context.addPyFile(shutil.make_archive(f"{folder}/landweave", "zip", staged.parent))
+    # the driver serves the archive from here for as long as the context lives
+    folder = tempfile.mkdtemp(prefix="landweave-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    staged = Path(folder, "code", package.name)
+    shutil.copytree(package, staged, ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(f"{folder}/landweave", "zip", staged.parent))
     context._landweave_shipped = True
 
 
