@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, piece_merge, token_counts
+from . import license_rules, media, piece_merge, template_match, token_counts
 from .tables import read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -19,10 +19,18 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op2_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan(read(spark, sf_dir, "documents"), "text").drop("detections")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), "text", vocabulary(BYTE_BPE))
 
 
+def op7_template_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_match.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_media_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.document_media(read(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -32,7 +40,7 @@ def op9_piece_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_token_counts, op8_media_sequences, op9_piece_merge)}
+    return {f.__name__: f for f in (op2_license_rules, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge)}
 
 
 def oracle_sql() -> dict[str, str]:
