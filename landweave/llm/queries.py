@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import license_rules, media, piece_merge, template_match, token_counts
+from . import importance, license_rules, line_spread, media, piece_merge, template_match, token_counts
 from .tables import read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -19,10 +20,20 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = importance.keep(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
+    return kept.drop("text")
+
+
 def op2_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan(read(spark, sf_dir, "documents"), "text").drop("detections")
 
 
+def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_spread.remove_boilerplate(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.md5(F.encode("text", "UTF-8")).alias("text_md5"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), "text", vocabulary(BYTE_BPE))
 
@@ -40,8 +51,8 @@ def op9_piece_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_license_rules, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge)}
+    return {f.__name__: f for f in (op1_importance_resampling, op2_license_rules, op3_line_spread, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_spread": line_spread.ORACLE}
