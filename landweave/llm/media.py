@@ -158,15 +158,12 @@ def describe(samples: bytes) -> str:
 
 
 def payload_digests(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id_col, n_bytes and digest (of the padded payload) per row."""
-    schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("digest", T.StringType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in raw], pa.int64()), pa.array([hashlib.sha256(pad(x)).hexdigest() for x in raw])], names=schema.names)
-
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    """id_col, n_bytes and digest (of the padded payload) per row, without leaving the JVM."""
+    raw = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
+    size = F.octet_length(raw)
+    padded = F.greatest(F.lit(1), F.ceil(size / F.lit(BLOCK))).cast("int") * F.lit(BLOCK)
+    sized = df.select(F.col(id_col), size.cast("long").alias("n_bytes"), F.rpad(raw, padded, F.unhex(F.lit("00"))).alias("payload"))
+    return sized.select(id_col, "n_bytes", F.sha2("payload", 256).alias("digest"))
 
 
 def store_media(df: DataFrame, text_col: str) -> DataFrame:
