@@ -36,6 +36,8 @@ BEGIN_BUCKETS = 1 << 16
 BEGIN_BYTES = 4
 TOXIC_RATIO = 1.0
 SCALE = 60.0
+#: Times as bad to lose the clean rows as to keep the others.
+CLEAN_COST = 3
 SEED = 17
 SCORES = ("n_words", "quality_ratio", "toxic_ratio")
 
@@ -102,7 +104,7 @@ def ratios(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.log((target + strength) / (expected + strength)).astype(np.float32)
 
     quality = ratio(counts[1, :WORD_BUCKETS], counts[0, :WORD_BUCKETS], 2.0)
-    toxic = ratio(counts[2, WORD_BUCKETS:-1], counts[0, WORD_BUCKETS:-1], max(1.0, counts[2, -1] / 25))
+    toxic = ratio(counts[2, WORD_BUCKETS:-1], counts[0, WORD_BUCKETS:-1], max(2.0, counts[2, -1] / 25))
     return quality, np.where(toxic > TOXIC_RATIO, toxic, 0).astype(np.float32)
 
 
@@ -134,13 +136,16 @@ def score(df: DataFrame, text: str, quality: np.ndarray, toxic: np.ndarray) -> D
     return df.mapInArrow(run, schema)
 
 
-def threshold(low: np.ndarray, high: np.ndarray) -> tuple[float, float] | None:
-    """A place between two classes with the least weighted error, and the distance of their medians."""
+def threshold(low: np.ndarray, high: np.ndarray, cost: tuple[float, float]) -> tuple[float, float] | None:
+    """A place between two classes with the least error, and the distance of their medians.
+
+    cost: what it costs to have all of low above it, and all of high below it.
+    """
     if not len(low) or not len(high):
         return None
     values = np.unique(np.concatenate([low, high]))
     cuts = np.concatenate([values[:1] - 1e-9, (values[1:] + values[:-1]) / 2, values[-1:] + 1e-9])
-    wrong = 1 - np.searchsorted(np.sort(low), cuts) / len(low) + np.searchsorted(np.sort(high), cuts) / len(high)
+    wrong = cost[0] * (1 - np.searchsorted(np.sort(low), cuts) / len(low)) + cost[1] * np.searchsorted(np.sort(high), cuts) / len(high)
     best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
     return float((cuts[best[0]] + cuts[best[-1]]) / 2), max(1e-6, float(np.median(high) - np.median(low)))
 
@@ -153,7 +158,7 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = LABELLED) -> dict:
     got = score(held, "text", quality, toxic).select("__class", *SCORES).toArrow()  # at most `most` rows
     kind = got["__class"].to_numpy()
     q, t = got[SCORES[1]].to_numpy(), got[SCORES[2]].to_numpy()
-    return {"quality": quality, "toxic": toxic, "q": threshold(q[kind == 3], q[kind == 1]), "t": threshold(t[kind == 1], t[kind == 2])}
+    return {"quality": quality, "toxic": toxic, "q": threshold(q[kind == 3], q[kind == 1], (1, CLEAN_COST)), "t": threshold(t[kind == 1], t[kind == 2], (CLEAN_COST, 1))}
 
 
 def log_weight(model: dict) -> Column:
