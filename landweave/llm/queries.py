@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, license_rules, line_spread, media, piece_merge, template_match, token_counts
+from . import importance, jaccard_join, license_rules, line_spread, media, piece_merge, template_match, token_counts
 from .tables import read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -50,8 +50,12 @@ def op9_piece_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_merge.encoding_digests(read(spark, sf_dir, "documents"), "text", vocabulary(PIECE_BPE))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_importance_resampling, op2_license_rules, op3_line_spread, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge)}
+    return {f.__name__: f for f in (op1_importance_resampling, op2_license_rules, op3_line_spread, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
