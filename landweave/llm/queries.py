@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bilinear, importance, jaccard_join, license_rules, line_spread, media, piece_merge, template_match, token_counts
+from . import bilinear, importance, jaccard_join, license_rules, line_spread, media, piece_merge, private_spans, template_match, token_counts
 from .tables import read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -38,6 +38,11 @@ def op4_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bilinear.score(read(spark, sf_dir, "documents"))
 
 
+def op5_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    return private_spans.span_digests(private_spans.find_spans(documents, private_spans.fit(documents)))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), "text", vocabulary(BYTE_BPE))
 
@@ -59,7 +64,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_importance_resampling, op2_license_rules, op3_line_spread, op4_bilinear_scores, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_importance_resampling, op2_license_rules, op3_line_spread, op4_bilinear_scores, op5_private_spans, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
