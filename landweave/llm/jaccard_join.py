@@ -189,17 +189,46 @@ def describe_sets(documents: DataFrame, id_col: str, text: str, sketch: np.ndarr
     return documents.select(F.col(id_col), F.col(text)).mapInArrow(run, schema)
 
 
-def exact_sets(documents: DataFrame, id_col: str, text: str, words: int) -> DataFrame:
-    """id and its shingles' hashes, array<long>."""
+def id_bitmap(ids: DataFrame, most: int = 1 << 27) -> np.ndarray:
+    """One bit for each hash of an id that is in ids; at most `most` bits, so of bounded size.
+
+    About one bit in 16 is set; with more ids than most / 16 it lets more other rows through.
+    """
+    size = 1 << 15
+    while size < min(most, 16 * ids.count()):
+        size *= 2
+    place = F.pmod(F.xxhash64("id"), F.lit(size)) + F.lit(1)
+    parts = ids.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    found = np.zeros((size >> 15, (1 << 15) // 8), dtype=np.uint8)
+    for r in parts.toLocalIterator():
+        found[r["bucket"] - 1] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+    return found.ravel()
+
+
+def exact_sets(documents: DataFrame, id_col: str, text: str, words: int, wanted: DataFrame) -> DataFrame:
+    """id and its shingles' hashes, array<long>, of the rows whose id is in wanted.
+
+    Rows are first let through by a bitmap of the wanted ids, so that only theirs are made into sets
+    and shuffled; the join after it is exact.
+    """
+    bits = id_bitmap(wanted)
+    shared = documents.sparkSession.sparkContext.broadcast(bits)
     schema = T.StructType([T.StructField("id", documents.schema[id_col].dataType), T.StructField("shingles", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [s for _, s in _each_set(batch.column(1), words)]
+            place = batch.column(2).to_numpy(zero_copy_only=False)
+            chosen = np.flatnonzero((shared.value[place >> 3] >> (place & 7)) & 1)
+            if not len(chosen):
+                continue
+            part = batch.take(pa.array(chosen))
+            found = [s for _, s in _each_set(part.column(1), words)]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)))], names=schema.names)
 
-    return documents.select(F.col(id_col), F.col(text)).mapInArrow(run, schema)
+    place = F.pmod(F.xxhash64(F.col(id_col)), F.lit(8 * len(bits)))
+    made = documents.select(F.col(id_col), F.col(text), place.alias("place")).mapInArrow(run, schema)
+    return materialise(made.join(wanted, "id", "left_semi"), "exact-sets")
 
 
 def inverted_lists(sets: DataFrame) -> DataFrame:
@@ -315,9 +344,8 @@ def candidate_edges(lists: DataFrame, sets: DataFrame, labels: DataFrame | None,
 
 def verified(edges: DataFrame, documents: DataFrame, id_col: str, text: str, measure: Measure) -> DataFrame:
     """The edges whose exact sets are similar enough."""
-    involved = edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct()
-    texts = documents.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(involved, "id", "left_semi")
-    sets = exact_sets(texts, "id", "text", measure.words)
+    involved = materialise(edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct(), "involved")
+    sets = exact_sets(documents, id_col, text, measure.words, involved)
     left = edges.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb")).cast("long")

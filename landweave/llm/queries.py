@@ -63,8 +63,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(read(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_importance_resampling, op2_license_rules, op3_line_spread, op4_bilinear_scores, op5_private_spans, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_importance_resampling, op2_license_rules, op3_line_spread, op4_bilinear_scores, op5_private_spans, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge, op10_jaccard_join, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
