@@ -1,19 +1,662 @@
-"""Registry of the land-cover queries and their SQL twins."""
+"""The land-cover queries on the shared tables, each with its SQL twin.
+
+The tables are no satellite data, so each operator runs on a table of the same shape: orders are
+scenes of a customer's area in a quarter's season, lineitem rows are a supplier's time series,
+events are scenes of a user, embeddings are 8 x 8 pixel tiles.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import geo, names, pixels, timefn
+from ..operators import chips, curate, raster, scenes
+from ..session import table
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query by its name, with its SQL."""
+
+    def register(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _ORACLES[f.__name__] = sql
+        return f
+
+    return register
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)
+
+
+def big(c: str) -> F.Column:
+    return F.col(c).cast("bigint")
+
+
+def orders(spark: SparkSession, sf_dir: str, year: int | None = 1997) -> DataFrame:
+    df = table(spark, sf_dir, "orders").withColumn("t", timefn.ts("o_orderdate")).withColumn("q", timefn.quarter(F.col("t")))
+    return df if year is None else df.where((F.col("t") >= F.lit(f"{year}-01-01").cast("timestamp")) & (F.col("t") < F.lit(f"{year + 1}-01-01").cast("timestamp")))
+
+
+Y1997 = "o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'"
+
+# scene predicates and rankings
+
+
+@query("""
+SELECT event_id, user_id, event_type, value FROM events
+WHERE value < 30 AND event_type IN ('click', 'view', 'purchase')
+  AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'""")
+def scene_filter(spark, d):
+    held = (F.col("value") < 30) & F.col("event_type").isin("click", "view", "purchase")
+    within = scenes.within(timefn.ts("ts"), F.lit("2024-01-05").cast("timestamp"), F.lit("2024-01-20").cast("timestamp"))
+    return table(spark, d, "events").where(held & within).select("event_id", "user_id", "event_type", "value")
+
+
+@query(f"""
+SELECT o_custkey, quarter(o_orderdate)::BIGINT AS q, o_orderkey, o_totalprice FROM orders WHERE {Y1997}
+QUALIFY row_number() OVER (PARTITION BY o_custkey, quarter(o_orderdate) ORDER BY o_totalprice, o_orderkey) = 1""")
+def least_cloudy_per_season(spark, d):
+    best = scenes.top_per_group(orders(spark, d), ["o_custkey", "q"], [F.asc("o_totalprice"), F.asc("o_orderkey")])
+    return best.select("o_custkey", "q", "o_orderkey", "o_totalprice")
+
+
+@query(f"""
+WITH o AS (SELECT *, quarter(o_orderdate)::BIGINT AS q FROM orders WHERE {Y1997}),
+lock AS (SELECT o_custkey, o_orderpriority FROM o WHERE q = 1
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) = 1)
+SELECT o.o_custkey, o.q, o.o_orderkey, o.o_orderpriority FROM o JOIN lock USING (o_custkey, o_orderpriority)
+QUALIFY row_number() OVER (PARTITION BY o.o_custkey, o.q ORDER BY o_totalprice, o_orderkey) = 1""")
+def locked_seasons(spark, d):
+    best = scenes.locked_top(orders(spark, d), "o_custkey", "q", 1, [F.asc("o_totalprice"), F.asc("o_orderkey")], "o_orderpriority")
+    return best.select("o_custkey", "q", "o_orderkey", "o_orderpriority")
+
+
+@query("""
+WITH g AS (SELECT l_suppkey, l_linenumber, sum(l_quantity::BIGINT)::BIGINT AS area,
+  min(abs(date_diff('day', DATE '1997-07-01', l_shipdate::DATE)))::BIGINT AS distance FROM lineitem GROUP BY ALL)
+SELECT l_suppkey, l_linenumber, area, distance FROM g
+QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY area DESC, distance, l_linenumber) = 1""")
+def locked_orbit(spark, d):
+    lines = table(spark, d, "lineitem")
+    distance = F.min(F.abs(F.datediff(F.to_date("l_shipdate"), F.lit("1997-07-01").cast("date")))).cast("bigint")
+    return scenes.locked_orbit(lines, "l_suppkey", "l_linenumber", F.sum(big("l_quantity")), distance)
+
+
+@query("""
+SELECT o_orderkey,
+  strftime(greatest(o_orderdate - INTERVAL 12 DAY, date_trunc('quarter', o_orderdate)), '%Y-%m-%dT%H:%M:%SZ') AS lo,
+  strftime(least(o_orderdate + INTERVAL 12 DAY, date_trunc('quarter', o_orderdate) + INTERVAL 3 MONTH - INTERVAL 1 SECOND), '%Y-%m-%dT%H:%M:%SZ') AS hi
+FROM orders""")
+def clipped_window(spark, d):
+    o = orders(spark, d, None)
+    start = F.date_trunc("quarter", "t")
+    low, high = timefn.clipped_window(F.col("t"), start, start + F.expr("INTERVAL '3' MONTH") - F.expr("INTERVAL '1' SECOND"), 12)
+    return o.select("o_orderkey", timefn.iso_seconds(low).alias("lo"), timefn.iso_seconds(high).alias("hi"))
+
+
+@query(f"""
+WITH a AS (SELECT o_orderkey, o_orderdate FROM orders WHERE {Y1997}),
+j AS (SELECT o_orderkey, l_shipdate, l_linenumber, l_partkey, abs(epoch_us(o_orderdate) - epoch_us(l_shipdate)) AS dist
+  FROM a JOIN lineitem ON l_orderkey = o_orderkey
+  WHERE l_shipdate BETWEEN o_orderdate - INTERVAL 91 DAY AND o_orderdate + INTERVAL 91 DAY)
+SELECT o_orderkey, l_partkey, l_linenumber::BIGINT AS l_linenumber, dist::BIGINT AS distance FROM j
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY dist, l_shipdate, l_linenumber, l_partkey) = 1""")
+def nearest_in_time(spark, d):
+    lines = table(spark, d, "lineitem").withColumn("o_orderkey", F.col("l_orderkey")).withColumn("item", F.struct("l_linenumber", "l_partkey"))
+    near = scenes.nearest_in_time(orders(spark, d), lines, ["o_orderkey"], "o_orderkey", "t", "l_shipdate", "item", 91)
+    return near.select("o_orderkey", "l_partkey", big("l_linenumber").alias("l_linenumber"), "distance")
+
+
+@query("""
+WITH e AS (SELECT * FROM events WHERE value < 100),
+b AS (SELECT user_id, arg_min(ts, (value, event_id))::DATE AS d FROM e GROUP BY user_id)
+SELECT e.event_id, e.user_id, e.value FROM e JOIN b ON e.user_id = b.user_id AND e.ts::DATE = b.d""")
+def best_date_scenes(spark, d):
+    held = table(spark, d, "events").where("value < 100")
+    return scenes.best_date_rows(held, ["user_id"], "ts", ["value", "event_id"]).select("event_id", "user_id", "value")
+
+
+@query(f"""
+SELECT c.c_custkey, count(DISTINCT quarter(o.o_orderdate))::BIGINT AS n_quarters,
+  CASE WHEN count(o.o_orderkey) = 0 THEN 'scenes missing' WHEN count(DISTINCT quarter(o.o_orderdate)) < 4 THEN 'scenes insufficient' ELSE 'success' END AS status
+FROM customer c LEFT JOIN (SELECT * FROM orders WHERE {Y1997}) o ON c.c_custkey = o.o_custkey GROUP BY c.c_custkey""")
+def date_coverage(spark, d):
+    counts = orders(spark, d).groupBy("o_custkey").agg(F.count_distinct("q").alias("n"), F.count("*").alias("rows"))
+    joined = table(spark, d, "customer").join(counts, F.col("c_custkey") == F.col("o_custkey"), "left")
+    n = F.coalesce("n", F.lit(0))
+    status = scenes.first_failure([(F.col("rows").isNull(), "scenes missing"), (n < 4, "scenes insufficient")])
+    return joined.select("c_custkey", n.alias("n_quarters"), status.alias("status"))
+
+
+@query("""
+SELECT user_id, count(DISTINCT ts::DATE)::BIGINT AS n_dates FROM events GROUP BY user_id""")
+def distinct_dates(spark, d):
+    return scenes.distinct_dates(table(spark, d, "events"), ["user_id"], "ts")
+
+
+# footprints
+
+
+@query("""
+WITH g AS (SELECT nullif(event_type, 'error') AS event_type, ts::DATE AS d, min(user_id) AS minx, min(value) AS miny, max(user_id) AS maxx, max(value) AS maxy
+  FROM events WHERE nullif(event_type, 'error') IS NOT NULL GROUP BY ALL),
+f AS (SELECT event_type, max(minx) AS a, max(miny) AS b, min(maxx) AS c, min(maxy) AS e FROM g GROUP BY event_type)
+SELECT event_type, CASE WHEN a <= c AND b <= e THEN a END AS minx, CASE WHEN a <= c AND b <= e THEN b END AS miny,
+  CASE WHEN a <= c AND b <= e THEN c END AS maxx, CASE WHEN a <= c AND b <= e THEN e END AS maxy FROM f""")
+def group_union_bounds(spark, d):
+    e = table(spark, d, "events").withColumns({"event_type": F.nullif("event_type", F.lit("error")), "d": F.to_date("ts")})
+    unions = scenes.group_bounds(e, ["event_type", "d"], "user_id", "value", "user_id", "value")
+    return scenes.common_bounds(unions, ["event_type"])
+
+
+@query("""
+SELECT p_partkey, s_suppkey FROM
+ (SELECT p_partkey, p_retailprice AS lo, p_retailprice + p_size AS hi FROM part) p JOIN
+ (SELECT s_suppkey, 900 + (s_acctbal + 1000) / 10 AS lo, 900 + (s_acctbal + 1000) / 10 + 5 AS hi FROM supplier) s
+ ON p.lo <= s.hi AND s.lo <= p.hi""")
+def bbox_overlap_join(spark, d):
+    return _price_overlaps(spark, d).select("p_partkey", "s_suppkey")
+
+
+def _price_overlaps(spark, d):
+    p = table(spark, d, "part").select("p_partkey", F.col("p_retailprice").alias("p_lo"), (F.col("p_retailprice") + F.col("p_size")).alias("p_hi"))
+    base = F.lit(900) + (F.col("s_acctbal") + 1000) / 10
+    s = table(spark, d, "supplier").select("s_suppkey", base.alias("s_lo"), (base + 5).alias("s_hi"))
+    return scenes.interval_overlaps(p, s, "p_lo", "p_hi", "s_lo", "s_hi", 50.0)
+
+
+@query("""
+WITH j AS (SELECT p_partkey, s_suppkey, round(least(p.hi, s.hi) - greatest(p.lo, s.lo), 4) AS area FROM
+ (SELECT p_partkey, p_retailprice AS lo, p_retailprice + p_size AS hi FROM part) p JOIN
+ (SELECT s_suppkey, 900 + (s_acctbal + 1000) / 10 AS lo, 900 + (s_acctbal + 1000) / 10 + 5 AS hi FROM supplier) s
+ ON p.lo <= s.hi AND s.lo <= p.hi)
+SELECT p_partkey, s_suppkey, area FROM j QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY area DESC, s_suppkey) = 1""")
+def best_path(spark, d):
+    area = F.round(F.least("p_hi", "s_hi") - F.greatest("p_lo", "s_lo"), 4)
+    return scenes.largest_overlap(_price_overlaps(spark, d), ["p_partkey"], area, ["s_suppkey"]).select("p_partkey", "s_suppkey", "area")
+
+
+_LONLAT = "(c_custkey * 37 % 340) - 170.0 AS minx, (c_custkey * 53 % 140) - 70.0 AS miny"
+
+
+def _customer_boxes(spark, d):
+    k = F.col("c_custkey")
+    lon, lat = k * 37 % 340 - 170.0, k * 53 % 140 - 70.0
+    return table(spark, d, "customer").select("c_custkey", F.struct(lon.alias("minx"), lat.alias("miny"), (lon + 1).alias("maxx"), (lat + 1).alias("maxy")).alias("box"))
+
+
+@query(f"""
+WITH b AS (SELECT c_custkey, {_LONLAT} FROM customer)
+SELECT c_custkey, round(6378137.0 * (radians(minx + 1) - radians(minx)) * 6378137.0 *
+  (ln(tan(pi() / 4 + radians(miny + 1) / 2)) - ln(tan(pi() / 4 + radians(miny) / 2))) / 1e6, 2) AS km2 FROM b""")
+def mercator_area(spark, d):
+    m = geo.mercator_box(F.col("box"))
+    boxes = _customer_boxes(spark, d).select("c_custkey", m.alias("m"))
+    return boxes.select("c_custkey", F.round((F.col("m.maxx") - F.col("m.minx")) * (F.col("m.maxy") - F.col("m.miny")) / 1e6, 2).alias("km2"))
+
+
+@query(f"""
+WITH b AS (SELECT c_custkey, {_LONLAT} FROM customer),
+s AS (SELECT s_suppkey, (s_suppkey * 17 % 340) - 170.0 AS x, (s_suppkey * 29 % 140) - 70.0 AS y FROM supplier)
+SELECT c_custkey, s_suppkey,
+  round(greatest(least(minx + 1, x + 3) - greatest(minx, x), 0) * greatest(least(miny + 1 - 0.25, y + 3) - greatest(miny, y), 0), 6) AS area
+FROM (SELECT c_custkey, minx + 0.25 AS minx0, minx, miny FROM b) q JOIN s
+ON q.minx0 <= s.x + 3 AND s.x <= q.minx + 1 AND q.miny <= s.y + 3 AND s.y <= q.miny + 1 - 0.25""")
+def bbox_adjust(spark, d):
+    k = F.col("s_suppkey")
+    x, y = k * 17 % 340 - 170.0, k * 29 % 140 - 70.0
+    s = table(spark, d, "supplier").select("s_suppkey", F.struct(x.alias("minx"), y.alias("miny"), (x + 3).alias("maxx"), (y + 3).alias("maxy")).alias("sbox"))
+    c = _customer_boxes(spark, d).withColumn("adjusted", geo.adjusted_box(F.col("box"), 0.5))
+    pairs = scenes.box_overlaps(c, s, "adjusted", "sbox", 5.0)
+    wide = F.struct(F.col("box.minx").alias("minx"), F.col("adjusted.miny").alias("miny"), F.col("box.maxx").alias("maxx"), F.col("adjusted.maxy").alias("maxy"))
+    return pairs.select("c_custkey", "s_suppkey", F.round(geo.box_intersection_area(wide, F.col("sbox")), 6).alias("area"))
+
+
+_UTM = """
+WITH b AS (SELECT s_suppkey, 32601 + s_suppkey % 60 AS epsg, 400000.0 + (s_suppkey * 7919 % 200000) AS x, 1000000.0 + (s_suppkey * 104729 % 5000000) AS y FROM supplier),
+c AS (SELECT s_suppkey, epsg, x + 480 AS e, y + 480 AS n FROM b),
+k AS (SELECT *, 1 / 298.257223563 / (2 - 1 / 298.257223563) AS m FROM c),
+r AS (SELECT *, 6378137.0 / (1 + m) * (1 + m**2 / 4 + m**4 / 64) AS rad FROM k),
+z AS (SELECT *, n / (0.9996 * rad) AS xi, (e - 500000.0) / (0.9996 * rad) AS eta FROM r),
+w AS (SELECT *, xi - (m/2 - 2*m**2/3 + 37*m**3/96 - m**4/360) * sin(2*xi) * cosh(2*eta) - (m**2/48 + m**3/15 - 437*m**4/1440) * sin(4*xi) * cosh(4*eta)
+      - (17*m**3/480 - 37*m**4/840) * sin(6*xi) * cosh(6*eta) - (4397*m**4/161280) * sin(8*xi) * cosh(8*eta) AS xi2,
+  eta - (m/2 - 2*m**2/3 + 37*m**3/96 - m**4/360) * cos(2*xi) * sinh(2*eta) - (m**2/48 + m**3/15 - 437*m**4/1440) * cos(4*xi) * sinh(4*eta)
+      - (17*m**3/480 - 37*m**4/840) * cos(6*xi) * sinh(6*eta) - (4397*m**4/161280) * cos(8*xi) * sinh(8*eta) AS eta2 FROM z),
+v AS (SELECT *, asin(sin(xi2) / cosh(eta2)) AS chi FROM w)
+SELECT s_suppkey, round(degrees(atan2(sinh(eta2), cos(xi2))) + (epsg % 100) * 6 - 183, 6) AS lon,
+  round(degrees(chi + (2*m - 2*m**2/3 - 2*m**3 + 116*m**4/45) * sin(2*chi) + (7*m**2/3 - 8*m**3/5 - 227*m**4/45) * sin(4*chi)
+      + (56*m**3/15 - 136*m**4/35) * sin(6*chi) + (4279*m**4/630) * sin(8*chi)), 6) AS lat FROM v"""
+
+
+@query(_UTM)
+def footprint_centroid(spark, d):
+    k = F.col("s_suppkey")
+    epsg = (F.lit(32601) + k % 60).cast("int")
+    x, y = F.lit(400000.0) + k * 7919 % 200000, F.lit(1000000.0) + k * 104729 % 5000000
+    lon, lat = geo.utm_inverse(x + 480, y + 480, epsg)
+    return table(spark, d, "supplier").select("s_suppkey", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
+
+
+# composites, means and masks
+
+
+@query("""
+WITH l AS (SELECT l_suppkey, quarter(l_shipdate)::BIGINT AS quarter, l_shipdate, l_orderkey, l_linenumber, l_partkey, nullif(l_quantity, 1) AS v FROM lineitem),
+c AS (SELECT l_suppkey, quarter, arg_min(v, (l_shipdate, l_orderkey, l_linenumber, l_partkey)) FILTER (v IS NOT NULL) AS v FROM l GROUP BY ALL),
+t AS (SELECT l_suppkey, quarter, strftime(min(l_shipdate), '%Y-%m-%d') AS day FROM l GROUP BY ALL)
+SELECT l_suppkey, quarter, v, day FROM c JOIN t USING (l_suppkey, quarter)""")
+def quarter_composite(spark, d):
+    lines = table(spark, d, "lineitem").withColumn("v", F.nullif("l_quantity", F.lit(1.0)))
+    values = raster.quarter_composite(lines, ["l_suppkey"], [], "l_shipdate", ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"], "v")
+    days = raster.quarter_labels(lines, ["l_suppkey"], "l_shipdate").select("l_suppkey", "quarter", F.date_format("t", "yyyy-MM-dd").alias("day"))
+    return values.join(days, ["l_suppkey", "quarter"])
+
+
+@query("""
+SELECT l_suppkey, round(avg(nullif(l_quantity, 1)), 6) AS v FROM lineitem GROUP BY l_suppkey""")
+def temporal_mean(spark, d):
+    lines = table(spark, d, "lineitem").withColumn("v", F.nullif("l_quantity", F.lit(1.0)))
+    return raster.temporal_mean(lines, ["l_suppkey"], "v").withColumn("v", F.round("v", 6))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, CASE WHEN l_linenumber IN (2, 4, 5, 6, 11) THEN l_quantity END AS v FROM lineitem""")
+def scl_mask(spark, d):
+    v = pixels.clear_by_class(F.col("l_quantity"), F.col("l_linenumber"))
+    return table(spark, d, "lineitem").select("l_orderkey", big("l_linenumber").alias("l_linenumber"), "l_partkey", "l_suppkey", v.alias("v"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, CASE WHEN (l_linenumber & 30) = 0 THEN l_quantity END AS v FROM lineitem""")
+def qa_bits(spark, d):
+    v = pixels.clear_by_bits(F.col("l_quantity"), F.col("l_linenumber"))
+    return table(spark, d, "lineitem").select("l_orderkey", big("l_linenumber").alias("l_linenumber"), "l_partkey", "l_suppkey", v.alias("v"))
+
+
+_CLASS = "CASE WHEN v < -0.08 THEN 1 WHEN v < 0.02 THEN 2 WHEN v < 0.12 THEN 5 WHEN v < 0.30 THEN 7 ELSE 4 END"
+_PIXELS = f"""
+p AS (SELECT vec_id, label, i - 1 AS pos, embedding[i]::DOUBLE AS v FROM embeddings, range(1, 65) r(i)),
+c AS (SELECT vec_id, label, pos, pos // 8 AS y, pos % 8 AS x, ({_CLASS})::BIGINT AS c, v FROM p),
+w AS (SELECT vec_id, label, y // 2 AS wy, x // 2 AS wx, min(c) AS low, max(c) AS high, count(*) FILTER (c = 4) AS n4 FROM c GROUP BY ALL)"""
+
+
+def class_tiles(spark, d):
+    """Tiles of 64 classes from the embeddings' values."""
+
+    def cls(v):
+        v = v.cast("double")
+        return F.when(v < -0.08, 1.0).when(v < 0.02, 2.0).when(v < 0.12, 5.0).when(v < 0.30, 7.0).otherwise(4.0)
+
+    return table(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", cls).alias("tile"))
+
+
+def class_windows(spark, d, n: int = 2):
+    return raster.windows_in_rows(class_tiles(spark, d), "tile", 8, n, ["vec_id", "label"])
+
+
+@query(f"WITH {_PIXELS} SELECT vec_id, wy::BIGINT AS wy, wx::BIGINT AS wx, low AS cls FROM w WHERE low = high AND low > 0")
+def class_raster(spark, d):
+    return chips.candidates(class_windows(spark, d)).select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), F.array_min("data").cast("bigint").alias("cls"))
+
+
+@query(f"""
+WITH {_PIXELS}, t AS (SELECT vec_id, y // 3 AS wy, x // 3 AS wx, min(c) AS low, max(c) AS high FROM c WHERE y < 6 AND x < 6 GROUP BY ALL)
+SELECT vec_id, wy::BIGINT AS wy, wx::BIGINT AS wx, low, high, low = high AND low > 0 AS uniform FROM t""")
+def coarsen_trimmed(spark, d):
+    cells = raster.to_pixels(class_tiles(spark, d), "tile", 8, ["vec_id"])
+    found = raster.coarsen(cells, ["vec_id"], 3, 8, 8, "v")
+    return found.select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), big("low").alias("low"), big("high").alias("high"), "uniform")
+
+
+@query(f"""
+WITH {_PIXELS} SELECT vec_id, wy::BIGINT AS wy, wx::BIGINT AS wx, n4 > 0 AS flooded, false AS unknown, false AS gaps FROM w""")
+def missing_qc(spark, d):
+    w = class_windows(spark, d)
+    data = F.col("data")
+    return w.select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), pixels.any_flooded(data).alias("flooded"), pixels.any_unknown_class(data).alias("unknown"), pixels.any_missing(data).alias("gaps"))
+
+
+def status_windows(spark, d):
+    """2 x 2 class windows with some values missing and some of class 3, and the last row and column as edges."""
+    w = class_windows(spark, d)
+    spoiled = F.transform("data", lambda v, i: F.when((F.col("vec_id") % 11 == 0) & (F.col("wy") == 1) & (i == 3), F.lit(None).cast("double")).when((F.col("vec_id") % 7 == 0) & (F.col("wx") == 2), F.lit(3.0)).otherwise(v))
+    w = w.withColumn("data", spoiled)
+    edge = (F.col("wy") == 3) | (F.col("wx") == 3)
+    return w.withColumn("lulc_status", chips.land_cover_status(F.col("data"), edge))
+
+
+_STATUS = f"""
+{_PIXELS}, s AS (SELECT vec_id, label, y // 2 AS wy, x // 2 AS wx,
+  CASE WHEN vec_id % 11 = 0 AND y // 2 = 1 AND y % 2 = 1 AND x % 2 = 1 THEN NULL WHEN vec_id % 7 = 0 AND x // 2 = 2 THEN 3 ELSE c END AS c FROM c),
+ws AS (SELECT vec_id, label, wy, wx, min(c) AS cls,
+  CASE WHEN wy = 3 OR wx = 3 THEN 'edge_out_of_bounds' WHEN count(c) < 4 THEN 'lulc missing values' WHEN count(*) FILTER (c NOT IN (1, 2, 4, 5, 7, 8, 11)) > 0 THEN 'lulc_values_wrong'
+  WHEN count(*) FILTER (c = 4) > 0 THEN 'lulc_values_flooded_vegetation' ELSE 'ok' END AS st FROM s GROUP BY vec_id, label, wy, wx)"""
+
+
+@query(f"WITH {_STATUS} SELECT vec_id, wy::BIGINT AS wy, wx::BIGINT AS wx, st AS lulc_status, CASE WHEN st = 'ok' THEN cls END AS lulc FROM ws")
+def chip_status(spark, d):
+    w = chips.chip_class(status_windows(spark, d), "lulc_status", "data")
+    return w.select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), "lulc_status", big("lulc").alias("lulc"))
+
+
+def capped_windows(spark, d, cap: int = 5):
+    """Windows of every class with the cap of successes per label and class, and their status."""
+    w = chips.chip_class(status_windows(spark, d), "lulc_status", "data")
+    passed = w.where(F.col("lulc_status") == "ok").withColumn("ok", F.col("vec_id") % 5 != 0)
+    capped = chips.capped(passed, ["label"], "lulc", ["vec_id", "wy", "wx"], "ok", cap)
+    failures = [(F.col("vec_id") % 5 == 0, "s1rtc missing values")]
+    return capped.withColumn("status", chips.chip_status(F.col("lulc_status"), F.col("over_cap"), F.col("lulc"), failures))
+
+
+_CAP = f"""
+{_STATUS}, k AS (SELECT *, coalesce(sum(CASE WHEN vec_id % 5 <> 0 THEN 1 ELSE 0 END) OVER (PARTITION BY label, cls ORDER BY vec_id, wy, wx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior
+  FROM ws WHERE st = 'ok'),
+cap AS (SELECT vec_id, label, wy, wx, cls, CASE WHEN prior >= 5 THEN 'lulc_' || cls || '_limit' WHEN vec_id % 5 = 0 THEN 's1rtc missing values' ELSE 'success' END AS status FROM k)"""
+
+
+@query(f"WITH {_CAP} SELECT vec_id, label::BIGINT AS label, wy::BIGINT AS wy, wx::BIGINT AS wx, cls AS lulc, status FROM cap")
+def class_cap(spark, d):
+    return capped_windows(spark, d).select("vec_id", big("label").alias("label"), big("wy").alias("wy"), big("wx").alias("wx"), big("lulc").alias("lulc"), "status")
+
+
+@query(f"""
+WITH {_CAP} SELECT vec_id, wy::BIGINT AS wy, wx::BIGINT AS wx, (row_number() OVER (ORDER BY label, vec_id, wy, wx) - 1)::BIGINT AS chip_index FROM cap""")
+def running_chip_index(spark, d):
+    found = chips.running_index(capped_windows(spark, d), "label", ["vec_id", "wy", "wx"])
+    return found.select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), "chip_index")
+
+
+@query(f"""
+WITH {_STATUS} SELECT vec_id, wy::BIGINT AS wy, wx::BIGINT AS wx,
+  last_value(CASE WHEN st = 'ok' THEN cls END IGNORE NULLS) OVER (PARTITION BY label ORDER BY vec_id, wy, wx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM ws""")
+def carry_forward_class(spark, d):
+    w = chips.chip_class(status_windows(spark, d), "lulc_status", "data")
+    return chips.carried(w, ["label"], ["vec_id", "wy", "wx"], "lulc", "carried").select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), big("carried").alias("carried"))
+
+
+@query(f"WITH {_CAP} SELECT vec_id, wy::BIGINT AS wy, wx::BIGINT AS wx, cls AS lulc FROM cap WHERE status = 'success' AND cls IN (1, 2, 5, 7, 8, 11)")
+def success_classes(spark, d):
+    held = capped_windows(spark, d).where((F.col("status") == "success") & F.col("lulc").isin(1, 2, 5, 7, 8, 11))
+    return held.select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), big("lulc").alias("lulc"))
+
+
+@query(f"""
+WITH {_CAP}, r AS (SELECT *, (row_number() OVER (ORDER BY label, vec_id, wy, wx) - 1)::BIGINT AS original_id FROM cap),
+rel AS (SELECT *, (row_number() OVER (ORDER BY original_id) - 1)::BIGINT AS id FROM r WHERE status = 'success' AND cls IN (1, 2, 5, 7, 8, 11))
+SELECT id, original_id, label::BIGINT AS aoi_index, cls::VARCHAR AS lulc,
+  CASE cls WHEN 1 THEN 'Water' WHEN 2 THEN 'Trees' WHEN 5 THEN 'Crops' WHEN 7 THEN 'Built area' WHEN 8 THEN 'Bare ground' WHEN 11 THEN 'Rangeland' END AS category,
+  'dem_' || printf('%06d', id) || '.tif' AS dem_paths FROM rel""")
+def release_rows(spark, d):
+    return flagship(spark, d)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles to windows to status, cap, numbers, classes and paths: a small release table."""
+    numbered = chips.running_index(capped_windows(spark, sf_dir), "label", ["vec_id", "wy", "wx"], "original_id")
+    kept = numbered.where((F.col("status") == "success") & F.col("lulc").isin(1, 2, 5, 7, 8, 11))
+    ids = chips.dense_ids(kept, "original_id", "id", 16)
+    named = curate.labelled(ids.withColumn("lulc", F.col("lulc").cast("int").cast("string")), "lulc")
+    return named.select("id", "original_id", big("label").alias("aoi_index"), "lulc", "category", names.plain_name("dem", F.col("id")).alias("dem_paths"))
+
+
+# curation
+
+_EV = "e AS (SELECT event_id, event_type, value FROM events WHERE value > 100), n AS (SELECT event_type, count(event_id) AS n FROM e GROUP BY 1)"
+
+
+def _quota(s: float) -> str:
+    drop = f"CASE WHEN mx > mn AND mx - mn * {s} > 0 THEN floor((mx - mn * {s}) / (mx - mn) * (n - mn)) ELSE 0 END"
+    return f"{_EV}, q AS (SELECT event_type, n, ({drop})::BIGINT AS to_drop FROM n, (SELECT max(n)::DOUBLE AS mx, min(n)::DOUBLE AS mn FROM n))"
+
+
+def _events(spark, d):
+    return table(spark, d, "events").where("value > 100").select("event_id", "event_type", "value")
+
+
+@query(f"WITH {_EV} SELECT event_type, n::BIGINT AS n FROM n")
+def class_counts(spark, d):
+    return curate.class_counts(_events(spark, d), "event_type", "event_id")
+
+
+@query(f"WITH {_quota(1.1)} SELECT event_type, n::BIGINT AS n, to_drop FROM q")
+def balance_quota(spark, d):
+    return curate.balance_quota(curate.class_counts(_events(spark, d), "event_type", "event_id"), 1.1)
+
+
+_RANKED = "r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY md5('42|' || event_id), event_id) AS k FROM e)"
+
+
+@query(f"WITH {_quota(1.0)}, {_RANKED} SELECT event_id, r.event_type, value FROM r JOIN q USING (event_type) WHERE k > to_drop")
+def balanced_sample(spark, d):
+    return curate.balanced(_events(spark, d), "event_type", "event_id", 1.0)
+
+
+@query(f"WITH {_quota(1.1)}, {_RANKED} SELECT event_id, event_type FROM e ANTI JOIN (SELECT event_id FROM r JOIN q USING (event_type) WHERE k <= to_drop) x USING (event_id)")
+def drop_sample(spark, d):
+    e = _events(spark, d)
+    quota = curate.balance_quota(curate.class_counts(e, "event_type", "event_id"), 1.1)
+    ranked = e.withColumn("k", curate.seeded_rank("event_type", "event_id", "42")).join(quota, "event_type")
+    return e.join(ranked.where("k <= to_drop").select("event_id"), "event_id", "left_anti").select("event_id", "event_type")
+
+
+@query("""
+SELECT o_orderkey AS original_id, (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS id, o_custkey::VARCHAR AS lulc FROM orders WHERE o_totalprice > 200000""")
+def release_ids(spark, d):
+    kept = table(spark, d, "orders").where("o_totalprice > 200000").withColumnRenamed("o_orderkey", "original_id")
+    return chips.dense_ids(kept, "original_id", "id", 64).select("original_id", "id", F.col("o_custkey").cast("string").alias("lulc"))
+
+
+@query("""
+SELECT p_partkey, CASE p_size % 12 WHEN 1 THEN 'Water' WHEN 2 THEN 'Trees' WHEN 5 THEN 'Crops' WHEN 7 THEN 'Built area' WHEN 8 THEN 'Bare ground' WHEN 11 THEN 'Rangeland' END AS category,
+ CASE p_size % 12 WHEN 1 THEN '#419bdf' WHEN 2 THEN '#397d49' WHEN 5 THEN '#e49635' WHEN 7 THEN '#c4281b' WHEN 8 THEN '#a59b8f' WHEN 11 THEN '#e3e2c3' END AS color FROM part""")
+def category_lookup(spark, d):
+    p = table(spark, d, "part").withColumn("cls", (F.col("p_size") % 12).cast("string"))
+    return curate.labelled(p, "cls").select("p_partkey", "category", "color")
+
+
+_DATES = f"""
+b AS (SELECT o_custkey, quarter(o_orderdate) AS q, min((o_orderdate, o_orderkey)) AS m FROM orders WHERE {Y1997} GROUP BY ALL),
+dd AS (SELECT o_custkey AS id, string_agg(strftime(m[1], '%Y%m%d'), ',' ORDER BY q) AS dates FROM b GROUP BY o_custkey)"""
+
+
+def date_lists(spark, d):
+    """Each customer's first order date of each quarter, comma-joined in order."""
+    best = scenes.top_per_group(orders(spark, d), ["o_custkey", "q"], [F.asc("t"), F.asc("o_orderkey")])
+    days = best.withColumn("day", timefn.day_stamp(F.col("t")))
+    return scenes.ids_in_order(days, ["o_custkey"], "q", "day", "dates").withColumnRenamed("o_custkey", "id")
+
+
+@query(f"""
+WITH {_DATES} SELECT id, array_to_string(list_transform(string_split(dates, ','), lambda x: 's2l2a_' || printf('%06d', id) || '_' || x || '.tif'), ',') AS paths,
+ array_to_string(list_transform(string_split(dates, ','), lambda x: 'https://thumbs/s2l2a_' || printf('%06d', id) || '_' || x || '.png'), ',') AS thumbs,
+ 'dem_' || printf('%06d', id) || '.tif' AS dem FROM dd""")
+def path_lists(spark, d):
+    i, dates = F.col("id"), F.col("dates")
+    return date_lists(spark, d).select("id", names.dated_names("s2l2a", i, dates, "tif").alias("paths"), names.dated_names("s2l2a", i, dates, "png", "https://thumbs/").alias("thumbs"), names.plain_name("dem", i).alias("dem"))
+
+
+@query(f"WITH {_DATES} SELECT id, dates FROM dd WHERE len(string_split(dates, ',')) = 4")
+def four_dates_filter(spark, d):
+    return date_lists(spark, d).where(names.list_size(F.col("dates")) == 4)
+
+
+@query(f"""
+WITH {_DATES}, n AS (SELECT id AS original_id, (row_number() OVER (ORDER BY id) - 1)::BIGINT AS id, dates FROM dd WHERE len(string_split(dates, ',')) = 4),
+s AS (SELECT *, unnest(string_split(dates, ',')) AS day, generate_subscripts(string_split(dates, ','), 1) - 1 AS step FROM n),
+x AS (SELECT * FROM s, (VALUES ('tif'), ('png')) e(ext), (VALUES ('s2l2a'), ('s1rtc')) c(src_name))
+SELECT src_name || '_' || printf('%06d', original_id) || '_' || step || '_' || day || '.' || ext AS src, src_name || '_' || printf('%06d', id) || '_' || day || '.' || ext AS dst FROM x
+UNION ALL SELECT 'dem_' || printf('%06d', original_id) || '.tif', 'dem_' || printf('%06d', id) || '.tif' FROM n""")
+def asset_manifest(spark, d):
+    held = date_lists(spark, d).where(names.list_size(F.col("dates")) == 4).withColumnRenamed("id", "original_id")
+    return curate.asset_manifest(chips.dense_ids(held, "original_id", "id", 16), dates="dates", sources=("s2l2a", "s1rtc"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (3, 7, 11, 42)")
+def include_exclude(spark, d):
+    return curate.exclude_include(table(spark, d, "customer"), "c_custkey", [3, 7, 11, 42], [5, 6]).select("c_custkey", "c_name")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey > (SELECT max(o_custkey) FROM orders WHERE o_custkey % 4 = 1 AND o_totalprice > 150000)")
+def resume_filter(spark, d):
+    log = table(spark, d, "orders").where("o_custkey % 4 = 1 AND o_totalprice > 150000").withColumnRenamed("o_custkey", "c_custkey")
+    return curate.resumable(table(spark, d, "customer").select("c_custkey"), log, "c_custkey")
+
+
+@query(f"""
+SELECT c_custkey, coalesce(s, 'not processed') AS status FROM customer LEFT JOIN
+ (SELECT o_custkey, CASE WHEN count(*) > 3 THEN 'success' ELSE 'scenes insufficient' END AS s FROM orders WHERE {Y1997} GROUP BY 1) ON c_custkey = o_custkey""")
+def status_upsert(spark, d):
+    done = orders(spark, d).groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.when(F.count("*") > 3, "success").otherwise("scenes insufficient").alias("status"))
+    return curate.upsert_status(table(spark, d, "customer").select("c_custkey", F.lit("not processed").alias("status")), done, "c_custkey")
+
+
+# unions, ids and lookups
+
+
+@query("""
+SELECT 'orders' AS collection, o_orderkey AS item, strftime(o_orderdate, '%Y-%m-%d') AS day, o_totalprice AS cloud, NULL::VARCHAR AS event_type FROM orders
+UNION ALL BY NAME SELECT 'events' AS collection, event_id AS item, strftime(ts, '%Y-%m-%d') AS day, event_type FROM events""")
+def ragged_union(spark, d):
+    o = table(spark, d, "orders").select(F.lit("orders").alias("collection"), F.col("o_orderkey").alias("item"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_totalprice").alias("cloud"))
+    e = table(spark, d, "events").select(F.lit("events").alias("collection"), F.col("event_id").alias("item"), F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type")
+    return scenes.ragged_union(o, e)
+
+
+@query(f"""
+WITH a AS (SELECT o_orderkey, o_custkey, o_orderdate, quarter(o_orderdate)::BIGINT AS q FROM orders WHERE {Y1997}),
+j AS (SELECT a.*, l_suppkey, l_quantity, l_partkey FROM a JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber = 1
+  WHERE l_shipdate BETWEEN o_orderdate - INTERVAL 91 DAY AND o_orderdate + INTERVAL 91 DAY),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, q ORDER BY l_quantity, o_orderkey, l_suppkey, l_partkey) AS k FROM j)
+SELECT o_custkey, string_agg(l_suppkey::VARCHAR, ',' ORDER BY q, k) AS ids FROM r WHERE k <= 50 GROUP BY o_custkey""")
+def locked_scene_lookup(spark, d):
+    o = orders(spark, d)
+    lines = table(spark, d, "lineitem").where("l_linenumber = 1").withColumn("ship", timefn.ts("l_shipdate"))
+    near = scenes.within(F.col("ship"), F.col("t") - F.expr("INTERVAL '91' DAY"), F.col("t") + F.expr("INTERVAL '91' DAY"))
+    joined = o.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).where(near)
+    top = scenes.top_per_group(joined, ["o_custkey", "q"], [F.asc(c) for c in ("l_quantity", "o_orderkey", "l_suppkey", "l_partkey")], 50, "k")
+    return scenes.ids_in_order(top, ["o_custkey"], F.struct("q", "k"), "l_suppkey", "ids")
+
+
+@query(f"""
+WITH i AS (SELECT o_custkey, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderdate, o_orderkey) AS scene_ids FROM orders WHERE {Y1997} GROUP BY 1)
+SELECT o_orderkey, o_custkey, scene_ids FROM orders JOIN i USING (o_custkey) WHERE {Y1997}""")
+def scene_ids_broadcast(spark, d):
+    o = orders(spark, d)
+    ids = scenes.ids_in_order(o, ["o_custkey"], F.struct("t", "o_orderkey"), "o_orderkey", "scene_ids")
+    return o.join(ids, "o_custkey").select("o_orderkey", "o_custkey", "scene_ids")
+
+
+# bands, windows and casts
+
+
+@query("""
+WITH p AS (SELECT vec_id, i - 1 AS pos, embedding[i]::DOUBLE AS v FROM embeddings, range(1, 65) r(i))
+SELECT vec_id, count(*) = 5 AS complete, round(sum(v), 5) AS total FROM p WHERE pos IN (1, 2, 3, 7, 11) GROUP BY vec_id""")
+def band_select(spark, d):
+    bands = table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "v")).select("vec_id", F.col("pos").cast("string").alias("band"), F.col("v").cast("double").alias("v"))
+    chosen = raster.select_bands(bands, ["1", "2", "3", "7", "11", "13"], drop="13")
+    totals = chosen.groupBy("vec_id").agg(F.round(F.sum("v"), 5).alias("total"))
+    return raster.band_check(chosen, ["vec_id"], 5).join(totals, "vec_id")
+
+
+@query("""
+WITH p AS (SELECT vec_id, (i - 1) // 8 AS y, (i - 1) % 8 AS x, embedding[i]::DOUBLE AS v FROM embeddings, range(1, 65) r(i)),
+w AS (SELECT *, CASE WHEN y BETWEEN 2 AND 4 AND x BETWEEN 2 AND 4 THEN v END AS m FROM p WHERE y BETWEEN 1 AND 5 AND x BETWEEN 1 AND 5)
+SELECT vec_id, y::BIGINT AS y, x::BIGINT AS x, coalesce(trunc(m * 1000), -999)::BIGINT AS v FROM w""")
+def window_extract(spark, d):
+    cells = raster.to_pixels(table(spark, d, "embeddings"), "embedding", 8, ["vec_id"])
+    y, x, sample, margin = F.col("y"), F.col("x"), 3, 1
+    low, high = 2 - margin, 2 + sample + margin - 1
+    part = cells.where(y.between(low, high) & x.between(low, high))
+    inner = F.when(y.between(2, 4) & x.between(2, 4), F.col("v").cast("double") * 1000)
+    value = pixels.checked_cast(pixels.filled(inner, True, -999), "smallint")
+    return part.select("vec_id", big("y").alias("y"), big("x").alias("x"), value.cast("bigint").alias("v"))
+
+
+@query("""
+SELECT vec_id, max(nullif(CASE WHEN (vec_id + i) % 13 = 0 THEN -999.0 ELSE round(embedding[i]::DOUBLE, 5) END, -999.0)) AS top,
+ count(*) FILTER ((vec_id + i) % 13 = 0)::BIGINT AS n_missing FROM embeddings, range(1, 65) r(i) GROUP BY vec_id""")
+def nodata_mask(spark, d):
+    raw = F.transform("embedding", lambda v, i: F.when((F.col("vec_id") + i + 1) % 13 == 0, F.lit(-999.0)).otherwise(F.round(v.cast("double"), 5)))
+    masked = F.transform(raw, lambda v: pixels.without(v, -999.0))
+    return table(spark, d, "embeddings").select("vec_id", F.array_max(masked).alias("top"), F.size(F.filter(masked, lambda v: v.isNull())).cast("bigint").alias("n_missing"))
+
+
+@query("""
+WITH v AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount / 2 AS vv, l_tax / 8 AS vh FROM lineitem),
+n AS (SELECT *, (greatest(least(CASE WHEN vv <= 0 THEN -25 ELSE 10 * log10(vv) END, 0), -25) + 25) / 25 AS r, (greatest(least(CASE WHEN vh <= 0 THEN -30 ELSE 10 * log10(vh) END, -5), -30) + 30) / 25 AS g FROM v)
+SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, round(r, 6) AS r, round(g, 6) AS g, round(r / (g + 1e-6), 4) AS b FROM n""")
+def sar_norm(spark, d):
+    r, g, b = pixels.radar_rgb(F.col("l_discount") / 2, F.col("l_tax") / 8)
+    return table(spark, d, "lineitem").select("l_orderkey", big("l_linenumber").alias("l_linenumber"), "l_partkey", "l_suppkey", F.round(r, 6).alias("r"), F.round(g, 6).alias("g"), F.round(b, 4).alias("b"))
+
+
+@query("""
+WITH p AS (SELECT vec_id, i, embedding[i]::DOUBLE * CASE WHEN vec_id % 2 = 0 THEN 9000 ELSE 1 END AS v FROM embeddings, range(1, 65) r(i)),
+m AS (SELECT vec_id, max(v) AS mx FROM p GROUP BY vec_id)
+SELECT vec_id, round(sum(greatest(least(CASE WHEN mx > 1 THEN v / 4000 ELSE v * 5 END, 1), 0)), 5) AS total FROM p JOIN m USING (vec_id) GROUP BY vec_id""")
+def rgb_stretch(spark, d):
+    scaled = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double") * F.when(F.col("vec_id") % 2 == 0, 9000).otherwise(1)).alias("data")).withColumn("mx", F.array_max("data"))
+    unit = F.transform("data", lambda v: pixels.stretch(v, F.col("mx")))
+    return scaled.select("vec_id", F.round(F.aggregate(unit, F.lit(0.0), lambda a, v: a + v), 5).alias("total"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, (floor(l_quantity / 10 * 255)::BIGINT % 256)::BIGINT AS b FROM lineitem""")
+def to_8bit(spark, d):
+    b = pixels.to_byte(F.col("l_quantity") / 10)
+    return table(spark, d, "lineitem").select("l_orderkey", big("l_linenumber").alias("l_linenumber"), "l_partkey", "l_suppkey", b.alias("b"))
+
+
+@query("""
+SELECT s_suppkey, coalesce(CASE WHEN s_suppkey % 3 = 0 THEN 32600 + s_suppkey % 60 END, TRY_CAST(split_part(CASE WHEN s_suppkey % 7 = 0 THEN 'EPSG:unknown' ELSE 'EPSG:' || (32700 + s_suppkey % 60) END, ':', 2) AS INT))::BIGINT AS epsg FROM supplier""")
+def epsg_parse(spark, d):
+    k = F.col("s_suppkey")
+    given = F.when(k % 3 == 0, (F.lit(32600) + k % 60).cast("int"))
+    code = F.when(k % 7 == 0, F.lit("EPSG:unknown")).otherwise(F.concat(F.lit("EPSG:"), (F.lit(32700) + k % 60).cast("string")))
+    return table(spark, d, "supplier").select("s_suppkey", names.epsg_of(given, code).cast("bigint").alias("epsg"))
+
+
+@query("""
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN length(o_orderkey::VARCHAR) < 3 THEN lpad(o_orderkey::VARCHAR, 3, '0') ELSE o_orderkey::VARCHAR END AS path FROM orders""")
+def time_parse(spark, d):
+    o = orders(spark, d, None)
+    text = F.when(F.col("o_orderkey") % 2 == 0, timefn.iso_seconds(F.col("t"))).otherwise(F.date_format("t", "yyyyMMdd"))
+    return o.select("o_orderkey", F.date_format(timefn.parse_time(text), "yyyy-MM-dd").alias("day"), names.padded_path(F.col("o_orderkey")).alias("path"))
+
+
+@query("""
+WITH s AS (SELECT vec_id, (i - 1) // 4 AS y, (i - 1) % 4 AS x FROM embeddings, range(1, 17) r(i))
+SELECT s.vec_id, y::BIGINT AS y, x::BIGINT AS x, e.embedding[(2 * y + 1) * 8 + (2 * x + 1) + 1]::DOUBLE AS v FROM s JOIN embeddings e USING (vec_id)""")
+def resample_grid(spark, d):
+    tiles = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("data"))
+    cells = raster.to_pixels(raster.resample_nearest(tiles, "data", 8, 4), "data", 4, ["vec_id"])
+    return cells.select("vec_id", big("y").alias("y"), big("x").alias("x"), "v")
+
+
+@query("""
+SELECT l_suppkey, count(*)::BIGINT AS n, min(l_linenumber)::BIGINT AS first, (min(l_linenumber) = max(l_linenumber)) AS same FROM lineitem GROUP BY l_suppkey ORDER BY l_suppkey LIMIT 10""")
+def first_rows(spark, d):
+    found = table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"), F.min("l_linenumber").cast("bigint").alias("first"), (F.min("l_linenumber") == F.max("l_linenumber")).alias("same"))
+    return found.orderBy("l_suppkey").limit(10)
+
+
+@query()
+def stac_stream(spark, d):
+    """Events as a stream of scenes, appended batch by batch; rows only."""
+    from ..streaming import incremental
+
+    return incremental.replay(spark, f"{d.rstrip('/')}", "events", "event_id")
