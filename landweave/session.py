@@ -24,6 +24,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.python.filterPushdown.enabled": "true",
         "spark.ui.enabled": "false",
     }
     if shuffle_partitions:
