@@ -15,9 +15,9 @@ BLOCK are cut into blocks and all pairs of blocks are looked at, each in a task
 lists of several keys are looked at once. Inside a list the symmetric difference of two sets is
 bounded from below by the difference of their parity bitmaps. A list gives a minimum spanning
 forest over the pairs within that bound, not all pairs: what is linked through the forest needs no
-further link. The forest's edges are verified on the exact sets. Then every list whose members
-are still in several components gives all remaining pairs within the bound between components, and
-those are verified too, so no link between components is lost.
+further link. The forest's edges are verified on the exact sets. Then every list with an edge that
+failed gives all pairs within the bound between the components found so far, and those are verified
+too: no pair within the bound lies between two trees of a list's forest, so no link is lost.
 
 Defined cases: a null text, or one without words, is the empty set and linked with nothing; a text
 of fewer words than a shingle is one shingle; rows with the same id are taken as one document
@@ -41,7 +41,9 @@ from . import flat
 from .tables import materialise
 
 SKETCH_BITS = 18
-BITMAP_BITS = 1024
+#: Bits of a set's parity bitmap, below LARGE shingles and from there on; the larger folds to the smaller.
+BITMAP_BITS, LARGE_BITS = 1024, 8192
+LARGE = 2000
 SUBSET = 2
 BLOCK = 1024
 #: Cost of reading one entry of an inverted list, when making one subset's key costs 1.
@@ -170,18 +172,19 @@ def describe_sets(documents: DataFrame, id_col: str, text: str, sketch: np.ndarr
             column, rows = batch.column(1), batch.num_rows
             n = np.zeros(rows, dtype=np.int32)
             sums = np.zeros((2, rows), dtype=np.uint64)
-            bits = np.zeros((rows, BITMAP_BITS // 8), dtype=np.uint8)
+            bits = [bytes(BITMAP_BITS // 8)] * rows
             keys: list[np.ndarray] = [np.zeros(0, np.uint64)] * rows
             for r, found in _each_set(column, measure.words):
                 n[r] = len(found)
                 if len(found):
                     sums[0, r], sums[1, r] = found.sum(), flat.mix(found ^ _SALT).sum()
-                    bits[r] = np.packbits(np.bincount((found & np.uint64(BITMAP_BITS - 1)).astype(np.int64), minlength=BITMAP_BITS) & 1)
+                    size = LARGE_BITS if len(found) >= LARGE else BITMAP_BITS
+                    bits[r] = np.packbits(np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).tobytes()
                     keys[r] = set_keys(found, counts, limit, measure)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
-                 pa.array([x.tobytes() for x in bits], pa.binary()),
+                 pa.array(bits, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)))],
                 names=schema.names,
             )
@@ -245,21 +248,51 @@ def inverted_lists(sets: DataFrame) -> DataFrame:
     return single.unionByName(double).distinct().withColumn("list", F.xxhash64("ids", F.size("ids")))
 
 
-def spanning_edges(n: np.ndarray, bits: np.ndarray, measure: Measure) -> list[tuple[int, int]]:
+class Bitmaps:
+    """Parity bitmaps of a list's sets; large sets have the large one too."""
+
+    def __init__(self, n: np.ndarray, words: np.ndarray):
+        self.n, self.large = n, np.flatnonzero(n >= LARGE)
+        self.small, self.wide = words[:, : BITMAP_BITS // 64], words[self.large, BITMAP_BITS // 64 :]
+        self.of_large = np.full(len(n), -1, dtype=np.int64)
+        self.of_large[self.large] = np.arange(len(self.large))
+
+    @staticmethod
+    def unpack(stored: list[bytes]) -> np.ndarray:
+        """Rows of the small bitmap's words and then the large one's (0 where there is none)."""
+        narrow, wide = BITMAP_BITS // 64, LARGE_BITS // 64
+        out = np.zeros((len(stored), narrow + wide), dtype=np.uint64)
+        for k, raw in enumerate(stored):
+            words = np.frombuffer(raw, dtype=np.uint64)
+            if len(words) == wide:
+                out[k, narrow:] = words
+                words = np.bitwise_xor.reduce(words.reshape(-1, narrow), axis=0)
+            out[k, :narrow] = words
+        return out
+
+    def fitting(self, at: int, measure: Measure) -> tuple[np.ndarray, np.ndarray]:
+        """Which sets may link with set `at`, and the least possible difference of each in parts of the total."""
+        n = self.n
+        d = np.bitwise_count(self.small ^ self.small[at]).sum(axis=1, dtype=np.int64)
+        if self.of_large[at] >= 0:
+            d[self.large] = np.bitwise_count(self.wide ^ self.wide[self.of_large[at]]).sum(axis=1, dtype=np.int64)
+        total = n + n[at]
+        fits = (d <= measure.difference(total)) & (np.minimum(n, n[at]) * measure.den >= np.maximum(n, n[at]) * measure.num)
+        return fits, d / total
+
+
+def spanning_edges(bitmaps: Bitmaps, measure: Measure) -> list[tuple[int, int]]:
     """Edges of a minimum spanning forest over the pairs whose difference may be small enough."""
-    size, edges = len(n), []
+    size, edges = len(bitmaps.n), []
     out = np.ones(size, dtype=bool)
     best = np.full(size, np.inf)
     parent = np.zeros(size, dtype=np.int64)
     at = 0
     for _ in range(size):
         out[at] = False
-        d = np.bitwise_count(bits ^ bits[at]).sum(axis=1, dtype=np.int64)
-        total = n + n[at]
-        fits = (d <= measure.difference(total)) & (np.minimum(n, n[at]) * measure.den >= np.maximum(n, n[at]) * measure.num)
-        ratio = np.where(fits, d / total, np.inf)
-        nearer = out & (ratio < best)
-        best[nearer], parent[nearer] = ratio[nearer], at
+        fits, part = bitmaps.fitting(at, measure)
+        nearer = out & fits & (part < best)
+        best[nearer], parent[nearer] = part[nearer], at
         rest = np.where(out, best, np.inf)
         at = int(np.argmin(rest))
         if not np.isfinite(rest[at]):
@@ -272,21 +305,18 @@ def spanning_edges(n: np.ndarray, bits: np.ndarray, measure: Measure) -> list[tu
     return edges
 
 
-def crossing_edges(n: np.ndarray, bits: np.ndarray, label: np.ndarray, measure: Measure) -> list[tuple[int, int]]:
+def crossing_edges(bitmaps: Bitmaps, label: np.ndarray, measure: Measure) -> list[tuple[int, int]]:
     """All pairs of different labels whose difference may be small enough."""
     edges = []
-    for at in range(len(n) - 1):
-        rest = slice(at + 1, None)
-        other = np.flatnonzero(label[rest] != label[at]) + at + 1
-        if len(other):
-            d = np.bitwise_count(bits[other] ^ bits[at]).sum(axis=1, dtype=np.int64)
-            fits = (d <= measure.difference(n[other] + n[at])) & (np.minimum(n[other], n[at]) * measure.den >= np.maximum(n[other], n[at]) * measure.num)
-            edges += [(at, int(b)) for b in other[fits]]
+    for at in range(len(label) - 1):
+        fits = (label != label[at]) & (np.arange(len(label)) > at)
+        if fits.any():
+            edges += [(at, int(b)) for b in np.flatnonzero(fits & bitmaps.fitting(at, measure)[0])]
     return edges
 
 
 def candidate_edges(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, measure: Measure) -> DataFrame:
-    """Distinct pairs a < b that the lists give: a spanning forest, or with labels all pairs between labels."""
+    """list and pairs a < b that the lists give: a spanning forest each, or with labels all pairs between labels."""
     members = lists.select("list", F.explode("ids").alias("id"))
     if labels is not None:
         members = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -299,47 +329,49 @@ def candidate_edges(lists: DataFrame, sets: DataFrame, labels: DataFrame | None,
     rows = rows.repartition("list").sortWithinPartitions("list", "id")
     all_pairs = labels is not None
     id_type = sets.schema["id"].dataType
-    schema = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])
+    schema = T.StructType([T.StructField("list", T.LongType()), T.StructField("a", id_type), T.StructField("b", id_type)])
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         rest: list[np.ndarray] | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            words = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1)
+            words = Bitmaps.unpack(batch.column(4).to_pylist())
             now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)] + [words]
             if rest is not None:
                 now = [np.concatenate([x, y]) for x, y in zip(rest, now, strict=True)]
             cuts = np.flatnonzero(np.diff(now[0])) + 1
             for first, last in zip(np.concatenate([[0], cuts[:-1]]), cuts, strict=True) if len(cuts) else ():
-                yield tuple(x[first:last] for x in now[1:])
+                yield tuple(x[first:last] for x in now)
             rest = [x[cuts[-1] :] for x in now] if len(cuts) else now
         if rest is not None:
-            yield tuple(rest[1:])
+            yield tuple(rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where: list[np.ndarray] = []
         a: list[np.ndarray] = []
         b: list[np.ndarray] = []
         held = 0
 
         def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (where, a, b)], names=schema.names)
 
-        for ids, n, label, bits in groups(batches):
-            n = n.astype(np.int64)
-            edges = crossing_edges(n, bits, label, measure) if all_pairs else spanning_edges(n, bits, measure)
+        for number, ids, n, label, words in groups(batches):
+            bitmaps = Bitmaps(n.astype(np.int64), words)
+            edges = crossing_edges(bitmaps, label, measure) if all_pairs else spanning_edges(bitmaps, measure)
             if edges:
                 pair = ids[np.array(edges)]
+                where.append(np.full(len(pair), number[0]))
                 a.append(pair.min(axis=1))
                 b.append(pair.max(axis=1))
                 held += len(pair)
             if held > 100_000:
                 yield batch()
-                a, b, held = [], [], 0
+                where, a, b, held = [], [], [], 0
         if held:
             yield batch()
 
-    return rows.mapInArrow(run, schema).where("a < b").distinct()
+    return rows.mapInArrow(run, schema).where("a < b")
 
 
 def verified(edges: DataFrame, documents: DataFrame, id_col: str, text: str, measure: Measure) -> DataFrame:
@@ -389,9 +421,13 @@ def link_components(documents: DataFrame, id_col: str = "doc_id", text: str = "t
     heads = materialise(heads, "heads")
     lists = materialise(inverted_lists(heads), "lists")
     forest = materialise(candidate_edges(lists, heads, None, measure), "forest")
-    links = materialise(verified(forest, documents, id_col, text, measure), "links")
+    tried = forest.select("a", "b").distinct()
+    links = materialise(verified(tried, documents, id_col, text, measure), "links")
     labels = materialise(components(links), "labels")
-    crossing = candidate_edges(lists, heads, labels, measure).join(forest, ["a", "b"], "left_anti")
+    # trees of one forest have no pair within the bound between them, so only a failed edge can leave one out
+    failed = forest.join(links, ["a", "b"], "left_anti").select("list").distinct()
+    again = candidate_edges(lists.join(failed, "list", "left_semi"), heads, labels, measure)
+    crossing = again.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     more = materialise(verified(materialise(crossing, "crossing"), documents, id_col, text, measure), "links")
     if not more.isEmpty():
         stars = labels.where("id <> label").select(F.col("id").alias("a"), F.col("label").alias("b"))
