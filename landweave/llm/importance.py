@@ -39,7 +39,7 @@ SCALE = 60.0
 #: Times as bad to lose the clean rows as to keep the others.
 CLEAN_COST = 3
 SEED = 17
-SCORES = ("n_words", "quality_ratio", "toxic_ratio")
+SCORES = ("__n_words", "__quality_ratio", "__toxic_ratio")
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -109,7 +109,7 @@ def ratios(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def score(df: DataFrame, text: str, quality: np.ndarray, toxic: np.ndarray) -> DataFrame:
-    """df with n_words (long), quality_ratio and toxic_ratio (double) as further columns."""
+    """df with SCORES (words, mean quality ratio, mean toxic ratio) as further columns."""
     spark = df.sparkSession
     tables = spark.sparkContext.broadcast((quality, toxic))  # of fixed size
     column = df.columns.index(text)
@@ -200,15 +200,26 @@ def kth_largest(df: DataFrame, key: str, k: int, bins: int = 1024) -> float:
 
 
 def resample(documents: DataFrame, labels: DataFrame, most: int = LABELLED) -> tuple[DataFrame, float]:
-    """All scored rows of documents with log_weight and gumbel_key, and the key that the kept rows reach."""
+    """All rows of documents with SCORES, __log_weight and __gumbel_key, and the key that the kept rows reach."""
     model = fit(documents, labels, most)
-    keyed = lambda df: score(df, "text", model["quality"], model["toxic"]).withColumn("log_weight", log_weight(model)).withColumn("gumbel_key", F.col("log_weight") + gumbel(F.col("doc_id")))
-    light = materialise(keyed(documents.select("doc_id", "text")).select("log_weight", "gumbel_key"), "gumbel-keys")
-    k = light.where("log_weight >= 0").count()
-    return keyed(documents), kth_largest(light, "gumbel_key", k)
+
+    def keyed(df: DataFrame) -> DataFrame:
+        weighted = score(df, "text", model["quality"], model["toxic"]).withColumn("__log_weight", log_weight(model))
+        return weighted.withColumn("__gumbel_key", F.col("__log_weight") + gumbel(F.col("doc_id")))
+
+    light = materialise(keyed(documents.select("doc_id", "text")).select("__log_weight", "__gumbel_key"), "gumbel-keys")
+    k = light.where("__log_weight >= 0").count()
+    return keyed(documents), kth_largest(light, "__gumbel_key", k)
 
 
 def keep(documents: DataFrame, labels: DataFrame, most: int = LABELLED) -> DataFrame:
-    """The rows of documents that are kept, with their scores, log_weight and gumbel_key."""
+    """The rows of documents that are kept, with their columns as they were."""
     scored, least = resample(documents, labels, most)
-    return scored.where(F.col("gumbel_key") >= F.lit(least))
+    return scored.where(F.col("__gumbel_key") >= F.lit(least)).select(documents.columns)
+
+
+def kept_scores(documents: DataFrame, labels: DataFrame, most: int = LABELLED) -> DataFrame:
+    """doc_id, n_words, quality_ratio, toxic_ratio, log_weight and gumbel_key of the rows that are kept."""
+    scored, least = resample(documents.select("doc_id", "text"), labels, most)
+    names = [*SCORES, "__log_weight", "__gumbel_key"]
+    return scored.where(F.col("__gumbel_key") >= F.lit(least)).select("doc_id", *[F.col(n).alias(n.strip("_")) for n in names])

@@ -21,8 +21,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = importance.keep(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
-    return kept.drop("text")
+    return importance.kept_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op2_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
