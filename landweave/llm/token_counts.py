@@ -1,7 +1,9 @@
 """Exact token counts by overlap resynchronisation.
 
-A text of up to chunk_chars is encoded whole. A longer one is encoded in chunks that overlap, each
-with offsets; two neighbours are spliced at a boundary between pre-tokens that both have. Such a
+A text of up to CHUNK_CHARS is counted by its space-separated words: a single space between two
+characters that are certainly no white space always begins a pre-token, and the pre-tokeniser never
+looks behind, so the words between such spaces are encoded independently and equal ones once per
+worker. A longer text is encoded in chunks that overlap, each with offsets; two neighbours are spliced at a boundary between pre-tokens that both have. Such a
 place is proven stable: the pre-tokeniser's pattern looks ahead by at most GUARD characters and
 never behind, so a boundary of the left chunk more than GUARD before its end is one of the whole
 text, and from a true boundary on the right chunk goes as the whole text does. Where the overlap
@@ -24,6 +26,10 @@ from pyspark.sql import types as T
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 512
 GUARD = 32
+#: Words whose counts a worker keeps at a time.
+KEPT_WORDS = 1 << 19
+#: Characters that are certainly no white space: visible ASCII and Latin letters with marks.
+VISIBLE = frozenset(map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x250)]))
 
 
 @lru_cache(maxsize=2)
@@ -78,6 +84,47 @@ def count_long(tok, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_
     return total + len(left.ids) - skip
 
 
+class WordCounts:
+    """Token counts of whole texts from the counts of their words."""
+
+    def __init__(self, tok):
+        self.tok = tok
+        self.words: dict[str, int] = {}  # words that begin and end visibly, counted with a space before
+        self.pieces: dict[str, int] = {}  # all else, counted as it stands
+
+    @staticmethod
+    def cut(text: str) -> list[str]:
+        """The text cut before each single space between two visible characters."""
+        words = text.split(" ")
+        out = [words[0]]
+        for before, w in zip(words, words[1:], strict=False):
+            if w and before and w[0] in VISIBLE and before[-1] in VISIBLE:
+                out.append(" " + w)
+            else:
+                out[-1] += " " + w
+        return out
+
+    def learn(self, counts: dict[str, int], new: list[str], space: str) -> None:
+        for first in range(0, len(new), 4096):
+            part = new[first : first + 4096]
+            found = self.tok.encode_batch_fast([space + p for p in part], add_special_tokens=False)
+            counts.update(zip(part, map(len, found), strict=True))
+
+    def of(self, texts: list[str]) -> list[int]:
+        for kept in (self.words, self.pieces):
+            if len(kept) > KEPT_WORDS:
+                kept.clear()
+        split = [t.split(" ") for t in texts]
+        new = set().union(*split) - self.words.keys()
+        self.learn(self.words, [w for w in new if w and w[0] in VISIBLE and w[-1] in VISIBLE], " ")
+        counts = [list(map(self.words.get, s)) for s in split]
+        # a text of such words alone is cut at every space; the others, and all first words, go piece by piece
+        pieces = [self.cut(t) if None in c else s[:1] for t, s, c in zip(texts, split, counts, strict=True)]
+        self.learn(self.pieces, [p for p in {x for c in pieces for x in c} if p not in self.pieces], "")
+        own = self.pieces
+        return [sum(own[p] for p in c) if None in n else sum(n) - n[0] + own[c[0]] for c, n in zip(pieces, counts, strict=True)]
+
+
 def token_counts(df: DataFrame, text: str, tokenizer_path: str, id_col: str = "doc_id", limit: int = 512) -> DataFrame:
     """id_col, n_bytes, n_tokens and over_limit (n_tokens > limit) of every row of df."""
     id_type = df.schema[id_col].dataType
@@ -85,17 +132,16 @@ def token_counts(df: DataFrame, text: str, tokenizer_path: str, id_col: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(tokenizer_path)
+        words = WordCounts(tok)
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            counts = [0] * len(texts)
-            short = [i for i, t in enumerate(texts) if t and len(t) <= CHUNK_CHARS]
-            for first in range(0, len(short), 256):
-                part = short[first : first + 256]
-                for i, e in zip(part, tok.encode_batch_fast([texts[i] for i in part], add_special_tokens=False), strict=True):
-                    counts[i] = len(e.ids)
-            for i, t in enumerate(texts):
-                if len(t) > CHUNK_CHARS:
-                    counts[i] = count_long(tok, t)
+            counts = []
+            for first in range(0, len(texts), 512):
+                part = texts[first : first + 512]
+                counts += words.of([t if len(t) <= CHUNK_CHARS else "" for t in part])
+                for i, t in enumerate(part, first):
+                    if len(t) > CHUNK_CHARS:
+                        counts[i] = count_long(tok, t)
             sizes = [len(t.encode()) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=schema.names)
 
