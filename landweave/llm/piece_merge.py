@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 SPACE = "▁"
 NONE = np.int32(2**31 - 1)
 #: Characters of text merged at once; a longer single text is a batch of its own.
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
 
 
 class PieceTable:
