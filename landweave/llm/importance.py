@@ -2,11 +2,11 @@
 
 Three generative models over hashed n-grams are compared: the raw corpus (counted over all of it),
 the target (labelled rows of good quality that are not toxic) and the toxic counter-target. Words
-and word pairs carry the quality ratio log p_target/q_raw; word beginnings carry the toxic ratio
-log p_toxic/q_raw, of which only clear evidence (above TOXIC_RATIO) counts. Both are means over
-the text's n-grams, with smoothing in proportion to the labelled rows. The log importance weight of
-a text is its margin to the thresholds, which are set between the classes on the other half of the
-labelled rows, times SCALE. Gumbel noise from a hash of the id is added and the k largest are kept,
+and word pairs carry the quality ratio log p_target/q_raw, by occurrences; word beginnings carry the toxic ratio log p_toxic/q_raw, by
+texts that have them, of which only clear evidence (above TOXIC_RATIO) counts. Both are means over
+the text's n-grams, with smoothing in proportion to the labelled rows. The thresholds are set
+between the classes, each half of the labelled rows being scored by the models of the other. The log
+importance weight of a text is its margin to the thresholds, times SCALE. Gumbel noise from a hash of the id is added and the k largest are kept,
 k being the number of texts with a weight of 0 or more: clear cases are decided by the ratio, texts
 at the threshold are sampled. The k-th key is found by histogram refinement, never by a sort.
 
@@ -64,48 +64,58 @@ def labelled_rows(labels: DataFrame, most: int = LABELLED) -> DataFrame:
 
 
 def model_counts(documents: DataFrame, sample: DataFrame) -> np.ndarray:
-    """Counts by class (0: all, 1: good, 2: toxic) and bucket, and in column 0 of `rows` the rows of each."""
-    width = WORD_BUCKETS + BEGIN_BUCKETS + 1  # the last: number of documents
+    """Counts by model and bucket; the last column counts rows.
+
+    Model 0: all rows; 1 and 2: the two halves of the good ones; 3 and 4: those of the toxic ones.
+    """
+    width = WORD_BUCKETS + BEGIN_BUCKETS + 1
     # the sample is bounded by its parameter, so it may be sent to all executors
     rows = documents.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id"), "left")
-    rows = rows.select("text", F.when(F.col("__half") == 0, F.col("__class")).alias("class"))
+    rows = rows.select("text", F.when(F.col("__class") < 3, F.col("__class") * 2 - 1 + F.col("__half")).cast("int").alias("model"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((3, width), dtype=np.int64)
+        counts = np.zeros((5, width), dtype=np.int64)
         for batch in batches:
-            kinds = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            models = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             data, offsets = flat.column_bytes(batch.column(0))
             for first, last, part, at in flat.slices(data, offsets):
                 word, pair, begin, starts = features(part, at)
-                of_word = np.repeat(kinds[first:last], np.diff(starts))
-                for k in (0, 1, 2):
-                    chosen = slice(None) if k == 0 else of_word == k
-                    w, p, b = word[chosen], pair[chosen], begin[chosen]
+                row = np.repeat(np.arange(last - first), np.diff(starts))
+                once = np.unique(row * BEGIN_BUCKETS + begin)
+                row_once, once = once // BEGIN_BUCKETS, once % BEGIN_BUCKETS
+                mine = models[first:last]
+                for k in {0, *mine.tolist()}:
+                    every = k == 0
+                    w, p, b = (word, pair, once) if every else (word[mine[row] == k], pair[mine[row] == k], once[mine[row_once] == k])
                     counts[k, :WORD_BUCKETS] += np.bincount(w, minlength=WORD_BUCKETS) + np.bincount(p[p >= 0], minlength=WORD_BUCKETS)
                     counts[k, WORD_BUCKETS:-1] += np.bincount(b, minlength=BEGIN_BUCKETS)
-            counts[:, -1] += [len(kinds), int((kinds == 1).sum()), int((kinds == 2).sum())]
+            counts[0, -1] += len(models)
+            counts[1:, -1] += np.bincount(models, minlength=5)[1:]
         at = np.flatnonzero(counts.ravel())
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts.ravel()[at])], names=["at", "n"])
 
     summed = rows.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    got = summed.toArrow()  # at most 3 * width rows, whatever the corpus
-    counts = np.zeros(3 * width, dtype=np.float64)
+    got = summed.toArrow()  # at most 5 * width rows, whatever the corpus
+    counts = np.zeros(5 * width, dtype=np.float64)
     counts[got["at"].to_numpy()] = got["n"].to_numpy()
-    return counts.reshape(3, width)
+    return counts.reshape(5, width)
 
 
-def ratios(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def ratios(raw: np.ndarray, good: np.ndarray, evil: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log ratio of target to raw for each word bucket, and of toxic to raw for each beginning."""
 
-    def ratio(target: np.ndarray, raw: np.ndarray, strength: float) -> np.ndarray:
-        if not target.sum() or not raw.sum():
-            return np.zeros(len(raw), dtype=np.float32)
-        expected = raw * (target.sum() / raw.sum())
+    def ratio(target: np.ndarray, expected: np.ndarray, strength: float) -> np.ndarray:
         return np.log((target + strength) / (expected + strength)).astype(np.float32)
 
-    quality = ratio(counts[1, :WORD_BUCKETS], counts[0, :WORD_BUCKETS], 2.0)
-    toxic = ratio(counts[2, WORD_BUCKETS:-1], counts[0, WORD_BUCKETS:-1], max(2.0, counts[2, -1] / 25))
-    return quality, np.where(toxic > TOXIC_RATIO, toxic, 0).astype(np.float32)
+    words, begins = slice(0, WORD_BUCKETS), slice(WORD_BUCKETS, -1)
+    quality = toxic = None
+    if good[-1] and raw[words].sum():
+        quality = ratio(good[words], raw[words] * (good[words].sum() / raw[words].sum()), 2.0)
+    if evil[-1]:
+        toxic = ratio(evil[begins], raw[begins] * (evil[-1] / raw[-1]), max(2.0, evil[-1] / 400))
+        toxic = np.where(toxic > TOXIC_RATIO, toxic, 0).astype(np.float32)
+    none = np.zeros(1, dtype=np.float32)
+    return np.resize(none, WORD_BUCKETS) if quality is None else quality, np.resize(none, BEGIN_BUCKETS) if toxic is None else toxic
 
 
 def score(df: DataFrame, text: str, quality: np.ndarray, toxic: np.ndarray) -> DataFrame:
@@ -153,11 +163,15 @@ def threshold(low: np.ndarray, high: np.ndarray, cost: tuple[float, float]) -> t
 def fit(documents: DataFrame, labels: DataFrame, most: int = LABELLED) -> dict:
     """Everything scoring needs: the ratio tables and the two thresholds."""
     sample = materialise(labelled_rows(labels, most), "labelled")
-    quality, toxic = ratios(model_counts(documents, sample))
-    held = documents.select("doc_id", "text").join(F.broadcast(sample.where("__half = 1")), F.col("doc_id") == F.col("__id")).select("text", "__class")
-    got = score(held, "text", quality, toxic).select("__class", *SCORES).toArrow()  # at most `most` rows
-    kind = got["__class"].to_numpy()
-    q, t = got[SCORES[1]].to_numpy(), got[SCORES[2]].to_numpy()
+    counts = model_counts(documents, sample)
+    kind, q, t = [], [], []
+    for half in (0, 1):
+        models = ratios(counts[0], counts[2 - half], counts[4 - half])
+        held = documents.select("doc_id", "text").join(F.broadcast(sample.where(F.col("__half") == half)), F.col("doc_id") == F.col("__id")).select("text", "__class")
+        got = score(held, "text", *models).select("__class", *SCORES).toArrow()  # at most `most` rows
+        kind, q, t = ([*x, *got[c].to_numpy()] for x, c in ((kind, "__class"), (q, SCORES[1]), (t, SCORES[2])))
+    kind, q, t = (np.array(x) for x in (kind, q, t))
+    quality, toxic = ratios(counts[0], counts[1] + counts[2], counts[3] + counts[4])
     return {"quality": quality, "toxic": toxic, "q": threshold(q[kind == 3], q[kind == 1], (1, CLEAN_COST)), "t": threshold(t[kind == 1], t[kind == 2], (CLEAN_COST, 1))}
 
 
