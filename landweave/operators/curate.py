@@ -82,16 +82,15 @@ def with_paths(df: DataFrame, thumb_prefix: str = "") -> DataFrame:
 
 def asset_manifest(df: DataFrame, old_id: str = "original_id", new_id: str = "id", dates: str = "{}_dates", sources: Sequence[str] = SOURCES) -> DataFrame:
     """src and dst of every file to copy: the step number goes, the id changes. Land-cover chips stay behind."""
-    parts = []
-    for s in sources:
-        steps = df.select(F.col(old_id), F.col(new_id), F.posexplode(F.split(F.col(dates.format(s)), ",")).alias("step", "day"))
-        for ext in ("tif", "png"):
-            parts.append(steps.select(names.step_name(F.lit(s), F.col(old_id), F.col("step"), F.col("day"), ext).alias("src"), F.concat(F.lit(f"{s}_"), names.id6(F.col(new_id)), F.lit("_"), F.col("day"), F.lit(f".{ext}")).alias("dst")))
-    parts.append(df.select(names.plain_name("dem", F.col(old_id)).alias("src"), names.plain_name("dem", F.col(new_id)).alias("dst")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    def files(source: str, ext: str) -> Column:
+        def renamed(day: Column, step: Column) -> Column:
+            src = names.step_name(F.lit(source), F.col(old_id), step, day, ext)
+            return F.struct(src.alias("src"), F.concat(F.lit(f"{source}_"), names.id6(F.col(new_id)), F.lit("_"), day, F.lit(f".{ext}")).alias("dst"))
+
+        return F.transform(F.split(F.col(dates.format(source)), ","), renamed)
+
+    dem = F.array(F.struct(names.plain_name("dem", F.col(old_id)).alias("src"), names.plain_name("dem", F.col(new_id)).alias("dst")))
+    return df.select(F.inline(F.concat(*[files(s, ext) for s in sources for ext in ("tif", "png")], dem)))
 
 
 def exclude_include(df: DataFrame, key: str, include: Sequence[int] | None, exclude: Sequence[int] | None) -> DataFrame:
