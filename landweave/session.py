@@ -39,9 +39,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of an Arrow batch; Spark's default would hold tens of megabytes of documents several times over.
+BATCH_ROWS = "1000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give this package's code to the executors, once for each Spark context."""
+    """Give this package's code to the executors, once for each Spark context, and keep Arrow batches small.
+
+    A batch size that the cluster's configuration sets is left as it is.
+    """
     context = spark.sparkContext
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not context.getConf().contains(batch):
+        spark.conf.set(batch, BATCH_ROWS)
     if getattr(context, "_landweave_shipped", False):
         return
     package = Path(__file__).resolve().parent
