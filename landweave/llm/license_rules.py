@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import ascii_lower
+from .tables import ASCII_UPPER, ascii_lower
 
 #: Separators between words, and the phrases that are always reported.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -251,3 +251,31 @@ def scan(df: DataFrame, text: str, id_col: str = "doc_id") -> DataFrame:
         F.greatest(weight, F.when(F.col("n_base") > 0, F.lit(0.9)).otherwise(F.lit(0.0))).alias("score"),
         F.transform("ordered", lambda d: F.struct(d["first_word"].alias("first_word"), (-d["minus_last"]).alias("last_word"), d["priority"].alias("priority"), d["label"].alias("label"))).alias("detections"),
     )
+
+
+def oracle() -> str:
+    """scan()'s columns but detections, in DuckDB: rules tried at every word, and suppression pair by pair."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    table = ", ".join(f"({p}, {quoted(k)}, {quoted(r)}, {quoted(label)})" for p, k, r, label in rules())
+    phrases = ", ".join(f"({quoted(p)}, {quoted(label)}, {len(p.split())})" for p, label in BASE_PHRASES.items())
+    weights = " ".join(f"WHEN {p} THEN {x}" for p, x in enumerate(WEIGHTS))
+    return rf"""
+WITH rules(p, k, r, label) AS (VALUES {table}), phrases(phrase, label, size) AS (VALUES {phrases}),
+d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_UPPER.lower()}'), '{SEPARATORS}'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT *, ' ' || array_to_string(ws, ' ') || ' ' AS w FROM d),
+bp AS (SELECT doc_id, ws, phrase, label, size, unnest(range(1, len(ws) + 1)) AS i FROM w JOIN phrases ON contains(w, ' ' || phrase || ' ')),
+b AS (SELECT doc_id, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list(DISTINCT label) AS base FROM bp
+  WHERE array_to_string(ws[i:i + size - 1], ' ') = phrase GROUP BY doc_id),
+dr AS (SELECT doc_id, ws, p, r, label FROM w JOIN rules ON contains(w, ' ' || k) WHERE regexp_matches(w, ' (?:' || r || ') ')),
+po AS (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM dr),
+s AS (SELECT doc_id, i, p, label, regexp_extract(array_to_string(ws[i:i + 47], ' ') || ' ', '^((?:' || r || ')) ', 1) AS m FROM po),
+h AS (SELECT doc_id, i AS a, i + len(string_split(m, ' ')) - 1 AS z, p, label FROM s WHERE m <> ''),
+kept AS (SELECT doc_id, list(DISTINCT label) AS labels, min(p) AS best FROM h x WHERE NOT EXISTS (
+  SELECT 1 FROM h o WHERE o.doc_id = x.doc_id AND o.a <= x.a AND o.z >= x.z
+    AND (o.p < x.p OR (o.p = x.p AND ((o.a, o.z) <> (x.a, x.z) OR o.label < x.label)))) GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(labels, [])))), ',') AS labels,
+  greatest(CASE best {weights} ELSE 0.0 END, CASE WHEN n_base > 0 THEN 0.9 ELSE 0.0 END)::DOUBLE AS score
+FROM w LEFT JOIN b USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
