@@ -13,11 +13,13 @@ first k+c of each, k being how many a set may lack.
 Equal sets are one class from the start, represented by its smallest id. Lists of one key longer than
 BLOCK are cut into blocks and all pairs of blocks are looked at, each in a task of its own; equal
 lists of several keys are looked at once. Inside a list the symmetric difference of two sets is
-bounded from below by the difference of their parity bitmaps. A list gives a minimum spanning
-forest over the pairs within that bound, not all pairs: what is linked through the forest needs no
-further link. The forest's edges are verified on the exact sets. Then every list with an edge that
-failed gives all pairs within the bound between the components found so far, and those are verified
-too: no pair within the bound lies between two trees of a list's forest, so no link is lost.
+bounded from below by the difference of their parity bitmaps. A list gives a spanning forest over
+the pairs within that bound, not all pairs: what is linked through the forest needs no further link.
+The forest's edges are verified on the exact sets. As the many lists of one large group of near copies
+would find the same links again, a first round looks at each id's longest list only, and the second
+round at all lists, but only at pairs between components found so far. Then every list with an edge
+that failed gives all pairs within the bound between components, and those are verified too: no pair
+within the bound lies between two trees of a list's forest, so no link is lost.
 
 Defined cases: a null text, or one without words, is the empty set and linked with nothing; a text
 of fewer words than a shingle is one shingle; rows with the same id are taken as one document
@@ -46,6 +48,8 @@ BITMAP_BITS, LARGE_BITS = 1024, 8192
 LARGE = 2000
 SUBSET = 2
 BLOCK = 1024
+#: Up to so many links are joined by one task in memory; beyond, by alternating stars over all executors.
+FEW_LINKS = 1 << 20
 #: Cost of reading one entry of an inverted list, when making one subset's key costs 1.
 SCAN_COST = 4.0
 _SALT = np.uint64(0xA0761D6478BD642F)
@@ -281,27 +285,35 @@ class Bitmaps:
         return fits, d / total
 
 
-def spanning_edges(bitmaps: Bitmaps, measure: Measure) -> list[tuple[int, int]]:
-    """Edges of a minimum spanning forest over the pairs whose difference may be small enough."""
-    size, edges = len(bitmaps.n), []
-    out = np.ones(size, dtype=bool)
-    best = np.full(size, np.inf)
-    parent = np.zeros(size, dtype=np.int64)
-    at = 0
-    for _ in range(size):
-        out[at] = False
-        fits, part = bitmaps.fitting(at, measure)
-        nearer = out & fits & (part < best)
-        best[nearer], parent[nearer] = part[nearer], at
-        rest = np.where(out, best, np.inf)
-        at = int(np.argmin(rest))
-        if not np.isfinite(rest[at]):
-            left = np.flatnonzero(out)
-            if not len(left):
-                break
-            at = int(left[0])
+def spanning_edges(bitmaps: Bitmaps, label: np.ndarray, measure: Measure) -> list[tuple[int, int]]:
+    """Edges that join the labels' components to a spanning forest over the pairs whose difference may be small enough.
+
+    Only ids outside the largest component are compared with the others, so a list that hangs
+    together already costs next to nothing.
+    """
+    size, edges = len(label), []
+    names, number, count = np.unique(label, return_inverse=True, return_counts=True)
+    inside = number == int(np.argmax(count))
+    best, parent = np.full(size, np.inf), np.zeros(size, dtype=np.int64)  # of ids outside: to the tree
+    rows: dict[int, np.ndarray] = {}
+    for x in np.flatnonzero(~inside).tolist():
+        fits, part = bitmaps.fitting(x, measure)
+        rows[x] = np.where(fits, part, np.inf).astype(np.float32)
+        near = np.where(inside, rows[x], np.inf)
+        parent[x] = int(np.argmin(near))
+        best[x] = near[parent[x]]
+    while rows:
+        x = int(np.argmin(np.where(inside, np.inf, best)))
+        if inside[x] or not np.isfinite(best[x]):
+            x = next(iter(rows))  # a new tree
         else:
-            edges.append((int(parent[at]), at))
+            edges.append((int(parent[x]), x))
+        # all of the component that x is in join the tree
+        for y in np.flatnonzero((number == number[x]) & ~inside).tolist():
+            inside[y] = True
+            row = rows.pop(y)
+            nearer = ~inside & (row < best)
+            best[nearer], parent[nearer] = row[nearer], y
     return edges
 
 
@@ -315,19 +327,19 @@ def crossing_edges(bitmaps: Bitmaps, label: np.ndarray, measure: Measure) -> lis
     return edges
 
 
-def candidate_edges(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, measure: Measure) -> DataFrame:
-    """list and pairs a < b that the lists give: a spanning forest each, or with labels all pairs between labels."""
+def candidate_edges(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, measure: Measure, all_pairs: bool = False) -> DataFrame:
+    """list and pairs a < b between different labels that the lists give: a spanning forest each, or all pairs."""
     members = lists.select("list", F.explode("ids").alias("id"))
     if labels is not None:
         members = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        mixed = members.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("list")
-        members = members.join(mixed, "list")
+        # lists that hang together already need no more; a list is of bounded length
+        whole = Window.partitionBy("list")
+        members = members.withColumns({"low": F.min("label").over(whole), "high": F.max("label").over(whole)}).where("low < high").drop("low", "high")
     else:
         members = members.withColumn("label", F.col("id"))
     rows = members.join(sets.select("id", "n", "bits"), "id").select("list", "id", "n", "label", "bits")
     # a list's rows stand together in one partition; several lists go through Python in one batch
     rows = rows.repartition("list").sortWithinPartitions("list", "id")
-    all_pairs = labels is not None
     id_type = sets.schema["id"].dataType
     schema = T.StructType([T.StructField("list", T.LongType()), T.StructField("a", id_type), T.StructField("b", id_type)])
 
@@ -357,8 +369,9 @@ def candidate_edges(lists: DataFrame, sets: DataFrame, labels: DataFrame | None,
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (where, a, b)], names=schema.names)
 
         for number, ids, n, label, words in groups(batches):
-            bitmaps = Bitmaps(n.astype(np.int64), words)
-            edges = crossing_edges(bitmaps, label, measure) if all_pairs else spanning_edges(bitmaps, measure)
+            ids, first = np.unique(ids, return_index=True)  # rows of the table may repeat
+            label, bitmaps = label[first], Bitmaps(n[first].astype(np.int64), words[first])
+            edges = crossing_edges(bitmaps, label, measure) if all_pairs else spanning_edges(bitmaps, label, measure)
             if edges:
                 pair = ids[np.array(edges)]
                 where.append(np.full(len(pair), number[0]))
@@ -385,9 +398,43 @@ def verified(edges: DataFrame, documents: DataFrame, id_col: str, text: str, mea
     return both.where(common * F.lit(measure.den) >= (total - common) * F.lit(measure.num)).select("a", "b").distinct()
 
 
+def joined_links(links: DataFrame) -> DataFrame:
+    """components() of a bounded number of links, by a disjoint-set forest in one task."""
+    kind = links.schema["a"].dataType
+    schema = T.StructType([T.StructField("id", kind), T.StructField("label", kind)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict = {}
+
+        def root(x):
+            while (p := parent.setdefault(x, x)) != x:
+                parent[x] = parent.setdefault(p, p)
+                x = parent[x]
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = root(a), root(b)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+        ids = list(parent)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, batch_type), pa.array([root(x) for x in ids], batch_type)], names=schema.names)
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    batch_type = to_arrow_type(kind)
+    return links.select("a", "b").coalesce(1).mapInArrow(run, schema)
+
+
 def components(links: DataFrame) -> DataFrame:
-    """id and label (the smallest id of its component) for every id in links (a, b), by alternating stars."""
+    """id and label (the smallest id of its component) for every id in links (a, b).
+
+    A counted number of links that is small goes through one task; any other through alternating stars,
+    whose rounds grow with the logarithm of the longest chain.
+    """
     now = materialise(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
+    if now.count() <= FEW_LINKS:
+        return joined_links(now)
 
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first())
@@ -418,15 +465,18 @@ def link_components(documents: DataFrame, id_col: str = "doc_id", text: str = "t
     same: list[Column] = [F.col("n"), F.col("s1"), F.col("s2")]
     classes = materialise(sets.where("n > 0").groupBy(*same).agg(F.min("id").alias("class")), "classes")
     heads = sets.join(classes.select(F.col("class").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    heads = materialise(heads, "heads")
     lists = materialise(inverted_lists(heads), "lists")
-    forest = materialise(candidate_edges(lists, heads, None, measure), "forest")
+    longest = lists.select("list", F.size("ids").alias("size"), F.explode("ids").alias("id")).groupBy("id").agg(F.max(F.struct("size", "list"))["list"].alias("list"))
+    early = candidate_edges(lists.join(longest.select("list").distinct(), "list", "left_semi"), sets, None, measure)
+    first_links = materialise(verified(materialise(early.select("a", "b").distinct(), "early"), documents, id_col, text, measure), "links")
+    labels = materialise(components(first_links), "labels")
+    forest = materialise(candidate_edges(lists, sets, labels, measure), "forest")
     tried = forest.select("a", "b").distinct()
     links = materialise(verified(tried, documents, id_col, text, measure), "links")
-    labels = materialise(components(links), "labels")
+    labels = materialise(components(links.unionByName(first_links)), "labels")
     # trees of one forest have no pair within the bound between them, so only a failed edge can leave one out
     failed = forest.join(links, ["a", "b"], "left_anti").select("list").distinct()
-    again = candidate_edges(lists.join(failed, "list", "left_semi"), heads, labels, measure)
+    again = candidate_edges(lists.join(failed, "list", "left_semi"), sets, labels, measure, all_pairs=True)
     crossing = again.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     more = materialise(verified(materialise(crossing, "crossing"), documents, id_col, text, measure), "links")
     if not more.isEmpty():
@@ -435,3 +485,19 @@ def link_components(documents: DataFrame, id_col: str = "doc_id", text: str = "t
     with_class = sets.join(classes, ["n", "s1", "s2"], "left")
     labelled = with_class.join(labels.select(F.col("id").alias("class"), "label"), "class", "left")
     return labelled.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "class", "id").alias("component_id"))
+
+
+#: The query's result in DuckDB: all pairs of documents with a common shingle, and a recursive closure.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.other)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""

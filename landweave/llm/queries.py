@@ -73,4 +73,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_spread": line_spread.ORACLE}
+    return {"op2_license_rules": license_rules.oracle(), "op3_line_spread": line_spread.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE}

@@ -160,13 +160,15 @@ def test_license_scan(spark):
 # 3
 
 
-def test_line_spread_matches_sql(spark, documents):
-    duckdb = pytest.importorskip("duckdb")
-    con = duckdb.connect()
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_queries_match_sql(spark, name):
+    con = pytest.importorskip("duckdb").connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    want = con.execute(oracle_sql()["op3_line_spread"]).fetchall()
-    got = queries()["op3_line_spread"](spark, SF).collect()
-    assert sorted(map(tuple, got)) == sorted(want)
+    want = con.execute(oracle_sql()[name])
+    got = queries()[name](spark, SF)
+    assert got.columns == [c[0] for c in want.description]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want.fetchall(), key=key)
 
 
 def test_near_threshold_lines_are_counted_exactly(spark):
@@ -300,6 +302,14 @@ def test_chunks_are_spliced_exactly(texts):
         assert token_counts.count_long(tok, t, 120, 34) == len(tok.encode(t, add_special_tokens=False).ids)
 
 
+def test_words_are_counted_as_whole_texts(texts):
+    tok = token_counts.tokenizer(vocabulary(BYTE_BPE))
+    parts = ["'re", "'", "<|endoftext|>", " ", "  ", " a", "abc", "\n", " \n", "12", "don't", "\xa0", "\u2003", "\u200b", "é", "\U0001f642", ".", "\t", "_", "Ⅷ", "½"]
+    rows = [*list(texts.values())[:100], *odd_texts(8, 3000, parts, 40)]
+    want = [len(e.ids) for e in tok.encode_batch_fast(rows, add_special_tokens=False)]
+    assert token_counts.WordCounts(tok).of(rows) == want
+
+
 # 7
 
 
@@ -444,7 +454,9 @@ def test_boundary_follows_the_cost():
     assert jaccard_join.boundary({5000: 10}, m) == 0
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("few", [0, 1 << 20])
+def test_components_of_chains_and_stars(spark, monkeypatch, few):
+    monkeypatch.setattr(jaccard_join, "FEW_LINKS", few)
     links = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     got = {r["id"]: r["label"] for r in jaccard_join.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(1, 41), 1), **dict.fromkeys(range(100, 140), 100)}
