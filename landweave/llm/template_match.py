@@ -3,9 +3,10 @@
 Numbers, names (capitalised words within a sentence) and units after numbers become typed
 placeholders. Windows of consecutive template words of the benchmark are hash-joined with all
 windows of the documents. A document and an item whose common windows cover enough of the item are
-looked at once more with the values in the slots: each value of the item must stand for one value of
-the document wherever it occurs. Such a pair is a leak; where the values differ it is a
-re-parameterised one.
+looked at once more with the values in the slots, for each place of the document where the item's
+windows follow one another: each value of the item must stand for one value of the place wherever
+it occurs. Where no place covers enough alone, places whose values agree are taken together. A pair
+with such a place is a leak; where the values of the best one differ it is a re-parameterised one.
 
 Defined cases: null and empty texts match nothing; an item of fewer than MIN_WORDS template words
 matches nothing; one of fewer than the window's words is matched as a whole; windows with less than
@@ -75,32 +76,59 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
     found = texts.select("doc_id", F.inline(hashes))
     small = sum(r["count"] for r in counted) <= BROADCAST_WINDOWS
     hits = found.join(F.broadcast(items) if small else items, "h")
-    each = hits.groupBy("doc_id", "item_id", "item_pos").agg(F.first("n_windows").alias("n_windows"), F.first("size").alias("size"), F.min("pos").alias("pos"))
-    pairs = each.groupBy("doc_id", "item_id").agg(
-        F.first("n_windows").alias("n_windows"), F.first("size").alias("size"), F.count("*").alias("n_matched"), F.collect_list(F.struct("item_pos", "pos")).alias("at")
+    # a place of the item in the document is where pos - item_pos is the same; units are these places' windows
+    units = hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+        F.first("n_windows").alias("n_windows"), F.first("size").alias("size"), F.array_sort(F.collect_set("item_pos")).alias("places")
     )
-    near = materialise(pairs.where(F.col("n_matched") >= F.lit(coverage) * F.col("n_windows")), "template-pairs")
+    pairs = units.groupBy("doc_id", "item_id").agg(
+        F.first("n_windows").alias("n_windows"), F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("shift", "places"))).alias("units")
+    )
+    enough = F.lit(coverage) * F.col("n_windows")
+    near = materialise(pairs.where(F.size(F.array_distinct(F.flatten("units.places"))) >= enough), "template-pairs")
 
     doc_slots = documents.join(near.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", template_words(F.col("text"), values=True).alias("doc_words"))
     item_slots = benchmark.select("item_id", template_words(F.col("text"), values=True).alias("item_words"))
     both = near.join(doc_slots, "doc_id").join(item_slots, "item_id")
 
-    def filled(where: Column) -> Column:
+    def filled(item_pos: Column, pos: Column) -> Column:
         places = F.sequence(F.lit(0), F.col("size") - 1)
-        pair = F.transform(places, lambda k: F.struct(F.get("item_words", where["item_pos"] + k).alias("a"), F.get("doc_words", where["pos"] + k).alias("b")))
+        pair = F.transform(places, lambda k: F.struct(F.get("item_words", item_pos + k).alias("a"), F.get("doc_words", pos + k).alias("b")))
         return F.filter(pair, lambda x: F.startswith(x["a"], F.lit(SLOT)))
 
-    slots = F.array_distinct(F.flatten(F.transform("at", filled)))
-    checked = both.withColumn("slots", slots)
-    single = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda x: x["a"])))
-    return checked.where(single).select(
+    def slots_of(at: Column) -> Column:
+        return F.array_distinct(F.flatten(F.transform(at, lambda x: filled(x["item_pos"], x["pos"]))))
+
+    def single(slots: Column) -> Column:
+        return F.size(slots) == F.size(F.array_distinct(F.transform(slots, lambda x: x["a"])))
+
+    # the first place of each window, wherever it is, is one more candidate
+    at = F.flatten(F.transform("units", lambda u: F.transform(u["places"], lambda i: F.struct(i.alias("item_pos"), (u["shift"] + i).alias("pos")))))
+    first = F.transform(F.array_distinct(F.transform(at, lambda x: x["item_pos"])), lambda i: F.struct(i.alias("item_pos"), F.array_min(F.transform(F.filter(at, lambda x: x["item_pos"] == i), lambda x: x["pos"])).alias("pos")))
+    by_place = F.transform("units", lambda u: F.struct(u["places"].alias("places"), slots_of(F.transform(u["places"], lambda i: F.struct(i.alias("item_pos"), (u["shift"] + i).alias("pos")))).alias("slots")))
+    scattered = F.struct(F.array_sort(F.transform("first", lambda x: x["item_pos"])).alias("places"), slots_of(F.col("first")).alias("slots"))
+    # places with the same windows and values are one
+    filled_in = both.withColumn("first", first).withColumn("by_place", F.filter(F.array_distinct(by_place), lambda u: single(u["slots"])))
+    passes = lambda u: F.size(u["places"]) >= enough
+
+    def join(state: Column, u: Column) -> Column:
+        more = F.array_union(state["slots"], u["slots"])
+        return F.when(single(more), F.struct(F.array_union(state["places"], u["places"]).alias("places"), more.alias("slots"))).otherwise(state)
+
+    # where no place is enough alone, each takes in the others that agree with it, the largest first
+    largest = F.transform(F.array_sort(F.transform("by_place", lambda u: F.struct((-F.size(u["places"])).alias("less"), u["places"].alias("places"), u["slots"].alias("slots")))), lambda u: F.struct(u["places"].alias("places"), u["slots"].alias("slots")))
+    alone = filled_in.withColumn("alone", F.filter("by_place", passes)).withColumn("largest", F.when(F.size("alone") == 0, largest))
+    joined = F.transform("largest", lambda u: F.aggregate("largest", u, join))
+    tried = alone.withColumn("found", F.when(F.size("alone") > 0, F.col("alone")).otherwise(F.filter(F.concat(joined, F.filter(F.array(scattered), lambda u: single(u["slots"]))), passes)))
+    result = F.transform("found", lambda u: F.struct(F.size(u["places"]).alias("n_matched"), (~F.exists(u["slots"], lambda x: x["a"] != x["b"])).alias("same"), F.size(u["slots"]).alias("n_slots")))
+    best = tried.where(F.size("found") > 0).withColumn("best", F.array_max(result))
+    return best.select(
         "doc_id",
         "item_id",
         F.col("n_windows").cast("long").alias("n_windows"),
-        F.col("n_matched").cast("long").alias("n_matched"),
-        (F.col("n_matched") / F.col("n_windows")).alias("coverage"),
-        F.size("slots").cast("long").alias("n_slots"),
-        F.exists("slots", lambda x: x["a"] != x["b"]).alias("reparameterised"),
+        F.col("best.n_matched").cast("long").alias("n_matched"),
+        (F.col("best.n_matched") / F.col("n_windows")).alias("coverage"),
+        F.col("best.n_slots").cast("long").alias("n_slots"),
+        (~F.col("best.same")).alias("reparameterised"),
     )
 
 

@@ -324,6 +324,17 @@ def test_leaks_by_template(spark):
     assert got[2]["reparameterised"] and 3 not in got and 4 not in got
 
 
+def test_a_variant_before_the_item_hides_no_leak(spark):
+    item = "a trader sells 12 red apples to Anna Holm and then sells 30 green pears to Peter for the winter market"
+    variant = "a trader sells 99 red apples to Carla Berg and then sells 44 green pears"
+    gap = item.replace("and then", "and only then")
+    docs = [(1, f"{variant} there. {item} at last."), (2, f"{item} first. {variant} there."), (3, f"{variant} there. {gap} at last."), (4, item.replace("12", "12 12"))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in template_match.leaks(df, spark.createDataFrame([(9, item)], "item_id long, text string")).collect()}
+    assert got[1]["coverage"] == got[2]["coverage"] == 1.0 and not got[1]["reparameterised"] and not got[2]["reparameterised"]
+    assert 3 in got and 4 in got
+
+
 def test_leaks_match_whole_passages(spark, documents, texts):
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     norm = {i: " ".join(PLAIN_WORDS.findall(t.lower())) for i, t in texts.items()}
