@@ -9,8 +9,9 @@ it occurs. Where no place covers enough alone, places whose values agree are tak
 with such a place is a leak; where the values of the best one differ it is a re-parameterised one.
 
 Defined cases: null and empty texts match nothing; an item of fewer than MIN_WORDS template words
-matches nothing; one of fewer than the window's words is matched as a whole; windows with less than
-half lexical words are left out. Repeated items and documents each give their own rows. The join is
+matches nothing; one of fewer than the window's words is matched as a whole; a window with less than
+half lexical words is matched with its values only; an item whose other windows touch enough of its
+words also leaks where enough of those are found. Repeated items and documents each give their own rows. The join is
 a broadcast one only while the counted benchmark windows stay below BROADCAST_WINDOWS.
 """
 
@@ -46,7 +47,7 @@ def template_words(text: Column, values: bool) -> Column:
 
 
 def _hashes(words: Column, size: int) -> Column:
-    """Hash of each window of size words, in order; null where under half of it is lexical."""
+    """Hash of each window of size words, in order."""
     count = F.size(words) - size + 1
     some = F.transform(
         F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
@@ -55,36 +56,72 @@ def _hashes(words: Column, size: int) -> Column:
     return F.when(count > 0, some).otherwise(F.array().cast("array<bigint>"))
 
 
-def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
-    items = benchmark.select("item_id", template_words(F.col("text"), values=False).alias("words"))
+def item_windows(benchmark: DataFrame, window: int, coverage: float = COVERAGE) -> DataFrame:
+    """The items' windows: by template h where half of the words are lexical, else by values too (value_h).
+
+    n_windows counts all windows; n_lexical those by template, null where they touch less of the
+    item's words than coverage.
+    """
+    words = lambda values: template_words(F.col("text"), values=values)
+    items = benchmark.select("item_id", words(False).alias("words"), words(True).alias("value_words"))
     items = items.withColumn("size", F.least(F.size("words"), F.lit(window))).where(F.col("size") >= MIN_WORDS)
-    at = items.select("item_id", "words", "size", (F.size("words") - F.col("size") + 1).alias("n_windows"), F.explode(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)).alias("i"))
-    part = F.slice("words", F.col("i"), F.col("size"))
-    lexical = F.size(F.filter(part, lambda w: ~F.startswith(w, F.lit(SLOT))))
-    return at.where(lexical * 2 >= F.col("size")).select(
-        "item_id", "n_windows", "size", (F.col("i") - 1).alias("item_pos"), F.xxhash64("size", part).alias("h")
-    )
+    items = items.withColumn("n_windows", F.size("words") - F.col("size") + 1)
+
+    def lexical(i: Column) -> Column:
+        part = F.slice("words", i, F.col("size"))
+        return F.size(F.filter(part, lambda w: ~F.startswith(w, F.lit(SLOT)))) * 2 >= F.col("size")
+
+    items = items.withColumn("lexical", F.filter(F.sequence(F.lit(1), F.col("n_windows")), lexical))
+    touched = F.size(F.array_distinct(F.flatten(F.transform("lexical", lambda i: F.sequence(i, i + F.col("size") - 1)))))
+    items = items.withColumn("n_lexical", F.when((F.size("lexical") > 0) & (touched >= F.lit(coverage) * F.size("words")), F.size("lexical")))
+    at = items.select("*", F.explode(F.sequence(F.lit(1), F.col("n_windows"))).alias("i"))
+    return at.select(
+        "item_id", "n_windows", "n_lexical", "size", (F.col("i") - 1).alias("item_pos"),
+        F.xxhash64("size", F.slice("words", F.col("i"), F.col("size"))).alias("h"),
+        F.when(~F.array_contains("lexical", F.col("i")), F.xxhash64("size", F.slice("value_words", F.col("i"), F.col("size")))).alias("value_h"),
+    )
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """One row per leaked pair: doc_id, item_id, n_windows, n_matched, coverage, n_slots, reparameterised."""
-    items = materialise(item_windows(benchmark, window), "item-windows")
-    counted = items.groupBy("size").count().collect()  # at most window - MIN_WORDS + 1 rows
+    items = materialise(item_windows(benchmark, window, coverage), "item-windows")
+    counted = items.groupBy("size").agg(F.count("*").alias("count"), F.count("value_h").alias("by_value")).collect()  # at most window - MIN_WORDS + 1 rows
     sizes = sorted({r["size"] for r in counted} | {window})
-    texts = documents.select("doc_id", template_words(F.col("text"), values=False).alias("words"))
-    hashes = F.concat(*[F.transform(_hashes(F.col("words"), s), lambda h, i: F.struct(i.alias("pos"), h.alias("h"))) for s in sizes])
-    found = texts.select("doc_id", F.inline(hashes))
     small = sum(r["count"] for r in counted) <= BROADCAST_WINDOWS
-    hits = found.join(F.broadcast(items) if small else items, "h")
+
+    def windows(values: bool, of: DataFrame, sizes: list[int]) -> DataFrame:
+        texts = of.select("doc_id", template_words(F.col("text"), values=values).alias("words"))
+        hashes = F.concat(*[F.transform(_hashes(F.col("words"), s), lambda h, i: F.struct(i.alias("pos"), h.alias("h"))) for s in sizes])
+        return texts.select("doc_id", F.inline(hashes))
+
+    def meet(found: DataFrame, of: DataFrame) -> DataFrame:
+        return found.join(F.broadcast(of) if small else of, "h")
+
+    hit = ["doc_id", "item_id", "n_windows", "n_lexical", "size", "item_pos", "pos"]
+    by_value = [r["size"] for r in counted if r["by_value"]]
+    if by_value:
+        # a template without enough lexical words only tells which documents to read with their values
+        dense = items.where(F.col("value_h").isNotNull()).select("h").distinct().withColumn("item_id", F.lit(None).cast(items.schema["item_id"].dataType))
+        templates = items.where(F.col("value_h").isNull()).select("item_id", "n_windows", "n_lexical", "size", "item_pos", "h", F.lit(False).alias("dense"))
+        both_kinds = templates.unionByName(dense.withColumn("dense", F.lit(True)), allowMissingColumns=True)
+        met = meet(windows(False, documents, sizes), both_kinds)
+        some = materialise(met.withColumn("pos", F.when(~F.col("dense"), F.col("pos"))).select(*hit, "dense").distinct(), "template-hits")
+        readers = documents.join(some.where("dense").select("doc_id").distinct(), "doc_id", "left_semi")
+        valued = items.where(F.col("value_h").isNotNull()).select("item_id", "n_windows", "n_lexical", "size", "item_pos", F.col("value_h").alias("h"))
+        hits = some.where(~F.col("dense")).select(*hit, F.lit(False).alias("valued")).union(meet(windows(True, readers, sorted(by_value)), valued).select(*hit, F.lit(True)))
+    else:
+        hits = meet(windows(False, documents, sizes), items).select(*hit, F.lit(False).alias("valued"))
     # a place of the item in the document is where pos - item_pos is the same; units are these places' windows
     units = hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
-        F.first("n_windows").alias("n_windows"), F.first("size").alias("size"), F.array_sort(F.collect_set("item_pos")).alias("places")
+        *[F.first(c).alias(c) for c in ("n_windows", "n_lexical", "size")], F.array_sort(F.collect_set(F.struct("item_pos", "valued"))).alias("places")
     )
     pairs = units.groupBy("doc_id", "item_id").agg(
-        F.first("n_windows").alias("n_windows"), F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("shift", "places"))).alias("units")
+        *[F.first(c).alias(c) for c in ("n_windows", "n_lexical", "size")], F.array_sort(F.collect_list(F.struct("shift", "places"))).alias("units")
     )
-    enough = F.lit(coverage) * F.col("n_windows")
-    near = materialise(pairs.where(F.size(F.array_distinct(F.flatten("units.places"))) >= enough), "template-pairs")
+    by_template = lambda places: F.size(F.filter(places, lambda x: ~x["valued"]))
+    of_all = lambda places: F.size(places) >= F.lit(coverage) * F.col("n_windows")
+    enough = lambda places: of_all(places) | F.coalesce(by_template(places) >= F.lit(coverage) * F.col("n_lexical"), F.lit(False))
+    near = materialise(pairs.where(enough(F.array_distinct(F.flatten("units.places")))), "template-pairs")
 
     doc_slots = documents.join(near.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", template_words(F.col("text"), values=True).alias("doc_words"))
     item_slots = benchmark.select("item_id", template_words(F.col("text"), values=True).alias("item_words"))
@@ -102,13 +139,13 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
         return F.size(slots) == F.size(F.array_distinct(F.transform(slots, lambda x: x["a"])))
 
     # the first place of each window, wherever it is, is one more candidate
-    at = F.flatten(F.transform("units", lambda u: F.transform(u["places"], lambda i: F.struct(i.alias("item_pos"), (u["shift"] + i).alias("pos")))))
-    first = F.transform(F.array_distinct(F.transform(at, lambda x: x["item_pos"])), lambda i: F.struct(i.alias("item_pos"), F.array_min(F.transform(F.filter(at, lambda x: x["item_pos"] == i), lambda x: x["pos"])).alias("pos")))
-    by_place = F.transform("units", lambda u: F.struct(u["places"].alias("places"), slots_of(F.transform(u["places"], lambda i: F.struct(i.alias("item_pos"), (u["shift"] + i).alias("pos")))).alias("slots")))
-    scattered = F.struct(F.array_sort(F.transform("first", lambda x: x["item_pos"])).alias("places"), slots_of(F.col("first")).alias("slots"))
+    at = F.flatten(F.transform("units", lambda u: F.transform(u["places"], lambda x: F.struct(x.alias("place"), x["item_pos"].alias("item_pos"), (u["shift"] + x["item_pos"]).alias("pos")))))
+    first = F.transform(F.array_distinct(F.transform(at, lambda x: x["place"])), lambda i: F.struct(i.alias("place"), i["item_pos"].alias("item_pos"), F.array_min(F.transform(F.filter(at, lambda x: x["place"] == i), lambda x: x["pos"])).alias("pos")))
+    by_place = F.transform("units", lambda u: F.struct(u["places"].alias("places"), slots_of(F.transform(u["places"], lambda x: F.struct(x.alias("place"), x["item_pos"].alias("item_pos"), (u["shift"] + x["item_pos"]).alias("pos")))).alias("slots")))
+    scattered = F.struct(F.array_sort(F.transform("first", lambda x: x["place"])).alias("places"), slots_of(F.col("first")).alias("slots"))
     # places with the same windows and values are one
     filled_in = both.withColumn("first", first).withColumn("by_place", F.filter(F.array_distinct(by_place), lambda u: single(u["slots"])))
-    passes = lambda u: F.size(u["places"]) >= enough
+    passes = lambda u: enough(u["places"])
 
     def join(state: Column, u: Column) -> Column:
         more = F.array_union(state["slots"], u["slots"])
@@ -119,14 +156,23 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
     alone = filled_in.withColumn("alone", F.filter("by_place", passes)).withColumn("largest", F.when(F.size("alone") == 0, largest))
     joined = F.transform("largest", lambda u: F.aggregate("largest", u, join))
     tried = alone.withColumn("found", F.when(F.size("alone") > 0, F.col("alone")).otherwise(F.filter(F.concat(joined, F.filter(F.array(scattered), lambda u: single(u["slots"]))), passes)))
-    result = F.transform("found", lambda u: F.struct(F.size(u["places"]).alias("n_matched"), (~F.exists(u["slots"], lambda x: x["a"] != x["b"])).alias("same"), F.size(u["slots"]).alias("n_slots")))
+    whole = lambda u: of_all(u["places"])
+    result = F.transform(
+        "found",
+        lambda u: F.struct(
+            F.when(whole(u), F.size(u["places"])).otherwise(by_template(u["places"])).alias("n_matched"),
+            (~F.exists(u["slots"], lambda x: x["a"] != x["b"])).alias("same"),
+            F.size(u["slots"]).alias("n_slots"),
+            F.when(whole(u), F.col("n_windows")).otherwise(F.col("n_lexical")).alias("n_windows"),
+        ),
+    )
     best = tried.where(F.size("found") > 0).withColumn("best", F.array_max(result))
     return best.select(
         "doc_id",
         "item_id",
-        F.col("n_windows").cast("long").alias("n_windows"),
+        F.col("best.n_windows").cast("long").alias("n_windows"),
         F.col("best.n_matched").cast("long").alias("n_matched"),
-        (F.col("best.n_matched") / F.col("n_windows")).alias("coverage"),
+        (F.col("best.n_matched") / F.col("best.n_windows")).alias("coverage"),
         F.col("best.n_slots").cast("long").alias("n_slots"),
         (~F.col("best.same")).alias("reparameterised"),
     )

@@ -335,6 +335,16 @@ def test_a_variant_before_the_item_hides_no_leak(spark):
     assert 3 in got and 4 in got
 
 
+def test_items_dense_in_numbers_leak_by_their_values(spark):
+    items = ["What is 12 + 30 * 45 - 61 / 7 + 9 - 14 + 3 + 8?", "Table 1 2 3 4 rows 5 6 7 8 sum 36 37", "52 30 45 61 7 9 14 3", "the red fox and the grey cat ran to 1 2 3 4 5 6 7 8 9 10 11 12"]
+    other = ["What is 13 + 31 * 46 - 62 / 8 + 10 - 15 + 4 + 9?", "13 31 46 62 8 10 15 4"]
+    half = items[3].replace(" 7 8 9 10 11 12", " 70 80 90 100 110 120")
+    df = spark.createDataFrame([(k, f"Some words. {t} More words.") for k, t in enumerate([*items, *other, half])], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in template_match.leaks(df, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 3), (6, 3)}
+    assert all(got[k, k]["coverage"] == 1.0 and not got[k, k]["reparameterised"] for k in range(4))
+
+
 def test_leaks_match_whole_passages(spark, documents, texts):
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     norm = {i: " ".join(PLAIN_WORDS.findall(t.lower())) for i, t in texts.items()}
