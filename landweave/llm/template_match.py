@@ -11,7 +11,8 @@ with such a place is a leak; where the values of the best one differ it is a re-
 Defined cases: null and empty texts match nothing; an item of fewer than MIN_WORDS template words
 matches nothing; one of fewer than the window's words is matched as a whole; a window with less than
 half lexical words is matched with its values only; an item whose other windows touch enough of its
-words also leaks where enough of those are found. Repeated items and documents each give their own rows. The join is
+words also leaks where enough of those are found; an item's first word is looked for as a word and as
+the name or unit that the text before it would make of it. Repeated items and documents each give their own rows. The join is
 a broadcast one only while the counted benchmark windows stay below BROADCAST_WINDOWS.
 """
 
@@ -63,7 +64,7 @@ def item_windows(benchmark: DataFrame, window: int, coverage: float = COVERAGE)
     item's words than coverage.
     """
     words = lambda values: template_words(F.col("text"), values=values)
-    items = benchmark.select("item_id", words(False).alias("words"), words(True).alias("value_words"))
+    items = benchmark.select("item_id", "text", words(False).alias("words"), words(True).alias("value_words"))
     items = items.withColumn("size", F.least(F.size("words"), F.lit(window))).where(F.col("size") >= MIN_WORDS)
     items = items.withColumn("n_windows", F.size("words") - F.col("size") + 1)
 
@@ -74,11 +75,24 @@ def item_windows(benchmark: DataFrame, window: int, coverage: float = COVERAGE)
     items = items.withColumn("lexical", F.filter(F.sequence(F.lit(1), F.col("n_windows")), lexical))
     touched = F.size(F.array_distinct(F.flatten(F.transform("lexical", lambda i: F.sequence(i, i + F.col("size") - 1)))))
     items = items.withColumn("n_lexical", F.when((F.size("lexical") > 0) & (touched >= F.lit(coverage) * F.size("words")), F.size("lexical")))
-    at = items.select("*", F.explode(F.sequence(F.lit(1), F.col("n_windows"))).alias("i"))
+    # what stands before the item in a document can make a name or a unit of its first word
+    word = F.get("words", F.lit(0))
+    kinds = F.when(F.rlike(word, F.lit("^[a-z]+$")), F.concat(
+        F.when(F.rlike(F.col("text"), F.lit("^[^A-Za-z0-9\x80-\\x{10FFFF}]*[A-Z][a-z]")), F.array(F.lit(""), F.lit("m"))).otherwise(F.array(F.lit(""))),
+        F.when(F.rlike(word, F.lit(f"^(?:{UNITS})$")), F.array(F.lit("u"))).otherwise(F.array().cast("array<string>")),
+    )).otherwise(F.array(F.lit("")))
+    at = items.select("*", kinds.alias("kinds"), F.explode(F.sequence(F.lit(1), F.col("n_windows"))).alias("i"))
+    at = at.withColumn("kind", F.explode(F.when(F.col("i") == 1, F.col("kinds")).otherwise(F.array(F.lit("")))))
+
+    def hashed(words: str, first: Column) -> Column:
+        part = F.slice(words, F.col("i"), F.col("size"))
+        return F.xxhash64("size", F.when(F.col("kind") == "", part).otherwise(F.concat(F.array(first), F.slice(part, 2, F.col("size") - 1))))
+
+    slot = F.concat(F.lit(SLOT), F.col("kind"))
     return at.select(
         "item_id", "n_windows", "n_lexical", "size", (F.col("i") - 1).alias("item_pos"),
-        F.xxhash64("size", F.slice("words", F.col("i"), F.col("size"))).alias("h"),
-        F.when(~F.array_contains("lexical", F.col("i")), F.xxhash64("size", F.slice("value_words", F.col("i"), F.col("size")))).alias("value_h"),
+        hashed("words", slot).alias("h"),
+        F.when(~F.array_contains("lexical", F.col("i")), hashed("value_words", F.concat(slot, F.get("value_words", F.lit(0))))).alias("value_h"),
     )
 
 
@@ -130,7 +144,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
     def filled(item_pos: Column, pos: Column) -> Column:
         places = F.sequence(F.lit(0), F.col("size") - 1)
         pair = F.transform(places, lambda k: F.struct(F.get("item_words", item_pos + k).alias("a"), F.get("doc_words", pos + k).alias("b")))
-        return F.filter(pair, lambda x: F.startswith(x["a"], F.lit(SLOT)))
+        # the item's first word is of the kind it has in the document
+        like = F.transform(pair, lambda x: F.struct(F.when(F.startswith(x["b"], F.lit(SLOT)) & ~F.startswith(x["a"], F.lit(SLOT)), F.concat(F.substring(x["b"], 1, 2), x["a"])).otherwise(x["a"]).alias("a"), x["b"]))
+        return F.filter(like, lambda x: F.startswith(x["a"], F.lit(SLOT)))
 
     def slots_of(at: Column) -> Column:
         return F.array_distinct(F.flatten(F.transform(at, lambda x: filled(x["item_pos"], x["pos"]))))

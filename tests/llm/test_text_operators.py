@@ -345,6 +345,15 @@ def test_items_dense_in_numbers_leak_by_their_values(spark):
     assert all(got[k, k]["coverage"] == 1.0 and not got[k, k]["reparameterised"] for k in range(4))
 
 
+def test_short_items_leak_wherever_they_stand(spark):
+    items = ["Who wrote the famous play about Hamlet", "Miles are longer than most people think", "Name 1 2 3 4 5 6"]
+    before = ["", "Quiz. ", "so we ask ", "see, ", "of 12 ", "of 12. "]
+    df = spark.createDataFrame([(10 * i + k, f"{b}{t} and more.") for i, t in enumerate(items) for k, b in enumerate(before)] + [(90, "of 12 miles are longer than most people think"), (91, "so we ask Maria wrote the famous play about Hamlet")], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["reparameterised"] for r in template_match.leaks(df, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    want = {(10 * i + k, i): False for i in range(3) for k in range(6)} | {(90, 1): False, (91, 0): True}
+    assert got == want
+
+
 def test_leaks_match_whole_passages(spark, documents, texts):
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     norm = {i: " ".join(PLAIN_WORDS.findall(t.lower())) for i, t in texts.items()}
