@@ -1,7 +1,7 @@
 """License scan by ordered signature rules, as column expressions only.
 
 The text is reduced to its words (ASCII separators, A-Z lower-cased) joined by single spaces. Each
-rule is a regex over these words with a keyword; one keyword regex decides whether a text is looked
+rule is a regex over these words with a keyword that every match of it has at a word's start; one keyword regex decides whether a text is looked
 at further, and only rules whose keyword is in it run. A rule marks its matches in the word string,
 so the marked words' numbers are its spans. Spans of all rules are then put in order, and one that
 lies inside a span of the same or a higher priority is dropped; the labels of the rest are reported.
@@ -33,7 +33,8 @@ NAMES = [
     ("bsd-2", "bsd", r"(?:simplified|2 clause|two clause|freebsd) bsd(?: licen[cs]e)?|bsd (?:2|two) clause(?: licen[cs]e)?", "bsd 2 clause"),
     ("bsd-3", "bsd", r"(?:new|modified|revised|3 clause|three clause) bsd(?: licen[cs]e)?|bsd (?:3|three) clause(?: licen[cs]e)?", "bsd 3 clause"),
     ("bsd-4", "bsd", r"(?:original|4 clause|four clause) bsd(?: licen[cs]e)?|bsd (?:4|four) clause(?: licen[cs]e)?", "bsd 4 clause"),
-    ("bsd-0", "bsd", r"zero clause bsd(?: licen[cs]e)?|0bsd", "0bsd"),
+    ("bsd-0", "bsd", r"zero clause bsd(?: licen[cs]e)?", ""),
+    ("bsd-0", "0bsd", r"0bsd", "0bsd"),
     ("bsd", "bsd", r"bsd (?:style )?licen[cs]e", ""),
     ("isc", "isc", r"isc licen[cs]e", "isc"),
     ("zlib", "zlib", r"zlib(?: libpng)? licen[cs]e", "zlib"),
@@ -162,7 +163,7 @@ def rules() -> list[tuple[int, str, str, str]]:
     for label, keyword, name, spdx in NAMES:
         if spdx:
             out.append((0, "spdx", rf"spdx licen[cs]e identifier (?:{spdx})", label))
-            out.append((0, "license", rf"licen[cs]e (?:id |identifier )?(?:{spdx})", label))
+            out.append((0, "licen", rf"licen[cs]e (?:id |identifier )?(?:{spdx})", label))
     out += [(1, keyword, regex, label) for label, keyword, regex in TEXTS]
     for label, keyword, name, _ in NAMES:
         out.append((2, keyword, rf"{_GRANT}(?:{name})", label))

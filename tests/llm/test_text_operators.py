@@ -157,6 +157,42 @@ def test_license_scan(spark):
     assert len(license_rules.rules()) > 200
 
 
+def written(tree):
+    """Texts that a rule's parsed regex matches: each alternative and each option of it taken once."""
+    out = [""]
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(arg)]
+        elif name == "IN":
+            more = [chr(x[1] if str(x[0]) == "LITERAL" else x[1][0]) for x in arg]
+        elif name == "SUBPATTERN":
+            more = written(arg[3])
+        elif name == "BRANCH":
+            more = [x for part in arg[1] for x in written(part)]
+        else:
+            assert name == "MAX_REPEAT" and arg[1] == 1
+            more = ["", *written(arg[2])]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_license_gate_loses_no_match(spark):
+    rules = license_rules.rules()
+    for p, keyword, regex, _ in rules:
+        if p != 2:  # grants end with a name, which has the same keyword
+            assert all(f" {keyword}" in f" {x}" for x in written(re._parser.parse(regex))), regex
+    rows = ["Licence: MIT", "Licence: GPL-3.0", "licence id apache-2.0", "0BSD", "this is 0BSD code", "licensed under 0bsd", "Zero clause BSD", "nothing"]
+    want = []
+    for text in rows:
+        norm = " " + " ".join(PLAIN_WORDS.findall(text.translate(LOW))) + " "
+        want.append({label for _, _, regex, label in rules if re.search(f"(?<= )(?:{regex})(?= )", norm)})
+    assert want[0] == {"mit"} and {"bsd-0"} == want[3] == want[4]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    for r in license_rules.scan(df, "text").collect():
+        assert {d["label"] for d in r["detections"]} == want[r["doc_id"]] and (r["labels"] != "") == bool(want[r["doc_id"]])
+
+
 # 3
 
 
