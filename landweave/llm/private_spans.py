@@ -2,9 +2,10 @@
 
 The network is trained on windows around the spans of a bounded sample of texts, and on labelled
 windows made from these texts by writing addresses and numbers of other layouts into them. Every
-place that could be in a span (a digit or an at-sign) lies in a window; windows overlap. The
-spans of all windows of a text are reconciled at once: a span cut by its window's edge is left to
-the neighbour, and of overlapping ones the set with the greatest sum of certainty stays. An added
+place that could be in a span (a digit, an at-sign, or one of (at), [at], (dot) and [dot]) lies in a
+window; windows overlap, and an address too long for them (up to LOCAL characters of name and HOST
+of host) has a window of its own. The spans of all windows of a text are reconciled at once: a span
+cut by its window's edge is left to the neighbour, and of overlapping ones the set with the greatest sum of certainty stays. An added
 span has to pass the checks of its kind and must not touch a pattern's span.
 
 Defined cases: null and empty texts have no spans; offsets are code points; rows are independent, so
@@ -38,8 +39,13 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@]")
+TRIGGER = r"[0-9@]|[(\[](?:at|dot)[)\]]"
+_TRIGGER = re.compile(TRIGGER)
 _DIGITS = re.compile(r"[0-9]")
+#: Where an added address can reach: at most LOCAL characters of its name and HOST of its host stand around the sign.
+LOCAL, HOST = 64, 512
+_SIGN = re.compile(r"@|\(at\)|\[at\]")
+_HOST = re.compile(r" ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]++)*+")
 
 
 def luhn(digits: str) -> bool:
@@ -87,7 +93,10 @@ def plausible(kind: int, s: str) -> bool:
 
 
 def windows_of(text: str) -> list[tuple[int, int]]:
-    """Overlapping windows over all places near a trigger, each of at most WINDOW code points."""
+    """Overlapping windows over all places near a trigger, each of at most WINDOW code points.
+
+    An address that no window holds with a margin gets one of its own, as wide as it is.
+    """
     areas: list[list[int]] = []
     for m in _TRIGGER.finditer(text):
         first, last = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
@@ -101,6 +110,20 @@ def windows_of(text: str) -> list[tuple[int, int]]:
             out.append((first, first + WINDOW))
             first += STRIDE
         out.append((first, last))
+    held = len(out)
+    near = 0
+    for m in _SIGN.finditer(text):
+        first = m.start() - (text[m.start() - 1 : m.start()] == " ")
+        least = max(0, first - LOCAL)
+        while first > least and text[first - 1] in _LOCAL:
+            first -= 1
+        host = _HOST.match(text, m.end(), m.end() + HOST)
+        if host:
+            first, last = max(0, first - 8), min(len(text), host.end() + 8)
+            while near < held and out[near][1] <= m.start():
+                near += 1
+            if not any(a <= first and last <= b for a, b in out[near : min(near + 3, held)]):
+                out.append((first, last))
     return out
 
 
@@ -113,16 +136,19 @@ def _card(rng: np.random.Generator, n: int) -> str:
     return next(body + str(d) for d in range(10) if luhn(body + str(d)))
 
 
-def _made(rng: np.random.Generator) -> tuple[int, str]:
+def _made(rng: np.random.Generator, kind: int | None = None) -> tuple[int, str]:
     """A made-up item: its kind (-1: none) and how it is written."""
     word = lambda n: "".join(chr(97 + c) for c in rng.integers(0, 26, n))
     pick = lambda *x: x[rng.integers(0, len(x))]
-    kind = int(rng.integers(-3, 4))
+    kind = int(rng.integers(-3, 4)) if kind is None else kind
     if kind == 0:
-        at, dot = pick("@", "@", "@", " @ ", "(at)", " [at] "), pick(".", ".", ".", " . ", "[dot]")
-        if at != "@" and dot == " . ":
+        at, dot = pick("@", "@", " @ ", "(at)", " (at) ", "[at]", " [at] "), pick(".", ".", ".", " . ", "[dot]", " [dot] ", "(dot)", " (dot) ")
+        if at == " @ " and dot == " . ":
             dot = "."
-        return 0, f"{word(rng.integers(2, 9))}{pick('', '.', '_')}{_number(rng, rng.integers(1, 4))}{at}{word(rng.integers(3, 8))}{pick('', _number(rng, 1))}{dot}{pick('com', 'org', 'net', 'de', 'example' + dot + 'com')}"
+        long = int(rng.random() < 0.1) * 24
+        name = ".".join(word(rng.integers(2, 9 + long)) for _ in range(int(rng.integers(1, 4)))) + pick("", "", "_" + word(3), _number(rng, rng.integers(1, 4)))
+        host = dot.join([word(rng.integers(3, 8 + long)) + pick("", "", _number(rng, 1)), *(word(rng.integers(2, 10)) for _ in range(int(rng.integers(0, 3)))), pick("com", "org", "net", "de")])
+        return 0, name + at + host
     if kind == 1:
         return 1, pick(".", ".", ".", "[.]", " . ").join(str(rng.integers(0, 256)) for _ in range(4))
     if kind == 2:
@@ -151,10 +177,10 @@ def training_windows(texts: list[str], seed: int = SEED) -> tuple[list[np.ndarra
     for text in texts:
         spans = base_spans(text)
         rows += [tagged(text, spans, a, b) for a, b in windows_of(text) if not any(x < a < y or x < b < y for _, x, y in spans)]
-    for _ in range(2000):
+    for k in range(4000):  # half of them addresses, which have the most layouts
         host = re.sub(r"[0-9@]", "", texts[rng.integers(0, len(texts))])
         cut = int(rng.integers(0, len(host) + 1))
-        kind, item = _made(rng)
+        kind, item = _made(rng, 0 if k % 2 else None)
         before, after = host[max(0, cut - 30) : cut].rsplit(" ", 1)[0] + " ", " " + host[cut : cut + 30].split(" ", 1)[-1]
         text = before + item + after
         rows.append(tagged(text, [(kind, len(before), len(before) + len(item))] if kind >= 0 else [], 0, len(text)))
@@ -196,8 +222,12 @@ def added_spans(p: dict, texts: list[str], bases: list[list[tuple[int, int, int]
     places = [(k, a, b) for k, t in enumerate(texts) for a, b in windows_of(t)]
     places.sort(key=lambda x: x[2] - x[1])
     held: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]
-    for first in range(0, len(places), 256):
+    first = 0
+    while first < len(places):
         part = places[first : first + 256]
+        if (wide := part[-1][2] - part[-1][1]) > WINDOW:  # wide windows in smaller batches
+            part = part[: max(1, 256 * WINDOW // wide)]
+        first += len(part)
         for (k, a, b), spans in zip(part, span_net.decode(p, [span_net.codes(texts[k][a:b]) for k, a, b in part]), strict=True):
             for kind, s, e, sure in spans:
                 cut = (s == 0 and a > 0) or (e == b - a and b < len(texts[k]))

@@ -313,6 +313,19 @@ def test_network_finds_other_layouts_and_base_stays(spark, documents):
     assert good / total > 0.7
 
 
+def test_addresses_without_digits_and_long_ones_are_found(spark, documents):
+    host = "the words around it are plain and "
+    items = ["jane.doe [at] example [dot] com", "jane.doe(at)example.org", "maximilian.featherstonehaugh.smith (at) department.of.chemistry.example.com", "anna.holm (at) example (dot) org", "peter [at] somewhere.net"]
+    for k in items:
+        first, last = len(host), len(host) + len(k)
+        assert any(a < first and last < b for a, b in private_spans.windows_of(host + k + " then more words follow"))
+    df = spark.createDataFrame([(i, f"{host}{v} then more words follow") for i, v in enumerate(items)], "doc_id int, text string")
+    found = {r["doc_id"]: r["spans"] for r in private_spans.find_spans(df, private_spans.fit(documents)).collect()}
+    hits = [any(s["kind"] == "email" and (s["start"], s["end"]) == (len(host), len(host) + len(v)) for s in found[i]) for i, v in enumerate(items)]
+    assert any(hits), hits
+    assert max(b - a for a, b in private_spans.windows_of("a" * 100_000 + "@" + "b" * 100_000)) < 1000
+
+
 def test_spans_of_overlapping_windows_are_reconciled():
     assert private_spans.reconcile([(0, 0, 5, 0.9), (1, 3, 9, 0.95), (2, 9, 12, 0.8), (0, 6, 9, 0.9)]) == [(0, 0, 5, 0.9), (0, 6, 9, 0.9), (2, 9, 12, 0.8)]
     text = "x" * 50 + "1" * 300 + "y" * 80
