@@ -64,5 +64,22 @@ def ship(spark: SparkSession) -> None:
     context._landweave_shipped = True
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors reach: spark.checkpoint.dir.
+
+    Where it is unset, local mode gets a temporary folder for the session; a cluster gets an error,
+    because what one machine writes in a folder of its own is missing on the others.
+    """
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir is unset; on {master} it has to name a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="landweave-")
+        atexit.register(shutil.rmtree, found, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
 def local_cpus() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 1))

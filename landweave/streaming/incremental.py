@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors reach; an own one where none is configured."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="landweave-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+from ..session import shared_folder
 
 
 def append_batches(stream: DataFrame, process: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> None:
@@ -35,7 +27,7 @@ def replay(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
     """A table's file as a stream, appended once; the rows that came out, without repeats of the key."""
     path = f"{folder}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    work = f"{shared_dir(spark)}/landweave/stream-{uuid.uuid4().hex}"
+    work = f"{shared_folder(spark)}/landweave/stream-{uuid.uuid4().hex}"
     reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
     append_batches(reader.parquet(folder), lambda batch: batch.dropDuplicates([key]), f"{work}/out", f"{work}/checkpoint")
     return spark.read.parquet(f"{work}/out").select(*[f.name for f in schema])
