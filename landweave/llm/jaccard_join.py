@@ -10,21 +10,26 @@ first k+c of each, k being how many a set may lack.
   near enough to the boundary to link with a heavy one.
 - The boundary is the one with the least cost by the histogram of set sizes.
 
-Equal sets are one class from the start, represented by its smallest id. Lists of one key longer than
-BLOCK are cut into blocks and all pairs of blocks are looked at, each in a task of its own; equal
-lists of several keys are looked at once. Inside a list the symmetric difference of two sets is
-bounded from below by the difference of their parity bitmaps. A list gives a spanning forest over
-the pairs within that bound, not all pairs: what is linked through the forest needs no further link.
-The forest's edges are verified on the exact sets. As the many lists of one large group of near copies
-would find the same links again, a first round looks at each id's longest list only, and the second
-round at all lists, but only at pairs between components found so far. Then every list with an edge
-that failed gives all pairs within the bound between components, and those are verified too: no pair
-within the bound lies between two trees of a list's forest, so no link is lost.
+Equal sets are one class from the start; a class has a number of its own, given where the classes are
+written, so rows that share an id stay apart. A key of more than BLOCK classes has its list dealt by a
+hash into blocks of about half of that, each a list like any other. Inside a list the symmetric
+difference of two sets is bounded from below by the difference of their parity bitmaps. A list gives
+a spanning forest over the pairs within that bound, not all pairs: what is linked through the forest
+needs no further link. The forest's edges are verified on the exact sets. As the many lists of one
+large group of near copies would find the same links again, a first round looks at each class's
+longest list only, and the second round at all lists, but only at pairs between components found so
+far. Then every list with an edge that failed gives all pairs within the bound between components, and
+those are verified too: no pair within the bound lies between two trees of a list's forest, so no
+link is lost. Last come the pairs between two blocks of one key: only classes outside the key's
+largest component are held against the key's blocks, which is nothing at all where the blocks of a group
+of copies have come together. A key whose many sets don't link costs pairs of blocks, in tasks of bounded size.
 
 Defined cases: a null text, or one without words, is the empty set and linked with nothing; a text
-of fewer words than a shingle is one shingle; rows with the same id are taken as one document
-each, with equal results only if their texts are equal; other columns are not touched. Shingles
-and sets are compared by 64-bit and 128-bit hashes.
+of fewer words than a shingle is one shingle; rows with the same id are documents of their own, each
+linked by its own text; a row without an id links as others do, and its component is named by the
+smallest id there is in it (null where there is none). Ties in the order of shingles are broken by their hash;
+an empty table gives an empty one; other columns are not read. Shingles and sets are compared by 64-bit and
+128-bit hashes.
 """
 
 from __future__ import annotations
@@ -34,20 +39,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import flat
-from .tables import materialise
+from .tables import free_name, materialise
 
 SKETCH_BITS = 18
 #: Bits of a set's parity bitmap, below LARGE shingles and from there on; the larger folds to the smaller.
 BITMAP_BITS, LARGE_BITS = 1024, 8192
 LARGE = 2000
 SUBSET = 2
-BLOCK = 1024
+BLOCK = 512
+#: Up to so many hot keys (of more than BLOCK classes) are sent to every task.
+FEW_HOT = 1 << 16
 #: Up to so many links are joined by one task in memory; beyond, by alternating stars over all executors.
 FEW_LINKS = 1 << 20
 #: Cost of reading one entry of an inverted list, when making one subset's key costs 1.
@@ -165,10 +172,15 @@ def set_keys(found: np.ndarray, sketch: np.ndarray, limit: int, measure: Measure
     return np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
 
 
+def set_sums(found: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit hashes of a set."""
+    return found.sum(dtype=np.uint64), flat.mix(found ^ _SALT).sum(dtype=np.uint64)
+
+
 def describe_sets(documents: DataFrame, id_col: str, text: str, sketch: np.ndarray, limit: int, measure: Measure) -> DataFrame:
-    """id, n, two halves of the set's hash, parity bitmap and join keys of every row."""
+    """id, row (hash of the text), n, two halves of the set's hash, parity bitmap and join keys of every row."""
     shared = documents.sparkSession.sparkContext.broadcast(sketch)  # of fixed size
-    schema = T.StructType([T.StructField("id", documents.schema[id_col].dataType), T.StructField("n", T.IntegerType()), T.StructField("s1", T.LongType()), T.StructField("s2", T.LongType()), T.StructField("bits", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("id", documents.schema[id_col].dataType), T.StructField("row", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("s1", T.LongType()), T.StructField("s2", T.LongType()), T.StructField("bits", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
@@ -181,19 +193,19 @@ def describe_sets(documents: DataFrame, id_col: str, text: str, sketch: np.ndarr
             for r, found in _each_set(column, measure.words):
                 n[r] = len(found)
                 if len(found):
-                    sums[0, r], sums[1, r] = found.sum(), flat.mix(found ^ _SALT).sum()
+                    sums[:, r] = set_sums(found)
                     size = LARGE_BITS if len(found) >= LARGE else BITMAP_BITS
                     bits[r] = np.packbits(np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).tobytes()
                     keys[r] = set_keys(found, counts, limit, measure)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
+                [batch.column(0), batch.column(2), pa.array(n), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
                  pa.array(bits, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)))],
                 names=schema.names,
             )
 
-    return documents.select(F.col(id_col), F.col(text)).mapInArrow(run, schema)
+    return documents.select(F.col(id_col), F.col(text), F.xxhash64(F.col(text))).mapInArrow(run, schema)
 
 
 def id_bitmap(ids: DataFrame, most: int = 1 << 27) -> np.ndarray:
@@ -213,14 +225,14 @@ def id_bitmap(ids: DataFrame, most: int = 1 << 27) -> np.ndarray:
 
 
 def exact_sets(documents: DataFrame, id_col: str, text: str, words: int, wanted: DataFrame) -> DataFrame:
-    """id and its shingles' hashes, array<long>, of the rows whose id is in wanted.
+    """key and its shingles' hashes, array<long>, of the wanted classes (key, id of one of its rows, n, s1, s2).
 
     Rows are first let through by a bitmap of the wanted ids, so that only theirs are made into sets
-    and shuffled; the join after it is exact.
+    and shuffled; the join after it is exact, by the id and the set's own hashes.
     """
-    bits = id_bitmap(wanted)
+    bits = id_bitmap(wanted.select("id"))
     shared = documents.sparkSession.sparkContext.broadcast(bits)
-    schema = T.StructType([T.StructField("id", documents.schema[id_col].dataType), T.StructField("shingles", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("__id", documents.schema[id_col].dataType), T.StructField("n", T.IntegerType()), T.StructField("s1", T.LongType()), T.StructField("s2", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,26 +242,60 @@ def exact_sets(documents: DataFrame, id_col: str, text: str, words: int, wanted:
                 continue
             part = batch.take(pa.array(chosen))
             found = [s for _, s in _each_set(part.column(1), words)]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)))], names=schema.names)
+            sizes = np.array([len(x) for x in found], dtype=np.int32)
+            sums = np.array([set_sums(x) for x in found], dtype=np.uint64).reshape(-1, 2).view(np.int64)
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array(sums[:, 0]), pa.array(sums[:, 1]), sets], names=schema.names)
 
     place = F.pmod(F.xxhash64(F.col(id_col)), F.lit(8 * len(bits)))
     made = documents.select(F.col(id_col), F.col(text), place.alias("place")).mapInArrow(run, schema)
-    return materialise(made.join(wanted, "id", "left_semi"), "exact-sets")
+    met = made.join(wanted, [F.col("__id").eqNullSafe(F.col("id")), *[made[c] == wanted[c] for c in ("n", "s1", "s2")]])
+    return materialise(met.select("key", "shingles").dropDuplicates(["key"]), "exact-sets")
+
+
+def postings(classes: DataFrame) -> DataFrame:
+    return classes.select("key", F.explode("keys").alias("at"))
+
+
+def hot_lists(classes: DataFrame) -> DataFrame:
+    """at and size of the join keys with more than BLOCK classes."""
+    sizes = postings(classes).groupBy("at").agg(F.count("*").alias("size"))
+    return materialise(sizes.where(F.col("size") > BLOCK), "hot-lists")
+
 
+def _numbered(lists: DataFrame) -> DataFrame:
+    """The distinct lists and a number for each."""
+    return lists.select("ids").where(F.size("ids") > 1).distinct().withColumn("list", F.xxhash64("ids", F.size("ids")))
 
-def inverted_lists(sets: DataFrame) -> DataFrame:
-    """list and ids: the distinct lists of two ids or more that share a key, in blocks of at most twice BLOCK."""
-    postings = sets.select("id", "n", F.explode("keys").alias("key"))
-    by_key = Window.partitionBy("key")
-    placed = postings.withColumns({"size": F.count("*").over(by_key), "place": F.row_number().over(by_key.orderBy("n", "id"))}).where("size > 1")
-    blocks = placed.groupBy("key", F.floor((F.col("place") - 1) / BLOCK).alias("block"), "size").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    blocks = materialise(blocks, "blocks")
-    single = blocks.where(F.col("size") <= BLOCK).select("ids")
-    long = blocks.where(F.col("size") > BLOCK).select("key", "block", "ids")
-    other = long.select("key", F.col("block").alias("block2"), F.col("ids").alias("ids2"))
-    double = long.join(other, "key").where("block < block2").select(F.sort_array(F.concat("ids", "ids2")).alias("ids"))
-    return single.unionByName(double).distinct().withColumn("list", F.xxhash64("ids", F.size("ids")))
+
+def _with_hot(placed: DataFrame, hot: DataFrame, how: str) -> DataFrame:
+    return placed.join(F.broadcast(hot) if hot.count() <= FEW_HOT else hot, "at", how)
+
+
+def inverted_lists(classes: DataFrame, hot: DataFrame) -> DataFrame:
+    """list and ids: the distinct lists of two classes or more that share a join key; those of hot keys in blocks."""
+    salts = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("size") * F.lit(2.0 / BLOCK)))).cast("long")
+    placed = _with_hot(postings(classes), hot.select("at", salts.alias("salts")), "left")
+    # equal classes go to blocks of equal number whatever the key, so that equal lists are one
+    salt = F.coalesce(F.pmod(F.xxhash64("key"), F.col("salts")), F.lit(-1))
+    return _numbered(placed.groupBy("at", salt.alias("salt")).agg(F.sort_array(F.collect_list("key")).alias("ids")))
+
+
+def crossing_lists(classes: DataFrame, hot: DataFrame, labels: DataFrame) -> DataFrame:
+    """list and ids for the hot keys whose classes are in several components: each block of classes outside
+    the key's largest component with each block of all its classes."""
+    members = _with_hot(postings(classes), hot, "inner").join(labels.withColumnRenamed("id", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    parts = members.groupBy("at", "label").agg(F.count("*").alias("part"))
+    apart = parts.groupBy("at").agg(F.max_by("label", F.struct("part", "label")).alias("main"), F.sum("part").alias("all"), F.max("part").alias("most"))
+    half = F.lit(BLOCK // 2)
+    apart = apart.where("most < all").select("at", "main", F.ceil((F.col("all") - F.col("most")) / half).cast("int").alias("outer"), F.ceil(F.col("all") / half).cast("int").alias("blocks"))
+    held = materialise(members.join(apart, "at").select("at", "key", "outer", "blocks", (F.col("label") != F.col("main")).alias("outside")), "apart")
+    place = lambda n, seed: F.pmod(F.xxhash64("key", F.lit(seed)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    outside = held.where("outside").select("at", "key", place("outer", 1).alias("x"), every("blocks").alias("y"))
+    inside = held.select("at", "key", every("outer").alias("x"), place("blocks", 2).alias("y"))
+    return _numbered(outside.unionByName(inside).groupBy("at", "x", "y").agg(F.sort_array(F.collect_set("key")).alias("ids")))
 
 
 class Bitmaps:
@@ -327,7 +373,7 @@ def crossing_edges(bitmaps: Bitmaps, label: np.ndarray, measure: Measure) -> lis
     return edges
 
 
-def candidate_edges(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, measure: Measure, all_pairs: bool = False) -> DataFrame:
+def candidate_edges(lists: DataFrame, classes: DataFrame, labels: DataFrame | None, measure: Measure, all_pairs: bool = False) -> DataFrame:
     """list and pairs a < b between different labels that the lists give: a spanning forest each, or all pairs."""
     members = lists.select("list", F.explode("ids").alias("id"))
     if labels is not None:
@@ -337,11 +383,10 @@ def candidate_edges(lists: DataFrame, sets: DataFrame, labels: DataFrame | None,
         members = members.withColumns({"low": F.min("label").over(whole), "high": F.max("label").over(whole)}).where("low < high").drop("low", "high")
     else:
         members = members.withColumn("label", F.col("id"))
-    rows = members.join(sets.select("id", "n", "bits"), "id").select("list", "id", "n", "label", "bits")
+    rows = members.join(classes.select(F.col("key").alias("id"), "n", "bits"), "id").select("list", "id", "n", "label", "bits")
     # a list's rows stand together in one partition; several lists go through Python in one batch
     rows = rows.repartition("list").sortWithinPartitions("list", "id")
-    id_type = sets.schema["id"].dataType
-    schema = T.StructType([T.StructField("list", T.LongType()), T.StructField("a", id_type), T.StructField("b", id_type)])
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("list", "a", "b")])
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         rest: list[np.ndarray] | None = None
@@ -369,8 +414,7 @@ def candidate_edges(lists: DataFrame, sets: DataFrame, labels: DataFrame | None,
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (where, a, b)], names=schema.names)
 
         for number, ids, n, label, words in groups(batches):
-            ids, first = np.unique(ids, return_index=True)  # rows of the table may repeat
-            label, bitmaps = label[first], Bitmaps(n[first].astype(np.int64), words[first])
+            bitmaps = Bitmaps(n.astype(np.int64), words)
             edges = crossing_edges(bitmaps, label, measure) if all_pairs else spanning_edges(bitmaps, label, measure)
             if edges:
                 pair = ids[np.array(edges)]
@@ -387,12 +431,13 @@ def candidate_edges(lists: DataFrame, sets: DataFrame, labels: DataFrame | None,
     return rows.mapInArrow(run, schema).where("a < b")
 
 
-def verified(edges: DataFrame, documents: DataFrame, id_col: str, text: str, measure: Measure) -> DataFrame:
-    """The edges whose exact sets are similar enough."""
-    involved = materialise(edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct(), "involved")
-    sets = exact_sets(documents, id_col, text, measure.words, involved)
-    left = edges.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
+def verified(edges: DataFrame, documents: DataFrame, id_col: str, text: str, classes: DataFrame, measure: Measure) -> DataFrame:
+    """The edges between classes whose exact sets are similar enough."""
+    involved = edges.select(F.col("a").alias("key")).union(edges.select(F.col("b").alias("key"))).distinct()
+    wanted = materialise(classes.join(involved, "key", "left_semi").select("key", F.col("least").alias("id"), "n", "s1", "s2"), "involved")
+    sets = exact_sets(documents, id_col, text, measure.words, wanted)
+    left = edges.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a")
+    both = left.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
     total = (F.size("sa") + F.size("sb")).cast("long")
     return both.where(common * F.lit(measure.den) >= (total - common) * F.lit(measure.num)).select("a", "b").distinct()
@@ -456,48 +501,94 @@ def components(links: DataFrame) -> DataFrame:
     return labels.unionByName(labels.select(F.col("label").alias("id"), "label")).distinct()
 
 
-def link_components(documents: DataFrame, id_col: str = "doc_id", text: str = "text", measure: Measure | None = None) -> DataFrame:
-    """id_col, n_shingles (long) and component_id (the smallest id reachable by links) of every row."""
-    measure = measure or Measure()
+def linked_rows(documents: DataFrame, id_col: str, text: str, measure: Measure) -> DataFrame:
+    """id, row, n, component and main (whether the row is of the text that stands for its component) of every row."""
     sketch, sizes = statistics(documents.select(text), measure)
     sets = materialise(describe_sets(documents, id_col, text, sketch, boundary(sizes, measure), measure), "sets")
-    # one class for each distinct set
-    same: list[Column] = [F.col("n"), F.col("s1"), F.col("s2")]
-    classes = materialise(sets.where("n > 0").groupBy(*same).agg(F.min("id").alias("class")), "classes")
-    heads = sets.join(classes.select(F.col("class").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    lists = materialise(inverted_lists(heads), "lists")
+    same = ["n", "s1", "s2"]
+    grouped = sets.where("n > 0").groupBy(*same).agg(F.min("id").alias("least"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
+    # a class has its number from where it is written, once
+    classes = materialise(grouped.withColumn("key", F.monotonically_increasing_id()), "classes")
+
+    def check(edges: DataFrame, name: str) -> DataFrame:
+        return materialise(verified(edges, documents, id_col, text, classes, measure), name)
+
+    def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+        known = labels.where("id <> label").select(F.col("id").alias("a"), F.col("label").alias("b"))
+        return materialise(components(known.unionByName(links)), "labels")
+
+    def settled(lists: DataFrame, labels: DataFrame) -> DataFrame:
+        """labels after all links within the lists."""
+        forest = materialise(candidate_edges(lists, classes, labels, measure), "forest")
+        tried = forest.select("a", "b").distinct()
+        links = check(tried, "links")
+        labels = joined(labels, links)
+        # trees of one forest have no pair within the bound between them, so only a failed edge can leave one out
+        failed = forest.join(links, ["a", "b"], "left_anti").select("list").distinct()
+        again = candidate_edges(lists.join(failed, "list", "left_semi"), classes, labels, measure, all_pairs=True)
+        crossing = materialise(again.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "crossing")
+        return labels if crossing.isEmpty() else joined(labels, check(crossing, "links"))
+
+    hot = hot_lists(classes)
+    lists = materialise(inverted_lists(classes, hot), "lists")
     longest = lists.select("list", F.size("ids").alias("size"), F.explode("ids").alias("id")).groupBy("id").agg(F.max(F.struct("size", "list"))["list"].alias("list"))
-    early = candidate_edges(lists.join(longest.select("list").distinct(), "list", "left_semi"), sets, None, measure)
-    first_links = materialise(verified(materialise(early.select("a", "b").distinct(), "early"), documents, id_col, text, measure), "links")
-    labels = materialise(components(first_links), "labels")
-    forest = materialise(candidate_edges(lists, sets, labels, measure), "forest")
-    tried = forest.select("a", "b").distinct()
-    links = materialise(verified(tried, documents, id_col, text, measure), "links")
-    labels = materialise(components(links.unionByName(first_links)), "labels")
-    # trees of one forest have no pair within the bound between them, so only a failed edge can leave one out
-    failed = forest.join(links, ["a", "b"], "left_anti").select("list").distinct()
-    again = candidate_edges(lists.join(failed, "list", "left_semi"), sets, labels, measure, all_pairs=True)
-    crossing = again.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = materialise(verified(materialise(crossing, "crossing"), documents, id_col, text, measure), "links")
-    if not more.isEmpty():
-        stars = labels.where("id <> label").select(F.col("id").alias("a"), F.col("label").alias("b"))
-        labels = materialise(components(stars.unionByName(more)), "labels")
-    with_class = sets.join(classes, ["n", "s1", "s2"], "left")
-    labelled = with_class.join(labels.select(F.col("id").alias("class"), "label"), "class", "left")
-    return labelled.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "class", "id").alias("component_id"))
-
-
-#: The query's result in DuckDB: all pairs of documents with a common shingle, and a recursive closure.
+    early = candidate_edges(lists.join(longest.select("list").distinct(), "list", "left_semi"), classes, None, measure)
+    labels = materialise(components(check(materialise(early.select("a", "b").distinct(), "early"), "links")), "labels")
+    labels = settled(lists, labels)
+    if not hot.isEmpty():
+        across = materialise(crossing_lists(classes, hot, labels), "crossing-lists")
+        if not across.isEmpty():
+            labels = settled(across, labels)
+    named = labels.withColumnRenamed("id", "key").join(classes.select("key", "least"), "key")
+    # of classes with ids the one with the smallest
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "key")).alias("first")
+    named = named.join(named.groupBy("label").agg(first), "label").select("key", F.col("first.least").alias("component"), (F.col("key") == F.col("first.key")).alias("main"))
+    of_class = classes.select("key", "least", *same).join(named, "key", "left")
+    of_class = of_class.select(*same, "least", F.coalesce("component", "least").alias("component"), F.coalesce("main", F.lit(True)).alias("main"))
+    labelled = sets.select("id", "row", *same).join(of_class, same, "left")
+    some = F.col("n") > 0
+    main = ~some | (F.col("main") & F.col("id").eqNullSafe(F.col("least")))
+    return labelled.select("id", "row", "n", F.when(some, F.col("component")).otherwise(F.col("id")).alias("component"), main.alias("main"))
+
+
+def link_components(documents: DataFrame, id_col: str = "doc_id", text: str = "text", measure: Measure | None = None) -> DataFrame:
+    """id_col, n_shingles (long) and component_id (the smallest id reachable by links) of every row."""
+    found = linked_rows(documents, id_col, text, measure or Measure())
+    return found.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def one_of_each(documents: DataFrame, id_col: str = "doc_id", text: str = "text", measure: Measure | None = None) -> DataFrame:
+    """The documents with one row of each component, that of the smallest id; rows without words all stay.
+
+    Of rows that share that id and text one stays, whichever.
+    """
+    found = materialise(linked_rows(documents, id_col, text, measure or Measure()), "linked")
+    own, key = free_name(documents.columns, "__id"), free_name(documents.columns, "__row")
+    hashed = documents.withColumn(key, F.xxhash64(F.col(text)))
+
+    def of(rows: DataFrame, how: str, df: DataFrame) -> DataFrame:
+        rows = rows.select(F.col("id").alias(own), F.col("row").alias(f"{key}_"))
+        return df.join(rows, F.col(id_col).eqNullSafe(F.col(own)) & (F.col(key) == F.col(f"{key}_")), how)
+
+    kept = of(found.where(~F.col("main")).select("id", "row").distinct(), "left_anti", hashed)
+    twice = found.where(F.col("main") & (F.col("n") > 0)).groupBy("id", "row").agg(F.count("*").alias("times")).where("times > 1")
+    if not twice.isEmpty():
+        kept = of(twice, "left_anti", kept).unionByName(of(twice, "left_semi", kept).dropDuplicates([id_col, key]))
+    return kept.select(documents.columns)
+
+
+#: The query's result in DuckDB, by rows: all pairs with a common shingle, and a recursive closure.
 ORACLE = r"""
-WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+w AS (
+  SELECT row, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM d),
 s AS (
-  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+  SELECT DISTINCT row, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
     ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS sh FROM w),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
-e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
-r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.other)
-SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
-FROM documents d JOIN r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+n AS (SELECT row, count(*) AS n FROM s GROUP BY row),
+p AS (SELECT a.row AS x, b.row AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.row <> b.row GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.row = x JOIN n b ON b.row = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+r AS (SELECT row, row AS other FROM d UNION SELECT r.row, e.y FROM r JOIN e ON e.x = r.other)
+SELECT any_value(d.doc_id) AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM d JOIN r ON r.row = d.row JOIN d o ON o.row = r.other LEFT JOIN n ON n.row = d.row GROUP BY d.row
 """

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import shared_folder, ship
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -19,12 +19,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: spark.checkpoint.dir, or an own one where it is unset."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="landweave-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    """The folder that the driver and every executor reach: spark.checkpoint.dir.
+
+    Raises where it is unset, as a folder of one machine would lose what the others write; only in
+    local mode, where there are no others, a temporary one is made.
+    """
+    return shared_folder(spark)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -42,3 +42,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
+
+
+def free_name(taken: Iterable[str], name: str) -> str:
+    """name, with as many _ after it as make it differ from the taken ones, in any case."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name

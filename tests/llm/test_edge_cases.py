@@ -8,7 +8,7 @@ from landweave.llm.queries import BYTE_BPE, PIECE_BPE, vocabulary
 
 LONG = "word and other words 42 at me@site.example.com, " * 4000
 SAME = "the same text stands here again and again for all to read"
-CLASH = "w string, h long, id string, n int, label string, site string, list long, keys string, items string, digest string, n_words int, spans string, words string, tail int, uid long, pos int, first string"
+CLASH = "w string, h long, id string, n int, label string, site string, list long, keys string, items string, digest string, n_words int, spans string, words string, tail int, uid long, pos int, first string, n_lines string, n_removed string, __id string, __row string, __cut string, key long, row long, least long, component long, main string, bits string, __key string, n_windows long"
 NAMES = [c.split()[0] for c in CLASH.split(", ")]
 
 
@@ -98,7 +98,7 @@ def test_line_spread_leaves_null_and_columns_alone(spark, odd):
     assert set(odd.columns) <= set(got.columns)
     rows = counts(got)
     assert rows[1][0]["text"] is None and rows[2][0]["text"] == ""
-    assert rows[4][0]["text"] == SAME and rows[5][0]["text"] == "" and rows[5][0]["n_removed"] == 1
+    assert rows[4][0]["text"] == SAME and rows[5][0]["text"] == "" and (rows[5][0]["n_removed"], rows[5][0]["n_removed_"]) == ("7", 1)
     assert rows[4][0]["w"] == "7"
 
 
@@ -112,3 +112,37 @@ def test_pipeline_stages_keep_columns_of_documents(spark, odd, empty, tmp_path):
             out = stage(spark, docs, str(tmp_path))
             assert name == "pieces" or out.columns == docs.columns
             assert out.count() <= docs.count()
+
+
+TWO = [(5, "boiler line\nx"), (5, "unique words here\nsecond unique"), (None, "boiler line\ny"), (None, "z\nboiler line"), (2, "boiler line"), (2, "boiler line\ntail")]
+
+
+def test_rows_of_one_id_are_cut_by_their_own_lines(spark):
+    df = spark.createDataFrame([(i, t, f"s{k}") for k, (i, t) in enumerate([*TWO, (9, "other\nboiler line")])], "doc_id long, text string, source string")
+    got = sorted((str(r["doc_id"]), r["text"], r["n_removed"]) for r in line_spread.remove_boilerplate(df, min_sites=3).collect())
+    # the null id is the smallest one, and its first place is 0
+    assert got == sorted([("5", "x", 1), ("5", "unique words here\nsecond unique", 0), ("None", "boiler line\ny", 0), ("None", "z", 1), ("2", "", 1), ("2", "tail", 1), ("9", "other", 1)])
+
+
+def test_rows_of_one_id_link_by_their_own_text(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a + " end"), (3, b + " end"), (2, a), (2, b), (None, c), (None, c + " more"), (8, c + " end"), (7, "x"), (7, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r["doc_id"]), r["component_id"]) for r in jaccard_join.link_components(df).collect())
+    assert got == sorted([("1", 1), ("2", 1), ("2", 2), ("3", 2), ("None", 8), ("None", 8), ("8", 8), ("7", 7), ("7", 7)])
+    kept = sorted((r["doc_id"], r["text"]) for r in jaccard_join.one_of_each(df.unionAll(df)).collect())
+    assert kept == sorted([(1, a + " end"), (2, b), (8, c + " end"), (7, "x"), (7, "y")])
+
+
+def test_twins_tell_rows_of_one_id_apart(spark):
+    """The SQL of the two operators gives what they give where ids repeat."""
+    duckdb = pytest.importorskip("duckdb")
+    body = "boiler line\n" + " ".join(f"w{k}" for k in range(50))
+    rows = [(k // 2, body + (f" {k % 3}" if k % 4 else "") if k % 5 else f"own text {k}\nboiler line", f"site{k % 12}") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    key = lambda r: tuple(map(str, r))
+    got = line_spread.remove_boilerplate(df).select("doc_id", "n_lines", "n_removed", F.md5(F.encode("text", "UTF-8")))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(con.execute(line_spread.ORACLE).fetchall(), key=key)
+    assert sorted(map(tuple, jaccard_join.link_components(df).collect()), key=key) == sorted(con.execute(jaccard_join.ORACLE).fetchall(), key=key)

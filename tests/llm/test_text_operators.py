@@ -518,6 +518,10 @@ def test_components_match_all_pairs(spark, texts, n_words, num, den, monkeypatch
     for _ in range(40):
         rows[len(rows)] = passage + " " + " ".join(f"q{rng.randrange(50)}" for _ in range(rng.randrange(8)))
     rows |= {1000 + i: t for i, t in list(texts.items())[:60]}
+    for _ in range(2):  # a group whose copies are linked by a chain from block to block, and one that is not linked at all
+        common = " ".join(f"r{rng.randrange(10**6)}" for _ in range(12))
+        for k in range(40):
+            rows[len(rows)] = common + " " + " ".join(f"t{k // 2}x{j}" for j in range(14))
     monkeypatch.setattr(jaccard_join, "BLOCK", 8)
     monkeypatch.setattr(jaccard_join, "LARGE", 100)
     df = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(5)
