@@ -1,20 +1,25 @@
 """Quality classifier by importance resampling.
 
-Three generative models over hashed n-grams are compared: the raw corpus (counted over all of it),
-the target (labelled rows of good quality that are not toxic) and the toxic counter-target. Words
-and word pairs carry the quality ratio log p_target/q_raw, by occurrences; word beginnings carry the toxic ratio log p_toxic/q_raw, by
-texts that have them, of which only clear evidence (above TOXIC_RATIO) counts. Both are means over
-the text's n-grams, with smoothing in proportion to the labelled rows. The thresholds are set
-between the classes, each half of the labelled rows being scored by the models of the other. The log
-importance weight of a text is its margin to the thresholds, times SCALE. Gumbel noise from a hash of the id is added and the k largest are kept,
-k being the number of texts with a weight of 0 or more: clear cases are decided by the ratio, texts
-at the threshold are sampled. The k-th key is found by histogram refinement, never by a sort.
+Generative models over hashed n-grams are compared, all with one additive smoothing: the raw corpus
+(counted over all of it, in proportion), the target (labelled rows of good quality that are not toxic)
+and toxic text. Words and word pairs carry the quality ratio log p_target/q_raw, the mean over the
+text's n-grams; word beginnings carry the toxic ratio log p_toxic/q_raw, by texts that have them,
+of which only clear evidence (above TOXIC_RATIO) counts, summed over the text and divided by the root of
+its words, with which chance hits grow. The n-grams of a text are not independent, so the sums
+overstate: a temperature and an offset for each ratio are fitted by logistic regression on
+labelled rows, each half of them scored by the models of the other. The log importance weight of a text is the
+log ratio of the target to raw and toxic text together, -log(exp(-a) + exp(-b)) for the two log
+ratios a and b. Gumbel noise from a hash of the id is added and the k rows with the largest keys are kept:
+what is clearly of the target stays, what is clearly not goes, and rows near the edge are drawn.
+k is a parameter; by default it is the number of rows with a weight of 0 or more. The k-th key is found
+by histogram refinement, never by a sort.
 
 At most LABELLED rows of labels (those with the smallest id hash) are used; this is the only bound.
 
-Defined cases: a null or empty text has no evidence either way and both ratios 0; rows with the
-same id have the same noise and ties at the k-th key are all kept; without labels of a class its
-threshold rejects nothing; further columns pass through.
+Defined cases: a null or empty text has ratios of 0 and the weight 0, so it is drawn like a row at the edge;
+rows with the same id have the same noise, and ties at the k-th key are all kept; without labels of a
+class its ratio is left out, without any all rows have the weight 0 and the default k keeps them all; an
+empty table gives an empty one; further columns pass through.
 """
 
 from __future__ import annotations
@@ -35,9 +40,8 @@ WORD_BUCKETS = 1 << 18
 BEGIN_BUCKETS = 1 << 16
 BEGIN_BYTES = 4
 TOXIC_RATIO = 1.0
-SCALE = 60.0
-#: Times as bad to lose the clean rows as to keep the others.
-CLEAN_COST = 3
+#: Weight of the squared slope in the regressions, which keeps them finite where classes don't overlap.
+RIDGE = 0.01
 SEED = 17
 SCORES = ("__n_words", "__quality_ratio", "__toxic_ratio")
 
@@ -119,7 +123,7 @@ def ratios(raw: np.ndarray, good: np.ndarray, evil: np.ndarray) -> tuple[np.ndar
 
 
 def score(df: DataFrame, text: str, quality: np.ndarray, toxic: np.ndarray) -> DataFrame:
-    """df with SCORES (words, mean quality ratio, mean toxic ratio) as further columns."""
+    """df with SCORES (words, quality ratio, toxic ratio) as further columns."""
     spark = df.sparkSession
     tables = spark.sparkContext.broadcast((quality, toxic))  # of fixed size
     column = df.columns.index(text)
@@ -139,29 +143,32 @@ def score(df: DataFrame, text: str, quality: np.ndarray, toxic: np.ndarray) -> D
                 both = np.cumsum(np.concatenate([[0], good[word].astype(np.float64) + good[pair]]))
                 evil = np.cumsum(np.concatenate([[0], bad[begin].astype(np.float64)]))
                 means[0, first:last] = (both[starts[1:]] - both[starts[:-1]]) / np.maximum(1, 2 * count - 1)
-                means[1, first:last] = (evil[starts[1:]] - evil[starts[:-1]]) / np.maximum(1, count)
+                means[1, first:last] = (evil[starts[1:]] - evil[starts[:-1]]) / np.sqrt(np.maximum(1, count))
             arrays = [*batch.columns, pa.array(n), pa.array(means[0]), pa.array(means[1])]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return df.mapInArrow(run, schema)
 
 
-def threshold(low: np.ndarray, high: np.ndarray, cost: tuple[float, float]) -> tuple[float, float] | None:
-    """A place between two classes with the least error, and the distance of their medians.
-
-    cost: what it costs to have all of low above it, and all of high below it.
-    """
+def calibrated(low: np.ndarray, high: np.ndarray) -> tuple[float, float] | None:
+    """Slope and offset that make a ratio the log odds of class high to class low, by Newton steps."""
     if not len(low) or not len(high):
         return None
-    values = np.unique(np.concatenate([low, high]))
-    cuts = np.concatenate([values[:1] - 1e-9, (values[1:] + values[:-1]) / 2, values[-1:] + 1e-9])
-    wrong = cost[0] * (1 - np.searchsorted(np.sort(low), cuts) / len(low)) + cost[1] * np.searchsorted(np.sort(high), cuts) / len(high)
-    best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
-    return float((cuts[best[0]] + cuts[best[-1]]) / 2), max(1e-6, float(np.median(high) - np.median(low)))
+    x = np.concatenate([low, high])
+    y = np.concatenate([np.zeros(len(low)), np.ones(len(high))])
+    mean, spread = x.mean(), x.std() + 1e-9
+    z = np.stack([(x - mean) / spread, np.ones(len(x))], axis=1)
+    held = np.diag([RIDGE, 1e-9])
+    w = np.zeros(2)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
+        g = z.T @ (p - y) + held @ w
+        w -= np.clip(np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + held, g), -3, 3)
+    return float(w[0] / spread), float(w[1] - w[0] * mean / spread)
 
 
 def fit(documents: DataFrame, labels: DataFrame, most: int = LABELLED) -> dict:
-    """Everything scoring needs: the ratio tables and the two thresholds."""
+    """Everything scoring needs: the ratio tables, and slope and offset of both."""
     sample = materialise(labelled_rows(labels, most), "labelled")
     counts = model_counts(documents, sample)
     kind, q, t = [], [], []
@@ -172,19 +179,16 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = LABELLED) -> dict:
         kind, q, t = ([*x, *got[c].to_numpy()] for x, c in ((kind, "__class"), (q, SCORES[1]), (t, SCORES[2])))
     kind, q, t = (np.array(x) for x in (kind, q, t))
     quality, toxic = ratios(counts[0], counts[1] + counts[2], counts[3] + counts[4])
-    return {"quality": quality, "toxic": toxic, "q": threshold(q[kind == 3], q[kind == 1], (1, CLEAN_COST)), "t": threshold(t[kind == 1], t[kind == 2], (CLEAN_COST, 1))}
+    return {"quality": quality, "toxic": toxic, "q": calibrated(q[kind == 3], q[kind == 1]), "t": calibrated(t[kind == 2], t[kind == 1])}
 
 
 def log_weight(model: dict) -> Column:
-    margins = []
-    if model["q"]:
-        cut, spread = model["q"]
-        margins.append((F.col(SCORES[1]) - F.lit(cut)) / F.lit(spread))
-    if model["t"]:
-        cut, spread = model["t"]
-        margins.append((F.lit(cut) - F.col(SCORES[2])) / F.lit(spread))
-    least = margins[0] if len(margins) == 1 else F.least(*margins) if margins else F.lit(1.0)
-    return F.when(F.col(SCORES[0]) == 0, F.lit(SCALE)).otherwise(F.lit(SCALE) * least)
+    """Log ratio of the target to raw and toxic text."""
+    found = [F.lit(model[k][0]) * F.col(c) + F.lit(model[k][1]) for k, c in (("q", SCORES[1]), ("t", SCORES[2])) if model[k]]
+    if not found:
+        return F.lit(0.0)
+    both = found[0] if len(found) == 1 else F.least(*found) - F.log1p(F.exp(-F.abs(found[0] - found[1])))
+    return F.when(F.col(SCORES[0]) == 0, F.lit(0.0)).otherwise(both)
 
 
 def gumbel(id_col: Column, seed: int = SEED) -> Column:
@@ -213,7 +217,7 @@ def kth_largest(df: DataFrame, key: str, k: int, bins: int = 1024) -> float:
     return low
 
 
-def resample(documents: DataFrame, labels: DataFrame, most: int = LABELLED) -> tuple[DataFrame, float]:
+def resample(documents: DataFrame, labels: DataFrame, most: int = LABELLED, k: int | None = None) -> tuple[DataFrame, float]:
     """All rows of documents with SCORES, __log_weight and __gumbel_key, and the key that the kept rows reach."""
     model = fit(documents, labels, most)
 
@@ -222,18 +226,19 @@ def resample(documents: DataFrame, labels: DataFrame, most: int = LABELLED) -> t
         return weighted.withColumn("__gumbel_key", F.col("__log_weight") + gumbel(F.col("doc_id")))
 
     light = materialise(keyed(documents.select("doc_id", "text")).select("__log_weight", "__gumbel_key"), "gumbel-keys")
-    k = light.where("__log_weight >= 0").count()
+    if k is None:
+        k = light.where("__log_weight >= 0").count()
     return keyed(documents), kth_largest(light, "__gumbel_key", k)
 
 
-def keep(documents: DataFrame, labels: DataFrame, most: int = LABELLED) -> DataFrame:
+def keep(documents: DataFrame, labels: DataFrame, most: int = LABELLED, k: int | None = None) -> DataFrame:
     """The rows of documents that are kept, with their columns as they were."""
-    scored, least = resample(documents, labels, most)
+    scored, least = resample(documents, labels, most, k)
     return scored.where(F.col("__gumbel_key") >= F.lit(least)).select(documents.columns)
 
 
-def kept_scores(documents: DataFrame, labels: DataFrame, most: int = LABELLED) -> DataFrame:
+def kept_scores(documents: DataFrame, labels: DataFrame, most: int = LABELLED, k: int | None = None) -> DataFrame:
     """doc_id, n_words, quality_ratio, toxic_ratio, log_weight and gumbel_key of the rows that are kept."""
-    scored, least = resample(documents.select("doc_id", "text"), labels, most)
+    scored, least = resample(documents.select("doc_id", "text"), labels, most, k)
     names = [*SCORES, "__log_weight", "__gumbel_key"]
     return scored.where(F.col("__gumbel_key") >= F.lit(least)).select("doc_id", *[F.col(n).alias(n.strip("_")) for n in names])

@@ -99,7 +99,76 @@ def test_scores_match_a_loop(spark, documents, texts):
         t = [toxic[h(x.translate(bytes(flat.LOWER))[:4]) % importance.BEGIN_BUCKETS] for x in w]
         assert r["__n_words"] == len(w)
         assert r["__quality_ratio"] == pytest.approx(sum(map(float, q)) / max(1, 2 * len(w) - 1), abs=1e-9)
-        assert r["__toxic_ratio"] == pytest.approx(sum(map(float, t)) / max(1, len(w)), abs=1e-9)
+        assert r["__toxic_ratio"] == pytest.approx(sum(map(float, t)) / math.sqrt(max(1, len(w))), abs=1e-9)
+
+
+def brute_importance(rows, labels, noise):
+    """log weight of each id, all in dictionaries and loops; labels: id -> (class, half)."""
+    one = lambda b: int(flat.word_hashes(np.frombuffer(b, np.uint8), np.array([0]), np.array([len(b)]))[0])
+    grams, begins = {}, {}
+    for i, t in rows:
+        w = [x.encode() for x in BLANK_WORDS.findall(t or "")]
+        hs = [one(x) for x in w]
+        pairs = [int(flat.windows(np.array(hs[k : k + 2], dtype=np.uint64), 2)[0]) for k in range(len(hs) - 1)]
+        grams[i] = [h % importance.WORD_BUCKETS for h in [*hs, *pairs]]
+        begins[i] = [one(x.translate(bytes(flat.LOWER))[:4]) % importance.BEGIN_BUCKETS for x in w]
+    raw, raw_begins = Counter(), Counter()
+    for i, _ in rows:
+        raw.update(grams[i])
+        raw_begins.update(set(begins[i]))
+
+    def ratio_tables(halves):
+        good = [i for i, (c, h) in labels.items() if c == 1 and h in halves and i in grams]
+        evil = [i for i, (c, h) in labels.items() if c == 2 and h in halves and i in grams]
+        g, e = Counter(x for i in good for x in grams[i]), Counter(x for i in evil for x in set(begins[i]))
+        share, part, s = sum(g.values()) / sum(raw.values()), len(evil) / len(rows), max(2.0, len(evil) / 400)
+        q = {b: math.log((g[b] + 2.0) / (n * share + 2.0)) for b, n in raw.items()}
+        t = {b: math.log((e[b] + s) / (n * part + s)) for b, n in raw_begins.items()}
+        return q, {b: v if v > importance.TOXIC_RATIO else 0.0 for b, v in t.items()}
+
+    def scores(i, tables):
+        q, t = tables
+        n = len(begins[i])
+        return sum(q[b] for b in grams[i]) / max(1, len(grams[i])), sum(t[b] for b in begins[i]) / math.sqrt(max(1, n))
+
+    crossed = {}
+    for half in (0, 1):
+        tables = ratio_tables({1 - half})
+        crossed |= {i: (c, *scores(i, tables)) for i, (c, h) in labels.items() if h == half and i in grams}
+    of = lambda c, k: np.array([s[k] for s in crossed.values() if s[0] == c])
+    q, t = importance.calibrated(of(3, 1), of(1, 1)), importance.calibrated(of(2, 2), of(1, 2))
+    both, weight = ratio_tables({0, 1}), {}
+    for i, _ in rows:
+        x, y = scores(i, both)
+        weight[i] = -math.log(math.exp(-(q[0] * x + q[1])) + math.exp(-(t[0] * y + t[1]))) if begins[i] else 0.0
+    k = sum(v >= 0 for v in weight.values())
+    least = sorted((weight[i] + noise[i] for i in weight), reverse=True)[k - 1]
+    return weight, {i for i in weight if weight[i] + noise[i] >= least}
+
+
+def test_importance_matches_brute_force(spark, documents):
+    from pyspark.sql import functions as F
+
+    docs = documents.select("doc_id", "text").unionByName(spark.createDataFrame([(9001, None), (9002, ""), (9003, " \n")], "doc_id long, text string"))
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    known = {r["__id"]: (r["__class"], r["__half"]) for r in importance.labelled_rows(labels).collect()}
+    noise = {r[0]: r[1] for r in docs.select("doc_id", importance.gumbel(F.col("doc_id"))).collect()}
+    weight, kept = brute_importance(rows, known, noise)
+    got = {r["doc_id"]: r for r in importance.kept_scores(docs, labels).collect()}
+    assert set(got) == kept and len(kept) < len(rows)
+    for i, r in got.items():
+        assert r["log_weight"] == pytest.approx(weight[i], abs=1e-4) and r["gumbel_key"] == pytest.approx(weight[i] + noise[i], abs=1e-4)
+    assert weight[9001] == weight[9002] == weight[9003] == 0.0
+    few = {r["doc_id"] for r in importance.keep(docs, labels, k=20).collect()}
+    assert few == set(sorted(weight, key=lambda i: -(weight[i] + noise[i]))[:20])
+
+
+def test_calibration_finds_log_odds():
+    rng = np.random.default_rng(3)
+    slope, offset = importance.calibrated(rng.normal(-1, 1, 20000), rng.normal(1, 1, 20000))  # the true log odds are 2 x
+    assert slope == pytest.approx(2, abs=0.1) and offset == pytest.approx(0, abs=0.1)
+    assert importance.calibrated(np.zeros(0), np.ones(3)) is None
 
 
 @pytest.mark.parametrize("k", [0, 1, 7, 500, 1000])
