@@ -1,35 +1,37 @@
 """Exact token counts by overlap resynchronisation.
 
-A text of up to CHUNK_CHARS is counted by its space-separated words: a single space between two
-characters that are certainly no white space always begins a pre-token, and the pre-tokeniser never
-looks behind, so the words between such spaces are encoded independently and equal ones once per
-worker. A longer text is encoded in chunks that overlap, each with offsets; two neighbours are spliced at a boundary between pre-tokens that both have. Such a
-place is proven stable: the pre-tokeniser's pattern looks ahead by at most GUARD characters and
-never behind, so a boundary of the left chunk more than GUARD before its end is one of the whole
-text, and from a true boundary on the right chunk goes as the whole text does. Where the overlap
-holds no common boundary it is doubled until it does (in the end the chunks are the whole text).
-
-Null and empty texts have 0 tokens. Special strings inside texts are the library's default tokens;
-one is shorter than GUARD, so a cut through it cannot reach a boundary that counts.
+A text of up to CHUNK_CHARS is encoded as it is. Any longer one is encoded in overlapping chunks,
+each with the offsets of its pre-tokens; two neighbours are spliced at a boundary between
+pre-tokens that both have. Such a place is proven stable: the pre-tokeniser's pattern looks ahead by
+at most GUARD characters and never behind, so a boundary of the left chunk at or behind its own splice and GUARD
+or more before its end is one of the whole text, and from a true boundary on the right chunk goes as the
+whole text does. Where the overlap holds no common boundary it is doubled until it does; in the end
+the two chunks are encoded as one.
+
+Defined cases: null and empty texts have 0 bytes and tokens; a text without any boundary, however long, is encoded
+whole; rows are independent, so ties and repeated rows give repeated results and an empty table gives an
+empty one; other columns are not read. Special strings inside texts are the library's default
+tokens; one is shorter than GUARD, so a cut through it cannot reach a boundary that counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
+from typing import NamedTuple
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_CHARS = 1 << 16
-OVERLAP_CHARS = 512
+CHUNK_CHARS = 4096
+OVERLAP_CHARS = 128
 GUARD = 32
-#: Words whose counts a worker keeps at a time.
-KEPT_WORDS = 1 << 19
-#: Characters that are certainly no white space: visible ASCII and Latin letters with marks.
-VISIBLE = frozenset(map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x250)]))
+#: Chunks that are encoded at a time.
+TOGETHER = 128
 
 
 @lru_cache(maxsize=2)
@@ -45,105 +47,93 @@ def tokenizer(path: str):
     return found
 
 
-def _boundaries(encoding, base: int) -> dict[int, int]:
-    """Place in the text of each pre-token boundary -> tokens of this chunk before it."""
-    found, last = {}, None
-    for k, (word, (start, _)) in enumerate(zip(encoding.word_ids, encoding.offsets, strict=True)):
-        if word is None or word != last:
-            found.setdefault(base + start, k)
-        last = word
-    return found
-
-
-def count_long(tok, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> int:
-    """Tokens of a text of any length, by chunks."""
-    total = begin = skip = 0  # skip: tokens of the present chunk that its predecessor has counted
-    end = min(len(text), chunk)
-    left = tok.encode(text[begin:end], add_special_tokens=False)
-    while end < len(text):
-        here, width = _boundaries(left, begin), overlap
-        while True:
-            start = max(begin, end - width)
-            stop = min(len(text), start + max(chunk, 2 * width))
-            right = tok.encode(text[start:stop], add_special_tokens=False)
-            there = _boundaries(right, start)
-            common = [p for p in there if start < p <= end - GUARD and here.get(p, -1) >= skip]
-            if common or start == begin:
+class Chunk(NamedTuple):
+    """An encoded part of a text, and where it begins and ends there."""
+
+    encoding: object
+    begin: int
+    end: int
+
+
+def splice(left: Chunk, right: Chunk, skip: int) -> tuple[int, int] | None:
+    """Tokens of both chunks before their last common stable boundary; left's are skip or more."""
+    at = left.end - GUARD - left.begin
+    word = None
+    while word is None and at > 0:
+        word = left.encoding.char_to_word(at)
+        at -= 1
+    while word is not None and word >= 0:
+        place = left.begin + left.encoding.word_to_chars(word)[0]
+        before = left.encoding.word_to_tokens(word)[0]
+        if place < right.begin or before < skip:
+            return None
+        other = right.encoding.char_to_word(place - right.begin)
+        if other is not None and right.encoding.word_to_chars(other)[0] == place - right.begin:
+            return before, right.encoding.word_to_tokens(other)[0]
+        word -= 1
+    return None
+
+
+class Count:
+    """The running count of one text, chunk after chunk."""
+
+    def __init__(self, tok, text: str):
+        self.tok, self.text = tok, text
+        self.total = self.skip = 0  # skip: tokens of the present chunk that its predecessor has counted
+        self.chunk: Chunk | None = None
+
+    def encoded(self, begin: int, end: int) -> Chunk:
+        return Chunk(self.tok.encode(self.text[begin:end], add_special_tokens=False), begin, end)
+
+    def add(self, right: Chunk) -> None:
+        left, width = self.chunk, OVERLAP_CHARS
+        while left is not None:
+            found = splice(left, right, self.skip)
+            if found:
+                self.total += found[0] - self.skip
+                self.skip = found[1]
+                break
+            if right.begin == left.begin:  # no boundary in all of the left chunk: both are one
                 break
             width *= 2
-        if common:
-            at = max(common)
-            total += here[at] - skip
-            skip = there[at]
-        else:  # no boundary in the whole chunk: go on from its start with a longer one
-            chunk *= 2
-            stop = min(len(text), begin + chunk)
-            right = tok.encode(text[begin:stop], add_special_tokens=False)
-            start = begin
-        begin, end, left = start, stop, right
-    return total + len(left.ids) - skip
-
-
-class WordCounts:
-    """Token counts of whole texts from the counts of their words."""
-
-    def __init__(self, tok):
-        self.tok = tok
-        self.words: dict[str, int] = {}  # words that begin and end visibly, counted with a space before
-        self.pieces: dict[str, int] = {}  # all else, counted as it stands
-
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        """The text cut before each single space between two visible characters."""
-        words = text.split(" ")
-        out = [words[0]]
-        for before, w in zip(words, words[1:], strict=False):
-            if w and before and w[0] in VISIBLE and before[-1] in VISIBLE:
-                out.append(" " + w)
-            else:
-                out[-1] += " " + w
-        return out
-
-    def learn(self, counts: dict[str, int], new: list[str], space: str) -> None:
-        for first in range(0, len(new), 4096):
-            part = new[first : first + 4096]
-            found = self.tok.encode_batch_fast([space + p for p in part], add_special_tokens=False)
-            counts.update(zip(part, map(len, found), strict=True))
-
-    def of(self, texts: list[str]) -> list[int]:
-        for kept in (self.words, self.pieces):
-            if len(kept) > KEPT_WORDS:
-                kept.clear()
-        split = [t.split(" ") for t in texts]
-        new = set().union(*split) - self.words.keys()
-        self.learn(self.words, [w for w in new if w and w[0] in VISIBLE and w[-1] in VISIBLE], " ")
-        counts = [list(map(self.words.get, s)) for s in split]
-        # a text of such words alone is cut at every space; the others, and all first words, go piece by piece
-        pieces = [self.cut(t) if None in c else s[:1] for t, s, c in zip(texts, split, counts, strict=True)]
-        self.learn(self.pieces, [p for p in {x for c in pieces for x in c} if p not in self.pieces], "")
-        own = self.pieces
-        return [sum(own[p] for p in c) if None in n else sum(n) - n[0] + own[c[0]] for c, n in zip(pieces, counts, strict=True)]
+            right = self.encoded(max(left.begin, left.end - width), right.end)
+        self.chunk = right
+
+    def result(self) -> int:
+        return self.total + (len(self.chunk.encoding) - self.skip if self.chunk else 0)
+
+
+def cuts(size: int, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> list[tuple[int, int]]:
+    """Begin and end of a text's chunks; one where it is short enough."""
+    step = chunk - overlap
+    return [(k, min(size, k + chunk)) for k in range(0, max(1, size - overlap), step)]
+
+
+def counts(tok, texts: list[str], chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> list[int]:
+    """Tokens of each text."""
+    found = [Count(tok, t) for t in texts]
+    places = ((k, a, b) for k, t in enumerate(texts) if t for a, b in cuts(len(t), chunk, overlap))
+    while part := list(islice(places, TOGETHER)):
+        encodings = tok.encode_batch([texts[k][a:b] for k, a, b in part], add_special_tokens=False)
+        for (k, a, b), e in zip(part, encodings, strict=True):
+            found[k].add(Chunk(e, a, b))
+            if b == len(texts[k]):
+                found[k] = found[k].result()
+    return [0 if isinstance(c, Count) else c for c in found]
 
 
 def token_counts(df: DataFrame, text: str, tokenizer_path: str, id_col: str = "doc_id", limit: int = 512) -> DataFrame:
-    """id_col, n_bytes, n_tokens and over_limit (n_tokens > limit) of every row of df."""
+    """id_col, n_bytes, n_tokens, over_limit (n_tokens > limit) and n_chunks of every row of df."""
     id_type = df.schema[id_col].dataType
-    schema = T.StructType([T.StructField(id_col, id_type), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
+    schema = T.StructType([T.StructField(id_col, id_type), *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_tokens", "n_chunks")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(tokenizer_path)
-        words = WordCounts(tok)
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            counts = []
-            for first in range(0, len(texts), 512):
-                part = texts[first : first + 512]
-                counts += words.of([t if len(t) <= CHUNK_CHARS else "" for t in part])
-                for i, t in enumerate(part, first):
-                    if len(t) > CHUNK_CHARS:
-                        counts[i] = count_long(tok, t)
-            sizes = [len(t.encode()) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=schema.names)
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
+            chunks = [len(cuts(len(t))) if t else 0 for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(counts(tok, texts), pa.int64()), pa.array(chunks, pa.int64())], names=schema.names)
 
     counted = df.select(F.col(id_col), F.col(text)).mapInArrow(run, schema)
-    return counted.withColumn("over_limit", F.col("n_tokens") > F.lit(limit))
+    return counted.select(id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > F.lit(limit)).alias("over_limit"), "n_chunks")

@@ -415,17 +415,19 @@ def test_token_counts_match_the_library(spark, documents, texts):
 
 def test_chunks_are_spliced_exactly(texts):
     tok = token_counts.tokenizer(vocabulary(BYTE_BPE))
-    rows = [*list(texts.values())[:40], *odd_texts(5, 300, ["'re", "<|endoftext|>", " ", "  ", "abc", "\n", "12", "don't", "'", "é", "\U0001f642"], 300), "a" * 5000, " " * 3000, "<|endoftext|>" * 200]
-    for t in rows:
-        assert token_counts.count_long(tok, t, 120, 34) == len(tok.encode(t, add_special_tokens=False).ids)
+    parts = ["'re", "<|endoftext|>", " ", "  ", "abc", "\n", " \n", "12", "don't", "'", "é", "\U0001f642", "\xa0", "\u2003", "\u200b", "_", "Ⅷ", "½", "\t"]
+    rows = [*list(texts.values())[:100], *odd_texts(5, 600, parts, 300), "", "a" * 5000, " " * 3000, "<|endoftext|>" * 200, "a" * 3000 + " b" * 3000, "\n" * 4000 + "x"]
+    want = [len(e.ids) for e in tok.encode_batch(rows, add_special_tokens=False)]
+    for chunk, overlap in ((120, 34), (200, 100), (4096, 128)):
+        assert token_counts.counts(tok, rows, chunk, overlap) == want
 
 
-def test_words_are_counted_as_whole_texts(texts):
-    tok = token_counts.tokenizer(vocabulary(BYTE_BPE))
-    parts = ["'re", "'", "<|endoftext|>", " ", "  ", " a", "abc", "\n", " \n", "12", "don't", "\xa0", "\u2003", "\u200b", "é", "\U0001f642", ".", "\t", "_", "Ⅷ", "½"]
-    rows = [*list(texts.values())[:100], *odd_texts(8, 3000, parts, 40)]
-    want = [len(e.ids) for e in tok.encode_batch_fast(rows, add_special_tokens=False)]
-    assert token_counts.WordCounts(tok).of(rows) == want
+def test_most_text_goes_by_chunks(spark, documents, texts):
+    """Every text over the chunk's size is spliced; the others are one chunk."""
+    got = {r["doc_id"]: r["n_chunks"] for r in queries()["op6_token_counts"](spark, SF).collect()}
+    for i, t in texts.items():
+        assert got[i] == (0 if not t else 1 if len(t) <= token_counts.CHUNK_CHARS else math.ceil((len(t) - 128) / (4096 - 128)))
+    assert sum(n > 1 for n in got.values()) > 20
 
 
 # 7
