@@ -39,7 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -219,7 +219,7 @@ def id_bitmap(ids: DataFrame, most: int = 1 << 27) -> np.ndarray:
     place = F.pmod(F.xxhash64("id"), F.lit(size)) + F.lit(1)
     parts = ids.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     found = np.zeros((size >> 15, (1 << 15) // 8), dtype=np.uint8)
-    for r in parts.toLocalIterator():
+    for r in parts.collect():  # at most most / 2**15 rows of 4 KB
         found[r["bucket"] - 1] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
     return found.ravel()
 
@@ -255,7 +255,7 @@ def exact_sets(documents: DataFrame, id_col: str, text: str, words: int, wanted:
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    return classes.select("key", F.explode("keys").alias("at"))
+    return classes.select("key", "n", F.explode("keys").alias("at"))
 
 
 def hot_lists(classes: DataFrame) -> DataFrame:
@@ -264,25 +264,37 @@ def hot_lists(classes: DataFrame) -> DataFrame:
     return materialise(sizes.where(F.col("size") > BLOCK), "hot-lists")
 
 
-def _numbered(lists: DataFrame) -> DataFrame:
-    """The distinct lists and a number for each."""
-    return lists.select("ids").where(F.size("ids") > 1).distinct().withColumn("list", F.xxhash64("ids", F.size("ids")))
+def _numbered(lists: DataFrame, measure: Measure) -> DataFrame:
+    """The distinct lists of two classes or more, each with a number, from arrays of (n, key) in `members`.
+
+    Where the sizes in a list leave a gap that no link can bridge, it is cut in two.
+    """
+    held = lists.where(F.size("members") > 1).select(F.array_sort("members").alias("m"))
+
+    def begins(i: Column) -> Column:
+        before, here = F.get("m", i - 1)["n"], F.get("m", i)["n"]
+        return (i == 0) | (before.cast("long") * F.lit(measure.den) < here.cast("long") * F.lit(measure.num))
+
+    starts = F.filter(F.sequence(F.lit(0), F.size("m") - 1), begins)
+    cut = held.select("m", starts.alias("starts")).select(F.explode(F.transform("starts", lambda p, j: F.slice("m", p + 1, F.coalesce(F.get("starts", j + 1), F.size("m")) - p))).alias("m"))
+    ids = F.transform("m", lambda x: x["key"])
+    return cut.where(F.size("m") > 1).select(ids.alias("ids")).distinct().withColumn("list", F.xxhash64("ids", F.size("ids")))
 
 
 def _with_hot(placed: DataFrame, hot: DataFrame, how: str) -> DataFrame:
     return placed.join(F.broadcast(hot) if hot.count() <= FEW_HOT else hot, "at", how)
 
 
-def inverted_lists(classes: DataFrame, hot: DataFrame) -> DataFrame:
+def inverted_lists(classes: DataFrame, hot: DataFrame, measure: Measure) -> DataFrame:
     """list and ids: the distinct lists of two classes or more that share a join key; those of hot keys in blocks."""
     salts = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("size") * F.lit(2.0 / BLOCK)))).cast("long")
     placed = _with_hot(postings(classes), hot.select("at", salts.alias("salts")), "left")
     # equal classes go to blocks of equal number whatever the key, so that equal lists are one
     salt = F.coalesce(F.pmod(F.xxhash64("key"), F.col("salts")), F.lit(-1))
-    return _numbered(placed.groupBy("at", salt.alias("salt")).agg(F.sort_array(F.collect_list("key")).alias("ids")))
+    return _numbered(placed.groupBy("at", salt.alias("salt")).agg(F.collect_list(F.struct("n", "key")).alias("members")), measure)
 
 
-def crossing_lists(classes: DataFrame, hot: DataFrame, labels: DataFrame) -> DataFrame:
+def crossing_lists(classes: DataFrame, hot: DataFrame, labels: DataFrame, measure: Measure) -> DataFrame:
     """list and ids for the hot keys whose classes are in several components: each block of classes outside
     the key's largest component with each block of all its classes."""
     members = _with_hot(postings(classes), hot, "inner").join(labels.withColumnRenamed("id", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
@@ -290,12 +302,12 @@ def crossing_lists(classes: DataFrame, hot: DataFrame, labels: DataFrame) -> Dat
     apart = parts.groupBy("at").agg(F.max_by("label", F.struct("part", "label")).alias("main"), F.sum("part").alias("all"), F.max("part").alias("most"))
     half = F.lit(BLOCK // 2)
     apart = apart.where("most < all").select("at", "main", F.ceil((F.col("all") - F.col("most")) / half).cast("int").alias("outer"), F.ceil(F.col("all") / half).cast("int").alias("blocks"))
-    held = materialise(members.join(apart, "at").select("at", "key", "outer", "blocks", (F.col("label") != F.col("main")).alias("outside")), "apart")
+    held = materialise(members.join(apart, "at").select("at", "key", "n", "outer", "blocks", (F.col("label") != F.col("main")).alias("outside")), "apart")
     place = lambda n, seed: F.pmod(F.xxhash64("key", F.lit(seed)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    outside = held.where("outside").select("at", "key", place("outer", 1).alias("x"), every("blocks").alias("y"))
-    inside = held.select("at", "key", every("outer").alias("x"), place("blocks", 2).alias("y"))
-    return _numbered(outside.unionByName(inside).groupBy("at", "x", "y").agg(F.sort_array(F.collect_set("key")).alias("ids")))
+    outside = held.where("outside").select("at", "key", "n", place("outer", 1).alias("x"), every("blocks").alias("y"))
+    inside = held.select("at", "key", "n", every("outer").alias("x"), place("blocks", 2).alias("y"))
+    return _numbered(outside.unionByName(inside).groupBy("at", "x", "y").agg(F.collect_set(F.struct("n", "key")).alias("members")), measure)
 
 
 class Bitmaps:
@@ -524,19 +536,21 @@ def linked_rows(documents: DataFrame, id_col: str, text: str, measure: Measure)
         links = check(tried, "links")
         labels = joined(labels, links)
         # trees of one forest have no pair within the bound between them, so only a failed edge can leave one out
-        failed = forest.join(links, ["a", "b"], "left_anti").select("list").distinct()
+        failed = materialise(forest.join(links, ["a", "b"], "left_anti").select("list").distinct(), "failed")
+        if failed.isEmpty():
+            return labels
         again = candidate_edges(lists.join(failed, "list", "left_semi"), classes, labels, measure, all_pairs=True)
         crossing = materialise(again.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "crossing")
         return labels if crossing.isEmpty() else joined(labels, check(crossing, "links"))
 
     hot = hot_lists(classes)
-    lists = materialise(inverted_lists(classes, hot), "lists")
+    lists = materialise(inverted_lists(classes, hot, measure), "lists")
     longest = lists.select("list", F.size("ids").alias("size"), F.explode("ids").alias("id")).groupBy("id").agg(F.max(F.struct("size", "list"))["list"].alias("list"))
     early = candidate_edges(lists.join(longest.select("list").distinct(), "list", "left_semi"), classes, None, measure)
     labels = materialise(components(check(materialise(early.select("a", "b").distinct(), "early"), "links")), "labels")
     labels = settled(lists, labels)
     if not hot.isEmpty():
-        across = materialise(crossing_lists(classes, hot, labels), "crossing-lists")
+        across = materialise(crossing_lists(classes, hot, labels, measure), "crossing-lists")
         if not across.isEmpty():
             labels = settled(across, labels)
     named = labels.withColumnRenamed("id", "key").join(classes.select("key", "least"), "key")
