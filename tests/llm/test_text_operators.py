@@ -360,46 +360,93 @@ def test_network_gradients_agree_with_differences():
         assert grads[name][at] == pytest.approx((loss[0] - loss[1]) / 2e-3, abs=2e-4)
 
 
-def test_network_finds_other_layouts_and_base_stays(spark, documents):
-    p = private_spans.fit(documents)
+@pytest.fixture(scope="module")
+def network(documents):
+    return private_spans.fit(documents)
+
+
+def test_fast_emissions_and_the_bound_lose_nothing(network, texts):
+    rng = np.random.default_rng(5)
+    rows = [t[k : k + 90] for t in texts.values() if t for k in rng.integers(0, len(t), 3)] + ["", "a"]
+    coded = [span_net.codes(t) for t in rows if t]
+    x = span_net.pad(coded, max(map(len, coded)))
+    slow, *_ = span_net._emissions(network, x)
+    fast = span_net.scan(network, x).transpose(0, 2, 1)
+    assert np.abs(np.where(x[:, :, None] > 0, slow - fast, 0)).max() < 1e-3
+    every = span_net._best_paths(network, np.ascontiguousarray(fast), x)
+    found = span_net.decode(network, coded, together=2000)
+    assert [[s[:3] for s in f] for f in found] == [[s[:3] for s in f] for f in every]
+    assert len(span_net.hopeful(network, span_net.scan(network, x), x)) < len(coded)
+
+
+def test_network_finds_other_layouts_and_base_stays(spark, network):
     host = "the words around it are plain and "
     items = {"email": "bob.12 (at) site.example.com", "card": "4111.1111.1111.1111", "phone": "(212) 555-0143", "ip": "10[.]20[.]30[.]40"}
     rng = random.Random(1)
     rows = [(k, f"{host}{v} then more words follow") for k, v in items.items()]
     clean = [("none", f"{host}{x} then more words follow") for x in ("12 items", "2024-01-02", "version 2.0", "1eb9c654e721b4f8", "1,250", "10:45")]
     df = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(rows + clean)], "doc_id int, kind string, text string")
-    found = {r["doc_id"]: r["spans"] for r in private_spans.find_spans(df, p).collect()}
+    found = {r["doc_id"]: r["spans"] for r in private_spans.find_spans(df, network).collect()}
     hits = sum(any(s["kind"] == k and (s["start"], s["end"]) == (len(host), len(host) + len(items[k])) and not s["base"] for s in found[i]) for i, (k, _) in enumerate(rows))
     assert hits >= 2
     assert sum(bool(found[len(rows) + i]) for i in range(len(clean))) <= 1
     held, marked = private_spans.training_windows([host * 5], seed=rng.randrange(10**6))
     good = total = 0
-    for first in range(0, 512, 256):
-        for tags, spans in zip(marked[first : first + 256], span_net.decode(p, held[first : first + 256]), strict=True):
-            for s in np.flatnonzero(tags % 2 == 1):
-                total += 1
-                good += any(a == s and 2 * k + 1 == tags[s] for k, a, _, _ in spans)
+    for tags, spans in zip(marked, span_net.decode(network, held), strict=True):
+        for s in np.flatnonzero(tags % 2 == 1):
+            total += 1
+            good += any(a == s and 2 * k + 1 == tags[s] for k, a, _, _ in spans)
     assert good / total > 0.7
 
 
-def test_addresses_without_digits_and_long_ones_are_found(spark, documents):
+def test_addresses_without_digits_and_long_ones_are_found(spark, network):
     host = "the words around it are plain and "
     items = ["jane.doe [at] example [dot] com", "jane.doe(at)example.org", "maximilian.featherstonehaugh.smith (at) department.of.chemistry.example.com", "anna.holm (at) example (dot) org", "peter [at] somewhere.net"]
-    for k in items:
-        first, last = len(host), len(host) + len(k)
-        assert any(a < first and last < b for a, b in private_spans.windows_of(host + k + " then more words follow"))
+    for far in ("", "word " * 70, "word " * 75):
+        for k in items:
+            first, last = len(far + host), len(far + host) + len(k)
+            assert any((a < first or a == 0) and last < b for a, b in private_spans.windows_of(far + host + k + " then more words follow"))
     df = spark.createDataFrame([(i, f"{host}{v} then more words follow") for i, v in enumerate(items)], "doc_id int, text string")
-    found = {r["doc_id"]: r["spans"] for r in private_spans.find_spans(df, private_spans.fit(documents)).collect()}
+    found = {r["doc_id"]: r["spans"] for r in private_spans.find_spans(df, network).collect()}
     hits = [any(s["kind"] == "email" and (s["start"], s["end"]) == (len(host), len(host) + len(v)) for s in found[i]) for i, v in enumerate(items)]
     assert any(hits), hits
     assert max(b - a for a, b in private_spans.windows_of("a" * 100_000 + "@" + "b" * 100_000)) < 1000
 
 
+def test_span_query_matches_brute_force(spark, documents, texts):
+    """Base counts and digests against plain patterns; the spans of the windows against whole-text decoding of short texts."""
+    got = {r["doc_id"]: r for r in queries()["op5_private_spans"](spark, SF).collect()}
+    names = span_net.KINDS
+    assert set(got) == set(texts)
+    for i, t in texts.items():
+        base = sorted(brute_spans(t), key=lambda s: s[:2])
+        r = got[i]
+        assert [r[f"n_{k}"] for k in names[:4]] == [sum(s[0] == k for s in base) for k in range(4)]
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{names[k]}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
+        spans = [(names.index(k), int(a), int(b)) for k, a, b in (x.split(":") for x in r["spans"].split(",") if x)]
+        assert spans == sorted(spans, key=lambda s: s[:2]) and set(base) <= set(spans)
+        more = sorted(set(spans) - set(base), key=lambda s: s[1])
+        assert (r["n_added"], r["n_spans"]) == (len(more), len(spans))
+        for k, a, b in more:
+            assert private_spans.plausible(k, t[a:b]) and not any(x < b and a < y for _, x, y in base)
+        assert all(x[2] <= y[1] for x, y in zip(more, more[1:], strict=False))
+    # secrets have no pattern: what the network adds is most of them
+    secrets = {i: re.findall('token = "([0-9a-f]{40})"', t) for i, t in texts.items()}
+    wanted = [(i, s) for i, found in secrets.items() for s in found]
+    caught = sum(any(texts[i][int(a) : int(b)] == s for k, a, b in (x.split(":") for x in got[i]["spans"].split(",") if x) if k == "secret") for i, s in wanted)
+    assert not wanted or caught / len(wanted) >= 0.5
+
+
+def test_every_character_lies_in_a_window():
+    for n in (0, 1, 383, 384, 385, 704, 705, 5000):
+        parts = private_spans.windows_of("x" * n)
+        assert {k for a, b in parts for k in range(a, b)} == set(range(n))
+        assert all(b - a <= private_spans.WINDOW for a, b in parts)
+        assert all(x[1] - y[0] >= private_spans.OVERLAP for x, y in zip(parts, parts[1:], strict=False))
+
+
 def test_spans_of_overlapping_windows_are_reconciled():
     assert private_spans.reconcile([(0, 0, 5, 0.9), (1, 3, 9, 0.95), (2, 9, 12, 0.8), (0, 6, 9, 0.9)]) == [(0, 0, 5, 0.9), (0, 6, 9, 0.9), (2, 9, 12, 0.8)]
-    text = "x" * 50 + "1" * 300 + "y" * 80
-    parts = private_spans.windows_of(text)
-    assert all(b - a <= private_spans.WINDOW for a, b in parts) and all(any(a <= k < b for a, b in parts) for k in range(50, 350))
 
 
 # 6
