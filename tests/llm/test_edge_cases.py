@@ -50,7 +50,7 @@ def operators(spark, net):
         "importance without labels": lambda df: importance.kept_scores(df, labels.limit(0)),
         "license_rules": lambda df: license_rules.scan(df, "text"),
         "line_spread": line_spread.remove_boilerplate,
-        "bilinear": lambda df: bilinear.score(df, steps=5),
+        "bilinear": lambda df: bilinear.score(df, rounds=1),
         "private_spans": lambda df: private_spans.span_digests(private_spans.find_spans(df, net)),
         "token_counts": lambda df: token_counts.token_counts(df, "text", vocabulary(BYTE_BPE)),
         "template_match": lambda df: template_match.leaks(df, benchmark),

@@ -287,40 +287,132 @@ def test_near_threshold_lines_are_counted_exactly(spark):
 
 
 def test_base_scores_and_held_out_gain(spark, documents, texts):
-    got = {r["doc_id"]: r for r in bilinear.score(documents, steps=600).collect()}
+    got = {r["doc_id"]: r for r in bilinear.score(documents).collect()}
     split = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in texts}
     tokens = {i: [*words(t), None] for i, t in texts.items()}
     c = Counter(w for i, ws in tokens.items() if not split[i] for w in ws)
     n, v = sum(c.values()), len(c)
-    base = model = 0.0
+    base = model = count = 0.0
     for i, ws in tokens.items():
         r = got[i]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (split[i], len(ws), sum(c[w] > 0 for w in ws), n)
         assert r["base_score"] == pytest.approx(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws), rel=1e-9)
         if split[i]:
-            base, model = base + r["base_score"], model + r["score"]
-    assert model > base
+            base, model, count = base + r["base_score"], model + r["score"], count + len(ws)
+    assert model - base > 0.1 * count
+
+
+def odd_stream(size, seed):
+    """Tokens where each of 300 classes is mostly followed by the next but one after the one before it."""
+    rng = np.random.default_rng(seed)
+    kind = rng.integers(0, 300, size)
+    for k in range(2, size):
+        if rng.random() < 0.8:
+            kind[k] = (kind[k - 2] + 7) % 300
+    return *bilinear.before(kind, np.array([0, size])), kind
 
 
 def test_bilinear_probabilities_are_normalised_and_learn():
-    rng = np.random.default_rng(0)
-    counts = np.zeros((bilinear.CLASSES, bilinear.CLASSES), dtype=np.int64)
-    counts[:40, :40] = rng.poisson(2, (40, 40))
-    for k in range(40):
-        counts[k, (k + 1) % 40] += 200
-    table = bilinear.train(counts, steps=400)
-    assert np.allclose(np.exp(table).sum(axis=1), 1, atol=1e-4)
-    share = np.log((counts.sum(axis=0) + 0.1) / (counts.sum() + 0.1 * len(counts)))
-    assert (counts * table).sum() > (counts * share).sum() + counts.sum()
+    two, one, kind = odd_stream(40_000, 0)
+    counts = np.bincount(kind, minlength=bilinear.CLASSES).astype(float)
+    start = bilinear.initial(counts)
+    learner = bilinear.Learner(start, counts)
+    learner.take(two, one, kind)
+    learner.finish()
+    assert learner.steps >= bilinear.LEAST_STEPS and learner.seen == 40_000
+    scorer = bilinear.Scorer(learner.p)
+    for k in range(3):  # all classes after one context
+        every = np.arange(bilinear.CLASSES)
+        p = np.exp(scorer.of(np.full(bilinear.CLASSES, two[k]), np.full(bilinear.CLASSES, one[k]), every).astype(np.float64))
+        assert p.sum() == pytest.approx(1, abs=1e-4)
+    held = odd_stream(5000, 1)
+    share, group = bilinear.shares(counts)
+    plain = np.log(share[held[2]] * group[held[2] // bilinear.GROUP])
+    assert np.allclose(bilinear.Scorer({**start, "qg": 0 * start["qg"], "q": 0 * start["q"]}).of(*held), plain, atol=1e-4)
+    assert scorer.of(*held).mean() > plain.mean() + 1
+
+
+def test_bilinear_gradients_agree_with_differences():
+    rng = np.random.default_rng(2)
+    two, one, kind = (x[:50] % bilinear.CLASSES for x in odd_stream(60, 3))
+    kind[::7] = rng.integers(0, bilinear.CLASSES, len(kind[::7]))
+    counts = rng.integers(0, 50, bilinear.CLASSES).astype(float)
+    p = {k: v.astype(np.float64) + rng.normal(0, 0.05, v.shape) for k, v in bilinear.initial(counts).items()}
+    share, group = bilinear.shares(counts)
+    noise = rng.integers(0, bilinear.GROUP, (bilinear.GROUPS, 5)) + np.arange(bilinear.GROUPS)[:, None] * bilinear.GROUP
+    given = (np.log(share), np.log(group), two, one, kind, rng.integers(0, bilinear.GROUPS, 6), noise)
+    _, grads = bilinear.loss_and_gradients(p, *given)
+    for name, g in grads.items():
+        for at in (np.unravel_index(int(np.abs(g).argmax()), g.shape), tuple(int(rng.integers(0, d)) for d in g.shape)):
+            loss = []
+            for step in (1e-4, -1e-4):
+                q = {k: v.copy() for k, v in p.items()}
+                q[name][at] += step
+                loss.append(bilinear.loss_and_gradients(q, *given)[0])
+            assert g[at] == pytest.approx((loss[0] - loss[1]) / 2e-4, abs=1e-6)
+
+
+def test_scores_are_those_of_the_model_token_by_token(spark, documents, texts):
+    """The query's score against a loop over tokens with the trained parameters, each normalised over all classes."""
+    training = documents.where(~bilinear.held_out("doc_id")).select("text")
+    kept = {}
+    was = bilinear.train
+    bilinear.train = lambda *a: kept.setdefault("p", was(*a))
+    try:
+        got = {r["doc_id"]: r for r in bilinear.score(documents, rounds=1).collect()}
+    finally:
+        bilinear.train = was
+    split = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in texts}
+    c = Counter(w for i, t in texts.items() if not split[i] for w in [*words(t), None])
+    one = lambda w: int(flat.word_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())]))[0]) if w is not None else 1
+    order = sorted(c, key=lambda w: (-c[w], one(w)))
+    kinds = {w: k for k, w in enumerate(order[: bilinear.END_CLASS]) if w is not None}
+
+    def kind(w):
+        raw = (w or "").encode()
+        return bilinear.END_CLASS if w is None else kinds[w] if w in kinds else bilinear.HEAD + raw[-1] % (bilinear.TAIL // 2) * 2 + (max(raw) >= 0x80)
+
+    rest, sorts = Counter(), Counter()
+    for w, n in c.items():
+        rest[kind(w)] += n
+        sorts[kind(w)] += 1
+    p = {k: v.astype(np.float64) for k, v in kept["p"].items()}
+    for i in sorted(texts)[:25]:
+        total, a, b = 0.0, bilinear.END_CLASS, bilinear.END_CLASS  # a: two before
+        for w in [*words(texts[i]), None]:
+            k = kind(w)
+            r = p["e"][b] @ p["c1"] + p["e"][a] @ p["c2"]
+            groups, inside = np.exp(p["qg"] @ r + p["bg"]), np.exp(p["q"] @ r + p["b"])
+            g = k // bilinear.GROUP
+            total += math.log10(groups[g] / groups.sum() * inside[k] / inside[g * bilinear.GROUP : (g + 1) * bilinear.GROUP].sum())
+            if k >= bilinear.HEAD:
+                total += math.log10((c[w] + 0.1) / (rest[k] + 0.1 * (sorts[k] + 1)))
+            a, b = b, k
+        assert got[i]["score"] == pytest.approx(total, rel=1e-4)
+    assert training.count() == sum(not x for x in split.values())
+
+
+def test_repeated_passages_are_counted(spark):
+    rng = random.Random(4)
+    text = lambda k: " ".join(f"{k}w{rng.randrange(10**9)}" for _ in range(200))
+    twice, part = text("a"), text("p")
+    rows = [(i, text(f"x{i}")) for i in range(50)]
+    rows += [(100, twice), (101, twice), (102, text("l") + " " + part), (103, part + " " + text("r")), (104, None)]
+    got = {r["doc_id"]: r for r in bilinear.score(spark.createDataFrame(rows, "doc_id long, text string"), rounds=1).collect()}
+    assert all(got[i]["n_repeated"] == 0 for i in [*range(50), 104])
+    assert got[100]["n_repeated"] > 150 and got[101]["n_repeated"] > 150
+    for i in (102, 103):
+        assert 100 < got[i]["n_repeated"] <= 201
 
 
 def test_rare_tokens_beyond_the_hot_table(spark, documents, monkeypatch):
-    want = {r["doc_id"]: r for r in bilinear.score(documents, steps=3).collect()}
-    monkeypatch.setattr(bilinear.hot_tokens, "__defaults__", (2000,))
-    got = {r["doc_id"]: r for r in bilinear.score(documents, steps=3).collect()}
+    want = {r["doc_id"]: r for r in bilinear.score(documents, rounds=0).collect()}
+    monkeypatch.setattr(bilinear.hot_tokens, "__defaults__", (5000,))
+    got = {r["doc_id"]: r for r in bilinear.score(documents, rounds=0).collect()}
     for i, r in want.items():
         assert got[i]["n_known"] == r["n_known"] and got[i]["base_score"] == pytest.approx(r["base_score"], rel=1e-9)
-        assert got[i]["score"] == pytest.approx(r["score"], rel=1e-6)
+        # fewer words have a class of their own, so scores are near, not equal
+        assert got[i]["score"] == pytest.approx(r["score"], rel=1e-2) and got[i]["n_repeated"] == r["n_repeated"]
 
 
 # 5
