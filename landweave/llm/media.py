@@ -3,13 +3,18 @@
 parse_sequences() turns HTML into an ordered array of structs (pos, kind, text, ref, caption): text
 blocks and media references as they stand on the page. store_media() keeps payloads losslessly as
 8-bit grey PNG images, one row per digest; media_features() reads the stored bytes back.
-resolve() joins references to stored media by digest and puts the sequences together again, so
-positions and captions stay with their media.
+resolve() joins the references, and only these, to stored media by digest and puts them back into their sequences
+by row and position, so that order and captions stay.
+
+document_media() makes a page of each document: its lines as paragraphs, and between them the whole text's
+payload as a figure, with the line before it as its caption. The page is parsed, the reference is resolved by its
+digest, and the row tells where in the sequence the medium stands.
 
 Defined cases: null or empty HTML gives an empty sequence; a reference whose digest is unknown keeps
 its place with a null media struct; an empty payload is one block of zeros; equal payloads are
-stored once. A digest that very many documents refer to is joined on the side of the small
-features row; the join's other side can be split by AQE, as nothing after it needs the key together.
+stored once, so ties share a medium; repeated rows, and rows that share an id, are sequences of their own; an empty
+table gives an empty one; other columns are not read. A digest that very many documents refer to is one small row of
+features; the join's other side can be split by AQE, as nothing after it needs the key together.
 """
 
 from __future__ import annotations
@@ -18,17 +23,21 @@ import hashlib
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .tables import materialise
+
 BLOCK = 64
 SCHEME = "sha256:"
+#: Characters of a caption, at most.
+CAPTION = 80
 #: Fixed values of the PNG format.
 PNG_SIGNATURE = b"\x89PNG\r\n\x1a\n"
 
@@ -74,7 +83,7 @@ class _Sequencer(HTMLParser):
             self.silent -= 1
         if tag == "figcaption" and self.caption is not None:
             said = re.sub(r"\s+", " ", "".join(self.caption)).strip()
-            for item in self.items[self.figure or 0 :]:
+            for item in self.items[self.figure :] if self.figure is not None else ():
                 if item["kind"] == "media" and said:
                     item["caption"] = said
             self.caption = None
@@ -100,17 +109,20 @@ def sequence(html: str | None) -> list[dict]:
     return [{"pos": k, **item} for k, item in enumerate(parser.items)]
 
 
-def parse_sequences(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """id_col and items, the ordered array of text and media structs."""
-    schema = T.StructType([T.StructField(id_col, pages.schema[id_col].dataType), T.StructField("items", T.ArrayType(ITEM))])
+def parse_sequences(pages: DataFrame, id_col: str, html_col: str, carry: Sequence[str] = ()) -> DataFrame:
+    """id_col, the carried columns and items, the ordered array of text and media structs."""
+    held = [id_col, *carry]
+    schema = T.StructType([*[pages.schema[c] for c in held], T.StructField("items", T.ArrayType(ITEM))])
     kind = pa.list_(pa.struct([("pos", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("ref", pa.string()), ("caption", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items = [sequence(x) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, kind)], names=[id_col, "items"])
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                items = [sequence(x) for x in part.column(len(held)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(items, kind)], names=schema.names)
 
-    return pages.select(F.col(id_col), F.col(html_col)).mapInArrow(run, schema)
+    return pages.select(*map(F.col, held), F.col(html_col)).mapInArrow(run, schema)
 
 
 def pad(payload: bytes) -> bytes:
@@ -157,13 +169,26 @@ def describe(samples: bytes) -> str:
     return f"{len(grid)}x{BLOCK}:{int(grid.sum())}:{steps}:{len(np.unique(grid))}:{'/'.join(map(str, bins))}"
 
 
-def payload_digests(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id_col, n_bytes and digest (of the padded payload) per row, without leaving the JVM."""
-    raw = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
+def payload_digest(text: Column) -> tuple[Column, Column]:
+    """Bytes of the text, and the digest of its padded payload, without leaving the JVM."""
+    raw = F.encode(F.coalesce(text, F.lit("")), "UTF-8")
     size = F.octet_length(raw)
     padded = F.greatest(F.lit(1), F.ceil(size / F.lit(BLOCK))).cast("int") * F.lit(BLOCK)
-    sized = df.select(F.col(id_col), size.cast("long").alias("n_bytes"), F.rpad(raw, padded, F.unhex(F.lit("00"))).alias("payload"))
-    return sized.select(id_col, "n_bytes", F.sha2("payload", 256).alias("digest"))
+    return size.cast("long"), F.sha2(F.rpad(raw, padded, F.unhex(F.lit("00"))), 256)
+
+
+def escaped(text: Column) -> Column:
+    return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def page_of(text: Column, digest: Column) -> Column:
+    """A page of the text's lines as paragraphs, with the medium after the middle one and that line's first words as its caption."""
+    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
+    half = F.ceil(F.size(lines) / 2).cast("int")
+    paragraphs = lambda part: F.array_join(F.transform(part, lambda x: F.concat(F.lit("<p>"), escaped(x), F.lit("</p>"))), "")
+    caption = escaped(F.substring(F.element_at(lines, half), 1, CAPTION))
+    figure = F.concat(F.lit(f'<figure><img src="{SCHEME}'), digest, F.lit('"><figcaption>'), caption, F.lit("</figcaption></figure>"))
+    return F.concat(paragraphs(F.slice(lines, 1, half)), figure, paragraphs(F.slice(lines, half + 1, F.size(lines))))
 
 
 def store_media(df: DataFrame, text_col: str) -> DataFrame:
@@ -204,27 +229,40 @@ def media_features(store: DataFrame) -> DataFrame:
     return store.select("digest", "media").mapInArrow(run, schema)
 
 
-def resolve(sequences: DataFrame, features: DataFrame, id_col: str) -> DataFrame:
-    """Sequences with a media struct on each reference whose digest is stored; same rows, same order."""
-    parts = sequences.select(F.col(id_col), F.explode_outer("items").alias("item"))
-    parts = parts.withColumn("digest", F.when(F.col("item.ref").startswith(SCHEME), F.substring("item.ref", len(SCHEME) + 1, 64)))
+def references(sequences: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """The carried columns, n_items, pos, caption and digest (null where the reference has none) of each media item."""
+    media = F.filter("items", lambda x: x["kind"] == F.lit("media"))
+    parts = sequences.select(*map(F.col, carry), F.size("items").cast("long").alias("n_items"), F.explode(media).alias("item"))
+    digest = F.when(F.col("item.ref").startswith(SCHEME), F.substring("item.ref", len(SCHEME) + 1, 64))
+    return parts.select(*map(F.col, carry), "n_items", F.col("item.pos").alias("pos"), F.col("item.caption").alias("caption"), digest.alias("digest"))
+
+
+def with_media(found: DataFrame, features: DataFrame) -> DataFrame:
+    """References with a media struct each, null where the digest is not stored."""
     columns = [c for c in features.columns if c != "digest"]
-    right = features.select("digest", F.struct(*columns).alias("media"))
-    joined = parts.join(right, "digest", "left")
-    item = F.struct("item.pos", "item.kind", "item.text", "item.ref", "item.caption", "media")
-    return joined.groupBy(id_col).agg(F.sort_array(F.collect_list(F.when(F.col("item").isNotNull(), item))).alias("items"))
+    return found.join(features.select("digest", F.struct(*columns).alias("media")), "digest", "left")
+
+
+def resolve(sequences: DataFrame, features: DataFrame, id_col: str) -> DataFrame:
+    """id_col and items with a media struct on each reference whose digest is stored; same rows, same order."""
+    # a row has its number from where it is written, once
+    rows = materialise(sequences.select(id_col, "items").withColumn("__row", F.monotonically_increasing_id()), "sequences")
+    joined = with_media(references(rows, ["__row"]), features)
+    by_row = joined.groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("pos", "media"))).alias("__media"))
+    both = rows.join(by_row, "__row", "left")
+    items = F.transform("items", lambda x: F.struct(x["pos"].alias("pos"), x["kind"].alias("kind"), x["text"].alias("text"), x["ref"].alias("ref"), x["caption"].alias("caption"), F.try_element_at("__media", x["pos"]).alias("media")))
+    return both.select(id_col, items.alias("items"))
 
 
 def document_media(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Each row's text as a medium: stored, referred to by an HTML figure, parsed, and resolved by digest.
+    """Each row's text as a medium in a page of its lines: stored, referred to, parsed, and resolved by digest.
 
-    Returns id_col, n_bytes and the columns of media_features() without the digest.
+    Returns id_col, n_bytes, the columns of media_features() without the digest, and the medium's place
+    in the sequence (media_pos), the sequence's items (n_items) and the caption.
     """
-    digests = payload_digests(df, id_col, text_col)
-    caption = F.concat(F.lit("n_bytes="), F.col("n_bytes"))
-    figure = F.concat(F.lit(f'<figure><img src="{SCHEME}'), F.col("digest"), F.lit('"><figcaption>'), caption, F.lit("</figcaption></figure>"))
-    sequences = parse_sequences(digests.select(id_col, figure.alias("html")), id_col, "html")
-    resolved = resolve(sequences, media_features(store_media(df, text_col)), id_col)
-    return resolved.select(id_col, F.explode("items").alias("item")).where("item.kind = 'media'").select(
-        id_col, F.regexp_extract("item.caption", "([0-9]+)", 1).cast("long").alias("n_bytes"), "item.media.*"
-    )
+    size, digest = payload_digest(F.col(text_col))
+    pages = df.select(F.col(id_col), size.alias("n_bytes"), F.col(text_col).alias("text"), digest.alias("digest"))
+    pages = pages.select(id_col, "n_bytes", page_of(F.col("text"), F.col("digest")).alias("html"))
+    found = references(parse_sequences(pages, id_col, "html", ["n_bytes"]), [id_col, "n_bytes"])
+    joined = with_media(found, media_features(store_media(df, text_col)))
+    return joined.select(id_col, "n_bytes", "media.*", F.col("pos").cast("long").alias("media_pos"), "n_items", "caption")

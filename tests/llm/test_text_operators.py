@@ -639,6 +639,16 @@ def test_media_round_trip(spark, documents, texts):
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
         stored = media.to_png(payload)
         assert media.from_png(stored) == payload and (r["media_bytes"], r["media_sha256"]) == (len(stored), hashlib.sha256(stored).hexdigest())
+        grid = [payload[k : k + 64] for k in range(0, len(payload), 64)]
+        steps = sum(abs(a - b) for line in grid for a, b in zip(line, line[1:], strict=False))
+        bins = [sum(64 * k <= x < 64 * k + 64 for x in payload) for k in range(4)]
+        assert r["feature"] == f"{len(grid)}x64:{sum(payload)}:{steps}:{len(set(payload))}:{'/'.join(map(str, bins))}"
+        # the sequence: lines that are not blank are its text blocks, the medium stands after the middle line
+        lines = texts[r["doc_id"]].split("\n")
+        half = math.ceil(len(lines) / 2)
+        blocks = [bool(re.sub(r"\s+", " ", x).strip()) for x in lines]
+        assert (r["media_pos"], r["n_items"]) == (sum(blocks[:half]), sum(blocks) + 1)
+        assert (r["caption"] or "") == re.sub(r"\s+", " ", lines[half - 1][: media.CAPTION]).strip()
     with pytest.raises(ValueError, match="damaged"):
         media.from_png(stored[:45] + bytes([stored[45] ^ 1]) + stored[46:])
 
@@ -652,6 +662,40 @@ def test_sequences_keep_order_captions_and_unknown_media(spark):
     assert got[2] == [] and [x["text"] for x in got[3]] == ["only text"]
 
 
+def test_several_media_of_a_page_keep_their_places(spark):
+    """Real pages with media put between their paragraphs, against a list that says what goes where."""
+    rng = random.Random(6)
+    pages, payloads, want = [], [], {}
+    for r in spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").limit(20).collect():
+        parts, expected = re.findall(r"<p>([^<]{5,200})", r["html"])[:8], []
+        html = ""
+        for k, part in enumerate(parts):
+            html += f"<p>{part}</p>"
+            expected.append(("text", None, None))
+            if rng.random() < 0.6:
+                payload = f"medium {rng.randrange(12)}"  # many pages share one
+                digest = hashlib.sha256(media.pad(payload.encode())).hexdigest()
+                payloads.append((payload,))
+                html += f'<figure><img src="sha256:{digest}"><figcaption>cap {k}</figcaption></figure>'
+                expected.append(("media", f"cap {k}", digest))
+        pages += [(r["page_id"] % 7, html)]  # ids repeat
+        want.setdefault(r["page_id"] % 7, []).append(expected)
+    store = media.media_features(media.store_media(spark.createDataFrame(payloads, "text string"), "text"))
+    assert store.count() == len({p for (p,) in payloads})
+    sequences = media.parse_sequences(spark.createDataFrame(pages, "page_id long, html string"), "page_id", "html")
+    got = {}
+    for r in media.resolve(sequences, store, "page_id").collect():
+        assert [x["pos"] for x in r["items"]] == list(range(len(r["items"])))
+        got.setdefault(r["page_id"], []).append([(x["kind"], x["caption"], x["media"] and x["media"]["payload_sha256"]) for x in r["items"]])
+    key = lambda rows: sorted(map(str, rows))
+    assert {i: key(x) for i, x in got.items()} == {i: key(x) for i, x in want.items()}
+
+
+def test_a_caption_outside_a_figure_is_no_medium_s():
+    items = media.sequence('<img src="a"><figcaption>lost</figcaption><figure><img src="b"><figcaption>kept</figcaption></figure>')
+    assert [(x["ref"], x["caption"]) for x in items] == [("a", None), ("b", "kept")]
+
+
 def test_real_pages_parse(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = media.parse_sequences(pages, "page_id", "html").collect()
