@@ -12,16 +12,20 @@ Defined cases: null and empty texts match nothing; an item of fewer than MIN_WOR
 matches nothing; one of fewer than the window's words is matched as a whole; a window with less than
 half lexical words is matched with its values only; an item whose other windows touch enough of its
 words also leaks where enough of those are found; an item's first word is looked for as a word and as
-the name or unit that the text before it would make of it. Repeated items and documents each give their own rows. The join is
-a broadcast one only while the counted benchmark windows stay below BROADCAST_WINDOWS.
+the name or unit that the text before it would make of it. Repeated items and documents each give their own rows, and
+rows that share an id are documents of their own, with or without an id. Ties between places go to the one with the most
+windows, then an exact one, then the one with more slots. An empty table on either side gives an empty one; other columns are not read.
+The join is a broadcast one only while the counted benchmark windows stay below BROADCAST_WINDOWS.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import ascii_lower, materialise
+from .tables import ascii_lower, free_name, materialise
 
 WINDOW = 8
 MIN_WORDS = 5
@@ -47,13 +51,21 @@ def template_words(text: Column, values: bool) -> Column:
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
 
 
+def _joined(size: Column, hashes: Sequence[Column]) -> Column:
+    """Hash of a window from its words' hashes; a null one counts as not there."""
+    return F.xxhash64(size, *hashes)
+
+
 def _hashes(words: Column, size: int) -> Column:
-    """Hash of each window of size words, in order."""
+    """Hash of each window of size words, in order, from the words' hashes."""
+    each = F.transform(words, lambda w: F.xxhash64(w))
     count = F.size(words) - size + 1
-    some = F.transform(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-        lambda i: F.xxhash64(F.lit(size), F.slice(words, i, size)),
-    )
+
+    def rolled(own: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: _joined(F.lit(size), [F.get(own, i + k) for k in range(size)]))
+
+    # one array of word hashes for all windows
+    some = F.element_at(F.transform(F.array(each), rolled), 1)
     return F.when(count > 0, some).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -86,7 +98,9 @@ def item_windows(benchmark: DataFrame, window: int, coverage: float = COVERAGE)
 
     def hashed(words: str, first: Column) -> Column:
         part = F.slice(words, F.col("i"), F.col("size"))
-        return F.xxhash64("size", F.when(F.col("kind") == "", part).otherwise(F.concat(F.array(first), F.slice(part, 2, F.col("size") - 1))))
+        part = F.when(F.col("kind") == "", part).otherwise(F.concat(F.array(first), F.slice(part, 2, F.col("size") - 1)))
+        hashes = F.transform(part, lambda w: F.xxhash64(w))
+        return _joined(F.col("size"), [F.get(hashes, F.lit(k)) for k in range(window)])
 
     slot = F.concat(F.lit(SLOT), F.col("kind"))
     return at.select(
@@ -98,20 +112,30 @@ def item_windows(benchmark: DataFrame, window: int, coverage: float = COVERAGE)
 
 def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """One row per leaked pair: doc_id, item_id, n_windows, n_matched, coverage, n_slots, reparameterised."""
+    return _leaks(documents, benchmark, window, coverage).select(F.col("doc.id").alias("doc_id"), "item_id", "n_windows", "n_matched", "coverage", "n_slots", "reparameterised")
+
+
+def _row(of: DataFrame) -> Column:
+    """A row's key, equal for rows of equal id and text only; a null id is like any other."""
+    return F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.col("text")).alias("row"))
+
+
+def _leaks(documents: DataFrame, benchmark: DataFrame, window: int, coverage: float) -> DataFrame:
+    documents = documents.select(_row(documents).alias("doc"), "text")
     items = materialise(item_windows(benchmark, window, coverage), "item-windows")
     counted = items.groupBy("size").agg(F.count("*").alias("count"), F.count("value_h").alias("by_value")).collect()  # at most window - MIN_WORDS + 1 rows
     sizes = sorted({r["size"] for r in counted} | {window})
     small = sum(r["count"] for r in counted) <= BROADCAST_WINDOWS
 
     def windows(values: bool, of: DataFrame, sizes: list[int]) -> DataFrame:
-        texts = of.select("doc_id", template_words(F.col("text"), values=values).alias("words"))
+        texts = of.select("doc", template_words(F.col("text"), values=values).alias("words"))
         hashes = F.concat(*[F.transform(_hashes(F.col("words"), s), lambda h, i: F.struct(i.alias("pos"), h.alias("h"))) for s in sizes])
-        return texts.select("doc_id", F.inline(hashes))
+        return texts.select("doc", F.inline(hashes))
 
     def meet(found: DataFrame, of: DataFrame) -> DataFrame:
         return found.join(F.broadcast(of) if small else of, "h")
 
-    hit = ["doc_id", "item_id", "n_windows", "n_lexical", "size", "item_pos", "pos"]
+    hit = ["doc", "item_id", "n_windows", "n_lexical", "size", "item_pos", "pos"]
     by_value = [r["size"] for r in counted if r["by_value"]]
     if by_value:
         # a template without enough lexical words only tells which documents to read with their values
@@ -120,16 +144,16 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
         both_kinds = templates.unionByName(dense.withColumn("dense", F.lit(True)), allowMissingColumns=True)
         met = meet(windows(False, documents, sizes), both_kinds)
         some = materialise(met.withColumn("pos", F.when(~F.col("dense"), F.col("pos"))).select(*hit, "dense").distinct(), "template-hits")
-        readers = documents.join(some.where("dense").select("doc_id").distinct(), "doc_id", "left_semi")
+        readers = documents.join(some.where("dense").select("doc").distinct(), "doc", "left_semi")
         valued = items.where(F.col("value_h").isNotNull()).select("item_id", "n_windows", "n_lexical", "size", "item_pos", F.col("value_h").alias("h"))
         hits = some.where(~F.col("dense")).select(*hit, F.lit(False).alias("valued")).union(meet(windows(True, readers, sorted(by_value)), valued).select(*hit, F.lit(True)))
     else:
         hits = meet(windows(False, documents, sizes), items).select(*hit, F.lit(False).alias("valued"))
     # a place of the item in the document is where pos - item_pos is the same; units are these places' windows
-    units = hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+    units = hits.groupBy("doc", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         *[F.first(c).alias(c) for c in ("n_windows", "n_lexical", "size")], F.array_sort(F.collect_set(F.struct("item_pos", "valued"))).alias("places")
     )
-    pairs = units.groupBy("doc_id", "item_id").agg(
+    pairs = units.groupBy("doc", "item_id").agg(
         *[F.first(c).alias(c) for c in ("n_windows", "n_lexical", "size")], F.array_sort(F.collect_list(F.struct("shift", "places"))).alias("units")
     )
     by_template = lambda places: F.size(F.filter(places, lambda x: ~x["valued"]))
@@ -137,9 +161,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
     enough = lambda places: of_all(places) | F.coalesce(by_template(places) >= F.lit(coverage) * F.col("n_lexical"), F.lit(False))
     near = materialise(pairs.where(enough(F.array_distinct(F.flatten("units.places")))), "template-pairs")
 
-    doc_slots = documents.join(near.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", template_words(F.col("text"), values=True).alias("doc_words"))
+    doc_slots = documents.join(near.select("doc").distinct(), "doc", "left_semi").select("doc", template_words(F.col("text"), values=True).alias("doc_words"))
     item_slots = benchmark.select("item_id", template_words(F.col("text"), values=True).alias("item_words"))
-    both = near.join(doc_slots, "doc_id").join(item_slots, "item_id")
+    both = near.join(doc_slots, "doc").join(item_slots, "item_id")
 
     def filled(item_pos: Column, pos: Column) -> Column:
         places = F.sequence(F.lit(0), F.col("size") - 1)
@@ -184,7 +208,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
     )
     best = tried.where(F.size("found") > 0).withColumn("best", F.array_max(result))
     return best.select(
-        "doc_id",
+        "doc",
         "item_id",
         F.col("best.n_windows").cast("long").alias("n_windows"),
         F.col("best.n_matched").cast("long").alias("n_matched"),
@@ -194,7 +218,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cove
     )
 
 
-def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without those that leak an item; their columns as they were."""
-    found = leaks(documents, benchmark).select("doc_id").distinct()
-    return documents.join(found, "doc_id", "left_anti").select(documents.columns)
+def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
+    """The documents without the rows that leak an item; their columns as they were."""
+    key = free_name(documents.columns, "__doc")
+    found = _leaks(documents, benchmark, window, coverage).select(F.col("doc").alias(key)).distinct()
+    return documents.withColumn(key, _row(documents)).join(found, key, "left_anti").select(documents.columns)

@@ -621,6 +621,105 @@ def test_leaks_match_whole_passages(spark, documents, texts):
     assert got == want and want
 
 
+def brute_template(text):
+    """Template words, each a kind (m: name, n: number, u: unit, '': word) and a value, by a scan over plain tokens."""
+    t = re.sub("[\x01\x02]", " ", text or "")
+    units = set(template_match.UNITS.replace("?", "").split("|")) | {u.replace("s?", "") for u in template_match.UNITS.split("|")}
+    out, last = [], None
+    pattern = re.compile("(?<=[a-z0-9,;] )[A-Z][a-z]+(?![A-Za-z])|(?<![A-Za-z0-9])[0-9]+(?:[.,][0-9]+)*|[0-9A-Za-z\x80-\U0010ffff]+|[^0-9A-Za-z\x80-\U0010ffff]")
+    for m in pattern.finditer(t):
+        w = m.group()
+        if not re.match("[0-9A-Za-z\x80-\U0010ffff]", w):
+            last = (last[0], last[1] + w) if last else None
+            continue
+        low = w.translate(LOW)
+        name = re.match("(?<=[a-z0-9,;] )[A-Z][a-z]+(?![A-Za-z])", t[m.start() :]) or (m.start() > 1 and re.fullmatch("[A-Z][a-z]+", w) and re.match("[a-z0-9,;] ", t[m.start() - 2 : m.start()]) and not re.match("[A-Za-z]", t[m.end() : m.end() + 1]))
+        if name:
+            out.append(("m", low))
+        elif re.fullmatch("[0-9]+(?:[.,][0-9]+)*", w):
+            out.append(("n", w))
+        elif low in units and last is not None and out and out[-1][0] == "n" and last[1] in ("", " "):
+            out.append(("u", low))
+        else:
+            out.append(("", low))
+        last = (w, "")
+    return out
+
+
+def brute_leaks(docs, items, window=8):
+    """Pairs with one place of the document that holds half of the item's windows with consistent slots."""
+    found = {}
+    for d, text in docs.items():
+        dt = brute_template(text)
+        kinds = [k or v for k, v in dt]
+        at = defaultdict(list)
+        for k in range(len(dt) - window + 1):
+            at[tuple((k_, "" if k_ else v) for k_, v in dt[k : k + window])].append(k)
+        for i, item in items.items():
+            it = brute_template(item)
+            count = len(it) - window + 1
+            if count < 1:
+                continue
+            shifts = defaultdict(list)
+            for p in range(count):
+                for q in at.get(tuple((k_, "" if k_ else v) for k_, v in it[p : p + window]), ()):
+                    shifts[q - p].append(p)
+            for s, places in shifts.items():
+                pairs = {(it[p + j], dt[s + p + j][1]) for p in places for j in range(window) if it[p + j][0]}
+                if 2 * len(places) >= count and len(pairs) == len({a for a, _ in pairs}):
+                    same = all(a[1] == b for a, b in pairs)
+                    found[d, i] = max(found.get((d, i), (0, False)), (len(places), same))
+    assert kinds is not None
+    return found
+
+
+def test_reparameterised_items_match_brute_force(spark, texts):
+    """Items with other numbers and names written into documents, consistently and not."""
+    rng = random.Random(9)
+    verbs = ["sells", "counts", "carries", "paints", "repairs", "borrows", "measures", "sorts"]
+    goods = ["apples", "ropes", "lamps", "boxes", "shirts", "bricks", "wheels", "maps"]
+    names = ["Anna", "Peter", "Maria", "Carla", "Oscar", "Bruno", "Wendy", "Silas"]
+
+    def item(k):
+        r = random.Random(k)
+        a, b, c = r.sample(names, 3)
+        x, y, z = r.sample(range(10, 90), 3)
+        return f"Every day {a} {r.choice(verbs)} {x} red {r.choice(goods)} while {b} {r.choice(verbs)} {y} km of road, and {c} {r.choice(verbs)} {x} blue {r.choice(goods)} so that {a} keeps {z} of the {r.choice(goods)} for {b} at home"
+
+    def changed(text, consistent):
+        values = {}
+        def swap(m):
+            new = values.setdefault(m.group(), str(rng.randrange(100, 999)) if m.group().isdigit() else rng.choice(["Xaver", "Yvonne", "Zora", "Quentin", "Ulla"]) + "abcdefgh"[len(values)])
+            return new if consistent or rng.random() < 0.5 else "777" if m.group().isdigit() else "Nobody"
+        return re.sub("(?<= )(?:[0-9]+|(?:" + "|".join(names) + "))", swap, text)
+
+    items = {k: item(k) for k in range(12)}
+    docs = dict(list(texts.items())[:40])
+    base = list(docs.values())
+    for n in range(150):
+        k, host = rng.randrange(12), rng.choice(base)
+        cut = rng.randrange(len(host) + 1)
+        what = rng.choice([items[k], changed(items[k], True), changed(items[k], False), items[k][: rng.randrange(20, len(items[k]))], changed(items[k], True)[rng.randrange(60) :]])
+        docs[10_000 + n] = host[:cut].rsplit(" ", 1)[0] + " " + what + " " + host[cut:].split(" ", 1)[-1]
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["n_matched"], not r["reparameterised"]) for r in template_match.leaks(df, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    want = brute_leaks(docs, items)
+    assert len(want) > 80 and sum(not same for _, same in want.values()) > 20
+    assert set(want) <= set(got)
+    for pair, (n, same) in want.items():
+        assert got[pair][0] >= n and got[pair][1] == same
+    assert len(set(got) - set(want)) <= 0.03 * len(got)  # places that are only together enough
+
+
+def test_rows_of_one_id_leak_by_their_own_text(spark):
+    item = "a trader sells 12 red apples to Anna Holm and then sells 30 green pears to Peter for the winter market"
+    docs = [(1, f"Here: {item} there."), (1, "nothing of the kind"), (None, f"It says {item}."), (None, "clean"), (2, item[:50]), (2, item[50:])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    assert {r["doc_id"] for r in template_match.leaks(df, bench).collect()} == {1, None}
+    assert sorted(r["text"] for r in template_match.clean(df, bench).collect()) == sorted(["nothing of the kind", "clean", item[:50], item[50:]])
+
+
 def test_large_benchmarks_are_not_broadcast(spark, monkeypatch):
     df = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "doc_id long, text string")
     bench = df.withColumnRenamed("doc_id", "item_id")
