@@ -11,8 +11,8 @@ class, so the probabilities of all tokens (unseen ones are one more of each clas
 
 Training takes every token of the training part once, so its steps grow with the corpus: in each of
 ROUNDS rounds the tasks take their texts of the round (a hash of the text deals them) from common parameters on, and the
-mean of their parameters, weighted by tokens, is the next round's start. A task with less than LEAST_STEPS batches
-goes over the first REPLAY tokens of its texts again.
+mean of their parameters, weighted by tokens, is the next round's start. A batch has BATCH tokens; in a corpus of less
+than AIMED batches of that size a round it has fewer, so that there are as many, but LEAST_BATCH at least.
 
 A passage is a run of tokens up to one whose hash says that it ends (one in PASSAGE) or to the text's end, so equal
 stretches of text fall into equal passages wherever they stand. The counts of all passages of the training part tell how
@@ -51,14 +51,12 @@ ADD = 0.1
 END = np.uint64(0x1)
 END_CLASS = HEAD - 1
 _PASSAGES = np.uint64(0xA24BAED4963EE407)
-DIM = 32
-BATCH = 4096
+DIM = 24
+BATCH, LEAST_BATCH, AIMED = 8192, 512, 1600
 #: Noise groups of a batch, and noise classes of a group in it.
 NOISE_GROUPS, NOISE = 16, 16
 RATE = 0.1
 ROUNDS = 2
-LEAST_STEPS = 200
-REPLAY = 1 << 20
 #: Parts in which parameters are summed up.
 SHARDS = 16
 PASSAGE, LEAST_PASSAGE = 16, 4
@@ -206,22 +204,29 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def _runs(index: np.ndarray) -> np.ndarray:
+    """Where equal values of a sorted index begin."""
+    return np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
+
+
 def _summed(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Sum of the rows by index."""
-    order = np.argsort(index, kind="stable")
+    order = np.argsort(index.astype(np.uint16), kind="stable")  # a radix sort
     found = index[order]
-    starts = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+    starts = _runs(found)
     out = np.zeros((size, rows.shape[1]), rows.dtype)
     out[found[starts]] = np.add.reduceat(rows[order], starts, axis=0)
     return out
 
 
-def loss_and_gradients(p: dict, log_share: np.ndarray, log_group: np.ndarray, two: np.ndarray, one: np.ndarray, kind: np.ndarray, noise_groups: np.ndarray, noise: np.ndarray) -> tuple[float, dict]:
-    """Noise-contrastive loss of a batch in both steps, and its gradients.
+def loss_and_gradients(p: dict, log_share: np.ndarray, log_group: np.ndarray, two: np.ndarray, one: np.ndarray, kind: np.ndarray, noise_groups: np.ndarray, noise: np.ndarray, want_loss: bool = True) -> tuple[float, dict]:
+    """Noise-contrastive loss of a batch in both steps (0 unless it is wanted), and its gradients.
 
     noise_groups has the noise of the first step, noise (groups, n) the noise classes of each group.
     """
-    size = len(kind)
+    size, loss = len(kind), 0.0
+    order = np.argsort(kind.astype(np.uint16), kind="stable")
+    two, one, kind = two[order], one[order], kind[order]
     e1, e2 = p["e"][one], p["e"][two]
     r = e1 @ p["c1"] + e2 @ p["c2"]
     g = {k: np.zeros_like(v) for k, v in p.items()}
@@ -229,32 +234,38 @@ def loss_and_gradients(p: dict, log_share: np.ndarray, log_group: np.ndarray, tw
     # first step
     log_k = np.float32(np.log(len(noise_groups)))
     true = np.einsum("bd,bd->b", r, p["qg"][group]) + (p["bg"] - log_group)[group] - log_k
-    false = r @ p["qg"][noise_groups].T + (p["bg"] - log_group)[noise_groups] - log_k
-    loss = np.logaddexp(0, -true).sum(dtype=np.float64) + np.logaddexp(0, false).sum(dtype=np.float64)
+    false = r @ p["qg"][noise_groups].T + ((p["bg"] - log_group)[noise_groups] - log_k)
+    if want_loss:
+        loss += np.logaddexp(0, -true).sum(dtype=np.float64) + np.logaddexp(0, false).sum(dtype=np.float64)
     d_true, d_false = (_sigmoid(true) - 1) / size, _sigmoid(false) / size
     d_r = d_true[:, None] * p["qg"][group] + d_false @ p["qg"][noise_groups]
-    g["qg"] += _summed(group, d_true[:, None] * r, GROUPS)
+    starts = _runs(group)
+    g["qg"][group[starts]] += np.add.reduceat(d_true[:, None] * r, starts, axis=0)
     np.add.at(g["qg"], noise_groups, d_false.T @ r)
-    g["bg"] += np.bincount(group, weights=d_true, minlength=GROUPS).astype(np.float32)
+    g["bg"][group[starts]] += np.add.reduceat(d_true, starts)
     np.add.at(g["bg"], noise_groups, d_false.sum(axis=0))
     # second step
     log_k = np.float32(np.log(noise.shape[1]))
     extra = p["b"] - log_share - log_k
-    true = np.einsum("bd,bd->b", r, p["q"][kind]) + extra[kind]
-    loss += np.logaddexp(0, -true).sum(dtype=np.float64)
+    own = p["q"][kind]
+    true = np.einsum("bd,bd->b", r, own) + extra[kind]
+    if want_loss:
+        loss += np.logaddexp(0, -true).sum(dtype=np.float64)
     d_true = (_sigmoid(true) - 1) / size
-    d_r += d_true[:, None] * p["q"][kind]
-    g["q"] += _summed(kind, d_true[:, None] * r, CLASSES)
-    g["b"] += np.bincount(kind, weights=d_true, minlength=CLASSES).astype(np.float32)
-    order = np.argsort(group, kind="stable")
-    ends = np.searchsorted(group[order], np.arange(GROUPS + 1))
+    own *= d_true[:, None]
+    d_r += own
+    starts = _runs(kind)
+    g["q"][kind[starts]] += np.add.reduceat(d_true[:, None] * r, starts, axis=0)
+    g["b"][kind[starts]] += np.add.reduceat(d_true, starts)
+    ends = np.searchsorted(group, np.arange(GROUPS + 1))
     for k in np.flatnonzero(np.diff(ends)).tolist():
-        own = order[ends[k] : ends[k + 1]]
-        rows, z = r[own], noise[k]
-        false = rows @ p["q"][z].T + extra[z]
-        loss += np.logaddexp(0, false).sum(dtype=np.float64)
+        rows, z = r[ends[k] : ends[k + 1]], noise[k]
+        qz = p["q"][z]
+        false = rows @ qz.T + extra[z]
+        if want_loss:
+            loss += np.logaddexp(0, false).sum(dtype=np.float64)
         d_false = _sigmoid(false) / size
-        d_r[own] += d_false @ p["q"][z]
+        d_r[ends[k] : ends[k + 1]] += d_false @ qz
         np.add.at(g["q"], z, d_false.T @ rows)
         np.add.at(g["b"], z, d_false.sum(axis=0))
     g["c1"] += e1.T @ d_r
@@ -266,7 +277,8 @@ def loss_and_gradients(p: dict, log_share: np.ndarray, log_group: np.ndarray, tw
 class Learner:
     """Batches of a token stream, one after the other, by AdaGrad steps."""
 
-    def __init__(self, p: dict, counts: np.ndarray, seed: int = SEED):
+    def __init__(self, p: dict, counts: np.ndarray, batch: int = BATCH, seed: int = SEED):
+        self.batch = batch
         share, group = shares(counts)
         self.p = {k: v.copy() for k, v in p.items()}
         self.log_share, self.log_group = np.log(share).astype(np.float32), np.log(group).astype(np.float32)
@@ -274,44 +286,32 @@ class Learner:
         self.square = {k: np.full_like(v, 1e-6) for k, v in p.items()}
         self.rng = np.random.default_rng(seed)
         self.rest: list[np.ndarray] | None = None
-        self.kept: list[np.ndarray] = []
-        self.seen = self.steps = self.stored = 0
+        self.seen = self.steps = 0
 
     def step(self, two: np.ndarray, one: np.ndarray, kind: np.ndarray) -> None:
         draw = self.rng.random
         groups = np.minimum(np.searchsorted(self.group_reach, draw(NOISE_GROUPS) * self.group_reach[-1], side="right"), GROUPS - 1)
         u = draw((GROUPS, NOISE)) * self.reach[:, -1:]
         noise = np.minimum((self.reach[:, None, :] <= u[:, :, None]).sum(axis=2), GROUP - 1) + np.arange(GROUPS)[:, None] * GROUP
-        _, g = loss_and_gradients(self.p, self.log_share, self.log_group, two, one, kind, groups, noise)
+        _, g = loss_and_gradients(self.p, self.log_share, self.log_group, two, one, kind, groups, noise, want_loss=False)
         self.steps += 1
         for k, v in self.p.items():
             self.square[k] += g[k] * g[k]
             v -= RATE * g[k] / np.sqrt(self.square[k])
 
-    def take(self, two: np.ndarray, one: np.ndarray, kind: np.ndarray, new: bool = True) -> None:
+    def take(self, two: np.ndarray, one: np.ndarray, kind: np.ndarray) -> None:
         now = np.stack([two, one, kind]) if self.rest is None else np.concatenate([self.rest, [two, one, kind]], axis=1)
-        if new:
-            self.seen += len(kind)
-            if self.stored < REPLAY:
-                self.kept.append(np.stack([two, one, kind])[:, : REPLAY - self.stored])
-                self.stored += self.kept[-1].shape[1]
-        while now.shape[1] >= BATCH:
-            self.step(*now[:, :BATCH])
-            now = now[:, BATCH:]
-        self.rest = now
+        self.seen += len(kind)
+        whole = now.shape[1] // self.batch * self.batch
+        for first in range(0, whole, self.batch):
+            self.step(*now[:, first : first + self.batch])
+        self.rest = now[:, whole:].copy()
 
     def finish(self) -> None:
-        """The last batch; then what was kept once more, until there are enough steps."""
-        if not self.seen:
-            return
+        """The last tokens, as a batch of their own."""
         if self.rest is not None and self.rest.shape[1]:
             self.step(*self.rest)
-            self.rest = None
-        kept = np.concatenate(self.kept, axis=1)
-        while self.steps < LEAST_STEPS:
-            for first in range(0, kept.shape[1], BATCH):
-                if self.steps < LEAST_STEPS:
-                    self.step(*kept[:, first : first + BATCH])
+        self.rest = None
 
 
 def flat_parameters(p: dict) -> np.ndarray:
@@ -330,13 +330,14 @@ def train(training: DataFrame, text: str, classes: Classes, counts: np.ndarray,
     """Parameters after all tokens of training, by rounds of local steps and weighted means."""
     p = initial(counts)
     context = training.sparkSession.sparkContext
+    per_step = int(min(BATCH, max(LEAST_BATCH, counts.sum() / (AIMED * max(1, rounds)))))
     size = -(-sum(v.size for v in p.values()) // SHARDS)
     for number in range(rounds):
         shared = context.broadcast((classes, p, counts))  # of fixed size
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own, start, seen = shared.value
-            learner = Learner(start, seen)
+            learner = Learner(start, seen, per_step)
             for batch in batches:
                 data, offsets = flat.column_bytes(batch.column(0))
                 for _, _, part, at in flat.slices(data, offsets):
@@ -367,8 +368,11 @@ def train(training: DataFrame, text: str, classes: Classes, counts: np.ndarray,
 
 def _normalised(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log-softmax of each row at one place."""
-    top = scores.max(axis=1)
-    return scores[np.arange(len(at)), at] - top - np.log(np.exp(scores - top[:, None]).sum(axis=1))
+    own = scores[np.arange(len(at)), at]
+    if max(scores.max(), -scores.min()) > 60:  # exp() would leave the range of its type
+        top = scores.max(axis=1, keepdims=True)
+        own, scores = own - top[:, 0], scores - top
+    return own - np.log(np.exp(scores) @ np.ones(scores.shape[1], scores.dtype))
 
 
 class Scorer:
@@ -385,11 +389,14 @@ class Scorer:
             part = slice(first, first + (1 << 15))
             r, group, place = self.one[one[part]] + self.two[two[part]], kind[part] // GROUP, kind[part] % GROUP
             found = _normalised(r @ self.qg + self.bg, group)
-            order = np.argsort(group, kind="stable")
+            order = np.argsort(group.astype(np.uint16), kind="stable")
+            r, place = r[order], place[order]
             ends = np.searchsorted(group[order], np.arange(GROUPS + 1))
+            inside = np.empty(len(order), np.float32)
             for k in np.flatnonzero(np.diff(ends)).tolist():
-                own = order[ends[k] : ends[k + 1]]
-                found[own] += _normalised(r[own] @ self.q[k] + self.b[k], place[own])
+                own = slice(ends[k], ends[k + 1])
+                inside[own] = _normalised(r[own] @ self.q[k] + self.b[k], place[own])
+            found[order] += inside
             out[part] = found
         return out
 

@@ -316,10 +316,11 @@ def test_bilinear_probabilities_are_normalised_and_learn():
     two, one, kind = odd_stream(40_000, 0)
     counts = np.bincount(kind, minlength=bilinear.CLASSES).astype(float)
     start = bilinear.initial(counts)
-    learner = bilinear.Learner(start, counts)
-    learner.take(two, one, kind)
+    learner = bilinear.Learner(start, counts, 250)
+    for first in range(0, 40_000, 999):
+        learner.take(two[first : first + 999], one[first : first + 999], kind[first : first + 999])
     learner.finish()
-    assert learner.steps >= bilinear.LEAST_STEPS and learner.seen == 40_000
+    assert learner.steps == 160 and learner.seen == 40_000
     scorer = bilinear.Scorer(learner.p)
     for k in range(3):  # all classes after one context
         every = np.arange(bilinear.CLASSES)
