@@ -902,28 +902,55 @@ def test_components_of_chains_and_stars(spark, monkeypatch, few):
 # pipeline
 
 
-def test_pipeline_against_a_stage_by_stage_brute_force(spark, texts, documents):
+def test_run_matches_a_brute_force_pipeline(spark, documents):
+    """run() against five plain stages, each on what the one before it kept."""
+    import sentencepiece
+    from pyspark.sql import functions as F
+
     import corpus_pipeline
 
-    docs = documents
-    seen = {}
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        before = {r["doc_id"]: r for r in docs.collect()}
-        docs = stage(spark, docs, SF).cache()
-        after = {r["doc_id"]: r for r in docs.collect()}
-        seen[name] = (before, after)
-        assert set(after) <= set(before) and docs.columns == documents.columns
-    before, after = seen["lines"]
-    sites = defaultdict(set)
-    first = {}
-    for i in sorted(before):
-        for k, line in enumerate((before[i]["text"] or "").split("\n")):
-            sites[line].add(before[i]["source"])
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in documents.collect()]
+    # 1: quality
+    known = {r["__id"]: (r["__class"], r["__half"]) for r in importance.labelled_rows(labels).collect()}
+    noise = {r[0]: r[1] for r in documents.select("doc_id", importance.gumbel(F.col("doc_id"))).collect()}
+    kept = brute_importance([r[:2] for r in rows], known, noise)[1]
+    rows = [r for r in rows if r[0] in kept]
+    # 2: lines
+    sites, first = defaultdict(set), {}
+    for i, t, s in sorted(rows):
+        for k, line in enumerate((t or "").split("\n")):
+            sites[line].add(s)
             first.setdefault(line, (i, k))
-    for i, r in before.items():
-        kept = [line for k, line in enumerate((r["text"] or "").split("\n")) if line == "" or len(sites[line]) < line_spread.MIN_SITES or first[line] == (i, k)]
-        assert (after[i]["text"] if i in after else "").strip() == "\n".join(kept).strip()
-    before, after = seen["near_duplicates"]
-    groups = brute_components({i: r["text"] or "" for i, r in before.items()}, 5, 4, 5)
-    assert set(after) == {i for i, (_, c) in groups.items() if c == i}
-    assert {r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()} == {r["doc_id"] for r in docs.collect()}
+    cut = []
+    for i, t, s in rows:
+        lines = (t or "").split("\n")
+        left = [line for k, line in enumerate(lines) if line == "" or len(sites[line]) < line_spread.MIN_SITES or first[line] == (i, k)]
+        if len(left) == len(lines) or "\n".join(left).strip(" "):
+            cut.append((i, t if len(left) == len(lines) else "\n".join(left), s))
+    # 3: near duplicates
+    groups = brute_components({i: t or "" for i, t, _ in cut}, 5, 4, 5)
+    rows = [r for r in cut if groups[r[0]][1] == r[0]]
+    # 4: decontamination
+    plain = {i: " ".join(PLAIN_WORDS.findall(t.lower())) for i, t in items.items()}
+    leaking = {d for d, _ in brute_leaks({r[0]: r[1] for r in rows}, items)}
+    leaking |= {r[0] for r in rows if any(p in " ".join(PLAIN_WORDS.findall((r[1] or "").lower())) for p in plain.values())}
+    rows = [r for r in rows if r[0] not in leaking]
+    # 5: pieces
+    sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary(PIECE_BPE))
+    want = {}
+    for i, t, _ in rows:
+        ids = sp.encode(t or "")
+        want[i] = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest())
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got == want and 50 < len(got) < documents.count()
+
+
+def test_stages_keep_the_columns_of_documents(spark, documents):
+    import corpus_pipeline
+
+    docs = documents
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.schema == documents.schema
