@@ -119,6 +119,8 @@ class Rules:
     reject_edge: bool = True
     seed: str = "42"
     zip_release: bool = False
+    #: The release table as one file, too, beside its parts.
+    single_file: bool = True
 
 
 @dataclass(frozen=True)

@@ -115,6 +115,11 @@ def to_wkt(rings: list[np.ndarray]) -> str | None:
     return f"POLYGON {texts[0]}" if len(texts) == 1 else f"MULTIPOLYGON ({', '.join(texts)})"
 
 
+def mercator_rings(rings: list[np.ndarray]) -> list[np.ndarray]:
+    """Rings in degrees as rings in EPSG:3857 metres."""
+    return [np.column_stack([np.radians(r[:, 0]) * EARTH, np.log(np.tan(np.pi / 4 + np.radians(r[:, 1]) / 2)) * EARTH]) for r in rings]
+
+
 def signed_area(ring: np.ndarray) -> float:
     x, y = (ring - ring[0]).T if len(ring) else np.zeros((2, 0))
     return float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum() / 2)

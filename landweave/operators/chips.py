@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import pixels as px
+from ..session import held
 from .scenes import first_failure
 
 #: Statuses of a window; texts that end up in the chip log.
@@ -63,27 +65,37 @@ def numbered_in_group(df: DataFrame, group: Sequence[str], order: Sequence[str],
     return df.withColumn(out, (F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1).cast("bigint"))
 
 
-def running_index(df: DataFrame, area: str, order: Sequence[str], out: str = "chip_index", start: int = 0) -> DataFrame:
+def running_index(df: DataFrame, area: str, order: Sequence[str], out: str = "chip_index", start: int = 0, stored: bool = False) -> DataFrame:
     """Numbers over all areas in order: an area's offset is the count of all before it.
 
-    Only the per-area counts, one row an area, are summed in one place.
+    Counts and numbers come from one stored copy of df, unless df is stored already. Only the per-area
+    counts, one row an area, are summed in one place.
     """
-    counts = df.groupBy(area).agg(F.count("*").alias("__n"))
+    rows = df if stored else held(df, "numbered")
+    counts = rows.groupBy(area).agg(F.count("*").alias("__n"))
     before = Window.orderBy(area).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(area, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    inside = numbered_in_group(df, [area], order, "__k")
+    inside = numbered_in_group(rows, [area], order, "__k")
     return inside.join(offsets, area).withColumn(out, (F.col("__offset") + F.col("__k") + F.lit(start)).cast("bigint")).drop("__k", "__offset")
 
 
-def dense_ids(df: DataFrame, order: str, out: str = "id", buckets: int = 256) -> DataFrame:
+#: Rows of a range of dense_ids(), about.
+RANGE_ROWS = 500_000
+
+
+def dense_ids(df: DataFrame, order: str, out: str = "id", rows_each: int = RANGE_ROWS) -> DataFrame:
     """Numbers from 0 over the whole table by an order column, without sorting it in one task.
 
-    Rows are dealt into ranges of the order column by its approximate quantiles; a row's number is its
-    place in its range plus the rows of all ranges before.
+    Rows are dealt into ranges of the order column by its approximate quantiles, as many as the counted rows
+    ask for (10,000 at most); a row's number is its place in its range plus the rows of all ranges before.
+    Counts, quantiles and numbers come from one stored copy of df.
     """
-    if df.isEmpty():
-        return df.withColumn(out, F.lit(None).cast("bigint"))
-    cuts = sorted(set(df.agg(F.percentile_approx(order, [k / buckets for k in range(1, buckets)], 10_000)).first()[0]))
-    bucket = sum((F.when(F.col(order) >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0)) if len(cuts) <= 16 else F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(order)))
-    dealt = df.withColumn("__b", bucket.cast("int"))
-    return running_index(dealt, "__b", [order], out).drop("__b")
+    rows = held(df, "ordered")
+    ranges = min(10_000, max(1, math.ceil(rows.count() / rows_each)))
+    cuts: list = []
+    if ranges > 1:
+        found = rows.agg(F.percentile_approx(order, [k / ranges for k in range(1, ranges)], 10_000)).first()[0]
+        cuts = sorted(set(found or []))
+    bucket = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(order))) if cuts else F.lit(0)
+    dealt = rows.withColumn("__b", bucket.cast("int"))
+    return running_index(dealt, "__b", [order], out, stored=True).drop("__b")

@@ -49,17 +49,40 @@ def balance_quota(counts: DataFrame, factor: float | None) -> DataFrame:
     return joined.withColumn("to_drop", drop).drop("mx", "mn")
 
 
-def seeded_rank(cls: str, item: str, seed: str) -> Column:
-    """Rank of each row of its class in an order given by a hash of the seed and the id."""
-    key = F.md5(F.concat(F.lit(f"{seed}|"), F.col(item).cast("string")))
-    return F.row_number().over(Window.partitionBy(cls).orderBy(key, F.col(item)))
+#: Bits of the seeded hash by which a class is counted.
+BUCKET_BITS = 16
+
+
+def _seeded(item: str, seed: str) -> Column:
+    """Hash of the seed and the id, as text of even spread."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.col(item).cast("string")))
+
+
+def marked(df: DataFrame, cls: str, item: str, quota: DataFrame, seed: str, out: str = "__drawn") -> DataFrame:
+    """df with whether a row is of its class's first to_drop in an order given by a hash of the seed and the id.
+
+    No class is sorted as a whole: a histogram of the hash's first bits tells in which bucket a class's cut
+    lies, and only that bucket's rows, one in 2^BUCKET_BITS, are ranked.
+    """
+    key = _seeded(item, seed)
+    bucket = F.conv(F.substring(key, 1, BUCKET_BITS // 4), 16, 10).cast("int")
+    counts = df.groupBy(cls, bucket.alias("__bucket")).agg(F.count("*").alias("__n"))
+    upto = Window.partitionBy(cls).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("__before", F.coalesce(F.sum("__n").over(upto), F.lit(0))).join(F.broadcast(quota.select(cls, "to_drop")), cls)  # a row for each class
+    at_cut = placed.where((F.col("__before") < F.col("to_drop")) & (F.col("__before") + F.col("__n") >= F.col("to_drop")))
+    cuts = at_cut.select(F.col(cls).alias("__cls"), F.col("__bucket").alias("__cut"), (F.col("to_drop") - F.col("__before")).alias("__rest"))
+    rows = df.withColumns({"__key": key, "__bucket": bucket}).join(F.broadcast(cuts), F.col(cls).eqNullSafe(F.col("__cls")), "left")
+    near = F.coalesce(F.col("__bucket") == F.col("__cut"), F.lit(False))
+    rank = F.row_number().over(Window.partitionBy("__cls").orderBy("__key", F.col(item)))
+    ranked = rows.where(near).withColumn(out, rank <= F.col("__rest"))
+    clear = rows.where(~near).withColumn(out, F.coalesce(F.col("__bucket") < F.col("__cut"), F.lit(False)))
+    return clear.unionByName(ranked).select(*df.columns, out)
 
 
 def balanced(df: DataFrame, cls: str, item: str, factor: float | None, seed: str = "42") -> DataFrame:
     """df without each class's quota, drawn by a seeded hash."""
-    quota = balance_quota(class_counts(df, cls, item), factor).select(cls, "to_drop")
-    ranked = df.withColumn("__rank", seeded_rank(cls, item, seed)).join(F.broadcast(quota), cls)  # a row for each class
-    return ranked.where(F.col("__rank") > F.col("to_drop")).drop("__rank", "to_drop")
+    quota = balance_quota(class_counts(df, cls, item), factor)
+    return marked(df, cls, item, quota, seed).where(~F.col("__drawn")).drop("__drawn")
 
 
 def labelled(df: DataFrame, cls: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,38 +13,53 @@ from pyspark.sql import types as T
 from ..functions import geo
 
 
+def rings_of(text: str | None) -> list[np.ndarray]:
+    """The text's rings; none where it is no polygon, so that one malformed geometry leaves the others alone."""
+    try:
+        return geo.parse_wkt(text)
+    except (ValueError, IndexError, AttributeError):
+        return []
+
+
+def _common_area(texts: Sequence[str] | None, other: str | None, project: Callable[[list[np.ndarray]], list[np.ndarray]]) -> float:
+    window = project(rings_of(other))
+    pieces = [p for t in (texts if texts is not None else []) for p in geo.intersect(project(rings_of(t)), window)]
+    return geo.union_area(pieces) if pieces else 0.0
+
+
 @F.pandas_udf(T.DoubleType())
 def overlap_area(geoms: pd.Series, footprint: pd.Series) -> pd.Series:
     """Area that the union of some polygons (array of WKT) has in common with a footprint (WKT), in its plane."""
-    out = []
-    for texts, other in zip(geoms, footprint, strict=True):
-        window = geo.parse_wkt(other)
-        pieces = [p for t in (texts if texts is not None else []) for p in geo.intersect(geo.parse_wkt(t), window)]
-        out.append(geo.union_area(pieces) if pieces else 0.0)
-    return pd.Series(out, dtype="float64")
+    return pd.Series([_common_area(a, b, lambda r: r) for a, b in zip(geoms, footprint, strict=True)], dtype="float64")
+
+
+@F.pandas_udf(T.DoubleType())
+def mercator_overlap_area(geoms: pd.Series, footprint: pd.Series) -> pd.Series:
+    """overlap_area() of polygons in degrees, in square metres of EPSG:3857."""
+    return pd.Series([_common_area(a, b, geo.mercator_rings) for a, b in zip(geoms, footprint, strict=True)], dtype="float64")
 
 
 @F.pandas_udf(T.BooleanType())
 def polygons_meet(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Whether two polygons (WKT) have common area."""
-    return pd.Series([bool(geo.intersect(geo.parse_wkt(x), geo.parse_wkt(y))) for x, y in zip(a, b, strict=True)], dtype="bool")
+    """Whether two polygons (WKT) have common area; a malformed one has none."""
+    return pd.Series([bool(geo.intersect(rings_of(x), rings_of(y))) for x, y in zip(a, b, strict=True)], dtype="bool")
 
 
-@F.pandas_udf(T.StringType())
-def mercator_wkt(wkt: pd.Series) -> pd.Series:
-    """Polygons in degrees as polygons in EPSG:3857 metres."""
-    import numpy as np
+@F.pandas_udf(T.BooleanType())
+def well_formed(wkt: pd.Series) -> pd.Series:
+    """Whether a text is a polygon with an area."""
+    return pd.Series([any(abs(geo.signed_area(r)) > 0 for r in rings_of(t)) for t in wkt], dtype="bool")
 
-    def convert(text: str | None) -> str | None:
-        rings = geo.parse_wkt(text)
-        return geo.to_wkt([np.column_stack([np.radians(r[:, 0]) * geo.EARTH, np.log(np.tan(np.pi / 4 + np.radians(r[:, 1]) / 2)) * geo.EARTH]) for r in rings])
 
-    return pd.Series([convert(t) for t in wkt], dtype="object")
+@F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in ("minx", "miny", "maxx", "maxy")]))
+def wkt_box(wkt: pd.Series) -> pd.DataFrame:
+    """Bounds of a polygon text."""
+    return pd.DataFrame([geo.bounds(rings_of(t)) or (None,) * 4 for t in wkt], columns=["minx", "miny", "maxx", "maxy"], dtype="float64")
 
 
 @F.pandas_udf(T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())]))
 def centroids(wkt: pd.Series) -> pd.DataFrame:
-    found = [geo.centroid(geo.parse_wkt(t)) or (None, None) for t in wkt]
+    found = [geo.centroid(rings_of(t)) or (None, None) for t in wkt]
     return pd.DataFrame(found, columns=["lon", "lat"], dtype="float64")
 
 
@@ -57,7 +73,7 @@ def common_footprint(scenes: DataFrame, key: str, union_keys: Sequence[str], geo
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pieces = None
         for _, group in pdf.groupby(list(union_keys), sort=True):
-            rings = [r for t in group[geom] for r in geo.parse_wkt(t)]
+            rings = [r for t in group[geom] for r in rings_of(t)]
             pieces = rings if pieces is None else geo.intersect(pieces, rings)
         box = geo.bounds(pieces or []) or (None,) * 4
         return pd.DataFrame([[pdf[key].iloc[0], *box]], columns=[key, "minx", "miny", "maxx", "maxy"])

@@ -51,6 +51,13 @@ def quarter_composite(pixels: DataFrame, keys: Sequence[str], place: Sequence[st
     return named.groupBy(*keys, "quarter", *place).agg(picked.alias(value))
 
 
+def quarter_values(pixels: DataFrame, keys: Sequence[str], t: str, order: Sequence[str], value: str) -> DataFrame:
+    """quarter_composite() and quarter_labels() of single values (no place) in one aggregation."""
+    named = pixels.withColumn("quarter", quarter(F.col(t)))
+    picked = F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order)))
+    return named.groupBy(*keys, "quarter").agg(picked.alias(value), F.min(t).alias("t"))
+
+
 def quarter_labels(pixels: DataFrame, keys: Sequence[str], t: str) -> DataFrame:
     """The first time of each quarter, whichever scene a composite's values came from."""
     return pixels.withColumn("quarter", quarter(F.col(t))).groupBy(*keys, "quarter").agg(F.min(t).alias("t"))
@@ -98,6 +105,24 @@ def coarsen(pixels: DataFrame, keys: Sequence[str], n: int, height: int, width:
     return found.withColumn("uniform", F.coalesce((F.col("low") == F.col("high")) & (F.col("low") > 0), F.lit(False)))
 
 
+def inside_sample(v: Column, y: Column, x: Column, first: int, sample: int) -> Column:
+    """The value where y and x lie in the sample that begins at `first` in both directions, else null."""
+    return F.when(y.between(first, first + sample - 1) & x.between(first, first + sample - 1), v)
+
+
+def with_margin(data: Column, sample: int, margin: int) -> Column:
+    """A sample's values in the middle of a chip that is wider by the margin on each side, where values are missing."""
+    side = sample + 2 * margin
+    if not margin:
+        return data
+
+    def value(k: Column) -> Column:
+        y, x = F.floor(k / side).cast("int"), F.pmod(k, F.lit(side)).cast("int")
+        return inside_sample(F.get(data, (y - margin) * sample + (x - margin)), y, x, margin, sample)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), value)
+
+
 def band_check(blocks: DataFrame, keys: Sequence[str], expected: int) -> DataFrame:
     """Groups and whether they have all bands."""
     return blocks.groupBy(*keys).agg((F.count_distinct("band") == expected).alias("complete"))

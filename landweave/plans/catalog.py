@@ -260,9 +260,8 @@ t AS (SELECT l_suppkey, quarter, strftime(min(l_shipdate), '%Y-%m-%d') AS day FR
 SELECT l_suppkey, quarter, v, day FROM c JOIN t USING (l_suppkey, quarter)""")
 def quarter_composite(spark, d):
     lines = table(spark, d, "lineitem").withColumn("v", F.nullif("l_quantity", F.lit(1.0)))
-    values = raster.quarter_composite(lines, ["l_suppkey"], [], "l_shipdate", ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"], "v")
-    days = raster.quarter_labels(lines, ["l_suppkey"], "l_shipdate").select("l_suppkey", "quarter", F.date_format("t", "yyyy-MM-dd").alias("day"))
-    return values.join(days, ["l_suppkey", "quarter"])
+    found = raster.quarter_values(lines, ["l_suppkey"], "l_shipdate", ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"], "v")
+    return found.select("l_suppkey", "quarter", "v", F.date_format("t", "yyyy-MM-dd").alias("day"))
 
 
 @query("""
@@ -407,7 +406,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles to windows to status, cap, numbers, classes and paths: a small release table."""
     numbered = chips.running_index(capped_windows(spark, sf_dir), "label", ["vec_id", "wy", "wx"], "original_id")
     kept = numbered.where((F.col("status") == "success") & F.col("lulc").isin(1, 2, 5, 7, 8, 11))
-    ids = chips.dense_ids(kept, "original_id", "id", 16)
+    ids = chips.dense_ids(kept, "original_id", "id", 1000)
     named = curate.labelled(ids.withColumn("lulc", F.col("lulc").cast("int").cast("string")), "lulc")
     return named.select("id", "original_id", big("label").alias("aoi_index"), "lulc", "category", names.plain_name("dem", F.col("id")).alias("dem_paths"))
 
@@ -448,15 +447,15 @@ def balanced_sample(spark, d):
 def drop_sample(spark, d):
     e = _events(spark, d)
     quota = curate.balance_quota(curate.class_counts(e, "event_type", "event_id"), 1.1)
-    ranked = e.withColumn("k", curate.seeded_rank("event_type", "event_id", "42")).join(quota, "event_type")
-    return e.join(ranked.where("k <= to_drop").select("event_id"), "event_id", "left_anti").select("event_id", "event_type")
+    drawn = curate.marked(e, "event_type", "event_id", quota, "42", "drawn")
+    return drawn.where("NOT drawn").select("event_id", "event_type")
 
 
 @query("""
 SELECT o_orderkey AS original_id, (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS id, o_custkey::VARCHAR AS lulc FROM orders WHERE o_totalprice > 200000""")
 def release_ids(spark, d):
     kept = table(spark, d, "orders").where("o_totalprice > 200000").withColumnRenamed("o_orderkey", "original_id")
-    return chips.dense_ids(kept, "original_id", "id", 64).select("original_id", "id", F.col("o_custkey").cast("string").alias("lulc"))
+    return chips.dense_ids(kept, "original_id", "id", 10_000).select("original_id", "id", F.col("o_custkey").cast("string").alias("lulc"))
 
 
 @query("""
@@ -501,7 +500,7 @@ SELECT src_name || '_' || printf('%06d', original_id) || '_' || step || '_' || d
 UNION ALL SELECT 'dem_' || printf('%06d', original_id) || '.tif', 'dem_' || printf('%06d', id) || '.tif' FROM n""")
 def asset_manifest(spark, d):
     held = date_lists(spark, d).where(names.list_size(F.col("dates")) == 4).withColumnRenamed("id", "original_id")
-    return curate.asset_manifest(chips.dense_ids(held, "original_id", "id", 16), dates="dates", sources=("s2l2a", "s1rtc"))
+    return curate.asset_manifest(chips.dense_ids(held, "original_id", "id", 1000), dates="dates", sources=("s2l2a", "s1rtc"))
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (3, 7, 11, 42)")

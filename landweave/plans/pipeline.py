@@ -19,6 +19,8 @@ AREA_KEYS = ["aoi_index"]
 WINDOW_KEYS = ["aoi_index", "wy", "wx"]
 #: Cell width in degrees of the join of areas and scenes.
 CELL = 2.0
+#: Statuses of areas that fail outside the search.
+MALFORMED, APART = "aoi geometry malformed", "scenes without a common footprint"
 
 
 def seasons_of(spark: SparkSession, cfg: RunConfig) -> DataFrame:
@@ -65,7 +67,7 @@ def radar_scenes(anchors: DataFrame, catalogue: DataFrame, cfg: RunConfig) -> Da
     near = _windowed(anchors, catalogue, cfg.s1rtc.collection, cfg.s1rtc.delta_days).withColumn("distance", timefn.apart(F.col("center"), F.col("dt")))
     first = near.where("season_idx = 0")
     orbits = first.groupBy("aoi_index", "rel_orbit", "footprint").agg(F.collect_list("scene_geom").alias("geoms"), F.min("distance").alias("distance"))
-    plane = orbits.withColumn("area", geometry.overlap_area("geoms", "footprint"))
+    plane = orbits.withColumn("area", geometry.mercator_overlap_area("geoms", "footprint"))
     locked = scenes.top_per_group(plane, AREA_KEYS, [F.desc("area"), F.asc("distance"), F.asc("rel_orbit")]).select("aoi_index", F.col("rel_orbit").alias("orbit"))
     held = near.join(locked, "aoi_index").where(F.col("rel_orbit") == F.col("orbit"))
     return scenes.best_date_rows(held, ["aoi_index", "season_idx"], "dt", ["distance", "dt", "item_id"])
@@ -105,8 +107,16 @@ def select_scenes(areas: DataFrame, catalogue: DataFrame, grid: DataFrame, cfg:
         *[F.count_if(F.col("source") == s).alias(f"n_{s}") for s in parts],
         *[F.count_distinct(of(s)).alias(f"n_{s}_dates") for s in ("lc2l2", "s1rtc")],
     )
-    checked = scenes.area_status(areas.drop("status").join(counts, "aoi_index", "left"), cfg.rules.required_dates)
-    return chosen, checked.select("aoi_index", "geom", "bbox", "status")
+    common = common_areas(chosen)
+    checked = scenes.area_status(areas.drop("status").join(counts, "aoi_index", "left").join(common, "aoi_index", "left"), cfg.rules.required_dates)
+    failures = [(~geometry.well_formed(F.col("geom")), MALFORMED), (F.col("status") != "success", F.col("status")), (F.col("common").isNull(), APART)]
+    return chosen, checked.withColumn("status", scenes.first_failure(failures)).select("aoi_index", "geom", "bbox", "common", "status")
+
+
+def common_areas(chosen: DataFrame) -> DataFrame:
+    """common: bounds of what the scenes of all collections and dates of an area have in common, null for nothing."""
+    found = geometry.common_footprint(chosen.withColumn("date", F.to_date("dt")), "aoi_index", ["collection", "date"], "geom")
+    return found.select("aoi_index", F.when(F.col("minx").isNotNull(), F.struct("minx", "miny", "maxx", "maxy")).alias("common"))
 
 
 def scene_id_lists(chosen: DataFrame) -> DataFrame:
@@ -149,7 +159,11 @@ def make_chips(blocks: DataFrame, areas: DataFrame, ids: DataFrame, cfg: RunConf
     """
     cover = source_blocks(blocks, "lulc", cfg)
     found = chips.candidates(cover.join(areas.where("status = 'success'"), "aoi_index"))
+    margin = cfg.chips.pixels(cfg.lulc.resolution)[2] * cfg.lulc.resolution
     edge = (F.col("wy") == F.col("rows") - 1) | (F.col("wx") == F.col("cols") - 1) if cfg.rules.reject_edge else None
+    if margin:  # a chip at the first row or column would reach beyond the stack
+        first = (F.col("wy") == 0) | (F.col("wx") == 0)
+        edge = first if edge is None else edge | first
     # as the int8 cast does, means are truncated
     whole = found.withColumn("data", F.transform("data", lambda v: pixels.checked_cast(v, "smallint").cast("double")))
     state = whole.withColumn("lulc_status", chips.land_cover_status(F.col("data"), edge))
@@ -168,7 +182,7 @@ def make_chips(blocks: DataFrame, areas: DataFrame, ids: DataFrame, cfg: RunConf
     numbered = chips.running_index(done, "aoi_index", ["wy", "wx"], "chip_index", start)
     side = float(cfg.chips.sample_size)
     x, y = F.col("minx") + F.col("wx") * side, F.col("maxy") - F.col("wy") * side
-    box = F.struct(x.alias("minx"), (y - side).alias("miny"), (x + side).alias("maxx"), y.alias("maxy"))
+    box = F.struct((x - margin).alias("minx"), (y - side - margin).alias("miny"), (x + side + margin).alias("maxx"), (y + margin).alias("maxy"))
     good = F.col("status") == "success"
     full = numbered.join(ids, "aoi_index", "left").withColumn("chip_footprint", F.when(F.col("lulc_status").isin("ok", chips.WRONG, chips.FLOOD), geo.footprint_wkt(box, F.col("epsg"))))
     return full.select("chip_index", "aoi_index", *[F.when(good, F.col(f"{s}_dates")).otherwise(F.lit("[]")).alias(f"{s}_dates") for s in SOURCES], F.col("lulc").cast("int").alias("lulc"), "chip_footprint", "epsg", "status", *ID_COLUMNS, "wy", "wx")
@@ -183,10 +197,50 @@ def release(log: DataFrame, cfg: RunConfig, thumb_prefix: str = "") -> DataFrame
     return curate.with_paths(curate.labelled(at, "lulc"), thumb_prefix)
 
 
+def chip_bands(source: str, cfg: RunConfig) -> list[str] | None:
+    """The bands of a source's chips in order; None where it has one, whatever its name."""
+    settings = getattr(cfg, source)
+    if source in ("lulc", "dem"):
+        return None
+    masked = source == "s2l2a" or (source == "lc2l2" and cfg.rules.mask_landsat)
+    return [b for b in settings.bands if not (masked and b == settings.cloud_band)]
+
+
+def chip_images(blocks: DataFrame, log: DataFrame, areas: DataFrame, source: str, cfg: RunConfig) -> DataFrame:
+    """What images.encode_chips() needs for each chip image of a source: of every step, or one where it has no time.
+
+    log: a chip log with wy and wx. Values outside the sample, and missing ones, are the source's no-data value.
+    """
+    settings = getattr(cfg, source)
+    sample, side, margin = cfg.chips.pixels(settings.resolution)
+    good = log.where("status = 'success'").select(*WINDOW_KEYS, "chip_index")
+    ready = source_blocks(blocks.where(F.col("source") == source).join(good.select(*WINDOW_KEYS), WINDOW_KEYS, "left_semi"), source, cfg)
+    rows = ready.join(good, WINDOW_KEYS).groupBy(*WINDOW_KEYS, "chip_index", "t").agg(F.map_from_entries(F.collect_list(F.struct("band", "data"))).alias("m"))
+    bands = chip_bands(source, cfg)
+    planes = F.array(*[F.element_at("m", b) for b in bands]) if bands else F.map_values("m")
+    whole = settings.fill_na or "int" in settings.dtype
+    value = (lambda v: F.coalesce(v, F.lit(float(settings.na_value)))) if whole else (lambda v: v)
+    data = F.transform(planes, lambda p: F.transform(raster.with_margin(p, sample, margin), value))
+    placed = chips.numbered_in_group(rows, ["chip_index"], ["t"], "step").join(areas.select("aoi_index", "epsg", "minx", "maxy"), "aoi_index")
+    width, reach = float(cfg.chips.sample_size), float(margin * settings.resolution)
+    name = names.step_name(F.lit(source), F.col("chip_index"), F.col("step"), timefn.day_stamp(F.col("t")), "tif") if bands else names.plain_name("lc" if source == "lulc" else source, F.col("chip_index"))
+    return placed.select(
+        name.alias("name"), data.alias("data"), F.lit(side).alias("n"), F.lit(settings.dtype).alias("dtype"), "epsg",
+        (F.col("minx") + F.col("wx") * width - reach).alias("minx"), (F.col("maxy") - F.col("wy") * width + reach).alias("maxy"), F.lit(float(settings.resolution)).alias("resolution"),
+    )
+
+
 def thumbnails(blocks: DataFrame, log: DataFrame, source: str, cfg: RunConfig) -> DataFrame:
-    """name, data (three arrays of byte values) and n of the thumbnails of successful chips."""
+    """name, data (three arrays of byte values) and n of the thumbnails of successful chips.
+
+    The second to fourth band are blue, green and red; a source with fewer has no thumbnails.
+    """
     settings = getattr(cfg, source)
-    ready = source_blocks(blocks, source, cfg)
+    sample, side, margin = cfg.chips.pixels(settings.resolution)
+    good = log.where("status = 'success'").select(*WINDOW_KEYS, "chip_index")
+    ready = source_blocks(blocks.where(F.col("source") == source).join(good.select(*WINDOW_KEYS), WINDOW_KEYS, "left_semi"), source, cfg)
+    if source != "s1rtc" and len(settings.bands) < 4:
+        return good.where("false").select(F.lit("").alias("name"), F.array(F.array(F.lit(0).cast("bigint"))).alias("data"), F.lit(0).alias("n"))
     chosen = settings.bands if source == "s1rtc" else [settings.bands[k] for k in (3, 2, 1)]
     rows = ready.where(F.col("band").isin(*chosen)).groupBy(*WINDOW_KEYS, "t").agg(F.map_from_entries(F.collect_list(F.struct("band", "data"))).alias("m"))
     if source == "s1rtc":
@@ -196,16 +250,30 @@ def thumbnails(blocks: DataFrame, log: DataFrame, source: str, cfg: RunConfig) -
     else:
         plane = lambda b: F.transform(F.element_at("m", b), lambda v: pixels.to_byte(pixels.stretch(v, F.array_max(F.element_at("m", b)))))
         planes = F.array(*[plane(b) for b in chosen])
-    stepped = rows.withColumn("data", planes).join(log.where("status = 'success'").select("aoi_index", "wy", "wx", "chip_index"), WINDOW_KEYS)
-    numbered = chips.numbered_in_group(stepped, ["chip_index"], ["t"], "step")
+    data = F.transform(planes, lambda p: F.transform(raster.with_margin(p, sample, margin), lambda v: F.coalesce(v, F.lit(0).cast("bigint"))))
+    numbered = chips.numbered_in_group(rows.withColumn("data", data).join(good, WINDOW_KEYS), ["chip_index"], ["t"], "step")
     name = names.step_name(F.lit(source), F.col("chip_index"), F.col("step"), timefn.day_stamp(F.col("t")), "png")
-    return numbered.select(name.alias("name"), "data", F.sqrt(F.size(F.get("data", 0))).cast("int").alias("n"))
+    return numbered.select(name.alias("name"), "data", F.lit(side).alias("n"))
+
+
+def write_chips(blocks: DataFrame, log: DataFrame, areas: DataFrame, cfg: RunConfig, folder: str) -> int:
+    """Writes the chip images and thumbnails of a log's successful chips; how many files."""
+    from ..sources import images
+
+    made = [images.encode_chips(chip_images(blocks, log, areas, s, cfg), "tif") for s in ("s2l2a", "s1rtc", "lc2l2", "lulc", "dem")]
+    made += [images.encode_chips(thumbnails(blocks, log, s, cfg), "png") for s in SOURCES]
+    return scenes.ragged_union(*[images.write_images(m, folder) for m in made]).count()
 
 
 def main(argv: list[str] | None = None) -> None:
-    """Search, chips and release of one run, from tables of areas, scenes, grid and blocks."""
-    from ..session import build_session, ship
-    from ..sources import chiplog, geojson, release as folders
+    """Search, chips and release of one run, from tables of areas, scenes, grid and blocks.
+
+    A run that finds its chip log goes on behind the last area in it: areas and their statuses come from the run's own area
+    file, chips are numbered on. Images are written before the log, so every successful chip in the log has its files.
+    """
+    from ..session import build_session, held, ship
+    from ..sources import chiplog, geojson, scene_catalog
+    from ..sources import release as folders
 
     args = parse_args(argv)
     cfg = RunConfig.from_yaml(args.config)
@@ -213,25 +281,34 @@ def main(argv: list[str] | None = None) -> None:
     ship(spark)
     work = Path(cfg.directory.working, cfg.dataset.version)
     folders.snapshot_config(args.config, work)
-    areas = geojson.read_areas(spark, f"{cfg.directory.working}/aois_{cfg.aoi.version}.geojson")
-    areas = curate.exclude_include(areas, "aoi_index", cfg.aoi.include_indices, cfg.aoi.exclude_indices)
-    log_path = f"{work}/chip_log"
+    state, log_path = f"{work}/aois.geojson", f"{work}/chip_log"
+    if Path(state).exists():
+        areas = geojson.read_areas(spark, state)
+    else:
+        found = geojson.read_areas(spark, f"{cfg.directory.working}/aois_{cfg.aoi.version}.geojson")
+        areas = curate.exclude_include(found, "aoi_index", cfg.aoi.include_indices, cfg.aoi.exclude_indices).withColumn("status", F.lit("not processed"))
+        geojson.write_collection(areas, "geom", state)
     log = chiplog.read_log(spark, log_path) if Path(log_path).exists() else chiplog.empty_log(spark)
     todo = curate.resumable(areas, log, "aoi_index")
-    start = (log.agg(F.max("chip_index")).first()[0] or -1) + 1 if not log.isEmpty() else 0
-    chosen, checked = select_scenes(todo, spark.read.parquet(args.scenes), spark.read.parquet(f"{args.scenes}_grid"), cfg)
+    last = log.agg(F.max("chip_index")).first()[0]
+    chosen, checked = select_scenes(todo, scene_catalog.read_scenes(spark, args.scenes), spark.read.parquet(f"{args.scenes}_grid"), cfg)
+    chosen, checked = held(chosen, "chosen"), held(checked, "checked")
     geojson.write_features(chosen, "geom", f"{work}/scenes", partition="aoi_index")
-    geometry_of = spark.read.parquet(f"{args.blocks}_areas")
-    placed = checked.select("aoi_index", "status").join(geometry_of, "aoi_index")
-    chiplog.write_log(make_chips(spark.read.parquet(args.blocks), placed, scene_id_lists(chosen), cfg, start), log_path)
-    geojson.write_collection(curate.upsert_status(areas, checked, "aoi_index"), "geom", f"{work}/aois.geojson")
+    blocks = spark.read.parquet(args.blocks)
+    placed = checked.select("aoi_index", "status").join(spark.read.parquet(f"{args.blocks}_areas"), "aoi_index")
+    new = held(make_chips(blocks, placed, scene_id_lists(chosen), cfg, 0 if last is None else last + 1), "chips")
+    write_chips(blocks, new, placed, cfg, str(work))
+    chiplog.write_log(new, log_path)
+    geojson.write_collection(curate.upsert_status(areas, checked, "aoi_index"), "geom", state)
     out = Path(cfg.directory.output, cfg.dataset.version)
     folders.snapshot_config(args.config, out)
-    table = release(chiplog.read_log(spark, log_path), cfg)
-    geojson.write_collection(table, "chip_footprint", f"{out}/tracker.geojson")
+    table = held(release(chiplog.read_log(spark, log_path), cfg), "release")
+    geojson.write_features(table, "chip_footprint", f"{out}/tracker")
+    if cfg.rules.single_file:
+        geojson.write_collection(table, "chip_footprint", f"{out}/tracker.geojson")
     manifest = curate.asset_manifest(table)
     folders.check_distinct(manifest)
-    folders.copy_files(manifest, str(work), str(out)).count()
+    folders.copy_all(manifest, str(work), str(out))
     if cfg.directory.zip_output:
         folders.archive(out if cfg.rules.zip_release else work, f"{out}_archive")
 

@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,5 +82,12 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def held(df: DataFrame, name: str) -> DataFrame:
+    """df written once as Parquet in the shared folder and read back, for plans that need it more than once."""
+    path = f"{shared_folder(df.sparkSession)}/landweave/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_cpus() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 1))

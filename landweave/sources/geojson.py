@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import AOI
 
@@ -20,17 +22,21 @@ def ring_box(points: Column) -> Column:
     return F.struct(F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"), F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy"))
 
 
-def read_areas(spark: SparkSession, path: str) -> DataFrame:
-    """aoi_index, geom (WKT), bbox and status of each feature; the index is the property of that name or the place."""
-    raw = spark.read.schema(_FEATURES).option("multiLine", True).json(path).select(F.posexplode("features").alias("pos", "f"))
-    kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
-    polygons = F.when(kind == "MultiPolygon", F.from_json(text, "array<array<array<array<double>>>>")).otherwise(F.array(F.from_json(text, "array<array<array<double>>>")))
-    points = F.flatten(F.flatten(polygons))
+def polygon_wkt(kind: Column, coordinates: Column) -> tuple[Column, Column]:
+    """WKT and points of a GeoJSON geometry given as its type and its coordinates' JSON text."""
+    polygons = F.when(kind == "MultiPolygon", F.from_json(coordinates, "array<array<array<array<double>>>>")).otherwise(F.array(F.from_json(coordinates, "array<array<array<double>>>")))
     # a polygon is an array of rings, a ring an array of points
     ring_text = lambda r: F.concat(F.lit("("), F.array_join(F.transform(r, lambda p: F.concat_ws(" ", F.get(p, 0).cast("string"), F.get(p, 1).cast("string"))), ", "), F.lit(")"))
     polygon_text = lambda g: F.concat(F.lit("("), F.array_join(F.transform(g, ring_text), ", "), F.lit(")"))
     texts = F.transform(polygons, polygon_text)
     wkt = F.when(F.size(texts) == 1, F.concat(F.lit("POLYGON "), F.get(texts, 0))).otherwise(F.concat(F.lit("MULTIPOLYGON ("), F.array_join(texts, ", "), F.lit(")")))
+    return wkt, F.flatten(F.flatten(polygons))
+
+
+def read_areas(spark: SparkSession, path: str) -> DataFrame:
+    """aoi_index, geom (WKT), bbox and status of each feature; the index is the property of that name or the place."""
+    raw = spark.read.schema(_FEATURES).option("multiLine", True).json(path).select(F.posexplode("features").alias("pos", "f"))
+    wkt, points = polygon_wkt(F.col("f.geometry.type"), F.col("f.geometry.coordinates"))
     index = F.coalesce(F.try_element_at("f.properties", F.lit("aoi_index")).try_cast("bigint"), F.col("pos").cast("bigint"))
     status = F.coalesce(F.try_element_at("f.properties", F.lit("status")), F.lit("not processed"))
     return spark.createDataFrame([], AOI).unionByName(raw.select(index.alias("aoi_index"), wkt.alias("geom"), ring_box(points).alias("bbox"), status.alias("status")))
@@ -46,32 +52,48 @@ def wkt_geometry(wkt: str | None) -> dict | None:
     return {"type": "Polygon", "coordinates": [closed[0]]} if len(closed) == 1 else {"type": "MultiPolygon", "coordinates": [[c] for c in closed]}
 
 
-def features(df: DataFrame, geom: str) -> DataFrame:
-    """One column, `feature`: each row as a GeoJSON feature, all other columns its properties."""
+def features(df: DataFrame, geom: str, keep: str | None = None) -> DataFrame:
+    """`feature`: each row as a GeoJSON feature, all other columns its properties; with keep, that column beside it."""
     properties = F.to_json(F.struct(*[c for c in df.columns if c != geom]), {"ignoreNullFields": "false"})
+    kept = [F.col(keep)] if keep else []
+    names = [*([keep] if keep else []), "feature"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [json.dumps({"type": "Feature", "properties": json.loads(p), "geometry": wkt_geometry(g)}) for p, g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.string())], names=["feature"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(made, pa.string())], names=names)
 
-    return df.select(properties.alias("p"), F.col(geom).alias("g")).mapInArrow(run, "feature string")
+    schema = T.StructType([*([df.schema[keep]] if keep else []), T.StructField("feature", T.StringType())])
+    return df.select(properties.alias("p"), F.col(geom).alias("g"), *kept).mapInArrow(run, schema)
 
 
 def write_collection(df: DataFrame, geom: str, path: str) -> None:
-    """One feature collection file, streamed through the driver a partition at a time."""
-    with open(path, "w") as out:
+    """One feature collection file on the driver's file system, a partition at a time; for tables of some size only.
+
+    It appears under its name when it is whole, so df may come from the file that it replaces.
+    """
+    part = f"{path}.part"
+    with open(part, "w") as out:
         out.write('{"type": "FeatureCollection", "features": [')
         for k, row in enumerate(features(df, geom).toLocalIterator()):
             out.write((",\n" if k else "\n") + row["feature"])
         out.write("\n]}\n")
+    os.replace(part, path)
 
 
 def write_features(df: DataFrame, geom: str, path: str, partition: str | None = None) -> None:
-    """Newline-delimited features in parallel; the form for tables of any size."""
+    """Newline-delimited features, written in parallel by Spark to any store; the form for tables of any size.
+
+    With partition, only the partitions that df has rows of are replaced.
+    """
+    made = features(df, geom, partition).withColumnRenamed("feature", "value")
+    writer = made.write.mode("overwrite")
     if partition:
-        keyed = df.withColumn("__part", F.col(partition))
-        made = F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*[c for c in df.columns if c != geom]).alias("properties"), F.col(geom).alias("wkt")))
-        keyed.select(F.col("__part").alias(partition), made.alias("value")).write.mode("overwrite").partitionBy(partition).text(path)
-    else:
-        features(df, geom).withColumnRenamed("feature", "value").write.mode("overwrite").text(path)
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
+    writer.text(path)
+
+
+def read_features(spark: SparkSession, path: str, properties: str) -> DataFrame:
+    """geom (WKT) and the properties, by their schema, of newline-delimited features with polygons."""
+    raw = spark.read.schema(f"geometry struct<type:string,coordinates:string>, properties struct<{properties}>").json(path)
+    return raw.select(polygon_wkt(F.col("geometry.type"), F.col("geometry.coordinates"))[0].alias("geom"), "properties.*")

@@ -9,6 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def snapshot_config(path: str | Path, folder: str | Path) -> Path:
@@ -44,5 +45,14 @@ def copy_files(manifest: DataFrame, source: str, target: str) -> DataFrame:
     return manifest.select("src", "dst").mapInArrow(run, "dst string, copied boolean")
 
 
+def copy_all(manifest: DataFrame, source: str, target: str) -> int:
+    """copy_files() of the whole manifest; how many were copied. Raises where a source is not there."""
+    gone = F.when(~F.col("copied"), F.col("dst"))
+    n, lacking, one = copy_files(manifest, source, target).agg(F.count("*"), F.count(gone), F.min(gone)).first()
+    if lacking:
+        raise FileNotFoundError(f"{lacking} of {n} files to release are not in {source}; {one} is one of them")
+    return n
+
+
 def archive(folder: str | Path, name: str | Path) -> Path:
     return Path(shutil.make_archive(str(name), "zip", str(folder)))

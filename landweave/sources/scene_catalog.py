@@ -3,8 +3,9 @@
 spark.dataSource.register(SceneItems); spark.read.format("scene_items").load(folder)
 
 Every file holds newline-delimited items (id, collection, geometry, bbox, properties). Equality and
-range filters on collection, dt and cloud are taken over by the reader; the rest stays with Spark.
-Remote catalogues are reached through `fetch`, which retries with growing pauses.
+range filters on collection, dt, cloud and the other plain columns are taken over by the reader; the rest
+stays with Spark. A path that begins with http is an item search: its answers are fetched (with retries and
+growing pauses, signed where the option `signature` gives a query string), page after page by their links to the next.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ _TESTS = {
     GreaterThan: lambda v, x: v > x,
     GreaterThanOrEqual: lambda v, x: v >= x,
 }
-_PUSHED = {"collection", "cloud", "mgrs_tile", "rel_orbit", "platform", "wrs_path", "nodata_pct"}
+_PUSHED = {"collection", "dt", "cloud", "mgrs_tile", "rel_orbit", "platform", "wrs_path", "nodata_pct"}
 
 
 def fetch(url: str, retries: int = 10, backoff: float = 1.0, sign=None, opener=urllib.request.urlopen) -> bytes:
@@ -51,6 +52,22 @@ def fetch(url: str, retries: int = 10, backoff: float = 1.0, sign=None, opener=u
     raise AssertionError
 
 
+def fetch_items(url: str, signature: str = "", get=fetch) -> Iterator[dict]:
+    """All items of a search answer and of the pages after it."""
+    sign = (lambda u: f"{u}{'&' if '?' in u else '?'}{signature}") if signature else None
+    while url:
+        page = json.loads(get(url, sign=sign))
+        yield from page.get("features", ())
+        url = next((x.get("href") for x in page.get("links", ()) if x.get("rel") == "next"), None)
+
+
+def _plain(value):
+    """A pushed value as item rows have it: times in UTC without a zone."""
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        return value.astimezone(timezone.utc).replace(tzinfo=None)
+    return [_plain(x) for x in value] if isinstance(value, (list, tuple)) else value
+
+
 def box_text(b: list[float]) -> str:
     x0, y0, x1, y1 = b
     return f"POLYGON (({x1} {y0}, {x1} {y1}, {x0} {y1}, {x0} {y0}, {x1} {y0}))"
@@ -83,30 +100,35 @@ class _Files(InputPartition):
         self.paths = paths
 
 
+def _lines(name: str) -> Iterator[dict]:
+    with open(name) as lines:
+        yield from (json.loads(line) for line in lines if line.strip())
+
+
 class SceneReader(DataSourceReader):
-    def __init__(self, path: str, files_each: int):
-        self.path, self.files_each = path, files_each
+    def __init__(self, path: str, files_each: int, signature: str = ""):
+        self.path, self.files_each, self.signature = path, files_each, signature
         self.tests: list[tuple[int, type, object]] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         for f in filters:
             if type(f) in _TESTS and len(f.attribute) == 1 and f.attribute[0] in _PUSHED:
-                self.tests.append((FIELDS.index(f.attribute[0]), type(f), f.value))
+                self.tests.append((FIELDS.index(f.attribute[0]), type(f), _plain(f.value)))
             else:
                 yield f
 
     def partitions(self) -> list[InputPartition]:
+        if self.path.startswith("http"):
+            return [_Files([self.path])]
         names = sorted(os.path.join(d, n) for d, _, found in os.walk(self.path) for n in found if n.endswith((".json", ".ndjson"))) if os.path.isdir(self.path) else [self.path]
         return [_Files(names[k : k + self.files_each]) for k in range(0, len(names), self.files_each)] or [_Files([])]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         for name in partition.paths:
-            with open(name) as lines:
-                for line in lines:
-                    if line.strip():
-                        row = item_row(json.loads(line))
-                        if all(row[k] is not None and _TESTS[kind](row[k], value) for k, kind, value in self.tests):
-                            yield row
+            for item in fetch_items(name, self.signature) if name.startswith("http") else _lines(name):
+                row = item_row(item)
+                if all(row[k] is not None and _TESTS[kind](row[k], value) for k, kind, value in self.tests):
+                    yield row
 
 
 class SceneItems(DataSource):
@@ -120,11 +142,14 @@ class SceneItems(DataSource):
         return SCENE
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return SceneReader(self.options["path"], int(self.options.get("filesPerPartition", 16)))
+        return SceneReader(self.options["path"], int(self.options.get("filesPerPartition", 16)), self.options.get("signature", ""))
 
 
 def read_scenes(spark: SparkSession, path: str) -> DataFrame:
-    """A catalogue kept as Parquet in the scene schema; the form for large ones."""
+    """A catalogue: an item search, a folder or file of item JSON, or, the form for large ones, Parquet in the scene schema."""
+    if path.startswith("http") or path.endswith((".json", ".ndjson")) or (os.path.isdir(path) and any(n.endswith((".json", ".ndjson")) for n in os.listdir(path))):
+        spark.dataSource.register(SceneItems)
+        return spark.read.format("scene_items").load(path)
     return spark.read.schema(SCENE).parquet(path)
 
 

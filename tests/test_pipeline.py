@@ -1,6 +1,7 @@
 """A small world end to end: two areas with scenes and blocks, one without a season."""
 
 import datetime as dt
+import json
 
 import numpy as np
 import pytest
@@ -108,3 +109,92 @@ def test_chips_and_release(spark, world):
     thumbs = pipeline.thumbnails(blocks, log, "s1rtc", cfg)
     assert thumbs.count() == 4 * sum(s == "success" for s in status.values())
     assert {len(p) for r in thumbs.collect() for p in r["data"]} == {16}
+
+
+def test_orbit_is_chosen_by_area_in_metres(spark, world):
+    """Two orbits whose order differs between degrees and EPSG:3857: high latitudes weigh more."""
+    cfg, _, _, grid = world
+    foot = (10.0, 50.0, 11.0, 70.0)
+    south, north = (10.0, 50.0, 11.0, 60.4), (10.0, 60.4, 11.0, 70.0)  # more degrees in the south, more metres in the north
+    anchors = spark.createDataFrame([(0, 0, DAYS[0], DAYS[0] - dt.timedelta(days=20), DAYS[0] + dt.timedelta(days=20), rect(*foot)[0], rect(*foot)[1])], "aoi_index bigint, season_idx int, center timestamp, range_start timestamp, range_end timestamp, footprint string, foot_box struct<minx:double,miny:double,maxx:double,maxy:double>")
+    rows = [scene("south", "sentinel-1-rtc", DAYS[0], south, rel_orbit=1), scene("north", "sentinel-1-rtc", DAYS[0], north, rel_orbit=2)]
+    catalogue = spark.createDataFrame(rows, SCENE).withColumnRenamed("geom", "scene_geom")
+    assert [r["item_id"] for r in pipeline.radar_scenes(anchors, catalogue, cfg).collect()] == ["north"]
+
+
+def test_a_malformed_area_and_scenes_apart_fail_alone(spark, world):
+    cfg, areas, catalogue, grid = world
+    broken = spark.createDataFrame([(7, "POLYGON ((1 x, y 2, 3 4))", (9.0, 48.0, 9.1, 48.1), "not processed")], AOI)
+    moved = [scene("dem-far", "cop-dem-glo-30", dt.datetime(2021, 4, 22), (17.45, 48.5, 17.55, 48.6))]  # meets area 2's first scene, not its Landsat scenes
+    chosen, checked = pipeline.select_scenes(areas.unionByName(broken), catalogue.unionByName(spark.createDataFrame(moved, SCENE)), grid, cfg)
+    status = {r["aoi_index"]: r for r in checked.collect()}
+    assert status[7]["status"] == pipeline.MALFORMED and status[0]["status"] == "success"
+    assert tuple(status[0]["common"]) == pytest.approx((8.5, 47.5, 9.6, 48.6))
+
+
+@pytest.mark.parametrize("margin", [0, 2])
+def test_chip_images_have_margins_and_places(spark, world, margin):
+    cfg = RunConfig.from_dict({**TREE, "chips": {"sample_size": 40, "chip_size": 40 + 20 * margin}, "rules": {"reject_edge": False}})
+    blocks = spark.createDataFrame(blocks_of(cfg), BLOCK)
+    areas = spark.createDataFrame([(0, "success", 32632, 500000.0, 5300000.0, 4, 4)], "aoi_index bigint, status string, epsg int, minx double, maxy double, rows int, cols int")
+    log = spark.createDataFrame([(0, 2, 2, 5, "success"), (0, 3, 1, 6, "dem missing values")], "aoi_index bigint, wy int, wx int, chip_index bigint, status string")
+    rows = pipeline.chip_images(blocks, log, areas, "s2l2a", cfg).collect()
+    assert sorted(r["name"] for r in rows) == [f"s2l2a_000005_{k}_{d:%Y%m%d}.tif" for k, d in enumerate(DAYS)]
+    side = 4 + 2 * margin
+    assert all((r["n"], r["minx"], r["maxy"]) == (side, 500080.0 - 10 * margin, 5299920.0 + 10 * margin) and len(r["data"]) == 4 for r in rows)
+    a = np.array(rows[0]["data"][0]).reshape(side, side)
+    assert (a[margin : margin + 4, margin : margin + 4] == 500).all() and (a == 500).sum() == 16 and (a == -999).sum() == side * side - 16
+    assert [r["name"] for r in pipeline.chip_images(blocks, log, areas, "dem", cfg).collect()] == ["dem_000005.tif"]
+    assert [r["name"] for r in pipeline.chip_images(blocks, log, areas, "lulc", cfg).collect()] == ["lc_000005.tif"]
+    assert {r["n"] for r in pipeline.thumbnails(blocks, log, "s2l2a", cfg).collect()} == {side}
+
+
+def test_main_runs_and_goes_on(spark, world, tmp_path):
+    import yaml
+
+    from landweave.sources import chiplog, geojson, images
+
+    cfg, areas, catalogue, grid = world
+    tree = {**TREE, "lc2l2": {**TREE["lc2l2"], "bands": ["coastal", "blue", "green", "red", "qa_pixel"]}, "directory": {"working": str(tmp_path / "w"), "output": str(tmp_path / "o")}}
+    (tmp_path / "c.yml").write_text(yaml.safe_dump(tree))
+    (tmp_path / "w").mkdir()
+    geojson.write_collection(areas, "geom", str(tmp_path / "w" / "aois_v1.geojson"))
+    catalogue.write.parquet(str(tmp_path / "scenes"))
+    grid.write.parquet(str(tmp_path / "scenes_grid"))
+    place = "aoi_index bigint, epsg int, minx double, maxy double, rows int, cols int"
+    spark.createDataFrame([(k, 32632, 500000.0 + 5000 * k, 5300000.0, 4, 4) for k in range(3)], place).write.parquet(str(tmp_path / "blocks_areas"))
+    blocks = blocks_of(RunConfig.from_dict(tree))
+    spark.createDataFrame(blocks, BLOCK).write.parquet(str(tmp_path / "blocks"))
+    argv = ["-c", str(tmp_path / "c.yml"), "--scenes", str(tmp_path / "scenes"), "--blocks", str(tmp_path / "blocks")]
+    pipeline.main(argv)
+    work, out = tmp_path / "w" / "v1", tmp_path / "o" / "v1"
+    status = lambda: {r["aoi_index"]: r["status"] for r in geojson.read_areas(spark, str(work / "aois.geojson")).collect()}
+    assert status() == {0: "success", 1: "s2l2a scenes insufficient", 2: "success"}
+    first = chiplog.read_log(spark, str(work / "chip_log")).collect()
+    good = [r for r in first if r["status"] == "success"]
+    # every successful chip has its files, and every released one its copies
+    for r in good:
+        i = f"{r['chip_index']:06}"
+        for s in ("s2l2a", "s1rtc", "lc2l2"):
+            for k, day in enumerate(r[f"{s}_dates"].split(",")):
+                assert (work / f"{s}_{i}_{k}_{day}.tif").exists() and (work / f"{s}_{i}_{k}_{day}.png").exists()
+        assert (work / f"lc_{i}.tif").exists() and (work / f"dem_{i}.tif").exists()
+    values, at = images.read_geotiff((work / f"s2l2a_{good[0]['chip_index']:06}_0_20230210.tif").read_bytes())
+    assert values.shape == (4, 4, 4) and at["epsg"] == 32632 and (values == 500).all()
+    released = json.loads((out / "tracker.geojson").read_text())["features"]
+    assert len(released) == len(good) and [f["properties"]["id"] for f in released]
+    # the second run goes on behind area 0, with blocks of area 2
+    spark.createDataFrame([(2, *r[1:]) for r in blocks], BLOCK).write.mode("append").parquet(str(tmp_path / "blocks"))
+    pipeline.main(argv)
+    again = chiplog.read_log(spark, str(work / "chip_log")).collect()
+    assert sorted(r["chip_index"] for r in again) == list(range(2 * len(first)))
+    assert {r["aoi_index"] for r in again if r["chip_index"] >= len(first)} == {2}
+    assert status() == {0: "success", 1: "s2l2a scenes insufficient", 2: "success"}
+    assert sorted(p.name for p in (work / "scenes").glob("aoi_index=*")) == ["aoi_index=0", "aoi_index=1", "aoi_index=2"] or (work / "scenes" / "aoi_index=0").exists()
+    assert len(json.loads((out / "tracker.geojson").read_text())["features"]) == 2 * len(good)
+    feature = json.loads(next((work / "scenes" / "aoi_index=0").glob("*.txt")).read_text().splitlines()[0])
+    assert feature["geometry"]["type"] == "Polygon" and feature["properties"]["item_id"]
+    # a file that is missing stops the release
+    next(work.glob("dem_*.tif")).unlink()
+    with pytest.raises(Exception, match="not in|is one of them"):
+        pipeline.main(argv)

@@ -143,3 +143,73 @@ def test_ragged_union_and_status_order(spark):
     counts = {"n_s2l2a_seasons": 4, "n_s2l2a": 4, "n_s1rtc": 4, "n_lc2l2": 4, "n_lc2l2_dates": 3, "n_s1rtc_dates": 2, "n_lulc": 1, "n_dem": None}
     df = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} int" for c in counts))
     assert scenes.area_status(df, 4).first()["status"] == "lc2l2 dates insufficient"
+
+
+def test_searches_are_read_page_by_page():
+    pages = {"http://x/1": {"features": [{"id": "a"}], "links": [{"rel": "next", "href": "http://x/2?k=1"}]}, "http://x/2?k=1": {"features": [{"id": "b"}, {"id": "c"}], "links": []}}
+    asked = []
+
+    def get(url, sign=None):
+        asked.append(sign(url) if sign else url)
+        return json.dumps(pages[url])
+
+    assert [i["id"] for i in scene_catalog.fetch_items("http://x/1", "sig=z", get)] == ["a", "b", "c"]
+    assert asked == ["http://x/1?sig=z", "http://x/2?k=1&sig=z"]
+
+
+def test_time_filters_are_taken_over(spark, tmp_path):
+    items = [{"id": f"s{k}", "collection": "c", "bbox": [0, 0, 1, 1], "properties": {"datetime": f"2023-01-{k + 1:02}T10:00:00Z" if k else None}} for k in range(8)]
+    (tmp_path / "p.ndjson").write_text("\n".join(map(json.dumps, items)))
+    df = scene_catalog.read_scenes(spark, str(tmp_path / "p.ndjson"))
+    found = df.where("dt >= TIMESTAMP '2023-01-03 10:00:00' AND dt < TIMESTAMP '2023-01-05 10:00:00'")
+    assert sorted(r["item_id"] for r in found.collect()) == ["s2", "s3"]
+    plan = found._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "Filter (" not in plan or "dt" not in plan.split("Filter (")[1].split("\n")[0] or "PushedFilters" in plan
+
+
+def test_rasters_become_blocks(spark, tmp_path):
+    import datetime as dt
+
+    a = np.arange(2 * 7 * 9, dtype=np.float32).reshape(2, 7, 9)
+    a[0, 1, 1] = -999
+    (tmp_path / "x.tif").write_bytes(images.geotiff(a, 32632, 0.0, 0.0, 10.0, -999))
+    from landweave.sources import rasters
+
+    manifest = spark.createDataFrame([("x.tif", 4, "dem", dt.datetime(2023, 1, 1), ["u", "v"], 3)], rasters.MANIFEST)
+    got = {(r["band"], r["wy"], r["wx"]): r["data"] for r in rasters.read_blocks(spark, manifest, str(tmp_path), -999).collect()}
+    assert len(got) == 2 * 2 * 3
+    for (b, wy, wx), data in got.items():
+        want = a["uv".index(b), 3 * wy : 3 * wy + 3, 3 * wx : 3 * wx + 3].ravel().tolist()
+        assert data == [None if v == -999 else v for v in want]
+
+
+def test_missing_copies_raise(spark, tmp_path):
+    manifest = spark.createDataFrame([("gone.tif", "x.tif")], "src string, dst string")
+    with pytest.raises(FileNotFoundError, match=r"x\.tif"):
+        release.copy_all(manifest, str(tmp_path), str(tmp_path / "out"))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from landweave.session import shared_folder
+
+    def session(master, **conf):
+        kept = dict(conf)
+        context = SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=kept.get))
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: kept.get(k, d), set=kept.__setitem__))
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(session("spark://host:7077"))
+    assert shared_folder(session("yarn", **{"spark.checkpoint.dir": "hdfs:///x/"})) == "hdfs:///x"
+    local = session("local[2]")
+    assert shared_folder(local) == shared_folder(local)
+
+
+def test_features_in_parts_have_geometry_and_keep_other_partitions(spark, tmp_path):
+    square = "POLYGON ((0 0, 2 0, 2 1, 0 1, 0 0))"
+    df = spark.createDataFrame([(1, "a", square), (2, "b", square)], "k int, v string, g string")
+    geojson.write_features(df, "g", str(tmp_path / "f"), "k")
+    geojson.write_features(df.where("k = 2").selectExpr("k", "'c' AS v", "g"), "g", str(tmp_path / "f"), "k")
+    got = {r["v"]: r["geom"] for r in geojson.read_features(spark, str(tmp_path / "f"), "v string").collect()}
+    assert set(got) == {"a", "c"} and all(g.startswith("POLYGON ((0.0 0.0") for g in got.values())
