@@ -37,9 +37,9 @@ PASSAGE, PIECE = 300, 96
 #: Passages into which items are written.
 MADE = 5000
 STEPS = 1800
-WINDOW, OVERLAP = 384, 64
+WINDOW, OVERLAP = 512, 64
 #: Code points that are decoded at a time.
-TOGETHER = 1 << 18
+TOGETHER = 1 << 19
 CERTAIN = 0.5
 SEED = 11
 

@@ -12,7 +12,7 @@ import numpy as np
 ALPHABET = "abcdefghijklmnopqrstuvwxyz@.-+_%() \n\t,:;/#&*$!?\"'=[]{}<>|~\\"
 DIGIT, OTHER = len(ALPHABET) + 1, len(ALPHABET) + 2
 CODES = len(ALPHABET) + 3  # 0: padding
-EMBED, HIDDEN = 10, 12
+EMBED, HIDDEN = 10, 10
 KINDS = ("email", "ip", "card", "phone", "secret")
 TAGS = 1 + 2 * len(KINDS)  # none, then begin and inside of each kind
 
