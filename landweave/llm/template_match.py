@@ -163,7 +163,8 @@ def _leaks(documents: DataFrame, benchmark: DataFrame, window: int, coverage: fl
 
     doc_slots = documents.join(near.select("doc").distinct(), "doc", "left_semi").select("doc", template_words(F.col("text"), values=True).alias("doc_words"))
     item_slots = benchmark.select("item_id", template_words(F.col("text"), values=True).alias("item_words"))
-    both = near.join(doc_slots, "doc").join(item_slots, "item_id")
+    # pairs are compressed in their table, so that its size says little of what a broadcast of it would take
+    both = near.hint("merge").join(doc_slots, "doc").join(item_slots, "item_id")
 
     def filled(item_pos: Column, pos: Column) -> Column:
         places = F.sequence(F.lit(0), F.col("size") - 1)
