@@ -212,7 +212,7 @@ def mercator_area(spark, d):
 WITH b AS (SELECT c_custkey, {_LONLAT} FROM customer),
 s AS (SELECT s_suppkey, (s_suppkey * 17 % 340) - 170.0 AS x, (s_suppkey * 29 % 140) - 70.0 AS y FROM supplier)
 SELECT c_custkey, s_suppkey,
-  round(greatest(least(minx + 1, x + 3) - greatest(minx, x), 0) * greatest(least(miny + 1 - 0.25, y + 3) - greatest(miny, y), 0), 6) AS area
+  round(greatest(least(minx + 1, x + 3) - greatest(minx, x), 0) * greatest(least(miny + 1 - 0.25, y + 3) - greatest(miny, y), 0), 6)::DOUBLE AS area
 FROM (SELECT c_custkey, minx + 0.25 AS minx0, minx, miny FROM b) q JOIN s
 ON q.minx0 <= s.x + 3 AND s.x <= q.minx + 1 AND q.miny <= s.y + 3 AND s.y <= q.miny + 1 - 0.25""")
 def bbox_adjust(spark, d):
@@ -320,14 +320,6 @@ def coarsen_trimmed(spark, d):
     return found.select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), big("low").alias("low"), big("high").alias("high"), "uniform")
 
 
-@query(f"""
-WITH {_PIXELS} SELECT vec_id, wy::BIGINT AS wy, wx::BIGINT AS wx, n4 > 0 AS flooded, false AS unknown, false AS gaps FROM w""")
-def missing_qc(spark, d):
-    w = class_windows(spark, d)
-    data = F.col("data")
-    return w.select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), pixels.any_flooded(data).alias("flooded"), pixels.any_unknown_class(data).alias("unknown"), pixels.any_missing(data).alias("gaps"))
-
-
 def status_windows(spark, d):
     """2 x 2 class windows with some values missing and some of class 3, and the last row and column as edges."""
     w = class_windows(spark, d)
@@ -345,6 +337,15 @@ ws AS (SELECT vec_id, label, wy, wx, min(c) AS cls,
   WHEN count(*) FILTER (c = 4) > 0 THEN 'lulc_values_flooded_vegetation' ELSE 'ok' END AS st FROM s GROUP BY vec_id, label, wy, wx)"""
 
 
+@query(f"""
+WITH {_STATUS} SELECT vec_id, wy::BIGINT AS wy, wx::BIGINT AS wx, count(*) FILTER (c = 4) > 0 AS flooded,
+  count(*) FILTER (c IS NULL OR c NOT IN (1, 2, 4, 5, 7, 8, 11)) > 0 AS unknown, count(*) FILTER (c IS NULL OR c = 0) > 0 AS gaps
+FROM s GROUP BY vec_id, wy, wx""")
+def missing_qc(spark, d):
+    data = F.col("data")
+    return status_windows(spark, d).select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), pixels.any_flooded(data).alias("flooded"), pixels.any_unknown_class(data).alias("unknown"), pixels.any_missing(data).alias("gaps"))
+
+
 @query(f"WITH {_STATUS} SELECT vec_id, wy::BIGINT AS wy, wx::BIGINT AS wx, st AS lulc_status, CASE WHEN st = 'ok' THEN cls END AS lulc FROM ws")
 def chip_status(spark, d):
     w = chips.chip_class(status_windows(spark, d), "lulc_status", "data")
@@ -388,8 +389,7 @@ def carry_forward_class(spark, d):
 
 @query(f"WITH {_CAP} SELECT vec_id, wy::BIGINT AS wy, wx::BIGINT AS wx, cls AS lulc FROM cap WHERE status = 'success' AND cls IN (1, 2, 5, 7, 8, 11)")
 def success_classes(spark, d):
-    held = capped_windows(spark, d).where((F.col("status") == "success") & F.col("lulc").isin(1, 2, 5, 7, 8, 11))
-    return held.select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), big("lulc").alias("lulc"))
+    return curate.releasable(capped_windows(spark, d), sources=()).select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), big("lulc").alias("lulc"))
 
 
 @query(f"""
@@ -405,7 +405,7 @@ def release_rows(spark, d):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles to windows to status, cap, numbers, classes and paths: a small release table."""
     numbered = chips.running_index(capped_windows(spark, sf_dir), "label", ["vec_id", "wy", "wx"], "original_id")
-    kept = numbered.where((F.col("status") == "success") & F.col("lulc").isin(1, 2, 5, 7, 8, 11))
+    kept = curate.releasable(numbered, sources=())
     ids = chips.dense_ids(kept, "original_id", "id", 1000)
     named = curate.labelled(ids.withColumn("lulc", F.col("lulc").cast("int").cast("string")), "lulc")
     return named.select("id", "original_id", big("label").alias("aoi_index"), "lulc", "category", names.plain_name("dem", F.col("id")).alias("dem_paths"))
@@ -580,7 +580,7 @@ def window_extract(spark, d):
     y, x, sample, margin = F.col("y"), F.col("x"), 3, 1
     low, high = 2 - margin, 2 + sample + margin - 1
     part = cells.where(y.between(low, high) & x.between(low, high))
-    inner = F.when(y.between(2, 4) & x.between(2, 4), F.col("v").cast("double") * 1000)
+    inner = raster.inside_sample(F.col("v").cast("double") * 1000, y, x, 2, sample)
     value = pixels.checked_cast(pixels.filled(inner, True, -999), "smallint")
     return part.select("vec_id", big("y").alias("y"), big("x").alias("x"), value.cast("bigint").alias("v"))
 
@@ -653,9 +653,336 @@ def first_rows(spark, d):
     return found.orderBy("l_suppkey").limit(10)
 
 
-@query()
+@query("SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS day FROM events")
 def stac_stream(spark, d):
-    """Events as a stream of scenes, appended batch by batch; rows only."""
+    """Events as a stream of scenes, appended batch by batch, each once."""
     from ..streaming import incremental
 
-    return incremental.replay(spark, f"{d.rstrip('/')}", "events", "event_id")
+    found = incremental.replay(spark, d.rstrip("/"), "events", "event_id")
+    return found.select("event_id", "user_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+
+
+# the rules of a search, by their own functions
+
+
+@query("""
+SELECT event_id FROM events WHERE event_id % 10 < 5 AND value < 100
+  AND (CASE WHEN user_id % 3 = 0 THEN 'click' END IS NULL OR event_type = 'click')""")
+def optical_scenes(spark, d):
+    e = table(spark, d, "events").withColumns({"nodata_pct": F.col("event_id") % 10, "cloud": F.col("value"), "mgrs_tile": F.col("event_type")})
+    return e.where(scenes.optical_predicate(5, 100, F.when(F.col("user_id") % 3 == 0, F.lit("click")))).select("event_id")
+
+
+@query("""
+SELECT event_id FROM events WHERE event_type IN ('click', 'view') AND value < 50 AND lpad((user_id % 200)::VARCHAR, 3, '0') = lpad((event_id % 200)::VARCHAR, 3, '0')""")
+def thermal_scenes(spark, d):
+    e = table(spark, d, "events").withColumns({"platform": F.col("event_type"), "cloud": F.col("value"), "wrs_path": F.lpad((F.col("user_id") % 200).cast("string"), 3, "0")})
+    return e.where(scenes.thermal_predicate(["click", "view"], 50, F.col("event_id") % 200)).select("event_id")
+
+
+@query("""
+WITH g AS (SELECT l_suppkey, l_linenumber, sum(l_quantity::BIGINT) AS area, min(abs(date_diff('day', DATE '1997-07-01', l_shipdate::DATE))) AS distance FROM lineitem GROUP BY ALL),
+o AS (SELECT l_suppkey, l_linenumber FROM g QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY area DESC, distance, l_linenumber) = 1),
+h AS (SELECT l.* FROM lineitem l JOIN o USING (l_suppkey, l_linenumber)),
+b AS (SELECT l_suppkey, min((abs(date_diff('day', DATE '1997-07-01', l_shipdate::DATE)), l_shipdate))[2]::DATE AS day FROM h GROUP BY l_suppkey)
+SELECT h.l_suppkey, strftime(b.day, '%Y-%m-%d') AS day, count(*)::BIGINT AS n FROM h JOIN b ON h.l_suppkey = b.l_suppkey AND h.l_shipdate::DATE = b.day GROUP BY ALL""")
+def orbit_dates(spark, d):
+    """Rows of the locked orbit only, on its date nearest to a centre."""
+    lines = table(spark, d, "lineitem").withColumn("distance", F.abs(F.datediff(F.to_date("l_shipdate"), F.lit("1997-07-01").cast("date"))))
+    orbit = scenes.locked_orbit(lines, "l_suppkey", "l_linenumber", F.sum(big("l_quantity")), F.min("distance")).select("l_suppkey", "l_linenumber")
+    best = scenes.best_date_rows(lines.join(orbit, ["l_suppkey", "l_linenumber"]), ["l_suppkey"], "l_shipdate", ["distance", "l_shipdate"])
+    return best.groupBy("l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH c AS (SELECT c_custkey, count(DISTINCT quarter(o_orderdate)) AS seasons, count(o_orderkey) AS n, count(*) FILTER (o_orderpriority < '3') AS s1, count(*) FILTER (o_orderpriority >= '3') AS lc,
+  count(DISTINCT o_orderdate::DATE) FILTER (o_orderpriority >= '3') AS lcd, count(DISTINCT o_orderdate::DATE) FILTER (o_orderpriority < '3') AS s1d, count(*) FILTER (o_totalprice > 150000) AS lu, count(*) FILTER (o_totalprice < 150000) AS de
+  FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1)
+SELECT c_custkey, CASE WHEN seasons < 1 THEN 's2l2a scenes missing' WHEN n < 4 THEN 's2l2a scenes insufficient' WHEN s1 < 1 THEN 's1rtc scenes missing' WHEN lc < 1 THEN 'lc2l2 scenes missing'
+  WHEN lcd < 4 THEN 'lc2l2 dates insufficient' WHEN s1d < 4 THEN 's1rtc dates insufficient' WHEN lu < 1 THEN 'lulc scenes missing' WHEN de < 1 THEN 'dem scenes missing' ELSE 'success' END AS status FROM c""")
+def area_statuses(spark, d):
+    o = orders(spark, d, None).withColumn("day", F.to_date("t"))
+    low = F.col("o_orderpriority") < "3"
+    counts = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count_distinct("q").alias("n_s2l2a_seasons"), F.count("*").alias("n_s2l2a"), F.count_if(low).alias("n_s1rtc"), F.count_if(~low).alias("n_lc2l2"),
+        F.count_distinct(F.when(~low, F.col("day"))).alias("n_lc2l2_dates"), F.count_distinct(F.when(low, F.col("day"))).alias("n_s1rtc_dates"),
+        F.count_if(F.col("o_totalprice") > 150000).alias("n_lulc"), F.count_if(F.col("o_totalprice") < 150000).alias("n_dem"),
+    )
+    joined = table(spark, d, "customer").select("c_custkey").join(counts, "c_custkey", "left")
+    return scenes.area_status(joined, 4).select("c_custkey", "status")
+
+
+@query(f"""
+WITH {_DATES} SELECT id, (id % 13)::BIGINT AS lulc FROM dd WHERE id % 4 <> 0 AND id % 13 IN (1, 2, 5, 7, 8, 11) AND len(string_split(dates, ',')) = 4""")
+def releasable_rows(spark, d):
+    log = date_lists(spark, d).select("id", (F.col("id") % 13).alias("lulc"), F.when(F.col("id") % 4 == 0, "dem missing values").otherwise("success").alias("status"), *[F.col("dates").alias(f"{s}_dates") for s in ("s2l2a", "s1rtc", "lc2l2")])
+    return curate.releasable(log).select("id", "lulc")
+
+
+@query("""
+WITH s AS (SELECT * FROM (VALUES (0, TIMESTAMP '1996-01-01', TIMESTAMP '1996-03-31 23:59:59'), (1, TIMESTAMP '1996-04-01', TIMESTAMP '1996-06-30 23:59:59'), (2, TIMESTAMP '1996-07-01', TIMESTAMP '1996-09-30 23:59:59'), (3, TIMESTAMP '1996-10-01', TIMESTAMP '1996-12-31 23:59:59')) v(season_idx, a, b))
+SELECT season_idx::BIGINT AS season_idx, o_custkey, count(*)::BIGINT AS n FROM orders JOIN s ON o_orderdate BETWEEN a AND b GROUP BY ALL""")
+def season_scenes(spark, d):
+    """Seasons as the configuration gives them, to scenes."""
+    from ..config import Optical
+    from ..schemas import SEASON
+
+    ranges = ["1996-01-01/1996-03-31", "1996-04-01/1996-06-30", "1996-07-01/1996-09-30", "1996-10-01/1996-12-31"]
+    seasons = Optical("c", 10, True, False, -999, "int16", ranges, 5, 30, "SCL", ["B01"]).seasons()
+    joined = orders(spark, d, None).join(F.broadcast(spark.createDataFrame(seasons, SEASON)), scenes.within(F.col("t"), F.col("range_start"), F.col("range_end")))
+    return joined.groupBy(big("season_idx").alias("season_idx"), "o_custkey").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT resolution::BIGINT AS resolution, (960 // resolution)::BIGINT AS sample, (1280 // resolution)::BIGINT AS chip, ((1280 // resolution - 960 // resolution) // 2)::BIGINT AS margin
+FROM (SELECT n_nationkey + 10 AS resolution FROM nation)""")
+def chip_sizes(spark, d):
+    from ..config import Chips
+
+    sizes = Chips(960, 1280)
+    rows = [(r["n_nationkey"] + 10, *sizes.pixels(r["n_nationkey"] + 10)) for r in table(spark, d, "nation").select("n_nationkey").collect()]  # 25 rows
+    return spark.createDataFrame(rows, "resolution bigint, sample bigint, chip bigint, margin bigint")
+
+
+# masks, composites and margins of whole blocks
+
+
+def _blocks(spark, d):
+    """Embeddings as blocks of 64 values with a time each; values below 0 are missing."""
+    t = F.lit("2023-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(hours=(F.col("vec_id") * 7).cast("int"))
+    data = F.transform("embedding", lambda v: F.when(v >= 0, F.round(v.cast("double"), 5)))
+    return table(spark, d, "embeddings").select("vec_id", "label", t.alias("t"), data.alias("data"))
+
+
+_BLOCK_PIXELS = """
+b AS (SELECT vec_id, label, TIMESTAMP '2023-01-01' + to_hours((vec_id * 7)::INT) AS t, i, CASE WHEN embedding[i] >= 0 THEN round(embedding[i]::DOUBLE, 5) END AS v FROM embeddings, range(1, 65) r(i))"""
+
+
+@query(f"""
+WITH {_BLOCK_PIXELS}, m AS (SELECT vec_id, count(v) FILTER (vec_id % 5 <> 0 AND (vec_id + i) % 12 IN (2, 4, 5, 6, 11))::BIGINT AS n_class,
+  count(v) FILTER (vec_id % 5 <> 0 AND ((vec_id + i) % 64 & 30) = 0)::BIGINT AS n_bits,
+  round(coalesce(sum(v) FILTER (vec_id % 5 <> 0 AND (vec_id + i) % 12 IN (2, 4, 5, 6, 11)), 0), 3) AS total FROM b GROUP BY vec_id)
+SELECT * FROM m""")
+def masked_blocks(spark, d):
+    blocks = _blocks(spark, d)
+    numbers = F.sequence(F.lit(1), F.lit(64))
+    some = blocks.where("vec_id % 5 <> 0")
+    by_class = raster.mask_blocks(blocks, some.select("vec_id", F.transform(numbers, lambda i: ((F.col("vec_id") + i) % 12).cast("double")).alias("data")), ["vec_id"], "class")
+    by_bits = raster.mask_blocks(blocks, some.select("vec_id", F.transform(numbers, lambda i: ((F.col("vec_id") + i) % 64).cast("double")).alias("data")), ["vec_id"], "bits")
+    count = lambda c: F.size(F.filter(c, lambda v: v.isNotNull())).cast("bigint")
+    total = F.round(F.aggregate("data", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0))), 3)
+    return by_class.select("vec_id", count("data").alias("n_class"), total.alias("total")).join(by_bits.select("vec_id", count("data").alias("n_bits")), "vec_id").select("vec_id", "n_class", "n_bits", "total")
+
+
+@query(f"""
+WITH {_BLOCK_PIXELS}, p AS (SELECT label, quarter(t) AS q, i, arg_min(v, t) FILTER (v IS NOT NULL) AS v FROM b GROUP BY ALL),
+s AS (SELECT label, q, count(v)::BIGINT AS n, round(coalesce(sum(v), 0), 3) AS total FROM p GROUP BY ALL),
+d AS (SELECT label, quarter(t) AS q, strftime(min(t), '%Y-%m-%d %H') AS first FROM b GROUP BY ALL)
+SELECT s.label::BIGINT AS label, first, n, total FROM s JOIN d USING (label, q)""")
+def composed_blocks(spark, d):
+    made = raster.composite_blocks(_blocks(spark, d), ["label"])
+    total = F.round(F.aggregate("data", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0))), 3)
+    return made.select(big("label").alias("label"), F.date_format("t", "yyyy-MM-dd HH").alias("first"), F.size(F.filter("data", lambda v: v.isNotNull())).cast("bigint").alias("n"), total.alias("total"))
+
+
+@query(f"""
+WITH {_BLOCK_PIXELS}, p AS (SELECT label, i, avg(v) AS v FROM b GROUP BY ALL) SELECT label::BIGINT AS label, i::BIGINT AS place, round(v, 6) AS v FROM p""")
+def mean_blocks(spark, d):
+    made = raster.mean_blocks(_blocks(spark, d), ["label"])
+    cells = made.select(big("label").alias("label"), F.posexplode("data").alias("place", "v"))
+    return cells.select("label", (F.col("place") + 1).cast("bigint").alias("place"), F.round("v", 6).alias("v"))
+
+
+@query("""
+WITH k AS (SELECT vec_id, embedding, k - 1 AS pos, (k - 1) // 6 AS y, (k - 1) % 6 AS x FROM embeddings, range(1, 37) r(k))
+SELECT vec_id, pos::BIGINT AS pos, CASE WHEN y BETWEEN 1 AND 4 AND x BETWEEN 1 AND 4 THEN round(embedding[(y - 1) * 4 + x]::DOUBLE, 5) END AS v FROM k""")
+def chip_margins(spark, d):
+    data = F.transform(F.slice("embedding", 1, 16), lambda v: F.round(v.cast("double"), 5))
+    return table(spark, d, "embeddings").select("vec_id", F.posexplode(raster.with_margin(data, 4, 1)).alias("pos", "v")).select("vec_id", big("pos").alias("pos"), "v")
+
+
+# polygons
+
+
+def _box_wkt(x0, y0, x1, y1):
+    corners = ((x1, y0), (x1, y1), (x0, y1), (x0, y0), (x1, y0))
+    return F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *[F.concat_ws(" ", a.cast("double").cast("string"), b.cast("double").cast("string")) for a, b in corners]), F.lit("))"))
+
+
+@query(f"WITH b AS (SELECT c_custkey, {_LONLAT} FROM customer) SELECT c_custkey, minx::DOUBLE AS minx, miny::DOUBLE AS miny, (minx + 1)::DOUBLE AS maxx, (miny + 1)::DOUBLE AS maxy, (c_custkey % 9 <> 0) AS valid FROM b WHERE c_custkey % 9 <> 0 UNION ALL SELECT c_custkey, NULL, NULL, NULL, NULL, false FROM b WHERE c_custkey % 9 = 0")
+def wkt_boxes(spark, d):
+    """Polygons read from text; every ninth text is malformed."""
+    from ..operators import geometry
+
+    b = F.col("box")
+    text = F.when(F.col("c_custkey") % 9 == 0, F.lit("POLYGON ((1 x, 2 y))")).otherwise(_box_wkt(b["minx"], b["miny"], b["maxx"], b["maxy"]))
+    found = _customer_boxes(spark, d).withColumn("wkt", text).select("c_custkey", geometry.wkt_box("wkt").alias("found"), geometry.well_formed("wkt").alias("valid"))
+    return found.select("c_custkey", *[F.col(f"found.{c}").alias(c) for c in ("minx", "miny", "maxx", "maxy")], "valid")
+
+
+@query("""
+SELECT c_custkey, ((c_custkey % 6) + ((c_custkey // 6) % 6) < 4) AS meets FROM customer""")
+def polygon_meeting(spark, d):
+    """A triangle and a box: the box meets it where its lower left corner lies below the long side."""
+    from ..operators import geometry
+
+    k = F.col("c_custkey")
+    x, y = (k % 6).cast("double"), (F.floor(k / 6) % 6).cast("double")
+    triangle = F.lit("POLYGON ((0 0, 4 0, 0 4, 0 0))")
+    return table(spark, d, "customer").select("c_custkey", geometry.polygons_meet(triangle, _box_wkt(x, y, x + 1, y + 1)).alias("meets"))
+
+
+@query("""
+WITH s AS (SELECT s_suppkey, (s_suppkey * 17 % 300) - 150.0 AS x, (s_suppkey * 29 % 100) - 50.0 AS y FROM supplier),
+m AS (SELECT s_suppkey, radians(1.0) * 6378137.0 AS deg, ln(tan(pi() / 4 + radians(y) / 2)) * 6378137.0 AS y0, ln(tan(pi() / 4 + radians(y + 1) / 2)) * 6378137.0 AS y1,
+  ln(tan(pi() / 4 + radians(y + 2) / 2)) * 6378137.0 AS y2, ln(tan(pi() / 4 + radians(y + 3) / 2)) * 6378137.0 AS y3 FROM s)
+SELECT s_suppkey, round((1.5 * (y2 - y0) + 1.5 * (y3 - y1) - (y2 - y1)) * deg / 1e6, 1) AS km2 FROM m""")
+def union_overlap(spark, d):
+    """Area in EPSG:3857 of what the union of two boxes has in common with a third."""
+    from ..operators import geometry
+
+    k = F.col("s_suppkey")
+    x, y = k * 17 % 300 - 150.0, k * 29 % 100 - 50.0
+    both = F.array(_box_wkt(x, y, x + 2, y + 2), _box_wkt(x + 1, y + 1, x + 3, y + 3))
+    area = geometry.mercator_overlap_area(both, _box_wkt(x + 0.5, y, x + 2.5, y + 3))
+    return table(spark, d, "supplier").select("s_suppkey", F.round(area / 1e6, 1).alias("km2"))
+
+
+@query("""
+WITH b AS (SELECT c_nationkey, c_mktsegment, (c_custkey % 7) * 0.5 AS x0, 10 + (c_custkey % 5) * 0.5 AS x1 FROM customer WHERE c_mktsegment <> 'MACHINERY'),
+u AS (SELECT c_nationkey, c_mktsegment, min(x0) AS x0, max(x1) AS x1 FROM b GROUP BY ALL)
+SELECT c_nationkey::BIGINT AS c_nationkey, max(x0)::DOUBLE AS minx, 0.0::DOUBLE AS miny, min(x1)::DOUBLE AS maxx, 5.0::DOUBLE AS maxy FROM u GROUP BY c_nationkey""")
+def common_footprints(spark, d):
+    """Each nation's segments are unions of polygons; their common bounds. A null segment constrains nothing."""
+    from ..operators import geometry
+
+    k = F.col("c_custkey")
+    rows = table(spark, d, "customer").select("c_nationkey", F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("segment"), _box_wkt((k % 7) * 0.5, F.lit(0), (k % 5) * 0.5 + 10, F.lit(5)).alias("g"))
+    found = geometry.common_footprint(rows.distinct(), "c_nationkey", ["segment"], "g")
+    return found.select(big("c_nationkey").alias("c_nationkey"), "minx", "miny", "maxx", "maxy")
+
+
+@query("""
+SELECT s_suppkey, round((x + x + 6 + x) / 3, 6) AS lon, round((y + y + y + 3) / 3, 6) AS lat FROM (SELECT s_suppkey, (s_suppkey * 17 % 300) - 150.0 AS x, (s_suppkey * 29 % 100) - 50.0 AS y FROM supplier)""")
+def polygon_centroids(spark, d):
+    from ..operators import geometry
+
+    k = F.col("s_suppkey")
+    x, y = (k * 17 % 300 - 150.0).cast("double"), (k * 29 % 100 - 50.0).cast("double")
+    point = lambda a, b: F.concat_ws(" ", a.cast("string"), b.cast("string"))
+    text = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", point(x, y), point(x + 6, y), point(x, y + 3), point(x, y)), F.lit("))"))
+    at = table(spark, d, "supplier").select("s_suppkey", geometry.centroids(text).alias("c"))
+    return at.select("s_suppkey", F.round("c.lon", 6).alias("lon"), F.round("c.lat", 6).alias("lat"))
+
+
+@query(_UTM.replace("x + 480 AS e, y + 480 AS n", "x + 960 AS e, y AS n"))
+def footprint_corner(spark, d):
+    """The first corner of the footprint text, its lower right."""
+    k = F.col("s_suppkey")
+    epsg = (F.lit(32601) + k % 60).cast("int")
+    x, y = F.lit(400000.0) + k * 7919 % 200000, F.lit(1000000.0) + k * 104729 % 5000000
+    box = F.struct(x.alias("minx"), y.alias("miny"), (x + 960).alias("maxx"), (y + 960).alias("maxy"))
+    corner = F.split(F.regexp_extract(geo.footprint_wkt(box, epsg), r"\(\(([^,]*),", 1), " ")
+    return table(spark, d, "supplier").select("s_suppkey", F.round(F.get(corner, 0).cast("double"), 6).alias("lon"), F.round(F.get(corner, 1).cast("double"), 6).alias("lat"))
+
+
+# files: written to the shared folder and read back
+
+
+def _folder(spark, name: str) -> str:
+    """A new folder's path; without a scheme where it is local, for the writers that need a file system."""
+    import uuid
+
+    from ..session import shared_folder
+
+    path = f"{shared_folder(spark)}/landweave/{name}-{uuid.uuid4().hex}"
+    return path.removeprefix("file://") if path.startswith("file:///") else path
+
+
+@query("""
+SELECT s_suppkey AS aoi_index, ((s_suppkey * 17 % 340) - 170.0)::DOUBLE AS minx, ((s_suppkey * 29 % 140) - 69.0)::DOUBLE AS maxy, CASE WHEN s_suppkey % 3 = 0 THEN 'success' ELSE 'not processed' END AS status FROM supplier""")
+def geojson_areas(spark, d):
+    """Areas as one feature collection, written and read."""
+    import os
+
+    from ..sources import geojson
+
+    k = F.col("s_suppkey")
+    x, y = k * 17 % 340 - 170.0, k * 29 % 140 - 70.0
+    areas = table(spark, d, "supplier").select(k.alias("aoi_index"), _box_wkt(x, y, x + 1, y + 1).alias("geom"), F.when(k % 3 == 0, "success").otherwise("not processed").alias("status"))
+    path = _folder(spark, "areas")
+    os.makedirs(path, exist_ok=True)
+    geojson.write_collection(areas, "geom", f"{path}/aois.geojson")
+    return geojson.read_areas(spark, f"file://{path}/aois.geojson").select("aoi_index", F.col("bbox.minx").alias("minx"), F.col("bbox.maxy").alias("maxy"), "status")
+
+
+@query(f"""
+WITH b AS (SELECT c_custkey, c_nationkey, {_LONLAT} FROM customer) SELECT c_custkey, c_nationkey::BIGINT AS nation, round(minx + 0.5, 6)::DOUBLE AS lon, round(miny + 0.5, 6)::DOUBLE AS lat FROM b""")
+def geojson_parts(spark, d):
+    """Footprints as features in parts, a partition a nation."""
+    from ..operators import geometry
+    from ..sources import geojson
+
+    b = F.col("box")
+    boxes = _customer_boxes(spark, d).join(table(spark, d, "customer").select("c_custkey", big("c_nationkey").alias("nation")), "c_custkey")
+    path = _folder(spark, "features")
+    geojson.write_features(boxes.select("c_custkey", "nation", _box_wkt(b["minx"], b["miny"], b["maxx"], b["maxy"]).alias("geom")), "geom", path, "nation")
+    found = geojson.read_features(spark, path, "c_custkey bigint, nation bigint").withColumn("c", geometry.centroids("geom"))
+    return found.select("c_custkey", "nation", F.round("c.lon", 6).alias("lon"), F.round("c.lat", 6).alias("lat"))
+
+
+@query(f"""
+WITH {_DATES} SELECT id AS chip_index, dates AS s2l2a_dates, '[]' AS s1rtc_dates, (id % 13)::INT::BIGINT AS lulc, CASE WHEN id % 2 = 0 THEN 'success' ELSE 'status "' || id || '", quoted' END AS status FROM dd""")
+def chip_log_rows(spark, d):
+    """A chip log written in two appends and read with its schema."""
+    from ..sources import chiplog
+
+    rows = date_lists(spark, d).select("id", "dates")
+    i = F.col("id")
+    text = lambda v: F.lit(v).cast("string")
+    log = rows.select(
+        i.alias("chip_index"), (i % 5).alias("aoi_index"), F.col("dates").alias("s2l2a_dates"), F.array().cast("array<string>").alias("s1rtc_dates"), text("[]").alias("lc2l2_dates"), (i % 13).cast("int").alias("lulc"),
+        text(None).alias("chip_footprint"), F.lit(32632).alias("epsg"), F.when(i % 2 == 0, "success").otherwise(F.concat(F.lit('status "'), i.cast("string"), F.lit('", quoted'))).alias("status"),
+        *[text("a,b").alias(c) for c in ("s2l2a_scene_ids", "s1rtc_scene_ids", "lc2l2_scene_ids", "lulc_scene_ids", "dem_scene_ids")],
+    )
+    path = _folder(spark, "chip-log")
+    chiplog.write_log(log.where(i % 3 == 0), path)
+    chiplog.write_log(log.where(i % 3 != 0), path)
+    return chiplog.read_log(spark, path).select("chip_index", "s2l2a_dates", "s1rtc_dates", big("lulc").alias("lulc"), "status")
+
+
+@query("""
+SELECT 'e' || event_id AS item_id, event_type AS collection, value AS cloud, (user_id % 60)::BIGINT AS rel_orbit FROM events
+WHERE event_type = 'click' AND value < 200 AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'""")
+def scene_items(spark, d):
+    """Items as JSON files, searched through the data source that prunes while it reads."""
+    from ..sources import scene_catalog
+
+    e = table(spark, d, "events")
+    properties = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("datetime"), F.col("value").alias("eo:cloud_cover"), (F.col("user_id") % 60).cast("int").alias("sat:relative_orbit"))
+    path = _folder(spark, "items")
+    e.select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("id"), F.col("event_type").alias("collection"), F.array(*map(F.lit, (0.0, 0.0, 1.0, 1.0))).alias("bbox"), properties.alias("properties")).write.json(f"file://{path}")
+    scenes_in = scene_catalog.read_scenes(spark, path)
+    start, end = (F.lit(x).cast("timestamp") for x in ("2024-01-05", "2024-01-20"))
+    found = scene_catalog.search(scenes_in, "click", start, end, F.col("cloud") < 200)
+    return found.select("item_id", "collection", "cloud", big("rel_orbit").alias("rel_orbit"))
+
+
+@query("""
+WITH p AS (SELECT vec_id, (i - 1) // 8 AS y, (i - 1) % 8 AS x, embedding[i] AS v FROM embeddings, range(1, 65) r(i))
+SELECT vec_id AS aoi_index, (y // 4)::BIGINT AS wy, (x // 4)::BIGINT AS wx, round(sum(v::DOUBLE), 4) AS total FROM p GROUP BY ALL""")
+def geotiff_blocks(spark, d):
+    """Tiles as GeoTIFF files, read back as blocks of 4 x 4."""
+    from ..session import ship
+    from ..sources import images, rasters
+
+    ship(spark)
+    tiles = table(spark, d, "embeddings").select(
+        F.concat(F.lit("dem_"), F.col("vec_id").cast("string"), F.lit(".tif")).alias("name"), F.array(F.col("embedding").cast("array<double>")).alias("data"), F.lit(8).alias("n"), F.lit("float32").alias("dtype"),
+        F.lit(32632).alias("epsg"), F.lit(0.0).alias("minx"), F.lit(0.0).alias("maxy"), F.lit(10.0).alias("resolution"), "vec_id",
+    )
+    path = _folder(spark, "tiles")
+    images.write_images(images.encode_chips(tiles.drop("vec_id"), "tif"), path).count()
+    manifest = tiles.select(F.col("name").alias("path"), F.col("vec_id").alias("aoi_index"), F.lit("dem").alias("source"), F.lit("2023-01-01").cast("timestamp").alias("t"), F.array(F.lit("elevation")).alias("bands"), F.lit(4).alias("n"))
+    total = F.round(F.aggregate("data", F.lit(0.0), lambda a, v: a + v), 4)
+    return rasters.read_blocks(spark, manifest, f"file://{path}").select("aoi_index", big("wy").alias("wy"), big("wx").alias("wx"), total.alias("total"))
