@@ -156,6 +156,8 @@ class RunConfig:
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Build a chip dataset from areas of interest and a scene catalogue.")
     parser.add_argument("-c", "--config", default="config.yml", help="YAML run configuration")
-    parser.add_argument("--scenes", help="scene catalogue (Parquet)")
+    parser.add_argument("--scenes", help="scene catalogue (Parquet, item JSON, or the address of an item search)")
+    parser.add_argument("--grid", help="grid of satellite paths (Parquet or zipped shapefile); by default the scenes' path with _grid")
+    parser.add_argument("--grid-url", help="address of the zipped shapefile, for where --grid is a zip that is not there")
     parser.add_argument("--blocks", help="raster blocks (Parquet)")
     return parser.parse_args(argv)

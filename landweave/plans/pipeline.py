@@ -19,6 +19,8 @@ AREA_KEYS = ["aoi_index"]
 WINDOW_KEYS = ["aoi_index", "wy", "wx"]
 #: Cell width in degrees of the join of areas and scenes.
 CELL = 2.0
+#: Fixed value: scenes of a search, at most.
+SEARCH_LIMIT = 50
 #: Statuses of areas that fail outside the search.
 MALFORMED, APART = "aoi geometry malformed", "scenes without a common footprint"
 
@@ -63,20 +65,21 @@ def _windowed(anchors: DataFrame, catalogue: DataFrame, collection: str, days: i
 
 
 def radar_scenes(anchors: DataFrame, catalogue: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Scenes on the date nearest to each season's centre, all of the orbit that is best in the first season."""
+    """Scenes on the date nearest to each season's centre, of the 50 nearest, all of the orbit that is best in the first season."""
     near = _windowed(anchors, catalogue, cfg.s1rtc.collection, cfg.s1rtc.delta_days).withColumn("distance", timefn.apart(F.col("center"), F.col("dt")))
     first = near.where("season_idx = 0")
     orbits = first.groupBy("aoi_index", "rel_orbit", "footprint").agg(F.collect_list("scene_geom").alias("geoms"), F.min("distance").alias("distance"))
     plane = orbits.withColumn("area", geometry.mercator_overlap_area("geoms", "footprint"))
     locked = scenes.top_per_group(plane, AREA_KEYS, [F.desc("area"), F.asc("distance"), F.asc("rel_orbit")]).select("aoi_index", F.col("rel_orbit").alias("orbit"))
     held = near.join(locked, "aoi_index").where(F.col("rel_orbit") == F.col("orbit"))
-    return scenes.best_date_rows(held, ["aoi_index", "season_idx"], "dt", ["distance", "dt", "item_id"])
+    top = scenes.top_per_group(held, ["aoi_index", "season_idx"], [F.asc("distance"), F.asc("dt"), F.asc("item_id")], SEARCH_LIMIT)
+    return scenes.best_date_rows(top, ["aoi_index", "season_idx"], "dt", ["distance", "dt", "item_id"])
 
 
 def landsat_scenes(anchors: DataFrame, catalogue: DataFrame, cfg: RunConfig) -> DataFrame:
     """Scenes on the date of each season's least cloudy one, of the 50 least cloudy."""
     near = _windowed(anchors, catalogue, cfg.lc2l2.collection, cfg.lc2l2.delta_days, scenes.thermal_predicate(cfg.lc2l2.platforms, cfg.lc2l2.cloud_cover, F.col("path")))
-    top = scenes.top_per_group(near, ["aoi_index", "season_idx"], [F.asc("cloud"), F.asc("dt"), F.asc("item_id")], 50)
+    top = scenes.top_per_group(near, ["aoi_index", "season_idx"], [F.asc("cloud"), F.asc("dt"), F.asc("item_id")], SEARCH_LIMIT)
     return scenes.best_date_rows(top, ["aoi_index", "season_idx"], "dt", ["cloud", "dt", "item_id"])
 
 
@@ -149,7 +152,8 @@ def source_quality(ready: DataFrame, source: str, cfg: RunConfig) -> DataFrame:
     """bad per window: a missing or zero value in any block after filling; and the dates."""
     settings = getattr(cfg, source)
     full = F.transform("data", lambda v: pixels.filled(v, settings.fill_na, settings.na_value)) if settings.fill_na else F.col("data")
-    return ready.groupBy(*WINDOW_KEYS).agg(F.bool_or(pixels.any_missing(full)).alias("bad"), F.array_join(F.array_sort(F.collect_set(timefn.day_stamp(F.col("t")))), ",").alias("dates"))
+    broken = F.size("data") != cfg.chips.pixels(settings.resolution)[0] ** 2  # a block of another size fails its window alone
+    return ready.groupBy(*WINDOW_KEYS).agg(F.bool_or(pixels.any_missing(full) | broken).alias("bad"), F.array_join(F.array_sort(F.collect_set(timefn.day_stamp(F.col("t")))), ",").alias("dates"))
 
 
 def make_chips(blocks: DataFrame, areas: DataFrame, ids: DataFrame, cfg: RunConfig, start: int = 0) -> DataFrame:
@@ -165,7 +169,8 @@ def make_chips(blocks: DataFrame, areas: DataFrame, ids: DataFrame, cfg: RunConf
         first = (F.col("wy") == 0) | (F.col("wx") == 0)
         edge = first if edge is None else edge | first
     # as the int8 cast does, means are truncated
-    whole = found.withColumn("data", F.transform("data", lambda v: pixels.checked_cast(v, "smallint").cast("double")))
+    sized = F.when(F.size("data") == cfg.chips.pixels(cfg.lulc.resolution)[0] ** 2, F.col("data")).otherwise(F.array(F.lit(None).cast("double")))
+    whole = found.withColumn("data", F.transform(sized, lambda v: pixels.checked_cast(v, "smallint").cast("double")))
     state = whole.withColumn("lulc_status", chips.land_cover_status(F.col("data"), edge))
     state = chips.chip_class(state, "lulc_status", "data").drop("data", "t", "band")
     order = ["lc2l2", "dem", "s1rtc", "s2l2a"]
@@ -272,7 +277,7 @@ def main(argv: list[str] | None = None) -> None:
     file, chips are numbered on. Images are written before the log, so every successful chip in the log has its files.
     """
     from ..session import build_session, held, ship
-    from ..sources import chiplog, geojson, scene_catalog
+    from ..sources import chiplog, geojson, grid, scene_catalog
     from ..sources import release as folders
 
     args = parse_args(argv)
@@ -291,7 +296,7 @@ def main(argv: list[str] | None = None) -> None:
     log = chiplog.read_log(spark, log_path) if Path(log_path).exists() else chiplog.empty_log(spark)
     todo = curate.resumable(areas, log, "aoi_index")
     last = log.agg(F.max("chip_index")).first()[0]
-    chosen, checked = select_scenes(todo, scene_catalog.read_scenes(spark, args.scenes), spark.read.parquet(f"{args.scenes}_grid"), cfg)
+    chosen, checked = select_scenes(todo, scene_catalog.read_scenes(spark, args.scenes), grid.read_grid(spark, args.grid or f"{args.scenes}_grid", args.grid_url), cfg)
     chosen, checked = held(chosen, "chosen"), held(checked, "checked")
     geojson.write_features(chosen, "geom", f"{work}/scenes", partition="aoi_index")
     blocks = spark.read.parquet(args.blocks)

@@ -111,6 +111,15 @@ def test_chips_and_release(spark, world):
     assert {len(p) for r in thumbs.collect() for p in r["data"]} == {16}
 
 
+def test_a_block_of_another_size_fails_its_window_alone(spark, world):
+    cfg, *_ = world
+    rows = [(*r[:7], r[7][:3]) if (r[1], r[4], r[5]) in (("dem", 0, 0), ("s2l2a", 1, 2)) and len(r[7]) > 3 else (*r[:7], [*r[7], 500.0]) if (r[1], r[4], r[5]) == ("dem", 0, 0) else r for r in blocks_of(cfg)]
+    areas = spark.createDataFrame([(0, "success", 32632, 500000.0, 5300000.0, 4, 4)], "aoi_index bigint, status string, epsg int, minx double, maxy double, rows int, cols int")
+    ids = spark.createDataFrame([(0, *["x"] * 5)], "aoi_index bigint, s2l2a_scene_ids string, s1rtc_scene_ids string, lc2l2_scene_ids string, lulc_scene_ids string, dem_scene_ids string")
+    got = {(r["wy"], r["wx"]): r["status"] for r in pipeline.make_chips(spark.createDataFrame(rows, BLOCK), areas, ids, cfg).collect()}
+    assert got[0, 0] == "dem missing values" and got[1, 2] == "s2l2a missing values" and got[2, 1] == "success"
+
+
 def test_orbit_is_chosen_by_area_in_metres(spark, world):
     """Two orbits whose order differs between degrees and EPSG:3857: high latitudes weigh more."""
     cfg, _, _, grid = world

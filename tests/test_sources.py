@@ -213,3 +213,41 @@ def test_features_in_parts_have_geometry_and_keep_other_partitions(spark, tmp_pa
     geojson.write_features(df.where("k = 2").selectExpr("k", "'c' AS v", "g"), "g", str(tmp_path / "f"), "k")
     got = {r["v"]: r["geom"] for r in geojson.read_features(spark, str(tmp_path / "f"), "v string").collect()}
     assert set(got) == {"a", "c"} and all(g.startswith("POLYGON ((0.0 0.0") for g in got.values())
+
+
+def shapefile(paths):
+    """A zipped shapefile of squares, made by hand."""
+    import struct
+    import zipfile
+
+    shp, dbf = bytes(100), struct.pack("<BBBBIHH20x", 3, 0, 0, 0, len(paths), 32 + 2 * 32 + 1, 1 + 6 + 5)
+    for name, size in ((b"NAME", 6), (b"PATH", 5)):
+        dbf += name.ljust(11, b"\0") + b"N" + bytes(4) + bytes([size, 0]) + bytes(14)
+    dbf += b"\r"
+    for k, (path, (x0, y0, x1, y1)) in enumerate(paths):
+        points = [(x0, y0), (x0, y1), (x1, y1), (x1, y0), (x0, y0)]
+        body = struct.pack("<i4dii", 5, x0, y0, x1, y1, 1, 5) + struct.pack("<i", 0) + b"".join(struct.pack("<2d", *p) for p in points)
+        shp += struct.pack(">II", k + 1, len(body) // 2) + body
+        dbf += b" " + b"x".ljust(6) + str(path).rjust(5).encode()
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w") as z:
+        z.writestr("g.shp", shp)
+        z.writestr("g.dbf", dbf)
+    return raw.getvalue()
+
+
+def test_grid_is_read_from_a_zip_an_address_or_a_table(spark, tmp_path):
+    from landweave.sources import grid
+
+    paths = [(7, (0.0, 1.0, 2.0, 3.0)), (193, (-10.5, 4.0, -8.0, 6.25))]
+    raw = shapefile(paths)
+    plain = lambda df: sorted((r["path"], tuple(r["bbox"])) for r in df.collect())
+    asked = []
+    remote = grid.read_grid(spark, str(tmp_path / "g.zip"), "http://x/g.zip", lambda url: asked.append(url) or raw)
+    assert plain(remote) == paths and asked == ["http://x/g.zip"]
+    (tmp_path / "g.zip").write_bytes(raw)
+    assert plain(grid.read_grid(spark, str(tmp_path / "g.zip"), "http://x/g.zip", None)) == paths
+    remote.write.parquet(str(tmp_path / "table"))
+    assert plain(grid.read_grid(spark, str(tmp_path / "table"))) == paths
+    with pytest.raises(FileNotFoundError):
+        grid.read_grid(spark, str(tmp_path / "none.zip"))
