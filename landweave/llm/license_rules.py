@@ -8,7 +8,8 @@ lies inside a span of the same or a higher priority is dropped; the labels of th
 Everything happens in the row: no shuffle, no join, and work in proportion to the text.
 
 Defined cases: a null or empty text has no words, no labels and score 0; rows are independent, so
-repeated rows give repeated results; other columns of the input are not touched.
+repeated rows and rows that share an id give their own results, and an empty table gives an empty one; of equal spans of one
+priority (a tie) the label that comes first in the alphabet stays; texts are scanned whole; other columns are not read.
 """
 
 from __future__ import annotations

@@ -9,8 +9,9 @@ round (leftmost first, without overlap), as the one-by-one order would do next a
 A word here is a run of characters whose neighbours stand side by side in at least one vocabulary
 piece: no merge can cross any other place, so words are independent and equal words are done once.
 
-Results: null and empty texts give no ids and decode to ''. Repeated texts and any length are fine;
-ties of the score go to the leftmost pair, as in the library.
+Defined cases: null and empty texts give no ids and decode to ''. Rows are independent, so repeated rows and rows that share
+an id give their own results, and an empty table gives an empty one; texts of any length are encoded whole; ties
+of the score go to the leftmost pair, as in the library; other columns are not read.
 """
 
 from __future__ import annotations
