@@ -32,11 +32,6 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _lse(x: np.ndarray, axis: int) -> np.ndarray:
-    m = x.max(axis=axis, keepdims=True)
-    return (m + np.log(np.exp(x - m).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
 def initial(seed: int) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     p = {"embed": rng.normal(0, 0.3, (CODES, EMBED)), "out": rng.normal(0, 0.2, (2 * HIDDEN, TAGS)), "bias": np.zeros(TAGS), "trans": np.zeros((TAGS, TAGS)), "start": np.zeros(TAGS)}
@@ -97,36 +92,53 @@ def _emissions(p: dict, x: np.ndarray, keep: bool = False):
     return hidden @ p["out"] + p["bias"], mask, hidden, tape_f, tape_b
 
 
-def _alpha_beta(p: dict, e: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    steps = len(e)
-    alpha, beta = np.zeros_like(e), np.zeros_like(e)
-    alpha[0] = p["start"] + e[0]
+def _forward_backward(p: dict, e: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marginals of each tag, expected counts of each transition, and log of the sum over all paths of each window.
+
+    Probabilities are scaled to sum to 1 at each step; e is (steps, batch, tags).
+    """
+    steps, batch, _ = e.shape
+    top = e.max(axis=2)
+    x = np.exp(e - top[:, :, None])
+    jump = np.exp(p["trans"])
+    a, c = np.empty_like(x), np.ones((steps, batch), x.dtype)
+    first = p["start"].max()
+    now = np.exp(p["start"] - first) * x[0]
+    c[0] = now.sum(axis=1)
+    a[0] = now / c[0][:, None]
     for t in range(1, steps):
-        new = _lse(alpha[t - 1][:, :, None] + p["trans"], 1) + e[t]
-        alpha[t] = np.where(mask[t][:, None] > 0, new, alpha[t - 1])
-    for t in range(steps - 2, -1, -1):
-        new = _lse(p["trans"] + (e[t + 1] + beta[t + 1])[:, None, :], 2)
-        beta[t] = np.where(mask[t + 1][:, None] > 0, new, 0)
-    return alpha, beta, _lse(alpha[-1], 1)
+        new = (a[t - 1] @ jump) * x[t]
+        live = mask[t] > 0
+        c[t] = np.where(live, new.sum(axis=1), 1)
+        a[t] = np.where(live[:, None], new / c[t][:, None], a[t - 1])
+    b, come = np.empty_like(x), np.zeros_like(x)  # come: what a step takes over from the one before it
+    b[-1] = 1
+    back = np.ascontiguousarray(jump.T)
+    for t in range(steps - 1, 0, -1):
+        come[t] = x[t] * b[t] * (mask[t] / c[t])[:, None]
+        b[t - 1] = np.where(mask[t][:, None] > 0, come[t] @ back, b[t])
+    tags = e.shape[2]
+    pairs = jump * (a[:-1].reshape(-1, tags).T @ come[1:].reshape(-1, tags))
+    log_z = first + (mask * (np.log(c) + top)).sum(axis=0)
+    return a * b, pairs, log_z
 
 
 def loss_and_gradients(p: dict, x: np.ndarray, tags: np.ndarray) -> tuple[float, dict]:
     """Mean negative log-likelihood of a window's tags and its gradients; x and tags are (steps, batch)."""
     e, mask, hidden, tape_f, tape_b = _emissions(p, x, keep=True)
     steps, batch = x.shape
-    alpha, beta, log_z = _alpha_beta(p, e, mask)
+    marginal, pairs, log_z = _forward_backward(p, e, mask)
     rows = np.arange(batch)
-    gold = p["start"][tags[0]] + e[0, rows, tags[0]]
-    d_e = np.exp(alpha + beta - log_z[:, None]) * mask[:, :, None]
+    at = np.arange(steps)[:, None]
+    own = mask * e[at, rows[None, :], tags]
+    own[1:] += mask[1:] * p["trans"][tags[:-1], tags[1:]]
+    gold = p["start"][tags[0]] + own.sum(axis=0)
+    d_e = marginal * mask[:, :, None]
     grads = {k: np.zeros_like(v) for k, v in p.items()}
     grads["start"] += d_e[0].sum(axis=0)
     np.subtract.at(grads["start"], tags[0], 1)
-    for t in range(1, steps):
-        live = mask[t]
-        gold += live * (p["trans"][tags[t - 1], tags[t]] + e[t, rows, tags[t]])
-        pair = np.exp(alpha[t - 1][:, :, None] + p["trans"] + (e[t] + beta[t])[:, None, :] - log_z[:, None, None])
-        grads["trans"] += np.einsum("bij,b->ij", pair, live)
-        np.subtract.at(grads["trans"], (tags[t - 1], tags[t]), live)
+    grads["trans"] += pairs
+    np.subtract.at(grads["trans"], (tags[:-1], tags[1:]), mask[1:])
     d_e[np.arange(steps)[:, None], rows[None, :], tags] -= mask
     d_e /= batch
     for k in ("start", "trans"):
@@ -281,8 +293,7 @@ def _best_paths(p: dict, e: np.ndarray, x: np.ndarray) -> list[list[tuple[int, i
     if not len(held):
         return found
     e, mask, path = e[:, held], mask[:, held], path[:, held]
-    alpha, beta, log_z = _alpha_beta(p, e, mask)
-    marginal = np.exp(alpha + beta - log_z[:, None])
+    marginal, _, _ = _forward_backward(p, e, mask)
     sure = marginal[np.arange(steps)[:, None], np.arange(len(held))[None, :], path]
     for b, k in enumerate(held.tolist()):
         spans, at = [], None
