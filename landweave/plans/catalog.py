@@ -899,6 +899,11 @@ def _folder(spark, name: str) -> str:
     return path.removeprefix("file://") if path.startswith("file:///") else path
 
 
+def _uri(path: str) -> str:
+    """The path as Spark's own readers and writers take it, whatever the default file system is."""
+    return f"file://{path}" if path.startswith("/") else path
+
+
 @query("""
 SELECT s_suppkey AS aoi_index, ((s_suppkey * 17 % 340) - 170.0)::DOUBLE AS minx, ((s_suppkey * 29 % 140) - 69.0)::DOUBLE AS maxy, CASE WHEN s_suppkey % 3 = 0 THEN 'success' ELSE 'not processed' END AS status FROM supplier""")
 def geojson_areas(spark, d):
@@ -913,7 +918,7 @@ def geojson_areas(spark, d):
     path = _folder(spark, "areas")
     os.makedirs(path, exist_ok=True)
     geojson.write_collection(areas, "geom", f"{path}/aois.geojson")
-    return geojson.read_areas(spark, f"file://{path}/aois.geojson").select("aoi_index", F.col("bbox.minx").alias("minx"), F.col("bbox.maxy").alias("maxy"), "status")
+    return geojson.read_areas(spark, f"{_uri(path)}/aois.geojson").select("aoi_index", F.col("bbox.minx").alias("minx"), F.col("bbox.maxy").alias("maxy"), "status")
 
 
 @query(f"""
@@ -961,7 +966,7 @@ def scene_items(spark, d):
     e = table(spark, d, "events")
     properties = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("datetime"), F.col("value").alias("eo:cloud_cover"), (F.col("user_id") % 60).cast("int").alias("sat:relative_orbit"))
     path = _folder(spark, "items")
-    e.select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("id"), F.col("event_type").alias("collection"), F.array(*map(F.lit, (0.0, 0.0, 1.0, 1.0))).alias("bbox"), properties.alias("properties")).write.json(f"file://{path}")
+    e.select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("id"), F.col("event_type").alias("collection"), F.array(*map(F.lit, (0.0, 0.0, 1.0, 1.0))).alias("bbox"), properties.alias("properties")).write.json(_uri(path))
     scenes_in = scene_catalog.read_scenes(spark, path)
     start, end = (F.lit(x).cast("timestamp") for x in ("2024-01-05", "2024-01-20"))
     found = scene_catalog.search(scenes_in, "click", start, end, F.col("cloud") < 200)
@@ -985,4 +990,4 @@ def geotiff_blocks(spark, d):
     images.write_images(images.encode_chips(tiles.drop("vec_id"), "tif"), path).count()
     manifest = tiles.select(F.col("name").alias("path"), F.col("vec_id").alias("aoi_index"), F.lit("dem").alias("source"), F.lit("2023-01-01").cast("timestamp").alias("t"), F.array(F.lit("elevation")).alias("bands"), F.lit(4).alias("n"))
     total = F.round(F.aggregate("data", F.lit(0.0), lambda a, v: a + v), 4)
-    return rasters.read_blocks(spark, manifest, f"file://{path}").select("aoi_index", big("wy").alias("wy"), big("wx").alias("wx"), total.alias("total"))
+    return rasters.read_blocks(spark, manifest, _uri(path)).select("aoi_index", big("wy").alias("wy"), big("wx").alias("wx"), total.alias("total"))
