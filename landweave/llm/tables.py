@@ -50,3 +50,25 @@ def free_name(taken: Iterable[str], name: str) -> str:
     while name.lower() in lower:
         name += "_"
     return name
+
+
+#: Bits of a row filter, at most: 4,096 buckets of 4 KB.
+FILTER_BITS = 1 << 27
+
+
+def let_through(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of df whose key may be in wanted (a stored table with a column of that name), by a bitmap of hashes.
+
+    The bitmap is of bounded size and is joined in the JVM, so what goes on to an exact join's shuffle is little more than is
+    wanted: about one bit in 16 is set. With more keys than FILTER_BITS / 16 it lets more other rows through.
+    """
+    per_bucket, size = 1 << 15, 1 << 15
+    while size < min(FILTER_BITS, 16 * wanted.count()):
+        size *= 2
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(size)) + F.lit(1)
+    parts = wanted.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__bits"))
+    own = free_name(df.columns, "__place")
+    at = F.bitmap_bit_position(F.col(own))
+    byte = F.conv(F.hex(F.substring("__bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    held = (F.bitmap_bucket_number(F.col(own)) == F.col("__bucket")) & (F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1)
+    return df.withColumn(own, place).join(F.broadcast(parts), held, "left_semi").drop(own)

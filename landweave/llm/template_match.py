@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import ascii_lower, free_name, materialise
+from .tables import ascii_lower, free_name, let_through, materialise
 
 WINDOW = 8
 MIN_WORDS = 5
@@ -144,7 +144,8 @@ def _leaks(documents: DataFrame, benchmark: DataFrame, window: int, coverage: fl
         both_kinds = templates.unionByName(dense.withColumn("dense", F.lit(True)), allowMissingColumns=True)
         met = meet(windows(False, documents, sizes), both_kinds)
         some = materialise(met.withColumn("pos", F.when(~F.col("dense"), F.col("pos"))).select(*hit, "dense").distinct(), "template-hits")
-        readers = documents.join(some.where("dense").select("doc").distinct(), "doc", "left_semi")
+        dense_docs = materialise(some.where("dense").select("doc").distinct(), "dense-documents")
+        readers = let_through(documents, "doc", dense_docs).join(dense_docs, "doc", "left_semi")
         valued = items.where(F.col("value_h").isNotNull()).select("item_id", "n_windows", "n_lexical", "size", "item_pos", F.col("value_h").alias("h"))
         hits = some.where(~F.col("dense")).select(*hit, F.lit(False).alias("valued")).union(meet(windows(True, readers, sorted(by_value)), valued).select(*hit, F.lit(True)))
     else:
@@ -161,7 +162,8 @@ def _leaks(documents: DataFrame, benchmark: DataFrame, window: int, coverage: fl
     enough = lambda places: of_all(places) | F.coalesce(by_template(places) >= F.lit(coverage) * F.col("n_lexical"), F.lit(False))
     near = materialise(pairs.where(enough(F.array_distinct(F.flatten("units.places")))), "template-pairs")
 
-    doc_slots = documents.join(near.select("doc").distinct(), "doc", "left_semi").select("doc", template_words(F.col("text"), values=True).alias("doc_words"))
+    near_docs = materialise(near.select("doc").distinct(), "near-documents")
+    doc_slots = let_through(documents, "doc", near_docs).join(near_docs, "doc", "left_semi").select("doc", template_words(F.col("text"), values=True).alias("doc_words"))
     item_slots = benchmark.select("item_id", template_words(F.col("text"), values=True).alias("item_words"))
     # pairs are compressed in their table, so that its size says little of what a broadcast of it would take
     both = near.hint("merge").join(doc_slots, "doc").join(item_slots, "item_id")

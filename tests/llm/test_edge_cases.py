@@ -146,3 +146,13 @@ def test_twins_tell_rows_of_one_id_apart(spark):
     got = line_spread.remove_boilerplate(df).select("doc_id", "n_lines", "n_removed", F.md5(F.encode("text", "UTF-8")))
     assert sorted(map(tuple, got.collect()), key=key) == sorted(con.execute(line_spread.ORACLE).fetchall(), key=key)
     assert sorted(map(tuple, jaccard_join.link_components(df).collect()), key=key) == sorted(con.execute(jaccard_join.ORACLE).fetchall(), key=key)
+
+
+def test_row_filter_loses_no_wanted_row(spark):
+    from landweave.llm.tables import let_through, materialise
+
+    rows = spark.range(30_000).select(F.struct(F.when(F.col("id") % 7 != 0, F.col("id")).alias("id"), (F.col("id") * 31).alias("row")).alias("doc"))
+    wanted = materialise(rows.where("doc.row % 93 = 0"), "wanted")
+    got = let_through(rows, "doc", wanted)
+    assert wanted.count() == 10_000 and wanted.join(got, "doc", "left_anti").count() == 0 and got.count() < 12_000
+    assert got.columns == rows.columns and let_through(rows, "doc", wanted.limit(0)).count() == 0
