@@ -251,3 +251,13 @@ def test_grid_is_read_from_a_zip_an_address_or_a_table(spark, tmp_path):
     assert plain(grid.read_grid(spark, str(tmp_path / "table"))) == paths
     with pytest.raises(FileNotFoundError):
         grid.read_grid(spark, str(tmp_path / "none.zip"))
+
+
+def test_stream_leaves_out_repeats_of_a_key_across_batches(spark, tmp_path):
+    source, out, mark = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark")
+    schema = "k long, v string"
+    run = lambda: incremental.append_batches(spark.readStream.schema(schema).parquet(source), lambda b: b, out, mark, "k")
+    for rows in ([(1, "a"), (2, "b"), (2, "b")], [(2, "c"), (3, "d")], [(1, "e")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        run()
+    assert sorted((r["k"], r["v"]) for r in spark.read.parquet(out).select("k", "v").collect()) == [(1, "a"), (2, "b"), (3, "d")]
