@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import flat
-from .tables import free_name, materialise
+from .tables import free_name, let_through, materialise, without
 
 SKETCH_BITS = 18
 #: Bits of a set's parity bitmap, below LARGE shingles and from there on; the larger folds to the smaller.
@@ -577,17 +577,15 @@ def one_of_each(documents: DataFrame, id_col: str = "doc_id", text: str = "text"
     Of rows that share that id and text one stays, whichever.
     """
     found = materialise(linked_rows(documents, id_col, text, measure or Measure()), "linked")
-    own, key = free_name(documents.columns, "__id"), free_name(documents.columns, "__row")
-    hashed = documents.withColumn(key, F.xxhash64(F.col(text)))
-
-    def of(rows: DataFrame, how: str, df: DataFrame) -> DataFrame:
-        rows = rows.select(F.col("id").alias(own), F.col("row").alias(f"{key}_"))
-        return df.join(rows, F.col(id_col).eqNullSafe(F.col(own)) & (F.col(key) == F.col(f"{key}_")), how)
-
-    kept = of(found.where(~F.col("main")).select("id", "row").distinct(), "left_anti", hashed)
+    key = free_name(documents.columns, "__row")
+    keyed = documents.withColumn(key, F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text)).alias("row")))
+    row = F.struct("id", "row").alias(key)
+    kept = without(keyed, key, materialise(found.where(~F.col("main")).select(row).distinct(), "others"))
     twice = found.where(F.col("main") & (F.col("n") > 0)).groupBy("id", "row").agg(F.count("*").alias("times")).where("times > 1")
+    twice = materialise(twice.select(row), "twice")
     if not twice.isEmpty():
-        kept = of(twice, "left_anti", kept).unionByName(of(twice, "left_semi", kept).dropDuplicates([id_col, key]))
+        once = let_through(kept, key, twice).join(twice, key, "left_semi").dropDuplicates([key])
+        kept = without(kept, key, twice).unionByName(once.select(kept.columns))
     return kept.select(documents.columns)
 
 

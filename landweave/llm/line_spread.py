@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import free_name, materialise
+from .tables import free_name, materialise, parted
 
 MIN_SITES = 10
 LG_K = 10
@@ -50,11 +50,13 @@ def remove_boilerplate(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     """df with its text cut, and n_lines and n_removed (long) as further columns."""
     found = boilerplate(df, id_col, text, site, min_sites, lg_k)
     row = F.xxhash64(F.col(text))  # with the id, which row it is; rows that share both are equal
+    key, cut = free_name(df.columns, "__row"), free_name(df.columns, "__cut")
     again = _lines(df, id_col, text, row.alias("row")).join(found.select("h", "first"), "h")
-    places = again.where(~F.struct("id", "pos").eqNullSafe(F.col("first"))).groupBy("id", "row").agg(F.collect_set("pos").alias("cut"))
-    own, key, cut = (free_name(df.columns, c) for c in ("__id", "__row", "__cut"))
-    places = places.toDF(own, key, cut)
-    joined = df.join(places, F.col(id_col).eqNullSafe(F.col(own)) & (row == F.col(key)), "left").drop(own, key)
+    again = again.where(~F.struct("id", "pos").eqNullSafe(F.col("first")))
+    places = materialise(again.groupBy(F.struct("id", "row").alias(key)).agg(F.collect_set("pos").alias(cut)), "cuts")
+    # only rows that lose a line, and few others, are shuffled
+    near, clear = parted(df.withColumn(key, F.struct(F.col(id_col).alias("id"), row.alias("row"))), key, places)
+    joined = near.join(places, key, "left").select(*df.columns, cut).unionByName(clear.select(*df.columns, F.lit(None).cast("array<int>").alias(cut)))
     parts = F.split(F.col(text), "\n", -1)
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(cut)), lambda i: F.get(parts, i))
     counts = {

@@ -56,13 +56,14 @@ def free_name(taken: Iterable[str], name: str) -> str:
 FILTER_BITS = 1 << 27
 
 
-def let_through(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """The rows of df whose key may be in wanted (a stored table with a column of that name), by a bitmap of hashes.
+def parted(df: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of df whose key may be in wanted (a stored table with a column of that name), and all others.
 
-    The bitmap is of bounded size and is joined in the JVM, so what goes on to an exact join's shuffle is little more than is
-    wanted: about one bit in 16 is set. With more keys than FILTER_BITS / 16 it lets more other rows through.
+    Keys are told apart by a bitmap of hashes, which is of bounded size and is joined in the JVM, so what goes on to an exact
+    join's shuffle is little more than is wanted: about one bit in 16 is set. With more keys than FILTER_BITS / 16 it lets more
+    other rows through. df is read once for each part.
     """
-    per_bucket, size = 1 << 15, 1 << 15
+    size = 1 << 15
     while size < min(FILTER_BITS, 16 * wanted.count()):
         size *= 2
     place = F.pmod(F.xxhash64(F.col(key)), F.lit(size)) + F.lit(1)
@@ -71,4 +72,16 @@ def let_through(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     at = F.bitmap_bit_position(F.col(own))
     byte = F.conv(F.hex(F.substring("__bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
     held = (F.bitmap_bucket_number(F.col(own)) == F.col("__bucket")) & (F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1)
-    return df.withColumn(own, place).join(F.broadcast(parts), held, "left_semi").drop(own)
+    placed = df.withColumn(own, place)
+    return placed.join(F.broadcast(parts), held, "left_semi").drop(own), placed.join(F.broadcast(parts), held, "left_anti").drop(own)
+
+
+def let_through(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of df whose key may be in wanted."""
+    return parted(df, key, wanted)[0]
+
+
+def without(df: DataFrame, key: str, unwanted: DataFrame) -> DataFrame:
+    """The rows of df whose key is not in unwanted, a stored table; only the rows near it are shuffled."""
+    near, clear = parted(df, key, unwanted)
+    return clear.unionByName(near.join(unwanted.select(key), key, "left_anti").select(df.columns))

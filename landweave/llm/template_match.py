@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import ascii_lower, free_name, let_through, materialise
+from .tables import ascii_lower, free_name, let_through, materialise, without
 
 WINDOW = 8
 MIN_WORDS = 5
@@ -224,5 +224,5 @@ def _leaks(documents: DataFrame, benchmark: DataFrame, window: int, coverage: fl
 def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """The documents without the rows that leak an item; their columns as they were."""
     key = free_name(documents.columns, "__doc")
-    found = _leaks(documents, benchmark, window, coverage).select(F.col("doc").alias(key)).distinct()
-    return documents.withColumn(key, _row(documents)).join(found, key, "left_anti").select(documents.columns)
+    found = materialise(_leaks(documents, benchmark, window, coverage).select(F.col("doc").alias(key)).distinct(), "leaking")
+    return without(documents.withColumn(key, _row(documents)), key, found).select(documents.columns)
