@@ -23,11 +23,11 @@ from .tables import ASCII_UPPER, ascii_lower
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BASE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: label, keyword, regex of the name, SPDX identifier's words ("" where there is none).
+#: label, keyword (words that every match holds, the last one perhaps cut short), regex of the name, SPDX identifier's words ("" where there is none).
 NAMES = [
     ("mit", "mit", r"(?:the )?mit (?:x11 )?licen[cs]e", "mit"),
     ("mit-0", "mit", r"mit no attribution(?: licen[cs]e)?", "mit 0"),
-    ("x11", "x11", r"x11 licen[cs]e", "x11"),
+    ("x11", "x11 licen", r"x11 licen[cs]e", "x11"),
     ("apache-1", "apache", r"apache (?:software )?licen[cs]e (?:version )?1(?: [01])?", "apache 1 [01]"),
     ("apache-2", "apache", r"apache (?:software )?licen[cs]e(?: version)? ?v?2(?: 0)?", "apache 2 0"),
     ("apache", "apache", r"apache (?:software )?licen[cs]e", ""),
@@ -37,119 +37,119 @@ NAMES = [
     ("bsd-0", "bsd", r"zero clause bsd(?: licen[cs]e)?", ""),
     ("bsd-0", "0bsd", r"0bsd", "0bsd"),
     ("bsd", "bsd", r"bsd (?:style )?licen[cs]e", ""),
-    ("isc", "isc", r"isc licen[cs]e", "isc"),
+    ("isc", "isc licen", r"isc licen[cs]e", "isc"),
     ("zlib", "zlib", r"zlib(?: libpng)? licen[cs]e", "zlib"),
-    ("libpng", "libpng", r"libpng licen[cs]e(?: version 2)?", "libpng(?: 2 0)?"),
-    ("boost-1", "boost", r"boost software licen[cs]e(?: version)?(?: 1(?: 0)?)?", "bsl 1 0"),
+    ("libpng", "libpng licen", r"libpng licen[cs]e(?: version 2)?", "libpng(?: 2 0)?"),
+    ("boost-1", "boost software licen", r"boost software licen[cs]e(?: version)?(?: 1(?: 0)?)?", "bsl 1 0"),
     ("unlicense", "unlicense", r"the unlicense", "unlicense"),
     ("wtfpl", "wtfpl", r"wtfpl(?: version 2)?", "wtfpl"),
-    ("public-domain", "public", r"(?:in|into|to) the public domain|public domain dedication", ""),
-    ("gpl-1", "gnu", r"gnu general public licen[cs]e(?: version| v)? ?1(?: 0)?", "gpl 1 0(?: only| or later)?"),
-    ("gpl-2", "gnu", r"gnu general public licen[cs]e(?: version| v)? ?2(?: 0)?", "gpl 2 0(?: only| or later)?"),
-    ("gpl-3", "gnu", r"gnu general public licen[cs]e(?: version| v)? ?3(?: 0)?", "gpl 3 0(?: only| or later)?"),
+    ("public-domain", "public domain", r"(?:in|into|to) the public domain|public domain dedication", ""),
+    ("gpl-1", "gnu general public licen", r"gnu general public licen[cs]e(?: version| v)? ?1(?: 0)?", "gpl 1 0(?: only| or later)?"),
+    ("gpl-2", "gnu general public licen", r"gnu general public licen[cs]e(?: version| v)? ?2(?: 0)?", "gpl 2 0(?: only| or later)?"),
+    ("gpl-3", "gnu general public licen", r"gnu general public licen[cs]e(?: version| v)? ?3(?: 0)?", "gpl 3 0(?: only| or later)?"),
     ("gpl-2", "gpl", r"gpl ?(?:version |v)?2(?: 0)?", ""),
     ("gpl-3", "gpl", r"gpl ?(?:version |v)?3(?: 0)?", ""),
     ("gpl", "gnu", r"gnu general public licen[cs]e|gnu gpl", ""),
-    ("lgpl-2", "gnu", r"gnu library general public licen[cs]e(?: version| v)? ?2(?: 0)?", "lgpl 2 0(?: only| or later)?"),
-    ("lgpl-2.1", "gnu", r"gnu lesser general public licen[cs]e(?: version| v)? ?2 1", "lgpl 2 1(?: only| or later)?"),
-    ("lgpl-3", "gnu", r"gnu lesser general public licen[cs]e(?: version| v)? ?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
+    ("lgpl-2", "gnu library general public licen", r"gnu library general public licen[cs]e(?: version| v)? ?2(?: 0)?", "lgpl 2 0(?: only| or later)?"),
+    ("lgpl-2.1", "gnu lesser general public licen", r"gnu lesser general public licen[cs]e(?: version| v)? ?2 1", "lgpl 2 1(?: only| or later)?"),
+    ("lgpl-3", "gnu lesser general public licen", r"gnu lesser general public licen[cs]e(?: version| v)? ?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
     ("lgpl", "gnu", r"gnu (?:lesser|library) general public licen[cs]e|gnu lgpl", ""),
     ("lgpl", "lgpl", r"lgpl(?: ?v?(?:2|2 1|3))?", ""),
-    ("agpl-1", "affero", r"affero general public licen[cs]e(?: version)? 1(?: 0)?", "agpl 1 0(?: only| or later)?"),
-    ("agpl-3", "affero", r"(?:gnu )?affero general public licen[cs]e(?: version| v)? ?3(?: 0)?", "agpl 3 0(?: only| or later)?"),
-    ("agpl", "affero", r"(?:gnu )?affero general public licen[cs]e", ""),
-    ("gfdl", "gnu", r"gnu free documentation licen[cs]e(?: version)?(?: 1 [123])?", "gfdl 1 [123](?: only| or later)?"),
-    ("mpl-1", "mozilla", r"mozilla public licen[cs]e(?: version)? 1(?: [01])?", "mpl 1 [01]"),
-    ("mpl-2", "mozilla", r"mozilla public licen[cs]e(?: version| v)? ?2(?: 0)?", "mpl 2 0"),
-    ("mpl", "mozilla", r"mozilla public licen[cs]e", ""),
-    ("epl-1", "eclipse", r"eclipse public licen[cs]e(?: version| v)? ?1(?: 0)?", "epl 1 0"),
-    ("epl-2", "eclipse", r"eclipse public licen[cs]e(?: version| v)? ?2(?: 0)?", "epl 2 0"),
-    ("edl-1", "eclipse", r"eclipse distribution licen[cs]e(?: v ?1 0)?", ""),
-    ("cddl-1", "common", r"common development and distribution licen[cs]e(?: version)?(?: 1 [01])?", "cddl 1 [01]"),
-    ("cpl-1", "common", r"common public licen[cs]e(?: version)?(?: 1 0)?", "cpl 1 0"),
-    ("cpal-1", "common", r"common public attribution licen[cs]e(?: version)?(?: 1 0)?", "cpal 1 0"),
-    ("ipl-1", "ibm", r"ibm public licen[cs]e(?: version)?(?: 1 0)?", "ipl 1 0"),
-    ("artistic-1", "artistic", r"artistic licen[cs]e(?: version)? 1(?: 0)?", "artistic 1 0"),
-    ("artistic-2", "artistic", r"artistic licen[cs]e(?: version)? 2(?: 0)?", "artistic 2 0"),
-    ("artistic", "artistic", r"artistic licen[cs]e", ""),
+    ("agpl-1", "affero general public licen", r"affero general public licen[cs]e(?: version)? 1(?: 0)?", "agpl 1 0(?: only| or later)?"),
+    ("agpl-3", "affero general public licen", r"(?:gnu )?affero general public licen[cs]e(?: version| v)? ?3(?: 0)?", "agpl 3 0(?: only| or later)?"),
+    ("agpl", "affero general public licen", r"(?:gnu )?affero general public licen[cs]e", ""),
+    ("gfdl", "gnu free documentation licen", r"gnu free documentation licen[cs]e(?: version)?(?: 1 [123])?", "gfdl 1 [123](?: only| or later)?"),
+    ("mpl-1", "mozilla public licen", r"mozilla public licen[cs]e(?: version)? 1(?: [01])?", "mpl 1 [01]"),
+    ("mpl-2", "mozilla public licen", r"mozilla public licen[cs]e(?: version| v)? ?2(?: 0)?", "mpl 2 0"),
+    ("mpl", "mozilla public licen", r"mozilla public licen[cs]e", ""),
+    ("epl-1", "eclipse public licen", r"eclipse public licen[cs]e(?: version| v)? ?1(?: 0)?", "epl 1 0"),
+    ("epl-2", "eclipse public licen", r"eclipse public licen[cs]e(?: version| v)? ?2(?: 0)?", "epl 2 0"),
+    ("edl-1", "eclipse distribution licen", r"eclipse distribution licen[cs]e(?: v ?1 0)?", ""),
+    ("cddl-1", "common development and distribution licen", r"common development and distribution licen[cs]e(?: version)?(?: 1 [01])?", "cddl 1 [01]"),
+    ("cpl-1", "common public licen", r"common public licen[cs]e(?: version)?(?: 1 0)?", "cpl 1 0"),
+    ("cpal-1", "common public attribution licen", r"common public attribution licen[cs]e(?: version)?(?: 1 0)?", "cpal 1 0"),
+    ("ipl-1", "ibm public licen", r"ibm public licen[cs]e(?: version)?(?: 1 0)?", "ipl 1 0"),
+    ("artistic-1", "artistic licen", r"artistic licen[cs]e(?: version)? 1(?: 0)?", "artistic 1 0"),
+    ("artistic-2", "artistic licen", r"artistic licen[cs]e(?: version)? 2(?: 0)?", "artistic 2 0"),
+    ("artistic", "artistic licen", r"artistic licen[cs]e", ""),
     ("python-2", "python", r"python (?:software foundation )?licen[cs]e(?: version 2)?", "(?:python|psf) 2 0"),
-    ("php-3", "php", r"php licen[cs]e(?: version)?(?: 3(?: 0?1)?)?", "php 3 0?1?"),
-    ("ruby", "ruby", r"ruby licen[cs]e", "ruby"),
-    ("openssl", "openssl", r"openssl licen[cs]e", "openssl"),
-    ("postgresql", "postgresql", r"postgresql licen[cs]e", "postgresql"),
+    ("php-3", "php licen", r"php licen[cs]e(?: version)?(?: 3(?: 0?1)?)?", "php 3 0?1?"),
+    ("ruby", "ruby licen", r"ruby licen[cs]e", "ruby"),
+    ("openssl", "openssl licen", r"openssl licen[cs]e", "openssl"),
+    ("postgresql", "postgresql licen", r"postgresql licen[cs]e", "postgresql"),
     ("ncsa", "ncsa", r"university of illinois ncsa open source licen[cs]e|ncsa licen[cs]e", "ncsa"),
-    ("ecl-2", "educational", r"educational community licen[cs]e(?: version)?(?: 2 0)?", "ecl 2 0"),
-    ("afl-3", "academic", r"academic free licen[cs]e(?: version| v)?(?: ?3 0)?", "afl 3 0"),
-    ("osl-3", "open", r"open software licen[cs]e(?: version| v)?(?: ?3 0)?", "osl 3 0"),
-    ("eupl-1", "european", r"european union public licen[cs]e(?: version| v)?(?: ?1 [012])?", "eupl 1 [012]"),
+    ("ecl-2", "educational community licen", r"educational community licen[cs]e(?: version)?(?: 2 0)?", "ecl 2 0"),
+    ("afl-3", "academic free licen", r"academic free licen[cs]e(?: version| v)?(?: ?3 0)?", "afl 3 0"),
+    ("osl-3", "open software licen", r"open software licen[cs]e(?: version| v)?(?: ?3 0)?", "osl 3 0"),
+    ("eupl-1", "european union public licen", r"european union public licen[cs]e(?: version| v)?(?: ?1 [012])?", "eupl 1 [012]"),
     ("cecill-2", "cecill", r"cecill(?: [bc])?(?: free software)?(?: licen[cs]e)?(?: version)?(?: 2 [01])?", "cecill 2 [01]"),
-    ("ms-pl", "microsoft", r"microsoft public licen[cs]e", "ms pl"),
-    ("ms-rl", "microsoft", r"microsoft reciprocal licen[cs]e", "ms rl"),
-    ("apsl-2", "apple", r"apple public source licen[cs]e(?: version)?(?: 2 0)?", "apsl 2 0"),
-    ("bsl-1.1", "business", r"business source licen[cs]e(?: version)?(?: 1 1)?", "busl 1 1"),
-    ("sspl-1", "server", r"server side public licen[cs]e(?: version| v)?(?: ?1)?", "sspl 1 0"),
-    ("elastic-2", "elastic", r"elastic licen[cs]e(?: version)?(?: 2 0)?", "elastic 2 0"),
-    ("ofl-1.1", "sil", r"sil open font licen[cs]e(?: version)?(?: 1 [01])?", "ofl 1 1"),
-    ("odbl-1", "database", r"open (?:data commons open )?database licen[cs]e(?: v1 0)?", "odbl 1 0"),
-    ("odc-by-1", "commons", r"open data commons attribution licen[cs]e(?: v1 0)?", "odc by 1 0"),
-    ("pddl-1", "commons", r"open data commons public domain dedication and licen[cs]e", "pddl 1 0"),
+    ("ms-pl", "microsoft public licen", r"microsoft public licen[cs]e", "ms pl"),
+    ("ms-rl", "microsoft reciprocal licen", r"microsoft reciprocal licen[cs]e", "ms rl"),
+    ("apsl-2", "apple public source licen", r"apple public source licen[cs]e(?: version)?(?: 2 0)?", "apsl 2 0"),
+    ("bsl-1.1", "business source licen", r"business source licen[cs]e(?: version)?(?: 1 1)?", "busl 1 1"),
+    ("sspl-1", "server side public licen", r"server side public licen[cs]e(?: version| v)?(?: ?1)?", "sspl 1 0"),
+    ("elastic-2", "elastic licen", r"elastic licen[cs]e(?: version)?(?: 2 0)?", "elastic 2 0"),
+    ("ofl-1.1", "sil open font licen", r"sil open font licen[cs]e(?: version)?(?: 1 [01])?", "ofl 1 1"),
+    ("odbl-1", "database licen", r"open (?:data commons open )?database licen[cs]e(?: v1 0)?", "odbl 1 0"),
+    ("odc-by-1", "commons attribution licen", r"open data commons attribution licen[cs]e(?: v1 0)?", "odc by 1 0"),
+    ("pddl-1", "public domain dedication and licen", r"open data commons public domain dedication and licen[cs]e", "pddl 1 0"),
     ("cc0-1", "cc0", r"cc0(?: 1 0)?(?: universal)?", "cc0 1 0"),
-    ("cc-by", "cc", r"cc by(?: [1234](?: [05])?)?", "cc by [1234] [05]"),
-    ("cc-by-sa", "cc", r"cc by sa(?: [1234](?: [05])?)?", "cc by sa [1234] [05]"),
-    ("cc-by-nd", "cc", r"cc by nd(?: [1234](?: [05])?)?", "cc by nd [1234] [05]"),
-    ("cc-by-nc", "cc", r"cc by nc(?: [1234](?: [05])?)?", "cc by nc [1234] [05]"),
-    ("cc-by-nc-sa", "cc", r"cc by nc sa(?: [1234](?: [05])?)?", "cc by nc sa [1234] [05]"),
-    ("cc-by-nc-nd", "cc", r"cc by nc nd(?: [1234](?: [05])?)?", "cc by nc nd [1234] [05]"),
-    ("cc-by", "creative", r"creative commons attribution(?: [1234] 0)?(?: international| unported| generic)?(?: licen[cs]e)?", ""),
-    ("cc-by-sa", "creative", r"creative commons attribution share ?alike(?: [1234] 0)?(?: international| unported| generic)?(?: licen[cs]e)?", ""),
-    ("cc-by-nd", "creative", r"creative commons attribution no ?deriv(?:ative)?s(?: works)?(?: [1234] 0)?", ""),
-    ("cc-by-nc", "creative", r"creative commons attribution non ?commercial(?: [1234] 0)?(?: international| unported| generic)?(?: licen[cs]e)?", ""),
-    ("cc-by-nc-sa", "creative", r"creative commons attribution non ?commercial share ?alike(?: [1234] 0)?", ""),
-    ("cc-by-nc-nd", "creative", r"creative commons attribution non ?commercial no ?deriv(?:ative)?s(?: [1234] 0)?", ""),
+    ("cc-by", "cc by", r"cc by(?: [1234](?: [05])?)?", "cc by [1234] [05]"),
+    ("cc-by-sa", "cc by", r"cc by sa(?: [1234](?: [05])?)?", "cc by sa [1234] [05]"),
+    ("cc-by-nd", "cc by", r"cc by nd(?: [1234](?: [05])?)?", "cc by nd [1234] [05]"),
+    ("cc-by-nc", "cc by", r"cc by nc(?: [1234](?: [05])?)?", "cc by nc [1234] [05]"),
+    ("cc-by-nc-sa", "cc by", r"cc by nc sa(?: [1234](?: [05])?)?", "cc by nc sa [1234] [05]"),
+    ("cc-by-nc-nd", "cc by", r"cc by nc nd(?: [1234](?: [05])?)?", "cc by nc nd [1234] [05]"),
+    ("cc-by", "creative commons attribution", r"creative commons attribution(?: [1234] 0)?(?: international| unported| generic)?(?: licen[cs]e)?", ""),
+    ("cc-by-sa", "creative commons attribution", r"creative commons attribution share ?alike(?: [1234] 0)?(?: international| unported| generic)?(?: licen[cs]e)?", ""),
+    ("cc-by-nd", "creative commons attribution", r"creative commons attribution no ?deriv(?:ative)?s(?: works)?(?: [1234] 0)?", ""),
+    ("cc-by-nc", "creative commons attribution", r"creative commons attribution non ?commercial(?: [1234] 0)?(?: international| unported| generic)?(?: licen[cs]e)?", ""),
+    ("cc-by-nc-sa", "creative commons attribution", r"creative commons attribution non ?commercial share ?alike(?: [1234] 0)?", ""),
+    ("cc-by-nc-nd", "creative commons attribution", r"creative commons attribution non ?commercial no ?deriv(?:ative)?s(?: [1234] 0)?", ""),
     ("llama", "llama", r"llama (?:[234] )?community licen[cs]e(?: agreement)?", ""),
-    ("openrail", "rail", r"(?:bigscience |creativeml )?open rail(?: m| \+\+ m)?(?: licen[cs]e)?", ""),
+    ("openrail", "open rail", r"(?:bigscience |creativeml )?open rail(?: m| \+\+ m)?(?: licen[cs]e)?", ""),
     ("proprietary", "proprietary", r"proprietary(?: and confidential)?(?: software)? licen[cs]e|proprietary and confidential", ""),
-    ("all-rights", "rights", r"all rights reserved", ""),
+    ("all-rights", "all rights reserved", r"all rights reserved", ""),
 ]
 
 #: label, keyword, regex of whole sentences and addresses that stand for a license.
 TEXTS = [
-    ("mit", "permission", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("isc", "permission", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted"),
-    ("bsd-3", "endorse", r"may be used to endorse or promote products derived from this software"),
-    ("bsd-4", "advertising", r"all advertising materials mentioning features or use of this software must display"),
-    ("zlib", "altered", r"altered source versions must be plainly marked as such"),
-    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
-    ("wtfpl", "fuck", r"do what the fuck you want to public licen[cs]e"),
-    ("gpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e"),
-    ("lgpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu lesser general public licen[cs]e"),
-    ("agpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu affero general public licen[cs]e"),
-    ("mpl-2", "form", r"this source code form is subject to the terms of the mozilla public licen[cs]e v 2 0"),
-    ("boost-1", "boost", r"distributed under the boost software licen[cs]e version 1 0"),
-    ("ofl-1.1", "font", r"this font software is licensed under the sil open font licen[cs]e version 1 1"),
-    ("cc0-1", "waived", r"has waived all copyright and related or neighboring rights"),
-    ("apache-2", "http", r"https? (?:www )?apache org licenses licen[cs]e 2 0(?: txt| html)?"),
-    ("mit", "opensource", r"https? (?:www )?opensource org licenses mit(?: licen[cs]e)?(?: php)?"),
-    ("bsd-2", "opensource", r"https? (?:www )?opensource org licenses bsd 2 clause"),
-    ("bsd-3", "opensource", r"https? (?:www )?opensource org licenses bsd 3 clause"),
-    ("gpl", "gnu", r"https? (?:www )?gnu org (?:licenses|copyleft) gpl(?: html| txt)?"),
-    ("gpl-2", "gnu", r"https? (?:www )?gnu org licenses (?:old licenses )?gpl 2 0"),
-    ("gpl-3", "gnu", r"https? (?:www )?gnu org licenses gpl 3 0"),
-    ("lgpl", "gnu", r"https? (?:www )?gnu org licenses lgpl"),
-    ("agpl", "gnu", r"https? (?:www )?gnu org licenses agpl"),
-    ("mpl-2", "mozilla", r"https? (?:www )?mozilla org (?:en us )?mpl 2 0"),
-    ("epl-2", "eclipse", r"https? (?:www )?eclipse org legal epl (?:2 0|v20)"),
-    ("boost-1", "boost", r"https? (?:www )?boost org licen[cs]e 1 0 txt"),
-    ("wtfpl", "wtfpl", r"https? (?:www )?wtfpl net"),
-    ("unlicense", "unlicense", r"https? (?:www )?unlicense org"),
-    ("cc0-1", "creativecommons", r"https? (?:www )?creativecommons org publicdomain zero 1 0"),
-    ("cc-by", "creativecommons", r"https? (?:www )?creativecommons org licenses by [1234] [05]"),
-    ("cc-by-sa", "creativecommons", r"https? (?:www )?creativecommons org licenses by sa [1234] [05]"),
-    ("cc-by-nd", "creativecommons", r"https? (?:www )?creativecommons org licenses by nd [1234] [05]"),
-    ("cc-by-nc", "creativecommons", r"https? (?:www )?creativecommons org licenses by nc [1234] [05]"),
-    ("cc-by-nc-sa", "creativecommons", r"https? (?:www )?creativecommons org licenses by nc sa [1234] [05]"),
-    ("cc-by-nc-nd", "creativecommons", r"https? (?:www )?creativecommons org licenses by nc nd [1234] [05]"),
+    ("mit", "permission is hereby granted free", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("isc", "permission to use copy modify", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd", "redistribution and use in source", r"redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd-3", "endorse or promote products", r"may be used to endorse or promote products derived from this software"),
+    ("bsd-4", "advertising materials mentioning", r"all advertising materials mentioning features or use of this software must display"),
+    ("zlib", "altered source versions", r"altered source versions must be plainly marked as such"),
+    ("unlicense", "unencumbered software released", r"this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "fuck you want to public licen", r"do what the fuck you want to public licen[cs]e"),
+    ("gpl", "redistribute it and or modify it", r"you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e"),
+    ("lgpl", "redistribute it and or modify it", r"you can redistribute it and or modify it under the terms of the gnu lesser general public licen[cs]e"),
+    ("agpl", "redistribute it and or modify it", r"you can redistribute it and or modify it under the terms of the gnu affero general public licen[cs]e"),
+    ("mpl-2", "source code form is subject", r"this source code form is subject to the terms of the mozilla public licen[cs]e v 2 0"),
+    ("boost-1", "boost software licen", r"distributed under the boost software licen[cs]e version 1 0"),
+    ("ofl-1.1", "font software is licensed", r"this font software is licensed under the sil open font licen[cs]e version 1 1"),
+    ("cc0-1", "waived all copyright", r"has waived all copyright and related or neighboring rights"),
+    ("apache-2", "apache org licenses", r"https? (?:www )?apache org licenses licen[cs]e 2 0(?: txt| html)?"),
+    ("mit", "opensource org licenses", r"https? (?:www )?opensource org licenses mit(?: licen[cs]e)?(?: php)?"),
+    ("bsd-2", "opensource org licenses", r"https? (?:www )?opensource org licenses bsd 2 clause"),
+    ("bsd-3", "opensource org licenses", r"https? (?:www )?opensource org licenses bsd 3 clause"),
+    ("gpl", "gnu org", r"https? (?:www )?gnu org (?:licenses|copyleft) gpl(?: html| txt)?"),
+    ("gpl-2", "gnu org", r"https? (?:www )?gnu org licenses (?:old licenses )?gpl 2 0"),
+    ("gpl-3", "gnu org", r"https? (?:www )?gnu org licenses gpl 3 0"),
+    ("lgpl", "gnu org", r"https? (?:www )?gnu org licenses lgpl"),
+    ("agpl", "gnu org", r"https? (?:www )?gnu org licenses agpl"),
+    ("mpl-2", "mozilla org", r"https? (?:www )?mozilla org (?:en us )?mpl 2 0"),
+    ("epl-2", "eclipse org legal epl", r"https? (?:www )?eclipse org legal epl (?:2 0|v20)"),
+    ("boost-1", "boost org licen", r"https? (?:www )?boost org licen[cs]e 1 0 txt"),
+    ("wtfpl", "wtfpl net", r"https? (?:www )?wtfpl net"),
+    ("unlicense", "unlicense org", r"https? (?:www )?unlicense org"),
+    ("cc0-1", "creativecommons org", r"https? (?:www )?creativecommons org publicdomain zero 1 0"),
+    ("cc-by", "creativecommons org", r"https? (?:www )?creativecommons org licenses by [1234] [05]"),
+    ("cc-by-sa", "creativecommons org", r"https? (?:www )?creativecommons org licenses by sa [1234] [05]"),
+    ("cc-by-nd", "creativecommons org", r"https? (?:www )?creativecommons org licenses by nd [1234] [05]"),
+    ("cc-by-nc", "creativecommons org", r"https? (?:www )?creativecommons org licenses by nc [1234] [05]"),
+    ("cc-by-nc-sa", "creativecommons org", r"https? (?:www )?creativecommons org licenses by nc sa [1234] [05]"),
+    ("cc-by-nc-nd", "creativecommons org", r"https? (?:www )?creativecommons org licenses by nc nd [1234] [05]"),
 ]
 
 _GRANT = r"(?:licensed|released|distributed|available|provided|published|redistributed|covered|made available|dual licensed|offered|issued) (?:to you )?(?:under|with|by|on) (?:the )?(?:terms (?:and conditions )?of )?(?:the |an? )?(?:open source )?"
