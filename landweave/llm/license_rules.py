@@ -209,7 +209,9 @@ def scan(df: DataFrame, text: str, id_col: str = "doc_id") -> DataFrame:
     )
 
     keywords = sorted({k for _, k, _, _ in table})
-    gate = F.rlike(F.col("w"), F.lit(f" (?:{'|'.join(keywords)})"))
+    # by first letters, so that most words are done with after one look
+    letters = "|".join(f"{c}(?:{'|'.join(k[1:] for k in keywords if k[0] == c)})" for c in sorted({k[0] for k in keywords}))
+    gate = F.rlike(F.col("w"), F.lit(f" (?:{letters})"))
     literal = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(k).alias("k"), F.lit(f"(?<= )(?:{r})(?= )").alias("r"), F.lit(label).alias("label")) for p, k, r, label in table])
     held = F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(F.col("w"), F.concat(F.lit(" "), k)))
 
