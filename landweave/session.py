@@ -36,7 +36,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the parquet tables below sf_dir, by Spark's own reader so any store works."""
+    """One of the parquet tables below sf_dir, by Spark's own reader so any store works; tasks get this package's code, too."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

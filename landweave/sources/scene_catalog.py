@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 import urllib.error
 import urllib.request
 from collections.abc import Iterable, Iterator
 from datetime import datetime, timezone
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,10 +147,15 @@ class SceneItems(DataSource):
         return SceneReader(self.options["path"], int(self.options.get("filesPerPartition", 16)), self.options.get("signature", ""))
 
 
+# the processes that plan and read a data source may not have this package: its classes travel whole
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def read_scenes(spark: SparkSession, path: str) -> DataFrame:
     """A catalogue: an item search, a folder or file of item JSON, or, the form for large ones, Parquet in the scene schema."""
     if path.startswith("http") or path.endswith((".json", ".ndjson")) or (os.path.isdir(path) and any(n.endswith((".json", ".ndjson")) for n in os.listdir(path))):
         spark.dataSource.register(SceneItems)
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")  # a reader that takes filters over needs it
         return spark.read.format("scene_items").load(path)
     return spark.read.schema(SCENE).parquet(path)
 
