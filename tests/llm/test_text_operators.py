@@ -506,8 +506,9 @@ def test_addresses_without_digits_and_long_ones_are_found(spark, network):
     assert max(b - a for a, b in private_spans.windows_of("a" * 100_000 + "@" + "b" * 100_000)) < 1000
 
 
-def test_span_query_matches_brute_force(spark, documents, texts):
-    """Base counts and digests against plain patterns; the spans of the windows against whole-text decoding of short texts."""
+def test_span_query_matches_brute_force(spark, texts, network, monkeypatch):
+    """The query, with the network that the other tests use: base counts and digests against plain patterns, and what may be added."""
+    monkeypatch.setattr(private_spans, "fit", lambda documents: network)
     got = {r["doc_id"]: r for r in queries()["op5_private_spans"](spark, SF).collect()}
     names = span_net.KINDS
     assert set(got) == set(texts)
