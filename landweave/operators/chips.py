@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -79,23 +78,21 @@ def running_index(df: DataFrame, area: str, order: Sequence[str], out: str = "ch
     return inside.join(offsets, area).withColumn(out, (F.col("__offset") + F.col("__k") + F.lit(start)).cast("bigint")).drop("__k", "__offset")
 
 
-#: Rows of a range of dense_ids(), about.
-RANGE_ROWS = 500_000
+def dense_ids(df: DataFrame, order: str | Sequence[str | Column], out: str = "id", ranges: int | None = None, stored: bool = False) -> DataFrame:
+    """Numbers from 0 over the whole table in the order of some columns, without sorting it in one task.
 
-
-def dense_ids(df: DataFrame, order: str, out: str = "id", rows_each: int = RANGE_ROWS) -> DataFrame:
-    """Numbers from 0 over the whole table by an order column, without sorting it in one task.
-
-    Rows are dealt into ranges of the order column by its approximate quantiles, as many as the counted rows
-    ask for (10,000 at most); a row's number is its place in its range plus the rows of all ranges before.
-    Counts, quantiles and numbers come from one stored copy of df.
+    Rows are dealt into ranges by Spark's range partitioning and sorted there; a row's number is its place in its
+    range plus the rows of all ranges before, of which there are as many as shuffle partitions (or `ranges`). Rows that tie
+    are dealt by their place in df, so that a hot value is no hot range. df is read twice, once for the sample
+    that sets the ranges, from a stored copy of it unless it is stored already (or as cheap to read).
     """
-    rows = held(df, "ordered")
-    ranges = min(10_000, max(1, math.ceil(rows.count() / rows_each)))
-    cuts: list = []
-    if ranges > 1:
-        found = rows.agg(F.percentile_approx(order, [k / ranges for k in range(1, ranges)], 10_000)).first()[0]
-        cuts = sorted(set(found or []))
-    bucket = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(order))) if cuts else F.lit(0)
-    dealt = rows.withColumn("__b", bucket.cast("int"))
-    return running_index(dealt, "__b", [order], out, stored=True).drop("__b")
+    rows = df if stored else held(df, "to-number")
+    columns = [order] if isinstance(order, str | Column) else list(order)
+    placed = rows.withColumn("__place", F.monotonically_increasing_id())
+    dealt = placed.repartitionByRange(*([ranges] if ranges else []), *columns, "__place").sortWithinPartitions(*columns, "__place").drop("__place")
+    at = F.monotonically_increasing_id()  # the range in the upper bits, the place in it in the lower 33
+    found = held(dealt.withColumns({"__range": F.shiftright(at, 33), "__k": at.bitwiseAND(F.lit((1 << 33) - 1))}), "numbered")
+    counts = found.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))  # a row for each range
+    return found.join(F.broadcast(offsets), "__range").withColumn(out, (F.col("__offset") + F.col("__k")).cast("bigint")).drop("__range", "__k", "__offset")

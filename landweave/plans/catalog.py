@@ -406,7 +406,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles to windows to status, cap, numbers, classes and paths: a small release table."""
     numbered = chips.running_index(capped_windows(spark, sf_dir), "label", ["vec_id", "wy", "wx"], "original_id")
     kept = curate.releasable(numbered, sources=())
-    ids = chips.dense_ids(kept, "original_id", "id", 1000)
+    ids = chips.dense_ids(kept, "original_id", "id")
     named = curate.labelled(ids.withColumn("lulc", F.col("lulc").cast("int").cast("string")), "lulc")
     return named.select("id", "original_id", big("label").alias("aoi_index"), "lulc", "category", names.plain_name("dem", F.col("id")).alias("dem_paths"))
 
@@ -455,7 +455,7 @@ def drop_sample(spark, d):
 SELECT o_orderkey AS original_id, (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS id, o_custkey::VARCHAR AS lulc FROM orders WHERE o_totalprice > 200000""")
 def release_ids(spark, d):
     kept = table(spark, d, "orders").where("o_totalprice > 200000").withColumnRenamed("o_orderkey", "original_id")
-    return chips.dense_ids(kept, "original_id", "id", 10_000).select("original_id", "id", F.col("o_custkey").cast("string").alias("lulc"))
+    return chips.dense_ids(kept, "original_id", "id", stored=True).select("original_id", "id", F.col("o_custkey").cast("string").alias("lulc"))
 
 
 @query("""
@@ -500,7 +500,7 @@ SELECT src_name || '_' || printf('%06d', original_id) || '_' || step || '_' || d
 UNION ALL SELECT 'dem_' || printf('%06d', original_id) || '.tif', 'dem_' || printf('%06d', id) || '.tif' FROM n""")
 def asset_manifest(spark, d):
     held = date_lists(spark, d).where(names.list_size(F.col("dates")) == 4).withColumnRenamed("id", "original_id")
-    return curate.asset_manifest(chips.dense_ids(held, "original_id", "id", 1000), dates="dates", sources=("s2l2a", "s1rtc"))
+    return curate.asset_manifest(chips.dense_ids(held, "original_id", "id"), dates="dates", sources=("s2l2a", "s1rtc"))
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (3, 7, 11, 42)")

@@ -30,6 +30,10 @@ def test_dense_ids_and_running_index(spark):
     index = {r["k"]: r["chip_index"] for r in chips.running_index(df, "a", ["k"], start=7).collect()}
     assert index == {k: i + 7 for i, (a, k) in enumerate(sorted((a, k) for k, a in rows))}
     assert chips.dense_ids(df.where("k < 0"), "k").count() == 0
+    ties = chips.dense_ids(df.withColumn("same", F.lit(1)), "same", "id", 8)  # one value in all rows goes to many ranges
+    assert sorted(r["id"] for r in ties.collect()) == list(range(len(rows)))
+    backwards = chips.dense_ids(df, [F.col("k").desc()], "id", 8, stored=True)
+    assert {r["k"]: r["id"] for r in backwards.collect()} == {k: i for i, k in enumerate(sorted((k for k, _ in rows), reverse=True))}
 
 
 @pytest.mark.parametrize("factor", [None, 1.0, 1.5, 10.0])
