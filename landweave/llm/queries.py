@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bilinear, importance, jaccard_join, license_rules, line_spread, media, piece_merge, private_spans, template_match, token_counts
+from . import bilinear, importance, jaccard_join, license_rules, line_spread, media, piece_merge, private_spans, template_match, token_counts, token_files
 from .tables import read
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
+WORD_BPE = "word_bpe_49k.json"
+END_ID = 2
 
 
 def vocabulary(name: str) -> str:
@@ -62,6 +64,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(read(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.file_digests(read(spark, sf_dir, "documents"), "text", vocabulary(WORD_BPE), END_ID)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -69,7 +75,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_importance_resampling, op2_license_rules, op3_line_spread, op4_bilinear_scores, op5_private_spans, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge, op10_jaccard_join, pipeline)}
+    return {f.__name__: f for f in (op1_importance_resampling, op2_license_rules, op3_line_spread, op4_bilinear_scores, op5_private_spans, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge, op10_jaccard_join, op11_token_files, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
