@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bilinear, importance, jaccard_join, license_rules, line_spread, media, piece_merge, private_spans, target_resampling, template_match, token_counts, token_files
+from . import bilinear, importance, jaccard_join, lexical_search, license_rules, line_spread, media, piece_merge, private_spans, target_resampling, template_match, token_counts, token_files
 from .tables import read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -72,6 +72,10 @@ def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,8 +83,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_importance_resampling, op2_license_rules, op3_line_spread, op4_bilinear_scores, op5_private_spans, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge, op10_jaccard_join, op11_token_files, op12_target_resampling, pipeline)}
+    return {f.__name__: f for f in (op1_importance_resampling, op2_license_rules, op3_line_spread, op4_bilinear_scores, op5_private_spans, op6_token_counts, op7_template_match, op8_media_sequences, op9_piece_merge, op10_jaccard_join, op11_token_files, op12_target_resampling, op13_lexical_search, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_rules": license_rules.oracle(), "op3_line_spread": line_spread.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE}
+    return {"op2_license_rules": license_rules.oracle(), "op3_line_spread": line_spread.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE, "op13_lexical_search": lexical_search.ORACLE}
