@@ -56,11 +56,11 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows (first, last+1, bytes, offsets) of about SLICE_BYTES each."""
+def slices(data: np.ndarray, offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of rows (first, last+1, bytes, offsets) of about size bytes each."""
     first, n = 0, len(offsets) - 1
     while first < n:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, side="right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1)
         last = min(last, n)
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last

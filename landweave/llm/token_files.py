@@ -1,8 +1,9 @@
 """Token ids as binary files: frequency-ranked ids in byte-aligned variable-length coding.
 
-The library encodes each distinct run of text between ASCII white space once per batch. That is exact for a tokenizer whose
-normaliser drops white space and whose pre-tokeniser never joins what it parts; `word_batches` names what it asks for, and a
-text is encoded whole where the tokenizer isn't of that kind. All ids are counted; the commonest gets rank 0.
+The library encodes every distinct piece of text that a process meets once: runs of ASCII letters, digits and runs of signs,
+which its pre-tokeniser parts in any text, and whole runs between white space that hold anything else. That is exact
+for the kind of tokenizer that `in_pieces` asks for; for any other, texts are encoded whole. All ids are counted; the
+commonest gets rank 0.
 A file holds documents in ascending order of their ids. Its ranks are cut into fours: one control byte
 has two bits for each, its length less one, and stands in a stream of its own; the ranks' bytes, the low one first, follow
 in another. Reading looks each control byte up in a table of 256 rows of four lengths, sums them to
@@ -41,8 +42,8 @@ from .token_counts import tokenizer
 MAGIC = b"LWTOK001"
 #: Ids of a file, about; 4 million take 5 to 8 MB.
 SHARD_TOKENS = 1 << 22
-#: Distinct words whose ids a task remembers, and the longest that it does, in bytes.
-REMEMBERED, LONGEST = 200_000, 64
+#: Bytes of text encoded at once, pieces that a process remembers, and new ones in a call of the library.
+SLICE_BYTES, REMEMBERED, TOGETHER = 1 << 21, 500_000, 256
 #: magic, range, shard, documents, tokens, control bytes, data bytes
 HEADER = struct.Struct("<8s6q")
 
@@ -74,93 +75,158 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return ranks
 
 
-@lru_cache(maxsize=2)
-def word_batches(path: str) -> bool:
-    """Whether a text's ids are those of its parts between ASCII white space, one after the other.
+#: The pre-tokeniser's pattern and the normaliser for which texts may be cut into pieces, as they stand in the vocabulary's file.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALISERS = ["NFC", "Replace", "Lowercase"]
+END_OF_WORD = "</w>"
 
-    So it is where nothing of white space is kept (a splitting pre-tokeniser that removes what its pattern, which no white space
-    matches, leaves over), no token or added token holds any, and no special ids or prefixes are put in.
+#: Classes of bytes: white space, letters, digits, other signs, and what only the library is asked about.
+BLANK, LETTER, DIGIT, SIGN, UNSURE = range(5)
+CLASS = np.full(256, UNSURE, dtype=np.uint8)
+CLASS[33:127] = SIGN
+CLASS[[0x20, *range(0x09, 0x0E)]] = BLANK
+CLASS[48:58] = DIGIT
+CLASS[65:91] = CLASS[97:123] = LETTER
+CLASS[[ord("'"), ord("<")]] = UNSURE  # contractions and special strings
+
+
+def in_pieces(path: str) -> bool:
+    """Whether a tokenizer is of the kind whose texts may be cut into pieces, each encoded by itself."""
+    spec = json.loads(tokenizer(path).to_str())
+    first = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+    split = first.get("type") == "Split" and first.get("pattern") == {"Regex": PATTERN} and first.get("behavior") == "Removed" and first.get("invert")
+    normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])] == NORMALISERS
+    added = [t for t in spec["added_tokens"] if t["lstrip"] or t["rstrip"] or t["single_word"] or "<" not in t["content"] or any(c.isspace() for c in t["content"])]
+    return bool(split and normal and not added and spec["model"].get("end_of_word_suffix") == END_OF_WORD)
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """All pieces of some texts' bytes, and the number of those before each text (n+1 values).
+
+    A piece is a run of ASCII letters, in lower case, a digit, or a run of other signs; a run between white space that holds
+    anything else is one piece as it stands.
     """
-    tok = tokenizer(path)
-    spec = json.loads(tok.to_str())
-    first = (spec["pre_tokenizer"] or {}).get("pretokenizers", [spec["pre_tokenizer"] or {}])[0]
-    split = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
-    added = [t for t in spec["added_tokens"] if t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"])]
-    probe = "a b\tc\n\x0b\x0c\r d's  . ! x1 2 ́ e"
-    alike = [i for w in probe.encode().split() for i in tok.encode(w.decode(), add_special_tokens=False).ids] == tok.encode(probe, add_special_tokens=False).ids
-    return bool(split and not added and alike)
+    kind = CLASS[data]
+    row = np.zeros(len(data) + 1, dtype=bool)
+    row[offsets] = True
+    row = row[:-1]
+    blank = kind == BLANK
+    word = row.copy()
+    word[1:] |= blank[1:] != blank[:-1]
+    word[:1] = True
+    at = np.flatnonzero(word)
+    unsure = np.repeat(np.logical_or.reduceat(kind == UNSURE, at), np.diff(np.append(at, len(data)))) if len(at) else blank
+    begins = kind == DIGIT
+    begins[1:] |= kind[1:] != kind[:-1]
+    begins = (begins & ~unsure | word) & ~blank
+    kept = ~blank
+    text = np.where(unsure, data, flat.LOWER[data])[kept]
+    cut = np.append(np.flatnonzero(begins[kept]), len(text))
+    before = np.concatenate([[0], np.cumsum(begins)])[offsets]
+    return pa.Array.from_buffers(pa.large_string(), len(cut) - 1, [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(text)]), before
 
 
 class Words:
-    """Ids of words, remembered."""
+    """The ids of pieces, remembered for as long as the process lives."""
 
     def __init__(self, path: str):
-        self.tok, self.place, self.ids = tokenizer(path), {}, []
-        self.whole = not word_batches(path)
+        self.tok, self.cut = tokenizer(path), in_pieces(path)
+        vocabulary = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(END_OF_WORD)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.firsts, self.flat = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint32)
 
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts without nulls, one text after the other, and how many each has."""
-        if self.whole:
+        if not self.cut:
             lists = [e.ids for e in self.tok.encode_batch(texts.to_pylist(), add_special_tokens=False)]
             return np.array([i for x in lists for i in x], dtype=np.uint32), np.array([len(x) for x in lists], dtype=np.int64)
-        split = pc.ascii_split_whitespace(texts)
-        coded = split.flatten().dictionary_encode()
-        sizes, flat_ids = self.looked_up(coded.dictionary.to_pylist())
-        word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        first = np.concatenate([[0], np.cumsum(sizes)])
-        count = sizes[word] if len(word) else np.zeros(0, np.int64)
+        found, before = pieces(*flat.column_bytes(texts))
+        coded = found.dictionary_encode()
+        place = self.places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        first = self.firsts[place]
+        count = self.firsts[place + 1] - first
         ends = np.concatenate([[0], np.cumsum(count)])
-        inside = np.arange(ends[-1]) - np.repeat(ends[:-1], count)
-        ids = flat_ids[np.repeat(first[word], count) + inside] if ends[-1] else np.zeros(0, np.uint32)
-        words = split.value_lengths().to_numpy(zero_copy_only=False)
-        rows = np.concatenate([[0], np.cumsum(words)]).astype(np.int64)
-        return ids, np.diff(ends[rows])
-
-    def looked_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """How many ids each word has, and all of them."""
-        if len(self.place) > REMEMBERED:
-            self.place, self.ids = {}, []
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(first - ends[:-1], count)]
+        return ids, np.diff(ends[before])
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """The places of pieces, all different; those of new ones are made."""
         new = [w for w in words if w not in self.place]
-        once = {}
-        for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, dtype=np.uint32)
-            if len(w) > LONGEST:
-                once[w] = ids
-            else:
-                self.place[w] = len(self.ids)
-                self.ids.append(ids)
-        parts = [once[w] if w in once else self.ids[self.place[w]] for w in words]
-        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        return sizes, np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        if len(self.place) + len(new) > REMEMBERED:
+            self.forget()
+            new = words
+        if new:
+            plain = [w for w in new if w.isascii() and "'" not in w and "<" not in w and w.isprintable()]
+            some = set(plain)
+            others = [w for w in new if w not in some]
+            lists = [e.ids for e in self.tok.encode_batch(others, add_special_tokens=False)]
+            one, sizes = self.joined(plain)
+            self.place.update(zip(plain + others, range(len(self.place), len(self.place) + len(new)), strict=True))
+            ids = np.concatenate([one, np.fromiter((i for x in lists for i in x), np.uint32)])
+            sizes = np.concatenate([sizes, np.fromiter(map(len, lists), np.int64, len(lists))])
+            self.firsts = np.concatenate([self.firsts, len(self.flat) + np.cumsum(sizes)])
+            self.flat = np.concatenate([self.flat, ids])
+        return np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of pieces that the pre-tokeniser leaves whole, and how many each has; the last of each ends a word."""
+        groups = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)]
+        ids, sizes = [], []
+        for group, e in zip(groups, self.tok.encode_batch([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            own = np.array(e.ids, dtype=np.uint32)
+            last = np.flatnonzero(self.ends[own])
+            if len(last) != len(group):  # a sign that the vocabulary can't write
+                lists = [x.ids for x in self.tok.encode_batch(group, add_special_tokens=False)]
+                own = np.array([i for x in lists for i in x], dtype=np.uint32)
+                last = np.cumsum([len(x) for x in lists]) - 1
+            ids.append(own)
+            sizes.append(np.diff(np.concatenate([[-1], last])))
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([np.zeros(0, np.int64), *sizes])
+
+
+@lru_cache(maxsize=1)
+def words_of(path: str) -> Words:
+    return Words(path)
+
+
+def unit(tokenizer_path: str, end_id: int) -> str:
+    """The type that ids are kept in before they are ranked."""
+    return "<u2" if max(end_id, *tokenizer(tokenizer_path).get_vocab().values()) < 1 << 16 else "<u4"
 
 
 def encoded(df: DataFrame, text: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id") -> DataFrame:
-    """id (long), n and ids (little-endian uint32, the end id last) of each row."""
+    """id (long), n and ids (of type unit(), the end id last) of each row."""
+    kind = np.dtype(unit(tokenizer_path, end_id))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(tokenizer_path)
+        words = words_of(tokenizer_path)
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
             _, offsets = flat.column_bytes(texts)
-            for first, last, _, _ in flat.slices(np.zeros(0, np.uint8), offsets):
+            for first, last, _, _ in flat.slices(np.zeros(0, np.uint8), offsets, SLICE_BYTES):
                 ids, n = words.encoded(texts.slice(first, last - first))
                 ends = np.cumsum(n)
-                ids = np.insert(ids, ends, np.uint32(end_id)).astype("<u4")
-                cut = np.concatenate([[0], ends + np.arange(1, len(n) + 1)]) * 4
+                ids = np.insert(ids.astype(kind), ends, end_id)
+                cut = np.concatenate([[0], ends + np.arange(1, len(n) + 1)]) * kind.itemsize
                 stream = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(n + 1), stream], names=["id", "n", "ids"])
 
     return df.select(F.col(id_col).cast("long"), F.col(text)).mapInArrow(run, "id long, n long, ids binary")
 
 
-def ranked_ids(tokens: DataFrame) -> np.ndarray:
+def ranked_ids(tokens: DataFrame, kind: str) -> np.ndarray:
     """All ids that occur, the commonest first and smaller ones before larger: as many as the vocabulary has, at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
             data, _ = binary(batch.column(0))
-            found = np.bincount(data.view("<u4"))
+            found = np.bincount(data.view(kind))
             if len(found) > len(counts):
                 counts = np.concatenate([counts, np.zeros(len(found) - len(counts), dtype=np.int64)])
             counts[: len(found)] += found
@@ -231,7 +297,8 @@ def write_files(df: DataFrame, text: str, tokenizer_path: str, end_id: int, id_c
     spark = df.sparkSession
     folder = folder or f"{shared_dir(spark)}/landweave/tokens-{uuid.uuid4().hex}"
     tokens = materialise(encoded(df, text, tokenizer_path, end_id, id_col), "encoded")
-    ids = ranked_ids(tokens)
+    kind = np.dtype(unit(tokenizer_path, end_id))
+    ids = ranked_ids(tokens, kind.str)
     store, path = opened(folder)
     store.create_dir(path, recursive=True)
     put(folder, "ranks.bin", [memoryview(ids).cast("B")] if len(ids) else [])
@@ -253,13 +320,13 @@ def write_files(df: DataFrame, text: str, tokenizer_path: str, end_id: int, id_c
         for batch in batches:
             part = batch.column(3)[0].as_py() if batch.num_rows else part
             data, offsets = binary(batch.column(2))
-            offsets = offsets // 4
+            offsets = offsets // kind.itemsize
             first = 0
             while first < batch.num_rows:  # as many documents as still fit, one at least
                 room = offsets[first] + shard_tokens - held
                 last = max(first + (not docs), int(np.searchsorted(offsets, room, side="right")) - 1)
                 if last > first:
-                    ranks.append(shared.value[data[offsets[first] * 4 : offsets[last] * 4].view("<u4")])
+                    ranks.append(shared.value[data[offsets[first] * kind.itemsize : offsets[last] * kind.itemsize].view(kind)])
                     docs += batch.column(0).slice(first, last - first).to_pylist()
                     counts += batch.column(1).slice(first, last - first).to_pylist()
                     held += int(offsets[last] - offsets[first])

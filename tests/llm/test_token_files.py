@@ -47,7 +47,7 @@ ODD = [
 
 def test_words_give_the_ids_of_whole_texts():
     words, tok = token_files.Words(vocabulary(WORD_BPE)), Tokenizer.from_file(vocabulary(WORD_BPE))
-    assert not words.whole and token_files.Words(vocabulary(BYTE_BPE)).whole
+    assert words.cut and not token_files.Words(vocabulary(BYTE_BPE)).cut
     import pyarrow as pa
 
     texts = [t or "" for t in ODD]
@@ -57,17 +57,31 @@ def test_words_give_the_ids_of_whole_texts():
         assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
-@given(st.lists(st.text(alphabet=st.characters(codec="utf-8"), max_size=40), max_size=6))
-@settings(max_examples=150, deadline=None)
+ANY = st.text(alphabet=st.characters(codec="utf-8"), max_size=40)
+ASCII = st.text(alphabet=st.characters(codec="ascii"), max_size=60)
+NEAR = st.text(alphabet="aB's<|>reEndoftx 1!.\té", max_size=40)
+
+
+@given(st.lists(ANY | ASCII | NEAR, max_size=6))
+@settings(max_examples=400, deadline=None)
 def test_words_give_the_ids_of_any_text(texts):
     import pyarrow as pa
 
-    words, tok = token_files.Words(vocabulary(WORD_BPE)), Tokenizer.from_file(vocabulary(WORD_BPE))
+    words, tok = token_files.words_of(vocabulary(WORD_BPE)), Tokenizer.from_file(vocabulary(WORD_BPE))
     ids, n = words.encoded(pa.array(texts, pa.string()))
     want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
     assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_a_process_forgets_and_goes_on(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_files, "REMEMBERED", 5)
+    words, tok = token_files.Words(vocabulary(WORD_BPE)), Tokenizer.from_file(vocabulary(WORD_BPE))
+    for text in ("one two three", "two four five six", "a b c d e f g h", "one"):
+        assert words.encoded(pa.array([text]))[0].tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_query_equals_the_library(spark):
     rows = sorted((r["doc_id"], r["text"]) for r in pq.read_table(f"{SF}/documents.parquet").to_pylist())
     got = queries.op11_token_files(spark, SF)
