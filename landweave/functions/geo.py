@@ -9,6 +9,8 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import overlay
+
 EARTH = 6378137.0
 #: Fixed values of the WGS 84 ellipsoid and of the transverse Mercator grid.
 FLATTENING = 1 / 298.257223563
@@ -92,26 +94,50 @@ def footprint_wkt(b: Column, epsg: Column) -> Column:
     return F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *points), F.lit("))"))
 
 
-# polygons: a geometry is a list of convex rings, each an (n, 2) array in counter-clockwise order
+# polygons: a geometry is a list of rings, each an (n, 2) array; outer ones counter-clockwise, holes clockwise
 
 
 def parse_wkt(text: str | None) -> list[np.ndarray]:
-    """Outer rings of a POLYGON or MULTIPOLYGON text."""
+    """Rings of a POLYGON or MULTIPOLYGON text, holes too."""
     if not text:
         return []
     polygons = re.findall(r"\(\s*(\([^()]*\)(?:\s*,\s*\([^()]*\))*)\s*\)", text)
     rings = []
     for polygon in polygons:
-        outer = re.match(r"\(([^()]*)\)", polygon).group(1)
-        ring = np.array([[float(v) for v in p.split()[:2]] for p in outer.split(",")])
-        rings.append(oriented(ring[:-1] if len(ring) > 1 and (ring[0] == ring[-1]).all() else ring))
+        for k, part in enumerate(re.findall(r"\(([^()]*)\)", polygon)):
+            ring = np.array([[float(v) for v in p.split()[:2]] for p in part.split(",")])
+            ring = oriented(ring[:-1] if len(ring) > 1 and (ring[0] == ring[-1]).all() else ring)
+            rings.append(ring[::-1] if k else ring)
     return rings
 
 
+def contains(ring: np.ndarray, point: np.ndarray) -> bool:
+    """Whether a point is inside a ring."""
+    (x0, y0), (x1, y1) = ring.T, np.roll(ring, -1, axis=0).T
+    over = (y0 > point[1]) != (y1 > point[1])
+    return bool((over & (point[0] < x0 + (point[1] - y0) * (x1 - x0) / np.where(y1 == y0, 1, y1 - y0))).sum() % 2)
+
+
+def polygons(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """Outer rings, each with its holes: a hole belongs to the smallest ring around it."""
+    outers = [[r] for r in rings if signed_area(r) > 0]
+    by_size = sorted(outers, key=lambda p: signed_area(p[0]))
+    for hole in rings:
+        if signed_area(hole) <= 0:
+            middle = (hole[0] + hole[1]) / 2
+            home = next((p for p in by_size if -signed_area(hole) <= signed_area(p[0]) and contains(p[0], middle)), None)
+            if home:
+                home.append(hole)
+    return outers
+
+
 def to_wkt(rings: list[np.ndarray]) -> str | None:
-    if not rings:
+    def text(r: np.ndarray) -> str:
+        return "(" + ", ".join(f"{x!r} {y!r}" for x, y in np.vstack([r, r[:1]]).tolist()) + ")"
+
+    texts = ["(" + ", ".join(map(text, p)) + ")" for p in polygons(rings)]
+    if not texts:
         return None
-    texts = ["((" + ", ".join(f"{x!r} {y!r}" for x, y in np.vstack([r, r[:1]]).tolist()) + "))" for r in rings]
     return f"POLYGON {texts[0]}" if len(texts) == 1 else f"MULTIPOLYGON ({', '.join(texts)})"
 
 
@@ -147,53 +173,24 @@ def clip_convex(subject: np.ndarray, window: np.ndarray) -> np.ndarray | None:
     return out if len(out) > 2 and signed_area(out) > 0 else None
 
 
-def convex_parts(ring: np.ndarray) -> list[np.ndarray]:
-    """The ring itself if it is convex, else its triangles by ear clipping."""
+def is_convex(ring: np.ndarray) -> bool:
     d = np.roll(ring, -1, axis=0) - ring
     e = np.roll(d, -1, axis=0)
-    if (d[:, 0] * e[:, 1] - d[:, 1] * e[:, 0] >= 0).all():
-        return [ring]
-    rest, parts = list(range(len(ring))), []
-    while len(rest) > 3:
-        for k in range(len(rest)):
-            a, b, c = ring[rest[k - 1]], ring[rest[k]], ring[rest[(k + 1) % len(rest)]]
-            triangle = np.array([a, b, c])
-            if signed_area(triangle) <= 0:
-                continue
-            others = ring[[i for i in rest if i not in (rest[k - 1], rest[k], rest[(k + 1) % len(rest)])]]
-            inside = np.ones(len(others), dtype=bool)
-            for p, q in ((a, b), (b, c), (c, a)):
-                inside &= (q[0] - p[0]) * (others[:, 1] - p[1]) - (q[1] - p[1]) * (others[:, 0] - p[0]) >= 0
-            if not inside.any():
-                parts.append(triangle)
-                del rest[k]
-                break
-        else:
-            break
-    return [*parts, ring[rest]]
+    turn = d[:, 0] * e[:, 1] - d[:, 1] * e[:, 0]
+    return bool((turn >= 0).all() and abs(np.arctan2(turn, (d * e).sum(axis=1)).sum() - 2 * np.pi) < 1e-6)
 
 
 def intersect(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
-    """Pieces of the intersection of two unions of rings."""
-    pa = [p for r in a for p in convex_parts(r)]
-    pb = [p for r in b for p in convex_parts(r)]
-    return [c for x in pa for y in pb if (c := clip_convex(x, y)) is not None]
-
-
-def union_area(rings: list[np.ndarray]) -> float:
-    """Area of a union of rings, by adding each part less what earlier ones cover."""
-    parts = [p for r in rings for p in convex_parts(r)]
-
-    def covered(piece: np.ndarray, others: list[np.ndarray]) -> float:
-        total, seen = 0.0, []
-        for o in others:
-            common = clip_convex(piece, o)
-            if common is not None:
-                total += signed_area(common) - covered(common, seen)
-                seen.append(o)
-        return total
-
-    return sum(signed_area(p) - covered(p, parts[:k]) for k, p in enumerate(parts))
+    """What two geometries have in common; two convex rings are clipped, all else goes by a sweep."""
+    if len(a) == len(b) == 1 and is_convex(a[0]) and is_convex(b[0]):
+        common = clip_convex(a[0], b[0])
+        return [] if common is None else [common]
+    return overlay.intersection([a, b])
+
+
+def area(rings: list[np.ndarray]) -> float:
+    """Area of a geometry; what its rings cover twice counts once."""
+    return float(signed_area(rings[0])) if len(rings) == 1 else overlay.Overlay([rings], overlay.in_any).area()
 
 
 def bounds(rings: list[np.ndarray]) -> tuple[float, float, float, float] | None:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import geo
+from ..functions import geo, overlay
 
 
 def rings_of(text: str | None) -> list[np.ndarray]:
@@ -23,8 +23,8 @@ def rings_of(text: str | None) -> list[np.ndarray]:
 
 def _common_area(texts: Sequence[str] | None, other: str | None, project: Callable[[list[np.ndarray]], list[np.ndarray]]) -> float:
     window = project(rings_of(other))
-    pieces = [p for t in (texts if texts is not None else []) for p in geo.intersect(project(rings_of(t)), window)]
-    return geo.union_area(pieces) if pieces else 0.0
+    near = [common for t in (texts if texts is not None else []) if (common := geo.intersect(project(rings_of(t)), window))]
+    return geo.area(near[0]) if len(near) == 1 else overlay.area_of_union(near)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -45,6 +45,12 @@ def polygons_meet(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([bool(geo.intersect(rings_of(x), rings_of(y))) for x, y in zip(a, b, strict=True)], dtype="bool")
 
 
+@F.pandas_udf(T.DoubleType())
+def areas(wkt: pd.Series) -> pd.Series:
+    """Area of a polygon text in its plane, without its holes."""
+    return pd.Series([geo.area(rings_of(t)) for t in wkt], dtype="float64")
+
+
 @F.pandas_udf(T.BooleanType())
 def well_formed(wkt: pd.Series) -> pd.Series:
     """Whether a text is a polygon with an area."""
@@ -63,20 +69,45 @@ def centroids(wkt: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["lon", "lat"], dtype="float64")
 
 
+#: Parts into which a group is dealt before its parts' unions are united.
+DEALT = 16
+
+
+def dissolved(df: DataFrame, keys: Sequence[str], geom: str) -> DataFrame:
+    """keys, and in geom the union of each group's polygons as text: disjoint rings with holes, null where there is no area.
+
+    A group is dealt into parts that are united first, so that no task holds a hot group's polygons but only what is left of them.
+    Null keys are a group; malformed polygons add nothing.
+    """
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+
+    def united(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = geo.to_wkt(overlay.union([rings_of(t) for t in pdf["__geom"]]))
+        return pd.DataFrame({**{k: pdf[k].iloc[:1] for k in keys}, "__geom": [found]}, index=pdf.index[:1])
+
+    dealt = df.select(*keys, F.col(geom).alias("__geom"), F.pmod(F.xxhash64(geom), F.lit(DEALT)).alias("__deal"))
+    parts = dealt.groupBy(*keys, "__deal").applyInPandas(united, f"{kinds}, __geom string")
+    return parts.groupBy(*keys).applyInPandas(united, f"{kinds}, __geom string").withColumnRenamed("__geom", geom)
+
+
+def common_geometry(df: DataFrame, key: str, geom: str) -> DataFrame:
+    """key, and in geom what all of its polygons have in common as text, null where that has no area."""
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        rings = rings_of(pdf["__geom"].iloc[0])
+        for text in pdf["__geom"].iloc[1:]:
+            rings = geo.intersect(rings, rings_of(text)) if rings else []
+        return pd.DataFrame({key: pdf[key].iloc[:1], "__geom": [geo.to_wkt(rings)]}, index=pdf.index[:1])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, F.col(geom).alias("__geom")).groupBy(key).applyInPandas(fold, f"`{key}` {kind}, __geom string").withColumnRenamed("__geom", geom)
+
+
 def common_footprint(scenes: DataFrame, key: str, union_keys: Sequence[str], geom: str) -> DataFrame:
     """Bounds of what all of a key's scenes have in common; scenes of equal union_keys count as one footprint.
 
     Rows with a null union key don't constrain it. Null bounds: nothing in common.
     """
     held = scenes.dropna(subset=list(union_keys)).select(key, *union_keys, geom)
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pieces = None
-        for _, group in pdf.groupby(list(union_keys), sort=True):
-            rings = [r for t in group[geom] for r in rings_of(t)]
-            pieces = rings if pieces is None else geo.intersect(pieces, rings)
-        box = geo.bounds(pieces or []) or (None,) * 4
-        return pd.DataFrame([[pdf[key].iloc[0], *box]], columns=[key, "minx", "miny", "maxx", "maxy"])
-
-    kind = scenes.schema[key].dataType.simpleString()
-    return held.groupBy(key).applyInPandas(fold, f"{key} {kind}, minx double, miny double, maxx double, maxy double")
+    common = common_geometry(dissolved(held, [key, *union_keys], geom), key, geom)
+    return common.withColumn("__box", wkt_box(geom)).select(key, *[F.col(f"__box.{c}").alias(c) for c in ("minx", "miny", "maxx", "maxy")])

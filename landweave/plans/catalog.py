@@ -45,6 +45,11 @@ def big(c: str) -> F.Column:
     return F.col(c).cast("bigint")
 
 
+def whole(v: F.Column) -> F.Column:
+    """A value's hundred-thousandths, of which sums are the same in any order."""
+    return F.round(v * 100000).cast("bigint")
+
+
 def orders(spark: SparkSession, sf_dir: str, year: int | None = 1997) -> DataFrame:
     df = table(spark, sf_dir, "orders").withColumn("t", timefn.ts("o_orderdate")).withColumn("q", timefn.quarter(F.col("t")))
     return df if year is None else df.where((F.col("t") >= F.lit(f"{year}-01-01").cast("timestamp")) & (F.col("t") < F.lit(f"{year + 1}-01-01").cast("timestamp")))
@@ -563,11 +568,11 @@ def scene_ids_broadcast(spark, d):
 
 @query("""
 WITH p AS (SELECT vec_id, i - 1 AS pos, embedding[i]::DOUBLE AS v FROM embeddings, range(1, 65) r(i))
-SELECT vec_id, count(*) = 5 AS complete, round(sum(v), 5) AS total FROM p WHERE pos IN (1, 2, 3, 7, 11) GROUP BY vec_id""")
+SELECT vec_id, count(*) = 5 AS complete, sum(round(v * 100000)::BIGINT)::BIGINT AS total FROM p WHERE pos IN (1, 2, 3, 7, 11) GROUP BY vec_id""")
 def band_select(spark, d):
     bands = table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "v")).select("vec_id", F.col("pos").cast("string").alias("band"), F.col("v").cast("double").alias("v"))
     chosen = raster.select_bands(bands, ["1", "2", "3", "7", "11", "13"], drop="13")
-    totals = chosen.groupBy("vec_id").agg(F.round(F.sum("v"), 5).alias("total"))
+    totals = chosen.groupBy("vec_id").agg(F.sum(whole(F.col("v"))).alias("total"))
     return raster.band_check(chosen, ["vec_id"], 5).join(totals, "vec_id")
 
 
@@ -606,11 +611,11 @@ def sar_norm(spark, d):
 @query("""
 WITH p AS (SELECT vec_id, i, embedding[i]::DOUBLE * CASE WHEN vec_id % 2 = 0 THEN 9000 ELSE 1 END AS v FROM embeddings, range(1, 65) r(i)),
 m AS (SELECT vec_id, max(v) AS mx FROM p GROUP BY vec_id)
-SELECT vec_id, round(sum(greatest(least(CASE WHEN mx > 1 THEN v / 4000 ELSE v * 5 END, 1), 0)), 5) AS total FROM p JOIN m USING (vec_id) GROUP BY vec_id""")
+SELECT vec_id, sum(round(greatest(least(CASE WHEN mx > 1 THEN v / 4000 ELSE v * 5 END, 1), 0) * 100000)::BIGINT)::BIGINT AS total FROM p JOIN m USING (vec_id) GROUP BY vec_id""")
 def rgb_stretch(spark, d):
     scaled = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double") * F.when(F.col("vec_id") % 2 == 0, 9000).otherwise(1)).alias("data")).withColumn("mx", F.array_max("data"))
     unit = F.transform("data", lambda v: pixels.stretch(v, F.col("mx")))
-    return scaled.select("vec_id", F.round(F.aggregate(unit, F.lit(0.0), lambda a, v: a + v), 5).alias("total"))
+    return scaled.select("vec_id", F.aggregate(unit, F.lit(0).cast("bigint"), lambda a, v: a + whole(v)).alias("total"))
 
 
 @query("""
@@ -740,28 +745,28 @@ def chip_sizes(spark, d):
     from ..config import Chips
 
     sizes = Chips(960, 1280)
-    rows = [(r["n_nationkey"] + 10, *sizes.pixels(r["n_nationkey"] + 10)) for r in table(spark, d, "nation").select("n_nationkey").collect()]  # 25 rows
-    return spark.createDataFrame(rows, "resolution bigint, sample bigint, chip bigint, margin bigint")
+    known = spark.createDataFrame([(r, *sizes.pixels(r)) for r in range(1, 121)], "resolution bigint, sample bigint, chip bigint, margin bigint")
+    return table(spark, d, "nation").select((F.col("n_nationkey") + 10).cast("bigint").alias("resolution")).join(F.broadcast(known), "resolution")
 
 
 # masks, composites and margins of whole blocks
 
 
 def _blocks(spark, d):
-    """Embeddings as blocks of 64 values with a time each; values below 0 are missing."""
+    """Embeddings as blocks of 64 whole values with a time each, so that sums are the same in any order; values below 0 are missing."""
     t = F.lit("2023-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(hours=(F.col("vec_id") * 7).cast("int"))
-    data = F.transform("embedding", lambda v: F.when(v >= 0, F.round(v.cast("double"), 5)))
+    data = F.transform("embedding", lambda v: F.when(v >= 0, F.round(v.cast("double") * 100000)))
     return table(spark, d, "embeddings").select("vec_id", "label", t.alias("t"), data.alias("data"))
 
 
 _BLOCK_PIXELS = """
-b AS (SELECT vec_id, label, TIMESTAMP '2023-01-01' + to_hours((vec_id * 7)::INT) AS t, i, CASE WHEN embedding[i] >= 0 THEN round(embedding[i]::DOUBLE, 5) END AS v FROM embeddings, range(1, 65) r(i))"""
+b AS (SELECT vec_id, label, TIMESTAMP '2023-01-01' + to_hours((vec_id * 7)::INT) AS t, i, CASE WHEN embedding[i] >= 0 THEN round(embedding[i]::DOUBLE * 100000) END AS v FROM embeddings, range(1, 65) r(i))"""
 
 
 @query(f"""
 WITH {_BLOCK_PIXELS}, m AS (SELECT vec_id, count(v) FILTER (vec_id % 5 <> 0 AND (vec_id + i) % 12 IN (2, 4, 5, 6, 11))::BIGINT AS n_class,
   count(v) FILTER (vec_id % 5 <> 0 AND ((vec_id + i) % 64 & 30) = 0)::BIGINT AS n_bits,
-  round(coalesce(sum(v) FILTER (vec_id % 5 <> 0 AND (vec_id + i) % 12 IN (2, 4, 5, 6, 11)), 0), 3) AS total FROM b GROUP BY vec_id)
+  coalesce(sum(v) FILTER (vec_id % 5 <> 0 AND (vec_id + i) % 12 IN (2, 4, 5, 6, 11)), 0)::BIGINT AS total FROM b GROUP BY vec_id)
 SELECT * FROM m""")
 def masked_blocks(spark, d):
     blocks = _blocks(spark, d)
@@ -770,27 +775,27 @@ def masked_blocks(spark, d):
     by_class = raster.mask_blocks(blocks, some.select("vec_id", F.transform(numbers, lambda i: ((F.col("vec_id") + i) % 12).cast("double")).alias("data")), ["vec_id"], "class")
     by_bits = raster.mask_blocks(blocks, some.select("vec_id", F.transform(numbers, lambda i: ((F.col("vec_id") + i) % 64).cast("double")).alias("data")), ["vec_id"], "bits")
     count = lambda c: F.size(F.filter(c, lambda v: v.isNotNull())).cast("bigint")
-    total = F.round(F.aggregate("data", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0))), 3)
+    total = F.aggregate("data", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0))).cast("bigint")
     return by_class.select("vec_id", count("data").alias("n_class"), total.alias("total")).join(by_bits.select("vec_id", count("data").alias("n_bits")), "vec_id").select("vec_id", "n_class", "n_bits", "total")
 
 
 @query(f"""
 WITH {_BLOCK_PIXELS}, p AS (SELECT label, quarter(t) AS q, i, arg_min(v, t) FILTER (v IS NOT NULL) AS v FROM b GROUP BY ALL),
-s AS (SELECT label, q, count(v)::BIGINT AS n, round(coalesce(sum(v), 0), 3) AS total FROM p GROUP BY ALL),
+s AS (SELECT label, q, count(v)::BIGINT AS n, coalesce(sum(v), 0)::BIGINT AS total FROM p GROUP BY ALL),
 d AS (SELECT label, quarter(t) AS q, strftime(min(t), '%Y-%m-%d %H') AS first FROM b GROUP BY ALL)
 SELECT s.label::BIGINT AS label, first, n, total FROM s JOIN d USING (label, q)""")
 def composed_blocks(spark, d):
     made = raster.composite_blocks(_blocks(spark, d), ["label"])
-    total = F.round(F.aggregate("data", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0))), 3)
+    total = F.aggregate("data", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0))).cast("bigint")
     return made.select(big("label").alias("label"), F.date_format("t", "yyyy-MM-dd HH").alias("first"), F.size(F.filter("data", lambda v: v.isNotNull())).cast("bigint").alias("n"), total.alias("total"))
 
 
 @query(f"""
-WITH {_BLOCK_PIXELS}, p AS (SELECT label, i, avg(v) AS v FROM b GROUP BY ALL) SELECT label::BIGINT AS label, i::BIGINT AS place, round(v, 6) AS v FROM p""")
+WITH {_BLOCK_PIXELS}, p AS (SELECT label, i, avg(v) AS v FROM b GROUP BY ALL) SELECT label::BIGINT AS label, i::BIGINT AS place, floor(v * 8)::BIGINT AS v FROM p""")
 def mean_blocks(spark, d):
     made = raster.mean_blocks(_blocks(spark, d), ["label"])
     cells = made.select(big("label").alias("label"), F.posexplode("data").alias("place", "v"))
-    return cells.select("label", (F.col("place") + 1).cast("bigint").alias("place"), F.round("v", 6).alias("v"))
+    return cells.select("label", (F.col("place") + 1).cast("bigint").alias("place"), F.floor(F.col("v") * 8).alias("v"))
 
 
 @query("""
@@ -862,6 +867,48 @@ def common_footprints(spark, d):
     return found.select(big("c_nationkey").alias("c_nationkey"), "minx", "miny", "maxx", "maxy")
 
 
+def _turned_square(x, y, r, hole):
+    """A square on its corner, whose edges run along whole values of x + y and x - y, with a hole of radius 1 where asked for."""
+    ring = lambda r: F.concat(F.lit("("), F.concat_ws(", ", *[F.concat_ws(" ", a.cast("double").cast("string"), b.cast("double").cast("string")) for a, b in ((x - r, y), (x, y - r), (x + r, y), (x, y + r), (x - r, y))]), F.lit(")"))
+    return F.concat(F.lit("POLYGON ("), ring(r), F.when(hole, F.concat(F.lit(", "), ring(F.lit(1)))).otherwise(F.lit("")), F.lit(")"))
+
+
+_TURNED_CELLS = """
+c AS (SELECT c_nationkey, c_mktsegment, c_custkey AS k, (c_custkey * 7 % {w}) + (c_custkey * 11 % {h}) AS cu, (c_custkey * 7 % {w}) - (c_custkey * 11 % {h}) AS cv, {r} + c_custkey % 3 AS r FROM customer),
+us AS (SELECT *, unnest(range(cu - r, cu + r)) AS u FROM c), uv AS (SELECT *, unnest(range(cv - r, cv + r)) AS v FROM us),
+cells AS (SELECT DISTINCT c_nationkey, c_mktsegment, u, v FROM uv WHERE NOT (k % 2 = 0 AND u BETWEEN cu - 1 AND cu AND v BETWEEN cv - 1 AND cv))"""
+
+
+def _turned(spark, d, w, h, r):
+    k = F.col("c_custkey")
+    return table(spark, d, "customer").select(big("c_nationkey").alias("c_nationkey"), "c_mktsegment", _turned_square(k * 7 % w, k * 11 % h, F.lit(r) + k % 3, k % 2 == 0).alias("g"))
+
+
+@query(f"""
+WITH {_TURNED_CELLS.format(w=61, h=53, r=2)}, n AS (SELECT DISTINCT c_nationkey, u, v FROM cells)
+SELECT c_nationkey::BIGINT AS c_nationkey, count(*)::BIGINT AS half_cells, min(u + v) / 2.0::DOUBLE AS minx, min(u - v - 1) / 2.0::DOUBLE AS miny, max(u + v + 2) / 2.0::DOUBLE AS maxx, max(u - v + 1) / 2.0::DOUBLE AS maxy FROM n GROUP BY c_nationkey""")
+def dissolved_footprints(spark, d):
+    """Each nation's squares on their corners, half of them with a hole, as one geometry: its area and bounds."""
+    from ..operators import geometry
+
+    found = geometry.dissolved(_turned(spark, d, 61, 53, 2), ["c_nationkey"], "g").withColumn("b", geometry.wkt_box("g"))
+    return found.select("c_nationkey", F.round(geometry.areas("g") * 2).cast("bigint").alias("half_cells"), *[F.round(f"b.{c}", 6).alias(c) for c in ("minx", "miny", "maxx", "maxy")])
+
+
+@query(f"""
+WITH {_TURNED_CELLS.format(w=9, h=8, r=4)}, n AS (SELECT c_nationkey, count(DISTINCT c_mktsegment) AS n FROM customer GROUP BY 1),
+x AS (SELECT c_nationkey, u, v FROM cells JOIN n USING (c_nationkey) GROUP BY c_nationkey, u, v, n HAVING count(*) = n)
+SELECT n.c_nationkey::BIGINT AS c_nationkey, count(u)::BIGINT AS half_cells, min(u + v) / 2.0::DOUBLE AS minx, min(u - v - 1) / 2.0::DOUBLE AS miny, max(u + v + 2) / 2.0::DOUBLE AS maxx, max(u - v + 1) / 2.0::DOUBLE AS maxy
+FROM n LEFT JOIN x ON n.c_nationkey = x.c_nationkey GROUP BY n.c_nationkey""")
+def common_geometries(spark, d):
+    """What the unions of all of a nation's segments have in common: area, without holes, and bounds."""
+    from ..operators import geometry
+
+    united = geometry.dissolved(_turned(spark, d, 9, 8, 4), ["c_nationkey", "c_mktsegment"], "g")
+    found = geometry.common_geometry(united, "c_nationkey", "g").withColumn("b", geometry.wkt_box("g"))
+    return found.select("c_nationkey", F.round(geometry.areas("g") * 2).cast("bigint").alias("half_cells"), *[F.round(f"b.{c}", 6).alias(c) for c in ("minx", "miny", "maxx", "maxy")])
+
+
 @query("""
 SELECT s_suppkey, round((x + x + 6 + x) / 3, 6) AS lon, round((y + y + y + 3) / 3, 6) AS lat FROM (SELECT s_suppkey, (s_suppkey * 17 % 300) - 150.0 AS x, (s_suppkey * 29 % 100) - 50.0 AS y FROM supplier)""")
 def polygon_centroids(spark, d):
@@ -975,7 +1022,7 @@ def scene_items(spark, d):
 
 @query("""
 WITH p AS (SELECT vec_id, (i - 1) // 8 AS y, (i - 1) % 8 AS x, embedding[i] AS v FROM embeddings, range(1, 65) r(i))
-SELECT vec_id AS aoi_index, (y // 4)::BIGINT AS wy, (x // 4)::BIGINT AS wx, round(sum(v::DOUBLE), 4) AS total FROM p GROUP BY ALL""")
+SELECT vec_id AS aoi_index, (y // 4)::BIGINT AS wy, (x // 4)::BIGINT AS wx, sum(round(v::DOUBLE * 100000)::BIGINT)::BIGINT AS total FROM p GROUP BY ALL""")
 def geotiff_blocks(spark, d):
     """Tiles as GeoTIFF files, read back as blocks of 4 x 4."""
     from ..session import ship
@@ -989,5 +1036,5 @@ def geotiff_blocks(spark, d):
     path = _folder(spark, "tiles")
     images.write_images(images.encode_chips(tiles.drop("vec_id"), "tif"), path).count()
     manifest = tiles.select(F.col("name").alias("path"), F.col("vec_id").alias("aoi_index"), F.lit("dem").alias("source"), F.lit("2023-01-01").cast("timestamp").alias("t"), F.array(F.lit("elevation")).alias("bands"), F.lit(4).alias("n"))
-    total = F.round(F.aggregate("data", F.lit(0.0), lambda a, v: a + v), 4)
+    total = F.aggregate("data", F.lit(0).cast("bigint"), lambda a, v: a + whole(v))
     return rasters.read_blocks(spark, manifest, _uri(path)).select("aoi_index", big("wy").alias("wy"), big("wx").alias("wx"), total.alias("total"))

@@ -43,13 +43,12 @@ def read_areas(spark: SparkSession, path: str) -> DataFrame:
 
 
 def wkt_geometry(wkt: str | None) -> dict | None:
-    from ..functions.geo import parse_wkt
+    from ..functions import geo
 
-    rings = parse_wkt(wkt)
-    if not rings:
+    found = [[[*r.tolist(), r[0].tolist()] for r in p] for p in geo.polygons(geo.parse_wkt(wkt))]
+    if not found:
         return None
-    closed = [[*r.tolist(), r[0].tolist()] for r in rings]
-    return {"type": "Polygon", "coordinates": [closed[0]]} if len(closed) == 1 else {"type": "MultiPolygon", "coordinates": [[c] for c in closed]}
+    return {"type": "Polygon", "coordinates": found[0]} if len(found) == 1 else {"type": "MultiPolygon", "coordinates": found}
 
 
 def features(df: DataFrame, geom: str, keep: str | None = None) -> DataFrame:
