@@ -7,9 +7,9 @@ text's n-grams; word beginnings carry the toxic ratio log p_toxic/q_raw, by text
 of which only clear evidence (above TOXIC_RATIO) counts, summed over the text and divided by the root of
 its words, with which chance hits grow. The n-grams of a text are not independent, so the sums
 overstate: a temperature and an offset for each ratio are fitted by logistic regression on
-labelled rows, each half of them scored by the models of the other. The log importance weight of a text is the
-log ratio of the target to raw and toxic text together, -log(exp(-a) + exp(-b)) for the two log
-ratios a and b. Gumbel noise from a hash of the id is added and the k rows with the largest keys are kept:
+labelled rows, each half of them scored by the models of the other. The log importance weight of a text is its log ratio a
+of the target to raw text; where it has evidence of toxic text, the log ratio of the target to raw and toxic text
+together, -log(exp(-a) + exp(-b)) with the log ratio b of the target to toxic text. Gumbel noise from a hash of the id is added and the k rows with the largest keys are kept:
 what is clearly of the target stays, what is clearly not goes, and rows near the edge are drawn.
 k is a parameter; by default it is the number of rows with a weight of 0 or more. The k-th key is found
 by histogram refinement, never by a sort.
@@ -187,8 +187,10 @@ def log_weight(model: dict) -> Column:
     found = [F.lit(model[k][0]) * F.col(c) + F.lit(model[k][1]) for k, c in (("q", SCORES[1]), ("t", SCORES[2])) if model[k]]
     if not found:
         return F.lit(0.0)
-    both = found[0] if len(found) == 1 else F.least(*found) - F.log1p(F.exp(-F.abs(found[0] - found[1])))
-    return F.when(F.col(SCORES[0]) == 0, F.lit(0.0)).otherwise(both)
+    weight = found[0]
+    if len(found) == 2:  # without toxic evidence the toxic ratio would be one and the same, and cap the weight
+        weight = F.when(F.col(SCORES[2]) > 0, F.least(*found) - F.log1p(F.exp(-F.abs(found[0] - found[1])))).otherwise(weight)
+    return F.when(F.col(SCORES[0]) == 0, F.lit(0.0)).otherwise(weight)
 
 
 def gumbel(id_col: Column, seed: int = SEED) -> Column:
@@ -197,7 +199,11 @@ def gumbel(id_col: Column, seed: int = SEED) -> Column:
 
 
 def kth_largest(df: DataFrame, key: str, k: int, bins: int = 1024) -> float:
-    """The k-th largest value of a double column, by narrowing histograms; bins rows reach the driver at a time."""
+    """The k-th largest value of a double column, by narrowing histograms; bins rows reach the driver at a time.
+
+    Infinite keys and those that are no numbers don't count, so that the bins stay finite.
+    """
+    df = df.where(F.col(key).between(-1.7976931348623157e308, 1.7976931348623157e308))
     low, high = df.agg(F.min(key), F.max(key)).first()
     if k <= 0 or low is None:
         return float("inf")

@@ -13,7 +13,7 @@ matches nothing; one of fewer than the window's words is matched as a whole; a w
 half lexical words is matched with its values only; an item whose other windows touch enough of its
 words also leaks where enough of those are found; an item's first word is looked for as a word and as
 the name or unit that the text before it would make of it. Repeated items and documents each give their own rows, and
-rows that share an id are documents of their own, with or without an id. Ties between places go to the one with the most
+rows that share an id are documents or items of their own, with or without an id. Ties between places go to the one with the most
 windows, then an exact one, then the one with more slots. An empty table on either side gives an empty one; other columns are not read.
 The join is a broadcast one only while the counted benchmark windows stay below BROADCAST_WINDOWS.
 """
@@ -70,13 +70,13 @@ def _hashes(words: Column, size: int) -> Column:
 
 
 def item_windows(benchmark: DataFrame, window: int, coverage: float = COVERAGE) -> DataFrame:
-    """The items' windows: by template h where half of the words are lexical, else by values too (value_h).
+    """The items' windows, by the item's row: by template h where half of the words are lexical, else by values too (value_h).
 
     n_windows counts all windows; n_lexical those by template, null where they touch less of the
     item's words than coverage.
     """
     words = lambda values: template_words(F.col("text"), values=values)
-    items = benchmark.select("item_id", "text", words(False).alias("words"), words(True).alias("value_words"))
+    items = benchmark.select(_row(benchmark, "item_id").alias("item"), "text", words(False).alias("words"), words(True).alias("value_words"))
     items = items.withColumn("size", F.least(F.size("words"), F.lit(window))).where(F.col("size") >= MIN_WORDS)
     items = items.withColumn("n_windows", F.size("words") - F.col("size") + 1)
 
@@ -104,7 +104,7 @@ def item_windows(benchmark: DataFrame, window: int, coverage: float = COVERAGE)
 
     slot = F.concat(F.lit(SLOT), F.col("kind"))
     return at.select(
-        "item_id", "n_windows", "n_lexical", "size", (F.col("i") - 1).alias("item_pos"),
+        "item", "n_windows", "n_lexical", "size", (F.col("i") - 1).alias("item_pos"),
         hashed("words", slot).alias("h"),
         F.when(~F.array_contains("lexical", F.col("i")), hashed("value_words", F.concat(slot, F.get("value_words", F.lit(0))))).alias("value_h"),
     )
@@ -112,12 +112,12 @@ def item_windows(benchmark: DataFrame, window: int, coverage: float = COVERAGE)
 
 def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """One row per leaked pair: doc_id, item_id, n_windows, n_matched, coverage, n_slots, reparameterised."""
-    return _leaks(documents, benchmark, window, coverage).select(F.col("doc.id").alias("doc_id"), "item_id", "n_windows", "n_matched", "coverage", "n_slots", "reparameterised")
+    return _leaks(documents, benchmark, window, coverage).select(F.col("doc.id").alias("doc_id"), F.col("item.id").alias("item_id"), "n_windows", "n_matched", "coverage", "n_slots", "reparameterised")
 
 
-def _row(of: DataFrame) -> Column:
+def _row(of: DataFrame, id_col: str = "doc_id") -> Column:
     """A row's key, equal for rows of equal id and text only; a null id is like any other."""
-    return F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.col("text")).alias("row"))
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col("text")).alias("row"))
 
 
 def _leaks(documents: DataFrame, benchmark: DataFrame, window: int, coverage: float) -> DataFrame:
@@ -133,28 +133,28 @@ def _leaks(documents: DataFrame, benchmark: DataFrame, window: int, coverage: fl
         return texts.select("doc", F.inline(hashes))
 
     def meet(found: DataFrame, of: DataFrame) -> DataFrame:
-        return found.join(F.broadcast(of) if small else of, "h")
+        return found.join(F.broadcast(of), "h") if small else let_through(found, "h", of).join(of, "h")  # most windows of the documents go before the shuffle
 
-    hit = ["doc", "item_id", "n_windows", "n_lexical", "size", "item_pos", "pos"]
+    hit = ["doc", "item", "n_windows", "n_lexical", "size", "item_pos", "pos"]
     by_value = [r["size"] for r in counted if r["by_value"]]
     if by_value:
         # a template without enough lexical words only tells which documents to read with their values
-        dense = items.where(F.col("value_h").isNotNull()).select("h").distinct().withColumn("item_id", F.lit(None).cast(items.schema["item_id"].dataType))
-        templates = items.where(F.col("value_h").isNull()).select("item_id", "n_windows", "n_lexical", "size", "item_pos", "h", F.lit(False).alias("dense"))
+        dense = items.where(F.col("value_h").isNotNull()).select("h").distinct().withColumn("item", F.lit(None).cast(items.schema["item"].dataType))
+        templates = items.where(F.col("value_h").isNull()).select("item", "n_windows", "n_lexical", "size", "item_pos", "h", F.lit(False).alias("dense"))
         both_kinds = templates.unionByName(dense.withColumn("dense", F.lit(True)), allowMissingColumns=True)
         met = meet(windows(False, documents, sizes), both_kinds)
         some = materialise(met.withColumn("pos", F.when(~F.col("dense"), F.col("pos"))).select(*hit, "dense").distinct(), "template-hits")
         dense_docs = materialise(some.where("dense").select("doc").distinct(), "dense-documents")
         readers = let_through(documents, "doc", dense_docs).join(dense_docs, "doc", "left_semi")
-        valued = items.where(F.col("value_h").isNotNull()).select("item_id", "n_windows", "n_lexical", "size", "item_pos", F.col("value_h").alias("h"))
+        valued = items.where(F.col("value_h").isNotNull()).select("item", "n_windows", "n_lexical", "size", "item_pos", F.col("value_h").alias("h"))
         hits = some.where(~F.col("dense")).select(*hit, F.lit(False).alias("valued")).union(meet(windows(True, readers, sorted(by_value)), valued).select(*hit, F.lit(True)))
     else:
         hits = meet(windows(False, documents, sizes), items).select(*hit, F.lit(False).alias("valued"))
     # a place of the item in the document is where pos - item_pos is the same; units are these places' windows
-    units = hits.groupBy("doc", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+    units = hits.groupBy("doc", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         *[F.first(c).alias(c) for c in ("n_windows", "n_lexical", "size")], F.array_sort(F.collect_set(F.struct("item_pos", "valued"))).alias("places")
     )
-    pairs = units.groupBy("doc", "item_id").agg(
+    pairs = units.groupBy("doc", "item").agg(
         *[F.first(c).alias(c) for c in ("n_windows", "n_lexical", "size")], F.array_sort(F.collect_list(F.struct("shift", "places"))).alias("units")
     )
     by_template = lambda places: F.size(F.filter(places, lambda x: ~x["valued"]))
@@ -164,9 +164,9 @@ def _leaks(documents: DataFrame, benchmark: DataFrame, window: int, coverage: fl
 
     near_docs = materialise(near.select("doc").distinct(), "near-documents")
     doc_slots = let_through(documents, "doc", near_docs).join(near_docs, "doc", "left_semi").select("doc", template_words(F.col("text"), values=True).alias("doc_words"))
-    item_slots = benchmark.select("item_id", template_words(F.col("text"), values=True).alias("item_words"))
+    item_slots = benchmark.select(_row(benchmark, "item_id").alias("item"), template_words(F.col("text"), values=True).alias("item_words"))
     # pairs are compressed in their table, so that its size says little of what a broadcast of it would take
-    both = near.hint("merge").join(doc_slots, "doc").join(item_slots, "item_id")
+    both = near.hint("merge").join(doc_slots, "doc").join(item_slots, "item")
 
     def filled(item_pos: Column, pos: Column) -> Column:
         places = F.sequence(F.lit(0), F.col("size") - 1)
@@ -212,7 +212,7 @@ def _leaks(documents: DataFrame, benchmark: DataFrame, window: int, coverage: fl
     best = tried.where(F.size("found") > 0).withColumn("best", F.array_max(result))
     return best.select(
         "doc",
-        "item_id",
+        "item",
         F.col("best.n_windows").cast("long").alias("n_windows"),
         F.col("best.n_matched").cast("long").alias("n_matched"),
         (F.col("best.n_matched") / F.col("best.n_windows")).alias("coverage"),

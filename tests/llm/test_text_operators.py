@@ -140,7 +140,8 @@ def brute_importance(rows, labels, noise):
     both, weight = ratio_tables({0, 1}), {}
     for i, _ in rows:
         x, y = scores(i, both)
-        weight[i] = -math.log(math.exp(-(q[0] * x + q[1])) + math.exp(-(t[0] * y + t[1]))) if begins[i] else 0.0
+        good, not_toxic = q[0] * x + q[1], t[0] * y + t[1]
+        weight[i] = 0.0 if not begins[i] else good if not y else -math.log(math.exp(-good) + math.exp(-not_toxic))
     k = sum(v >= 0 for v in weight.values())
     least = sorted((weight[i] + noise[i] for i in weight), reverse=True)[k - 1]
     return weight, {i for i in weight if weight[i] + noise[i] >= least}
@@ -164,6 +165,15 @@ def test_importance_matches_brute_force(spark, documents):
     assert few == set(sorted(weight, key=lambda i: -(weight[i] + noise[i]))[:20])
 
 
+def test_small_draws_are_of_better_quality(spark, documents):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    n = documents.count()
+    mean = {k: np.mean([r["quality_ratio"] for r in importance.kept_scores(documents, labels, k=k).collect()]) for k in (n // 20, n // 4, n // 2)}
+    assert mean[n // 20] > mean[n // 4] > mean[n // 2]
+    top = importance.kept_scores(documents, labels).toPandas()["log_weight"].nlargest(40)
+    assert top.nunique() > 30 and top.iloc[0] > top.iloc[-1] + 0.2
+
+
 def test_calibration_finds_log_odds():
     rng = np.random.default_rng(3)
     slope, offset = importance.calibrated(rng.normal(-1, 1, 20000), rng.normal(1, 1, 20000))  # the true log odds are 2 x
@@ -722,6 +732,26 @@ def test_rows_of_one_id_leak_by_their_own_text(spark):
     assert sorted(r["text"] for r in template_match.clean(df, bench).collect()) == sorted(["nothing of the kind", "clean", item[:50], item[50:]])
 
 
+def test_items_of_one_id_and_without_id_are_looked_for_each(spark, monkeypatch):
+    a = "a trader sells 12 red apples to Anna Holm and then sells 30 green pears to Peter for the winter market"
+    b = "every miller grinds 7 white sacks for Carla Berg before the long night comes over 4 quiet villages again"
+    changed = a.replace("12", "99").replace("Anna", "Xaver")
+    docs = [(10, f"Here: {a} there."), (11, f"It says {b}."), (12, "nothing of the kind"), (13, f"Now {changed}, and {b}."), (None, f"So {a}.")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    items = [(1, a), (1, b), (None, a), (None, None), (3, b), (3, b)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = []
+    for i, item in items:  # a twin that looks for one item at a time
+        if item:
+            alone = template_match.leaks(df, spark.createDataFrame([(0, item)], "item_id long, text string")).collect()
+            want += [(r["doc_id"], i, r["reparameterised"]) for r in alone]
+    got = [(r["doc_id"], r["item_id"], r["reparameterised"]) for r in template_match.leaks(df, bench).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {(10, 1, False), (10, None, False), (11, 3, False), (13, 1, True), (None, None, False)} <= set(got) and (10, 1, True) not in got
+    only_null = spark.createDataFrame([(None, a)], "item_id long, text string")
+    assert sorted(r["text"] for r in template_match.clean(df, only_null).collect()) == sorted(t for i, t in docs if i in (11, 12))
+
+
 def test_large_benchmarks_are_not_broadcast(spark, monkeypatch):
     df = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "doc_id long, text string")
     bench = df.withColumnRenamed("doc_id", "item_id")
