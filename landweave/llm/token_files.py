@@ -26,6 +26,7 @@ import struct
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +81,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALISERS = ["NFC", "Replace", "Lowercase"]
 END_OF_WORD = "</w>"
 
+#: A sign that texts hardly hold: an id of its own, which no piece without it has.
+MARK = "\x01"
+
 #: Classes of bytes: white space, letters, digits, other signs, and what only the library is asked about.
 BLANK, LETTER, DIGIT, SIGN, UNSURE = range(5)
 CLASS = np.full(256, UNSURE, dtype=np.uint8)
@@ -134,6 +138,7 @@ class Words:
         vocabulary = self.tok.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(END_OF_WORD)]] = True
+        self.mark = self.tok.encode(MARK, add_special_tokens=False).ids or [-1]
         self.forget()
 
     def forget(self) -> None:
@@ -156,37 +161,56 @@ class Words:
 
     def places(self, words: list[str]) -> np.ndarray:
         """The places of pieces, all different; those of new ones are made."""
-        new = [w for w in words if w not in self.place]
-        if len(self.place) + len(new) > REMEMBERED:
+        found = np.fromiter(map(self.place.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        unknown = np.flatnonzero(found < 0)
+        if len(self.place) + len(unknown) > REMEMBERED and len(self.place):
             self.forget()
-            new = words
-        if new:
+            return self.places(words)
+        if len(unknown):
+            new = [words[k] for k in unknown]
             plain = [w for w in new if w.isascii() and "'" not in w and "<" not in w and w.isprintable()]
             some = set(plain)
             others = [w for w in new if w not in some]
-            lists = [e.ids for e in self.tok.encode_batch(others, add_special_tokens=False)]
-            one, sizes = self.joined(plain)
-            self.place.update(zip(plain + others, range(len(self.place), len(self.place) + len(new)), strict=True))
-            ids = np.concatenate([one, np.fromiter((i for x in lists for i in x), np.uint32)])
-            sizes = np.concatenate([sizes, np.fromiter(map(len, lists), np.int64, len(lists))])
-            self.firsts = np.concatenate([self.firsts, len(self.flat) + np.cumsum(sizes)])
-            self.flat = np.concatenate([self.flat, ids])
-        return np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
+            marked = [w for w in others if "<" not in w and MARK not in w]
+            alone = [w for w in others if "<" in w or MARK in w]
+            parts = [self.joined(plain), self.parted(marked), self.each(alone)]
+            self.place.update(zip(plain + marked + alone, range(len(self.place), len(self.place) + len(new)), strict=True))
+            self.firsts = np.concatenate([self.firsts, len(self.flat) + np.cumsum(np.concatenate([n for _, n in parts]))])
+            self.flat = np.concatenate([self.flat, *(ids for ids, _ in parts)])
+            found[unknown] = [self.place[w] for w in new]
+        return found
+
+    def each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of any words, and how many each has."""
+        lists = [e.ids for e in self.tok.encode_batch(words, add_special_tokens=False)]
+        return np.fromiter((i for x in lists for i in x), np.uint32), np.fromiter(map(len, lists), np.int64, len(lists))
+
+    def groups(self, words: list[str], between: str) -> Iterator[tuple[list[str], np.ndarray]]:
+        """Some words at a time, and the ids of their text."""
+        found = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)]
+        for group, e in zip(found, self.tok.encode_batch([between.join(g) for g in found], add_special_tokens=False), strict=True):
+            yield group, np.array(e.ids, dtype=np.uint32)
 
     def joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of pieces that the pre-tokeniser leaves whole, and how many each has; the last of each ends a word."""
-        groups = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)]
-        ids, sizes = [], []
-        for group, e in zip(groups, self.tok.encode_batch([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
-            own = np.array(e.ids, dtype=np.uint32)
+        """each() of pieces that the pre-tokeniser leaves whole, so that the last id of each is one that ends a word."""
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for group, own in self.groups(words, " "):
             last = np.flatnonzero(self.ends[own])
-            if len(last) != len(group):  # a sign that the vocabulary can't write
-                lists = [x.ids for x in self.tok.encode_batch(group, add_special_tokens=False)]
-                own = np.array([i for x in lists for i in x], dtype=np.uint32)
-                last = np.cumsum([len(x) for x in lists]) - 1
+            own, n = (own, np.diff(last, prepend=-1)) if len(last) == len(group) else self.each(group)
+            ids.append(own)
+            sizes.append(n)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def parted(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """each() of words that don't hold MARK, which stands between them as a word of its own."""
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for group, own in self.groups(words, f" {MARK} "):
+            marks = np.flatnonzero(own == self.mark[-1])
+            known = len(self.mark) == 1 and len(marks) == len(group) - 1
+            own, n = (np.delete(own, marks), np.diff(marks, prepend=-1, append=len(own)) - 1) if known else self.each(group)
             ids.append(own)
-            sizes.append(np.diff(np.concatenate([[-1], last])))
-        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([np.zeros(0, np.int64), *sizes])
+            sizes.append(n)
+        return np.concatenate(ids), np.concatenate(sizes)
 
 
 @lru_cache(maxsize=1)
