@@ -159,5 +159,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--scenes", help="scene catalogue (Parquet, item JSON, or the address of an item search)")
     parser.add_argument("--grid", help="grid of satellite paths (Parquet or zipped shapefile); by default the scenes' path with _grid")
     parser.add_argument("--grid-url", help="address of the zipped shapefile, for where --grid is a zip that is not there")
-    parser.add_argument("--blocks", help="raster blocks (Parquet)")
+    parser.add_argument("--blocks", help="raster blocks (Parquet), with the areas' windows in a table of that path with _areas")
+    parser.add_argument("--assets", help="in place of blocks, a table (Parquet) of the scenes' raster files: item_id, path, bands")
+    parser.add_argument("--rasters", help="the folder or store that the paths of --assets are in")
     return parser.parse_args(argv)

@@ -87,6 +87,54 @@ def utm_forward(lon: np.ndarray, lat: np.ndarray, epsg: int) -> tuple[np.ndarray
     return FALSE_EAST + SCALE * radius * x, SCALE * radius * y + (FALSE_NORTH if epsg // 100 == 327 else 0.0)
 
 
+def utm_degrees(east: np.ndarray, north: np.ndarray, epsg: int) -> tuple[np.ndarray, np.ndarray]:
+    """Longitudes and latitudes (degrees) of UTM coordinates; numpy."""
+    radius, _, inverse, latitude = _series()
+    xi = (np.asarray(north) - (FALSE_NORTH if epsg // 100 == 327 else 0.0)) / (SCALE * radius)
+    eta = (np.asarray(east) - FALSE_EAST) / (SCALE * radius)
+    a, b = xi.copy(), eta.copy()
+    for j, c in enumerate(inverse, 1):
+        a = a - c * np.sin(2 * j * xi) * np.cosh(2 * j * eta)
+        b = b - c * np.cos(2 * j * xi) * np.sinh(2 * j * eta)
+    chi = np.arcsin(np.sin(a) / np.cosh(b))
+    lat = chi + sum(d * np.sin(2 * j * chi) for j, d in enumerate(latitude, 1))
+    return np.degrees(np.arctan2(np.sinh(b), np.cos(a))) + (epsg % 100 * 6 - 183), np.degrees(lat)
+
+
+def is_utm(epsg: int) -> bool:
+    return epsg // 100 in (326, 327) and 1 <= epsg % 100 <= 60
+
+
+def projected(x: np.ndarray, y: np.ndarray, source: int, target: int) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinates in another system: EPSG 4326 (longitude, latitude), 3857 and UTM; numpy."""
+    x, y = np.asarray(x, dtype=np.float64), np.asarray(y, dtype=np.float64)
+    if source == target:
+        return x, y
+    if is_utm(source):
+        x, y = utm_degrees(x, y, source)
+    elif source == 3857:
+        x, y = np.degrees(x / EARTH), np.degrees(2 * np.arctan(np.exp(y / EARTH)) - np.pi / 2)
+    elif source != 4326:
+        raise ValueError(f"EPSG:{source}")
+    if is_utm(target):
+        return utm_forward(x, y, target)
+    if target == 3857:
+        return np.radians(x) * EARTH, np.log(np.tan(np.pi / 4 + np.radians(y) / 2)) * EARTH
+    if target != 4326:
+        raise ValueError(f"EPSG:{target}")
+    return x, y
+
+
+def projected_bounds(box: tuple[float, float, float, float], source: int, target: int, points: int = 33) -> tuple[float, float, float, float]:
+    """Bounds in another system of a box, whose sides are bent there."""
+    minx, miny, maxx, maxy = box
+    t = np.linspace(0, 1, points)
+    x = np.concatenate([minx + t * (maxx - minx)] * 2 + [np.full(points, minx), np.full(points, maxx)])
+    y = np.concatenate([np.full(points, miny), np.full(points, maxy), *[miny + t * (maxy - miny)] * 2])
+    x, y = projected(x, y, source, target)
+    return float(x.min()), float(y.min()), float(x.max()), float(y.max())
+
+
 def footprint_wkt(b: Column, epsg: Column) -> Column:
     """POLYGON text in degrees of a box in UTM coordinates; its corners from the lower right, counter-clockwise."""
     corners = [utm_inverse(b[x], b[y], epsg) for x, y in (("maxx", "miny"), ("maxx", "maxy"), ("minx", "maxy"), ("minx", "miny"), ("maxx", "miny"))]

@@ -6,8 +6,10 @@ the only missing value.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,23 +80,112 @@ def mask_blocks(blocks: DataFrame, masks: DataFrame, keys: Sequence[str], clear:
     return joined.withColumn("data", masked).drop("__mask")
 
 
-def composite_blocks(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Quarter composite of whole blocks: of each place the earliest value that is not missing.
+def composite_blocks(blocks: DataFrame, keys: Sequence[str], order: Sequence[str] = ("t",)) -> DataFrame:
+    """Quarter composite of whole blocks: of each place the earliest value that is not missing; t is the first scene's.
 
-    The scenes of one window and quarter are few, so they are folded in the row.
+    order: what the earliest scene is told by; scenes of one time need more than t, or it is open which comes first.
     """
-    named = blocks.withColumn("quarter", quarter(F.col("t")))
-    scenes = named.groupBy(*keys, "quarter").agg(F.min("t").alias("t"), F.sort_array(F.collect_list(F.struct("t", "data"))).alias("__s"))
-    folded = F.aggregate(F.slice("__s", 2, F.greatest(F.size("__s") - 1, F.lit(0))), F.element_at("__s", 1)["data"], lambda acc, s: F.zip_with(acc, s["data"], lambda a, b: F.coalesce(a, b)))
-    return scenes.select(*keys, "t", folded.alias("data"))
+    named = blocks.withColumn("quarter", quarter(F.col("t"))).select(*keys, "quarter", *dict.fromkeys(["t", *order]), "data")
+    return fold_blocks(named, [*keys, "quarter"], "first", order).select(*keys, "t", "data")
 
 
 def mean_blocks(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Mean over time of each place, of the values that are not missing."""
-    scenes = blocks.groupBy(*keys).agg(F.collect_list("data").alias("__s"), F.min("t").alias("t"))
-    places = F.sequence(F.lit(0), F.size(F.element_at("__s", 1)) - 1)
-    mean = F.transform(places, lambda k: F.aggregate(F.filter(F.transform("__s", lambda s: F.get(s, k)), lambda v: v.isNotNull()), F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("c")), lambda a, v: F.struct((a["s"] + v).alias("s"), (a["c"] + 1).alias("c")), lambda a: F.when(a["c"] > 0, a["s"] / a["c"])))
-    return scenes.select(*keys, "t", mean.alias("data"))
+    """Mean over time of each place, of the values that are not missing; t is the first scene's."""
+    return fold_blocks(blocks.select(*keys, "t", "data"), keys, "mean")
+
+
+def fold_blocks(df: DataFrame, keys: Sequence[str], how: str, order: Sequence[str] = ()) -> DataFrame:
+    """One row for each of keys, its blocks' data folded place by place, missing values left out; t, where df has it, is the least.
+
+    how: 'first' in the given order, 'mean', or 'any' value (of parts that don't overlap). Rows are sorted by key and
+    folded one after the other, so that a task holds one block and no list of scenes. Means and parts are combined before the
+    shuffle, too. A null block adds nothing; where blocks differ in size, the result has the largest.
+    """
+    timed = "t" in df.columns and "t" not in keys
+    kinds = {c: df.schema[c].dataType.simpleString() for c in df.columns}
+    state = [*keys, *(["t"] if timed else []), "data", *(["n"] if how == "mean" and "n" not in keys else [])]
+    count = state[-1] if how == "mean" else None
+    ddl = ", ".join(f"`{c}` {kinds.get(c, 'array<double>') if c != count else 'array<double>'}" for c in state)
+
+    def folded(final: bool, partial: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = state if not final or how != "mean" else [c for c in state if c != count]
+            out: list[tuple] = []
+            key = least = value = seen = None
+
+            def row() -> tuple:
+                data, n = value, seen
+                if how == "mean":
+                    with np.errstate(invalid="ignore", divide="ignore"):
+                        data = np.where(n > 0, value / n, np.nan) if final else value
+                return (*key, *([least] if timed else []), data, *([n] if how == "mean" and not final else []))
+
+            def flushed() -> pa.RecordBatch:
+                columns = []
+                for c, values in zip(names, zip(*out, strict=True), strict=True):
+                    if c == "data" or c == count:
+                        cut = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+                        columns.append(pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(values), pa.float64(), from_pandas=True)))
+                    else:
+                        columns.append(pa.array(values, types[c]))
+                out.clear()
+                return pa.RecordBatch.from_arrays(columns, names=names)
+
+            types: dict = {}
+            for batch in batches:
+                types = types or {f.name: f.type for f in batch.schema}
+                own = [batch.column(batch.schema.get_field_index(c)) for c in keys]
+                change = np.zeros(batch.num_rows, dtype=bool)
+                for c in own:  # where a key differs from the row before, nulls alike
+                    code = c.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+                    change[1:] |= code[1:] != code[:-1]
+                arrays = {c: _rows(batch.column(batch.schema.get_field_index(c))) for c in ("data", count) if c in batch.schema.names}
+                times = batch.column(batch.schema.get_field_index("t")).to_pylist() if timed else []
+                for k in range(batch.num_rows):
+                    if k == 0 or change[k]:
+                        here = tuple(c[k].as_py() for c in own)
+                        if key is None or here != key:
+                            if key is not None:
+                                out.append(row())
+                                if len(out) >= FOLDED:
+                                    yield flushed()
+                            key, least, value, seen = here, None, np.zeros(0), np.zeros(0)
+                    if timed and times[k] is not None and (least is None or times[k] < least):
+                        least = times[k]
+                    new = arrays["data"](k)
+                    if len(new) > len(value):
+                        value = np.concatenate([value, np.full(len(new) - len(value), 0.0 if how == "mean" else np.nan)])
+                        seen = np.concatenate([seen, np.zeros(len(new) - len(seen))]) if how == "mean" else seen
+                    part = slice(0, len(new))
+                    if how == "mean":
+                        value[part] += np.nan_to_num(new) if partial else new
+                        seen[part] += ~np.isnan(new) if partial else arrays[count](k)
+                    else:
+                        value[part] = np.where(np.isnan(value[part]), new, value[part])
+            if key is not None:
+                out.append(row())
+                yield flushed()
+
+        return run
+
+    by = [*keys, *order]
+    if how == "first":
+        return df.repartition(*keys).sortWithinPartitions(*by).mapInArrow(folded(True, True), ddl)
+    some = df.sortWithinPartitions(*keys).mapInArrow(folded(False, True), ddl)
+    last = ddl if how != "mean" else ddl[: ddl.rindex(", `")]
+    return some.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(folded(True, False), last)
+
+
+#: Blocks that a task hands on together.
+FOLDED = 64
+
+
+def _rows(column: pa.Array) -> Callable[[int], np.ndarray]:
+    """The numbers of each list of a column, NaN for null; a null list has none."""
+    cut = column.offsets.to_numpy()
+    values = column.values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    valid = column.is_valid().to_numpy(zero_copy_only=False)
+    return lambda k: values[cut[k] : cut[k + 1]] if valid[k] else values[:0]
 
 
 def coarsen(pixels: DataFrame, keys: Sequence[str], n: int, height: int, width: int, value: str) -> DataFrame:

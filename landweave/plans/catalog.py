@@ -1037,4 +1037,4 @@ def geotiff_blocks(spark, d):
     images.write_images(images.encode_chips(tiles.drop("vec_id"), "tif"), path).count()
     manifest = tiles.select(F.col("name").alias("path"), F.col("vec_id").alias("aoi_index"), F.lit("dem").alias("source"), F.lit("2023-01-01").cast("timestamp").alias("t"), F.array(F.lit("elevation")).alias("bands"), F.lit(4).alias("n"))
     total = F.aggregate("data", F.lit(0).cast("bigint"), lambda a, v: a + whole(v))
-    return rasters.read_blocks(spark, manifest, _uri(path)).select("aoi_index", big("wy").alias("wy"), big("wx").alias("wx"), total.alias("total"))
+    return rasters.read_blocks(manifest, _uri(path)).select("aoi_index", big("wy").alias("wy"), big("wx").alias("wx"), total.alias("total"))

@@ -5,8 +5,10 @@ All areas go through one plan. An area or a window that fails keeps its row and
 
 from __future__ import annotations
 
+import math
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from ..config import RunConfig, parse_args
 from ..functions import geo, names, pixels, timefn
 from ..operators import chips, curate, geometry, raster, scenes
 from ..schemas import ID_COLUMNS, SEASON, SOURCES
+from ..session import held
+from ..sources import rasters
 
 AREA_KEYS = ["aoi_index"]
 WINDOW_KEYS = ["aoi_index", "wy", "wx"]
@@ -122,6 +126,76 @@ def common_areas(chosen: DataFrame) -> DataFrame:
     return found.select("aoi_index", F.when(F.col("minx").isNotNull(), F.struct("minx", "miny", "maxx", "maxy")).alias("common"))
 
 
+PLACED = "struct<epsg:int,minx:double,maxy:double,rows:int,cols:int>"
+
+
+def area_grids(areas: DataFrame, cfg: RunConfig) -> DataFrame:
+    """epsg, minx, maxy, rows and cols of each area's windows, from common (degrees) and area_epsg.
+
+    The common box is brought to the area's system, and widened to whole pixels of the coarsest source; what
+    is left behind the last whole window has none.
+    """
+    coarsest = float(max(getattr(cfg, s).resolution for s in (*SOURCES, "lulc", "dem")))
+    side = float(cfg.chips.sample_size)
+
+    @F.pandas_udf(PLACED)
+    def placed(common: pd.DataFrame, epsg: pd.Series) -> pd.DataFrame:
+        rows = []
+        for *box, code in zip(common["minx"], common["miny"], common["maxx"], common["maxy"], epsg, strict=True):
+            try:
+                minx, miny, maxx, maxy = geo.projected_bounds(tuple(box), 4326, int(code))
+                minx, maxy = math.floor(minx / coarsest) * coarsest, math.ceil(maxy / coarsest) * coarsest
+                width, height = math.ceil(maxx / coarsest) * coarsest - minx, maxy - math.floor(miny / coarsest) * coarsest
+                rows.append((int(code), minx, maxy, int(height // side), int(width // side)))
+            except (ValueError, OverflowError):  # no common box, no system or none that is known: no windows
+                rows.append((None, None, None, 0, 0))
+        return pd.DataFrame(rows, columns=["epsg", "minx", "maxy", "rows", "cols"]).astype({"epsg": "Int32", "rows": "int32", "cols": "int32"})
+
+    found = areas.withColumn("__g", placed("common", "area_epsg"))
+    return found.select("aoi_index", "status", *[F.col(f"__g.{c}").alias(c) for c in ("epsg", "minx", "maxy", "rows", "cols")])
+
+
+def area_systems(chosen: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """area_epsg of each area: of its first season's optical scene."""
+    first = scenes.top_per_group(chosen.where("source = 's2l2a'"), AREA_KEYS, [F.asc("season_idx")]).select("aoi_index", "item_id", "collection")
+    codes = catalogue.select("item_id", "collection", names.epsg_of(F.col("epsg"), F.col("proj_code")).alias("area_epsg")).dropDuplicates(["item_id", "collection"])
+    return first.join(codes, ["item_id", "collection"]).select("aoi_index", "area_epsg")
+
+
+def file_parts(chosen: DataFrame, grids: DataFrame, assets: DataFrame, folder: str, source: str, cfg: RunConfig, windows: DataFrame | None = None) -> DataFrame:
+    """Parts of one source's windows on the areas' grids, from the files of the chosen scenes.
+
+    assets: item_id, path below folder, and bands in order. windows: the ones (aoi_index, wy, wx) that are wanted; tiles that
+    reach none of them aren't read.
+    """
+    settings = getattr(cfg, source)
+    n = cfg.chips.pixels(settings.resolution)[0]
+    wanted = None if source in ("lulc", "dem") else settings.bands
+    mine = chosen.where(F.col("source") == source).join(assets, "item_id")
+    manifest = mine.select("path", "aoi_index", "source", F.col("dt").alias("t"), "bands").distinct()
+    grid = F.struct("epsg", "minx", "maxy", F.lit(float(cfg.chips.sample_size)).alias("side"), F.lit(n).alias("n"), "rows", "cols").cast(rasters.GRID)
+    placed = grids.where("status = 'success' AND rows > 0 AND cols > 0").select("aoi_index", grid.alias("grid"))
+    if windows is not None:
+        cells = windows.join(placed, "aoi_index").groupBy("aoi_index").agg(F.collect_set((F.col("wy") * F.col("grid.cols") + F.col("wx")).cast("int")).alias("only"))
+        placed = placed.join(cells, "aoi_index")
+    return rasters.read_parts(rasters.tile_table(manifest, folder, wanted).join(placed, "aoi_index"), folder)
+
+
+def blocks_from_files(chosen: DataFrame, grids: DataFrame, assets: DataFrame, folder: str, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
+    """Blocks (schemas.BLOCK) of all sources, and the files and tiles that couldn't be read with their errors.
+
+    Land cover is read first; of the other sources only what its candidates need.
+    """
+    cover = held(file_parts(chosen, grids, assets, folder, "lulc", cfg), "cover-parts")
+    blocks = held(rasters.put_together(cover), "cover")
+    whole = source_blocks(blocks, "lulc", cfg).withColumn("data", F.transform("data", lambda v: pixels.checked_cast(v, "smallint").cast("double")))
+    windows = held(chips.candidates(whole).select(*WINDOW_KEYS).distinct(), "candidate-windows")
+    others = [file_parts(chosen, grids, assets, folder, s, cfg, windows) for s in (*SOURCES, "dem")]
+    parts = held(scenes.ragged_union(*others), "parts")
+    errors = cover.unionByName(parts).where(F.col("error").isNotNull()).select("aoi_index", "source", "t", "error")
+    return scenes.ragged_union(blocks, rasters.put_together(parts)), errors
+
+
 def scene_id_lists(chosen: DataFrame) -> DataFrame:
     """Comma-joined scene ids of each area and source, in order of selection."""
     out = chosen.select("aoi_index").distinct()
@@ -261,22 +335,30 @@ def thumbnails(blocks: DataFrame, log: DataFrame, source: str, cfg: RunConfig) -
     return numbered.select(name.alias("name"), "data", F.lit(side).alias("n"))
 
 
-def write_chips(blocks: DataFrame, log: DataFrame, areas: DataFrame, cfg: RunConfig, folder: str) -> int:
-    """Writes the chip images and thumbnails of a log's successful chips; how many files."""
+def write_chips(blocks: DataFrame, log: DataFrame, areas: DataFrame, cfg: RunConfig, folder: str) -> DataFrame:
+    """Writes the chip images and thumbnails of a log's successful chips; chip_index and error of those that have one that can't be made."""
     from ..sources import images
 
     made = [images.encode_chips(chip_images(blocks, log, areas, s, cfg), "tif") for s in ("s2l2a", "s1rtc", "lc2l2", "lulc", "dem")]
     made += [images.encode_chips(thumbnails(blocks, log, s, cfg), "png") for s in SOURCES]
-    return scenes.ragged_union(*[images.write_images(m, folder) for m in made]).count()
+    written = held(scenes.ragged_union(*[images.write_images(m, folder) for m in made]), "images")
+    index = F.regexp_extract("name", "_([0-9]{6,})[_.]", 1).cast("bigint").alias("chip_index")
+    return written.where(F.col("error").isNotNull()).groupBy(index).agg(F.min(F.concat_ws(" ", "name", "error")).alias("error"))
+
+
+def with_failures(log: DataFrame, failures: DataFrame) -> DataFrame:
+    """A log whose chips have failed where an image of theirs has."""
+    joined = log.join(failures, "chip_index", "left")
+    return joined.withColumn("status", F.coalesce("error", "status")).drop("error")
 
 
 def main(argv: list[str] | None = None) -> None:
-    """Search, chips and release of one run, from tables of areas, scenes, grid and blocks.
+    """Search, chips and release of one run, from tables of areas, scenes and grid, and from raster files or tables of blocks.
 
     A run that finds its chip log goes on behind the last area in it: areas and their statuses come from the run's own area
     file, chips are numbered on. Images are written before the log, so every successful chip in the log has its files.
     """
-    from ..session import build_session, held, ship
+    from ..session import build_session, ship
     from ..sources import chiplog, geojson, grid, scene_catalog
     from ..sources import release as folders
 
@@ -296,13 +378,20 @@ def main(argv: list[str] | None = None) -> None:
     log = chiplog.read_log(spark, log_path) if Path(log_path).exists() else chiplog.empty_log(spark)
     todo = curate.resumable(areas, log, "aoi_index")
     last = log.agg(F.max("chip_index")).first()[0]
-    chosen, checked = select_scenes(todo, scene_catalog.read_scenes(spark, args.scenes), grid.read_grid(spark, args.grid or f"{args.scenes}_grid", args.grid_url), cfg)
+    catalogue = scene_catalog.read_scenes(spark, args.scenes)
+    chosen, checked = select_scenes(todo, catalogue, grid.read_grid(spark, args.grid or f"{args.scenes}_grid", args.grid_url), cfg)
     chosen, checked = held(chosen, "chosen"), held(checked, "checked")
     geojson.write_features(chosen, "geom", f"{work}/scenes", partition="aoi_index")
-    blocks = spark.read.parquet(args.blocks)
-    placed = checked.select("aoi_index", "status").join(spark.read.parquet(f"{args.blocks}_areas"), "aoi_index")
+    if args.assets:
+        placed = held(area_grids(checked.join(area_systems(chosen, catalogue), "aoi_index"), cfg), "grids")
+        blocks, errors = blocks_from_files(chosen, placed, spark.read.parquet(args.assets), args.rasters, cfg)
+        blocks = held(blocks, "blocks")
+        errors.write.mode("append").parquet(f"{work}/unread")
+    else:
+        blocks = spark.read.parquet(args.blocks)
+        placed = checked.select("aoi_index", "status").join(spark.read.parquet(f"{args.blocks}_areas"), "aoi_index")
     new = held(make_chips(blocks, placed, scene_id_lists(chosen), cfg, 0 if last is None else last + 1), "chips")
-    write_chips(blocks, new, placed, cfg, str(work))
+    new = held(with_failures(new, write_chips(blocks, new, placed, cfg, str(work))), "logged")
     chiplog.write_log(new, log_path)
     geojson.write_collection(curate.upsert_status(areas, checked, "aoi_index"), "geom", state)
     out = Path(cfg.directory.output, cfg.dataset.version)

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .geotiff import directory, tile_array
+
 #: Fixed values of the formats: PNG signature, TIFF tag numbers and types, GeoTIFF key ids.
 PNG_SIGNATURE = b"\x89PNG\r\n\x1a\n"
 _SHORT, _LONG, _DOUBLE = 3, 4, 12
@@ -30,17 +32,27 @@ def png(rgb: np.ndarray) -> bytes:
     return PNG_SIGNATURE + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, color, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines.tobytes(), 6)) + chunk(b"IEND", b"")
 
 
-def geotiff(bands: np.ndarray, epsg: int, minx: float, maxy: float, resolution: float, nodata: float | None = None) -> bytes:
-    """A (bands, h, w) array as an uncompressed little-endian GeoTIFF in a projected system, band after band."""
+def geotiff(bands: np.ndarray, epsg: int, minx: float, maxy: float, resolution: float, nodata: float | None = None, tile: int | None = None) -> bytes:
+    """A (bands, h, w) array as a little-endian GeoTIFF, band after band: uncompressed, or in deflated tiles of a width."""
     count, h, w = bands.shape
-    data = np.ascontiguousarray(bands.astype(bands.dtype.newbyteorder("<"))).tobytes()
-    each = h * w * bands.dtype.itemsize
+    bands = np.ascontiguousarray(bands.astype(bands.dtype.newbyteorder("<")))
+    if tile:
+        padded = np.pad(bands, ((0, 0), (0, -h % tile), (0, -w % tile)))
+        chunks = [zlib.compress(np.ascontiguousarray(p[y : y + tile, x : x + tile]).tobytes()) for p in padded for y in range(0, h, tile) for x in range(0, w, tile)]
+    else:
+        chunks = [p.tobytes() for p in bands]
+    sizes = [len(c) for c in chunks]
+    offsets = [8 + sum(sizes[:k]) for k in range(len(sizes))]
+    layout = [(322, _SHORT, [tile]), (323, _SHORT, [tile]), (324, _LONG, offsets), (325, _LONG, sizes)] if tile else [(273, _LONG, offsets), (278, _LONG, [h]), (279, _LONG, sizes)]
+    data = b"".join(chunks)
+    data += b"\0" * (len(data) % 2)
+    geographic = epsg == 4326
     tags: list[tuple[int, int, list]] = [
-        (256, _LONG, [w]), (257, _LONG, [h]), (258, _SHORT, [bands.dtype.itemsize * 8] * count), (259, _SHORT, [1]), (262, _SHORT, [1]),
-        (273, _LONG, [8 + k * each for k in range(count)]), (277, _SHORT, [count]), (278, _LONG, [h]), (279, _LONG, [each] * count),
+        (256, _LONG, [w]), (257, _LONG, [h]), (258, _SHORT, [bands.dtype.itemsize * 8] * count), (259, _SHORT, [8 if tile else 1]), (262, _SHORT, [1]),
+        (277, _SHORT, [count]), *layout,
         (284, _SHORT, [2]), (339, _SHORT, [_KINDS[bands.dtype.kind]] * count),
         (33550, _DOUBLE, [resolution, resolution, 0.0]), (33922, _DOUBLE, [0.0, 0.0, 0.0, minx, maxy, 0.0]),
-        (34735, _SHORT, [1, 1, 0, 3, 1024, 0, 1, 1, 1025, 0, 1, 1, 3072, 0, 1, epsg]),
+        (34735, _SHORT, [1, 1, 0, 3, 1024, 0, 1, 2 if geographic else 1, 1025, 0, 1, 1, 2048 if geographic else 3072, 0, 1, epsg]),
     ]
     if nodata is not None:
         tags.append((42113, 2, list(f"{nodata:g}\0".encode())))
@@ -59,51 +71,66 @@ def geotiff(bands: np.ndarray, epsg: int, minx: float, maxy: float, resolution:
 
 
 def read_geotiff(raw: bytes) -> tuple[np.ndarray, dict]:
-    """Array and georeference of a file made by geotiff()."""
-    (at,) = struct.unpack_from("<I", raw, 4)
-    (n,) = struct.unpack_from("<H", raw, at)
-    sizes, formats, tags = {2: 1, _SHORT: 2, _LONG: 4, _DOUBLE: 8}, {2: "B", _SHORT: "H", _LONG: "I", _DOUBLE: "d"}, {}
-    for k in range(n):
-        number, kind, count = struct.unpack_from("<HHI", raw, at + 2 + 12 * k)
-        place = at + 2 + 12 * k + 8
-        if sizes[kind] * count > 4:
-            (place,) = struct.unpack_from("<I", raw, place)
-        tags[number] = struct.unpack_from(f"<{count}{formats[kind]}", raw, place)
-    w, h, bits, kind = tags[256][0], tags[257][0], tags[258][0], tags[339][0]
-    dtype = np.dtype(f"<{ {1: 'u', 2: 'i', 3: 'f'}[kind] }{bits // 8}")
-    bands = np.stack([np.frombuffer(raw, dtype, h * w, o).reshape(h, w) for o in tags[273]])
-    return bands, {"epsg": tags[34735][-1], "resolution": tags[33550][0], "minx": tags[33922][3], "maxy": tags[33922][4]}
-
-
-def encode_chips(df: DataFrame, kind: str) -> DataFrame:
-    """name and content (binary) of an image per row.
+    """Array and georeference of a whole file made by geotiff()."""
+    found = directory(lambda at, n: raw[at : at + n], len(raw))
+    layout, (planes, rows, cols) = found["layout"], found["offsets"].shape
+    tile = lambda p, r, c: tile_array(raw[found["offsets"][p, r, c] :][: found["sizes"][p, r, c]], layout, r)
+    bands = np.concatenate([np.concatenate([np.concatenate([tile(p, r, c) for c in range(cols)], axis=2) for r in range(rows)], axis=1) for p in range(planes)])
+    return bands[:, : layout["height"], : layout["width"]], {"epsg": found["epsg"], "resolution": found["step_x"], "minx": found["minx"], "maxy": found["maxy"]}
+
+
+def as_kind(values: np.ndarray, kind: str) -> np.ndarray:
+    """Values as another type; raises where one doesn't fit, as NaN doesn't fit whole numbers."""
+    dtype = np.dtype(kind)
+    if dtype.kind in "iu":
+        limits = np.iinfo(dtype)
+        if not (np.isfinite(values).all() and (np.trunc(values) >= limits.min).all() and (np.trunc(values) <= limits.max).all()):
+            raise ValueError(f"a value that is no {kind}")
+    return values.astype(dtype)
+
+
+def encode_chips(df: DataFrame, kind: str, tile: int | None = None, nodata: float | None = None) -> DataFrame:
+    """name and content (binary) of an image per row; error where it can't be made, content then is null.
 
     kind 'tif': columns name, data (array of band arrays of doubles), n, dtype, epsg, minx, maxy, resolution.
     kind 'png': columns name, data (three band arrays of values 0..255), n.
     """
 
-    def tif(r: dict) -> bytes:
-        bands = np.array(r["data"], dtype=np.float64).reshape(len(r["data"]), r["n"], r["n"])
-        return geotiff(bands.astype(r["dtype"]), r["epsg"], r["minx"], r["maxy"], r["resolution"])
+    def tif(planes: np.ndarray, r: dict) -> bytes:
+        return geotiff(as_kind(planes, r["dtype"]), r["epsg"], r["minx"], r["maxy"], r["resolution"], nodata, tile)
 
-    def thumb(r: dict) -> bytes:
-        return png(np.array(r["data"], dtype=np.uint8).reshape(3, r["n"], r["n"]).transpose(1, 2, 0))
+    def thumb(planes: np.ndarray, r: dict) -> bytes:
+        return png(as_kind(planes, "uint8").transpose(1, 2, 0))
 
     encode = {"tif": tif, "png": thumb}[kind]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            data = batch.column(batch.schema.get_field_index("data"))
+            bands, values = data.offsets.to_numpy(), data.values  # a list of lists, looked at without making Python numbers
+            cut, flat = values.offsets.to_numpy(), values.values.to_numpy(zero_copy_only=False)
             for first in range(0, batch.num_rows, 64):
-                rows = batch.slice(first, 64).to_pylist()
-                yield pa.RecordBatch.from_arrays([pa.array([r["name"] for r in rows]), pa.array([encode(r) for r in rows], pa.binary())], names=["name", "content"])
-
-    return df.mapInArrow(run, "name string, content binary")
+                rows = batch.drop_columns(["data"]).slice(first, 64).to_pylist()
+                made: list[bytes | None] = []
+                errors: list[str | None] = []
+                for k, r in enumerate(rows, first):
+                    try:
+                        planes = flat[cut[bands[k]] : cut[bands[k + 1]]].astype(np.float64, copy=False).reshape(bands[k + 1] - bands[k], r["n"], r["n"])
+                        made.append(encode(planes, r))
+                        errors.append(None)
+                    except (ValueError, OverflowError) as e:  # an image that can't be made fails alone
+                        made.append(None)
+                        errors.append(f"{type(e).__name__}: {e}")
+                yield pa.RecordBatch.from_arrays([pa.array([r["name"] for r in rows], pa.string()), pa.array(made, pa.binary()), pa.array(errors, pa.string())], names=["name", "content", "error"])
+
+    return df.mapInArrow(run, "name string, content binary, error string")
 
 
 def write_images(df: DataFrame, folder: str) -> DataFrame:
-    """Writes each row's content to folder/name on a file system that all executors share; name and size of each.
+    """Writes each row's content to folder/name on a file system that all executors share; name, size and error of each.
 
-    A task that runs again writes the same bytes; files appear under their name only when whole.
+    A task that runs again writes the same bytes; files appear under their name only when whole. A row without content has no file
+    and no size.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,11 +140,15 @@ def write_images(df: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             sizes = []
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if content is None:
+                    sizes.append(None)
+                    continue
                 part = f"{folder}/.{name}.{os.getpid()}"
                 with open(part, "wb") as f:
                     f.write(content)
                 os.replace(part, f"{folder}/{name}")
                 sizes.append(len(content))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], names=["name", "size"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), batch.column(2)], names=["name", "size", "error"])
 
-    return df.select("name", F.col("content")).mapInArrow(run, "name string, size long")
+    error = F.col("error") if "error" in df.columns else F.lit(None).cast("string").alias("error")
+    return df.select("name", "content", error).mapInArrow(run, "name string, size long, error string")

@@ -203,3 +203,72 @@ def test_main_runs_and_goes_on(spark, world, tmp_path):
     assert len(json.loads((out / "tracker.geojson").read_text())["features"]) == 2 * len(good)
     feature = json.loads(next((work / "scenes" / "aoi_index=0").glob("*.txt")).read_text().splitlines()[0])
     assert feature["geometry"]["type"] == "Polygon" and feature["properties"]["item_id"]
+
+
+def files_of(blocks, corner, shift=0.0):
+    """The blocks' values as one array for each source, time and band, and where they are."""
+    found = {}
+    for _, source, t, band, wy, wx, n, data in blocks:
+        found.setdefault((source, t), {}).setdefault(band, np.full((4 * n, 4 * n), np.nan))[wy * n : wy * n + n, wx * n : wx * n + n] = np.array(data).reshape(n, n)
+    return found
+
+
+def test_main_from_raster_files(spark, world, tmp_path):
+    """Scenes' files in place of blocks: tiled, compressed, one of them damaged and one lost."""
+    import yaml
+
+    from landweave.sources import chiplog, geojson, images
+
+    cfg, areas, catalogue, grid = world
+    tree = {**TREE, "lc2l2": {**TREE["lc2l2"], "bands": ["coastal", "blue", "green", "red", "qa_pixel"]}, "directory": {"working": str(tmp_path / "w"), "output": str(tmp_path / "o")}}
+    cfg = RunConfig.from_dict(tree)
+    (tmp_path / "c.yml").write_text(yaml.safe_dump(tree))
+    (tmp_path / "w").mkdir()
+    geojson.write_collection(areas, "geom", str(tmp_path / "w" / "aois_v1.geojson"))
+    catalogue.write.parquet(str(tmp_path / "scenes"))
+    grid.write.parquet(str(tmp_path / "scenes_grid"))
+    chosen, checked = pipeline.select_scenes(areas, catalogue, grid, cfg)
+    corner = {r["aoi_index"]: r for r in pipeline.area_grids(checked.join(pipeline.area_systems(chosen, catalogue), "aoi_index"), cfg).collect()}
+    assert corner[0]["epsg"] == 32632 and corner[0]["minx"] % 10 == 0 and corner[0]["rows"] > 2000 and corner[0]["cols"] > 1500
+    assets = []
+    for area in (0, 2):
+        for (source, t), bands in files_of(blocks_of(cfg), corner).items():
+            q = DAYS.index(t) if t in DAYS else None
+            item = f"{ {'s2l2a': 's2', 's1rtc': 's1', 'lc2l2': 'l8'}.get(source, source) }-{area}" + ("" if q is None else f"-{q}")
+            values = np.nan_to_num(np.stack(list(bands.values())), nan=-999).astype("f4")
+            step = 160 / values.shape[1]
+            path = f"{area}/{item}.tif"
+            (tmp_path / "files" / str(area)).mkdir(parents=True, exist_ok=True)
+            raw = images.geotiff(values, 32632, corner[area]["minx"], corner[area]["maxy"], step, -999, tile=16 if step < 40 else None)
+            if item != "s1-2-1":  # area 2 has lost one
+                (tmp_path / "files" / path).write_bytes(raw[: len(raw) // 2] if item == "dem-2" else raw)
+            assets.append((item, path, list(bands)))
+    spark.createDataFrame(assets, "item_id string, path string, bands array<string>").write.parquet(str(tmp_path / "assets"))
+    pipeline.main(["-c", str(tmp_path / "c.yml"), "--scenes", str(tmp_path / "scenes"), "--assets", str(tmp_path / "assets"), "--rasters", str(tmp_path / "files")])
+    work = tmp_path / "w" / "v1"
+    log = chiplog.read_log(spark, str(work / "chip_log")).collect()
+    status = {}
+    for r in log:
+        status.setdefault(r["aoi_index"], []).append(r["status"])
+    want = {"success": 9, "lulc_values_flooded_vegetation": 1, "lulc missing values": 1, "dem missing values": 1, "s2l2a missing values": 1}
+    assert {k: status[0].count(k) for k in want} == {**want, "success": 15 - 4} and len(status[0]) == 15
+    assert status[2].count("dem missing values") == 13 and "success" not in status[2]
+    unread = {(r["aoi_index"], r["source"]): r["error"] for r in spark.read.parquet(str(work / "unread")).collect()}
+    assert set(unread) == {(2, "dem"), (2, "s1rtc")} and "FileNotFound" in unread[2, "s1rtc"]
+    good = next(r for r in log if r["status"] == "success")
+    values, at = images.read_geotiff((work / f"s2l2a_{good['chip_index']:06}_0_20230210.tif").read_bytes())
+    assert (values == 500).all() and (at["minx"] - corner[0]["minx"]) % 40 == 0
+
+
+def test_an_image_that_cannot_be_made_fails_its_chip_alone(spark, world, tmp_path):
+    cfg, *_ = world
+    rows = [(*r[:7], [70_000.0] * len(r[7])) if (r[1], r[4], r[5]) == ("s2l2a", 1, 2) and r[3] != "SCL" else r for r in blocks_of(cfg)]  # more than an int16 holds
+    blocks = spark.createDataFrame(rows, BLOCK)
+    areas = spark.createDataFrame([(0, "success", 32632, 500000.0, 5300000.0, 4, 4)], "aoi_index bigint, status string, epsg int, minx double, maxy double, rows int, cols int")
+    ids = spark.createDataFrame([(0, *["x"] * 5)], "aoi_index bigint, s2l2a_scene_ids string, s1rtc_scene_ids string, lc2l2_scene_ids string, lulc_scene_ids string, dem_scene_ids string")
+    log = pipeline.make_chips(blocks, areas, ids, cfg).cache()
+    failures = pipeline.write_chips(blocks, log, areas, cfg, str(tmp_path))
+    after = {(r["wy"], r["wx"]): r["status"] for r in pipeline.with_failures(log, failures).collect()}
+    before = {(r["wy"], r["wx"]): r["status"] for r in log.collect()}
+    assert before[1, 2] == "success" and "no int16" in after[1, 2]
+    assert {k: s for k, s in after.items() if k != (1, 2)} == {k: s for k, s in before.items() if k != (1, 2)}

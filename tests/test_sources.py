@@ -176,7 +176,7 @@ def test_rasters_become_blocks(spark, tmp_path):
     from landweave.sources import rasters
 
     manifest = spark.createDataFrame([("x.tif", 4, "dem", dt.datetime(2023, 1, 1), ["u", "v"], 3)], rasters.MANIFEST)
-    got = {(r["band"], r["wy"], r["wx"]): r["data"] for r in rasters.read_blocks(spark, manifest, str(tmp_path), -999).collect()}
+    got = {(r["band"], r["wy"], r["wx"]): r["data"] for r in rasters.read_blocks(manifest, str(tmp_path), -999).collect()}
     assert len(got) == 2 * 2 * 3
     for (b, wy, wx), data in got.items():
         want = a["uv".index(b), 3 * wy : 3 * wy + 3, 3 * wx : 3 * wx + 3].ravel().tolist()
