@@ -119,6 +119,8 @@ class Rules:
     reject_edge: bool = True
     seed: str = "42"
     zip_release: bool = False
+    #: Areas that are run, and committed, together.
+    batch_areas: int = 1000
     #: The release table as one file, too, beside its parts.
     single_file: bool = True
 

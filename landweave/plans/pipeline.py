@@ -335,6 +335,22 @@ def thumbnails(blocks: DataFrame, log: DataFrame, source: str, cfg: RunConfig) -
     return numbered.select(name.alias("name"), "data", F.lit(side).alias("n"))
 
 
+def near_scenes(catalogue: DataFrame, areas: DataFrame, cfg: RunConfig) -> DataFrame:
+    """The catalogue's scenes of the run's collections and years around all areas: what a search server is asked for, once."""
+    from ..sources import scene_catalog
+
+    seasons = cfg.s2l2a.seasons()
+    years = [x for y in (cfg.lulc.year, cfg.dem.year) for x in y.split("/")]
+    box = areas.agg(F.min("bbox.minx"), F.min("bbox.miny"), F.max("bbox.maxx"), F.max("bbox.maxy")).first()
+    days = F.expr("INTERVAL '1' DAY")
+    first = F.least(*[F.lit(t).cast("timestamp") for t in [s[1] for s in seasons] + years])
+    last = F.greatest(*[F.lit(t).cast("timestamp") for t in [s[2] for s in seasons] + years]) + days
+    start, end = catalogue.sparkSession.range(1).select(first, last).first()
+    names = [c.collection for c in (cfg.s2l2a, cfg.s1rtc, cfg.lc2l2, cfg.lulc, cfg.dem)]
+    reach = 3.0  # degrees: later searches go by the footprint of a scene that meets an area, not by the area
+    return scene_catalog.search(catalogue, names, start, end, None, (box[0] - reach, box[1] - reach, box[2] + reach, box[3] + reach))
+
+
 def write_chips(blocks: DataFrame, log: DataFrame, areas: DataFrame, cfg: RunConfig, folder: str) -> DataFrame:
     """Writes the chip images and thumbnails of a log's successful chips; chip_index and error of those that have one that can't be made."""
     from ..sources import images
@@ -355,12 +371,12 @@ def with_failures(log: DataFrame, failures: DataFrame) -> DataFrame:
 def main(argv: list[str] | None = None) -> None:
     """Search, chips and release of one run, from tables of areas, scenes and grid, and from raster files or tables of blocks.
 
-    A run that finds its chip log goes on behind the last area in it: areas and their statuses come from the run's own area
-    file, chips are numbered on. Images are written before the log, so every successful chip in the log has its files.
+    Areas go in batches (plans/run.py). A run that finds its chip log goes on behind the last area in it: chips are numbered on.
     """
     from ..session import build_session, ship
-    from ..sources import chiplog, geojson, grid, scene_catalog
+    from ..sources import geojson, grid, scene_catalog, store
     from ..sources import release as folders
+    from . import run
 
     args = parse_args(argv)
     cfg = RunConfig.from_yaml(args.config)
@@ -368,35 +384,20 @@ def main(argv: list[str] | None = None) -> None:
     ship(spark)
     work = Path(cfg.directory.working, cfg.dataset.version)
     folders.snapshot_config(args.config, work)
-    state, log_path = f"{work}/aois.geojson", f"{work}/chip_log"
-    if Path(state).exists():
-        areas = geojson.read_areas(spark, state)
+    state = f"{work}/aois.geojson"
+    if store.exists(state):
+        areas = held(geojson.read_areas(spark, state), "areas")
     else:
         found = geojson.read_areas(spark, f"{cfg.directory.working}/aois_{cfg.aoi.version}.geojson")
-        areas = curate.exclude_include(found, "aoi_index", cfg.aoi.include_indices, cfg.aoi.exclude_indices).withColumn("status", F.lit("not processed"))
-        geojson.write_collection(areas, "geom", state)
-    log = chiplog.read_log(spark, log_path) if Path(log_path).exists() else chiplog.empty_log(spark)
-    todo = curate.resumable(areas, log, "aoi_index")
-    last = log.agg(F.max("chip_index")).first()[0]
+        areas = held(curate.exclude_include(found, "aoi_index", cfg.aoi.include_indices, cfg.aoi.exclude_indices).withColumn("status", F.lit("not processed")), "areas")
     catalogue = scene_catalog.read_scenes(spark, args.scenes)
-    chosen, checked = select_scenes(todo, catalogue, grid.read_grid(spark, args.grid or f"{args.scenes}_grid", args.grid_url), cfg)
-    chosen, checked = held(chosen, "chosen"), held(checked, "checked")
-    geojson.write_features(chosen, "geom", f"{work}/scenes", partition="aoi_index")
-    if args.assets:
-        placed = held(area_grids(checked.join(area_systems(chosen, catalogue), "aoi_index"), cfg), "grids")
-        blocks, errors = blocks_from_files(chosen, placed, spark.read.parquet(args.assets), args.rasters, cfg)
-        blocks = held(blocks, "blocks")
-        errors.write.mode("append").parquet(f"{work}/unread")
-    else:
-        blocks = spark.read.parquet(args.blocks)
-        placed = checked.select("aoi_index", "status").join(spark.read.parquet(f"{args.blocks}_areas"), "aoi_index")
-    new = held(make_chips(blocks, placed, scene_id_lists(chosen), cfg, 0 if last is None else last + 1), "chips")
-    new = held(with_failures(new, write_chips(blocks, new, placed, cfg, str(work))), "logged")
-    chiplog.write_log(new, log_path)
-    geojson.write_collection(curate.upsert_status(areas, checked, "aoi_index"), "geom", state)
+    if args.scenes.startswith("http"):
+        catalogue = held(near_scenes(catalogue, areas, cfg), "catalogue")
+    given = run.Given(cfg, catalogue, grid.read_grid(spark, args.grid or f"{args.scenes}_grid", args.grid_url), args.blocks, args.assets, args.rasters)
+    log = run.run(areas, given, str(work), state)
     out = Path(cfg.directory.output, cfg.dataset.version)
     folders.snapshot_config(args.config, out)
-    table = held(release(chiplog.read_log(spark, log_path), cfg), "release")
+    table = held(release(log, cfg), "release")
     geojson.write_features(table, "chip_footprint", f"{out}/tracker")
     if cfg.rules.single_file:
         geojson.write_collection(table, "chip_footprint", f"{out}/tracker.geojson")

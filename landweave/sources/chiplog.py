@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..schemas import CHIP_LOG
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
+def read_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema(CHIP_LOG).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 

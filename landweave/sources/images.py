@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import store
 from .geotiff import directory, tile_array
 
 #: Fixed values of the formats: PNG signature, TIFF tag numbers and types, GeoTIFF key ids.
@@ -127,27 +128,17 @@ def encode_chips(df: DataFrame, kind: str, tile: int | None = None, nodata: floa
 
 
 def write_images(df: DataFrame, folder: str) -> DataFrame:
-    """Writes each row's content to folder/name on a file system that all executors share; name, size and error of each.
+    """Writes each row's content to folder/name, a mounted folder or a store, from the tasks; name, size and error of each.
 
     A task that runs again writes the same bytes; files appear under their name only when whole. A row without content has no file
     and no size.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.makedirs(folder, exist_ok=True)
+        where, path = store.opened(folder)
+        where.create_dir(path, recursive=True)
         for batch in batches:
-            sizes = []
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if content is None:
-                    sizes.append(None)
-                    continue
-                part = f"{folder}/.{name}.{os.getpid()}"
-                with open(part, "wb") as f:
-                    f.write(content)
-                os.replace(part, f"{folder}/{name}")
-                sizes.append(len(content))
+            sizes = [None if content is None else store.put(folder, name, [content]) for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), batch.column(2)], names=["name", "size", "error"])
 
     error = F.col("error") if "error" in df.columns else F.lit(None).cast("string").alias("error")

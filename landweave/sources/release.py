@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import shutil
 from collections.abc import Iterator
 from pathlib import Path
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import store
+
 
 def snapshot_config(path: str | Path, folder: str | Path) -> Path:
     """Makes the version's folder and keeps the run's configuration in it."""
@@ -30,15 +31,14 @@ def copy_files(manifest: DataFrame, source: str, target: str) -> DataFrame:
     """Copies src to dst for each row, by the tasks; dst and whether its source was there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.makedirs(target, exist_ok=True)
+        where, path = store.opened(target)
+        where.create_dir(path, recursive=True)
         for batch in batches:
             done = []
             for src, dst in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                there = os.path.exists(f"{source}/{src}")
+                there = store.exists(f"{source}/{src}")
                 if there:
-                    part = f"{target}/.{dst}.{os.getpid()}"
-                    shutil.copyfile(f"{source}/{src}", part)
-                    os.replace(part, f"{target}/{dst}")
+                    store.put(target, dst, store.blocks(f"{source}/{src}"))
                 done.append(there)
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(done, pa.bool_())], names=["dst", "copied"])
 

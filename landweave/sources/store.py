@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable, Iterator
+
 from pyarrow import fs
 
 
@@ -14,6 +17,36 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+def exists(path: str) -> bool:
+    store, at = opened(path)
+    return store.get_file_info(at).type != fs.FileType.NotFound
+
+
+def names(folder: str) -> list[str]:
+    """Names in a folder; none where it isn't there."""
+    store, at = opened(folder)
+    return sorted(f.base_name for f in store.get_file_info(fs.FileSelector(at, allow_not_found=True)))
+
+
+def put(folder: str, name: str, parts: Iterable) -> int:
+    """A file that is there as a whole or not at all; its size."""
+    store, at = opened(folder)
+    made, size = f"{at}/.{name}-{uuid.uuid4().hex}", 0
+    with store.open_output_stream(made) as out:
+        for part in parts:
+            size += out.write(part) or len(part)
+    store.move(made, f"{at}/{name}")
+    return size
+
+
+def blocks(path: str, size: int = 1 << 20) -> Iterator[bytes]:
+    """A file's bytes, a block at a time."""
+    store, at = opened(path)
+    with store.open_input_stream(at) as f:
+        while part := f.read(size):
+            yield part
+
+
 class Ranges:
     """Byte ranges of a file; read counts what was asked of the store."""
 

@@ -161,7 +161,8 @@ def test_chip_images_have_margins_and_places(spark, world, margin):
 def test_main_runs_and_goes_on(spark, world, tmp_path):
     import yaml
 
-    from landweave.sources import chiplog, geojson, images
+    from landweave.plans import run
+    from landweave.sources import geojson, images
 
     cfg, areas, catalogue, grid = world
     tree = {**TREE, "lc2l2": {**TREE["lc2l2"], "bands": ["coastal", "blue", "green", "red", "qa_pixel"]}, "directory": {"working": str(tmp_path / "w"), "output": str(tmp_path / "o")}}
@@ -179,7 +180,7 @@ def test_main_runs_and_goes_on(spark, world, tmp_path):
     work, out = tmp_path / "w" / "v1", tmp_path / "o" / "v1"
     status = lambda: {r["aoi_index"]: r["status"] for r in geojson.read_areas(spark, str(work / "aois.geojson")).collect()}
     assert status() == {0: "success", 1: "s2l2a scenes insufficient", 2: "success"}
-    first = chiplog.read_log(spark, str(work / "chip_log")).collect()
+    first = run.log_of(spark, str(work)).collect()
     good = [r for r in first if r["status"] == "success"]
     # every successful chip has its files, and every released one its copies
     for r in good:
@@ -195,7 +196,7 @@ def test_main_runs_and_goes_on(spark, world, tmp_path):
     # the second run goes on behind area 0, with blocks of area 2
     spark.createDataFrame([(2, *r[1:]) for r in blocks], BLOCK).write.mode("append").parquet(str(tmp_path / "blocks"))
     pipeline.main(argv)
-    again = chiplog.read_log(spark, str(work / "chip_log")).collect()
+    again = run.log_of(spark, str(work)).collect()
     assert sorted(r["chip_index"] for r in again) == list(range(2 * len(first)))
     assert {r["aoi_index"] for r in again if r["chip_index"] >= len(first)} == {2}
     assert status() == {0: "success", 1: "s2l2a scenes insufficient", 2: "success"}
@@ -217,7 +218,8 @@ def test_main_from_raster_files(spark, world, tmp_path):
     """Scenes' files in place of blocks: tiled, compressed, one of them damaged and one lost."""
     import yaml
 
-    from landweave.sources import chiplog, geojson, images
+    from landweave.plans import run
+    from landweave.sources import geojson, images
 
     cfg, areas, catalogue, grid = world
     tree = {**TREE, "lc2l2": {**TREE["lc2l2"], "bands": ["coastal", "blue", "green", "red", "qa_pixel"]}, "directory": {"working": str(tmp_path / "w"), "output": str(tmp_path / "o")}}
@@ -246,14 +248,14 @@ def test_main_from_raster_files(spark, world, tmp_path):
     spark.createDataFrame(assets, "item_id string, path string, bands array<string>").write.parquet(str(tmp_path / "assets"))
     pipeline.main(["-c", str(tmp_path / "c.yml"), "--scenes", str(tmp_path / "scenes"), "--assets", str(tmp_path / "assets"), "--rasters", str(tmp_path / "files")])
     work = tmp_path / "w" / "v1"
-    log = chiplog.read_log(spark, str(work / "chip_log")).collect()
+    log = run.log_of(spark, str(work)).collect()
     status = {}
     for r in log:
         status.setdefault(r["aoi_index"], []).append(r["status"])
     want = {"success": 9, "lulc_values_flooded_vegetation": 1, "lulc missing values": 1, "dem missing values": 1, "s2l2a missing values": 1}
     assert {k: status[0].count(k) for k in want} == {**want, "success": 15 - 4} and len(status[0]) == 15
     assert status[2].count("dem missing values") == 13 and "success" not in status[2]
-    unread = {(r["aoi_index"], r["source"]): r["error"] for r in spark.read.parquet(str(work / "unread")).collect()}
+    unread = {(r["aoi_index"], r["source"]): r["error"] for r in spark.read.parquet(*map(str, (work / "unread").glob("batch=*"))).collect()}
     assert set(unread) == {(2, "dem"), (2, "s1rtc")} and "FileNotFound" in unread[2, "s1rtc"]
     good = next(r for r in log if r["status"] == "success")
     values, at = images.read_geotiff((work / f"s2l2a_{good['chip_index']:06}_0_20230210.tif").read_bytes())

@@ -4,6 +4,7 @@ import urllib.error
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from landweave.config import RunConfig, parse_args
 from landweave.operators import scenes
@@ -261,3 +262,47 @@ def test_stream_leaves_out_repeats_of_a_key_across_batches(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
         run()
     assert sorted((r["k"], r["v"]) for r in spark.read.parquet(out).select("k", "v").collect()) == [(1, "a"), (2, "b"), (3, "d")]
+
+
+def test_a_search_sends_its_request(spark):
+    """A server that answers by time, box and collection, two items a page, and keeps what it was asked."""
+    import threading
+    from datetime import datetime
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+    from urllib.parse import parse_qs, urlsplit
+
+    asked: list[dict] = []
+    items = [{"id": f"s{k}", "collection": "c" if k % 3 else "other", "bbox": [k, 0, k + 1, 1], "properties": {"datetime": f"2023-01-{k + 1:02}T10:00:00Z", "eo:cloud_cover": float(k)}} for k in range(28)]
+
+    class Server(BaseHTTPRequestHandler):
+        def do_GET(self):
+            q = {k: v[0] for k, v in parse_qs(urlsplit(self.path).query).items()}
+            asked.append(q)
+            a, b = (datetime.fromisoformat(x.replace("Z", "+00:00")) for x in q["datetime"].split("/"))
+            x0, _, x1, _ = map(float, q["bbox"].split(","))
+            most = json.loads(q["query"])["eo:cloud_cover"]["lte"]
+            found = [i for i in items if i["collection"] in q["collections"].split(",") and a <= datetime.fromisoformat(i["properties"]["datetime"].replace("Z", "+00:00")) <= b and i["bbox"][0] <= x1 and i["bbox"][2] >= x0 and i["properties"]["eo:cloud_cover"] <= most]
+            at = int(q.get("at", 0))
+            page = {"features": found[at : at + 2], "links": [{"rel": "next", "href": f"http://{self.headers['Host']}{self.path.split('&at=')[0]}&at={at + 2}"}] if at + 2 < len(found) else []}
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(json.dumps(page).encode())
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        catalogue = scene_catalog.read_scenes(spark, f"http://127.0.0.1:{server.server_port}/search", slices="4", signature="key=1")
+        start, end = (F.lit(x).cast("timestamp") for x in ("2023-01-03 10:00:00", "2023-01-24 10:00:00"))
+        found = scene_catalog.search(catalogue, ["c"], start, end, F.col("cloud") < 21, (4.5, 0.0, 30.0, 9.0))
+        got = sorted(r["item_id"] for r in found.collect())
+    finally:
+        server.shutdown()
+    want = [f"s{k}" for k in range(2, 24) if k % 3 and k < 21 and k + 1 >= 4.5]
+    assert got == sorted(want)
+    assert all(q["collections"] == "c" and q["bbox"] == "4.5,0,30,9" and q["key"] == "1" and q["limit"] == "250" for q in asked)
+    firsts = [q for q in asked if "at" not in q]
+    assert len({q["datetime"] for q in firsts}) == 4 and len(asked) > len(firsts)  # slices, and pages of their own
+    assert min(q["datetime"] for q in firsts).startswith("2023-01-03T10:00:00") and json.loads(firsts[0]["query"]) == {"eo:cloud_cover": {"lte": 21.0}}
