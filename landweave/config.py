@@ -149,10 +149,14 @@ class RunConfig:
         return cls(**{k: kinds[k](**v) if k in kinds else v for k, v in tree.items()})
 
     @classmethod
-    def from_yaml(cls, path: str | Path) -> RunConfig:
+    def from_text(cls, text: str) -> RunConfig:
         import yaml
 
-        return cls.from_dict(yaml.safe_load(Path(path).read_text()))
+        return cls.from_dict(yaml.safe_load(text))
+
+    @classmethod
+    def from_yaml(cls, path: str | Path) -> RunConfig:
+        return cls.from_text(Path(path).read_text())
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:

@@ -724,16 +724,28 @@ def releasable_rows(spark, d):
     return curate.releasable(log).select("id", "lulc")
 
 
+_CONFIG = """
+dataset: {version: v1}
+aoi: {version: v1}
+directory: {working: w, output: o}
+s2l2a: {collection: s2, time_ranges: [1996-01-01/1996-03-31, 1996-04-01/1996-06-30, 1996-07-01/1996-09-30, 1996-10-01/1996-12-31], cloud_cover: 30, nodata_pixel_percentage: 5, bands: [B01], cloud_band: SCL, resolution: 10, native_crs: true, fill_na: false, na_value: -999, dtype: int16}
+s1rtc: {collection: s1, delta_days: 12, nodata_pixel_percentage: 5, bands: [vv, vh], resolution: 10, native_crs: false, fill_na: false, na_value: -999, dtype: float32}
+lc2l2: {collection: l8, delta_days: 91, platforms: [a], cloud_cover: 50, bands: [red], cloud_band: qa_pixel, resolution: 30, native_crs: false, fill_na: false, na_value: -999, dtype: float32}
+dem: {collection: dem, year: 1996-01-02/1996-12-31, resolution: 30, native_crs: false, fill_na: false, na_value: -999, dtype: float32}
+lulc: {collection: lulc, year: 1996-01-02/1996-12-31, resolution: 10, native_crs: false, fill_na: false, na_value: 0, dtype: int8}
+chips: {sample_size: 960, chip_size: 960}
+"""
+
+
 @query("""
 WITH s AS (SELECT * FROM (VALUES (0, TIMESTAMP '1996-01-01', TIMESTAMP '1996-03-31 23:59:59'), (1, TIMESTAMP '1996-04-01', TIMESTAMP '1996-06-30 23:59:59'), (2, TIMESTAMP '1996-07-01', TIMESTAMP '1996-09-30 23:59:59'), (3, TIMESTAMP '1996-10-01', TIMESTAMP '1996-12-31 23:59:59')) v(season_idx, a, b))
 SELECT season_idx::BIGINT AS season_idx, o_custkey, count(*)::BIGINT AS n FROM orders JOIN s ON o_orderdate BETWEEN a AND b GROUP BY ALL""")
 def season_scenes(spark, d):
     """Seasons as the configuration gives them, to scenes."""
-    from ..config import Optical
+    from ..config import RunConfig
     from ..schemas import SEASON
 
-    ranges = ["1996-01-01/1996-03-31", "1996-04-01/1996-06-30", "1996-07-01/1996-09-30", "1996-10-01/1996-12-31"]
-    seasons = Optical("c", 10, True, False, -999, "int16", ranges, 5, 30, "SCL", ["B01"]).seasons()
+    seasons = RunConfig.from_text(_CONFIG).s2l2a.seasons()
     joined = orders(spark, d, None).join(F.broadcast(spark.createDataFrame(seasons, SEASON)), scenes.within(F.col("t"), F.col("range_start"), F.col("range_end")))
     return joined.groupBy(big("season_idx").alias("season_idx"), "o_custkey").agg(F.count("*").alias("n"))
 
@@ -1038,3 +1050,77 @@ def geotiff_blocks(spark, d):
     manifest = tiles.select(F.col("name").alias("path"), F.col("vec_id").alias("aoi_index"), F.lit("dem").alias("source"), F.lit("2023-01-01").cast("timestamp").alias("t"), F.array(F.lit("elevation")).alias("bands"), F.lit(4).alias("n"))
     total = F.aggregate("data", F.lit(0).cast("bigint"), lambda a, v: a + whole(v))
     return rasters.read_blocks(manifest, _uri(path)).select("aoi_index", big("wy").alias("wy"), big("wx").alias("wx"), total.alias("total"))
+
+
+_MOSAIC = """
+p AS (SELECT (vec_id // 16)::BIGINT AS m, (vec_id % 16 // 4) * 8 + (i - 1) // 8 AS y, (vec_id % 16 % 4) * 8 + (i - 1) % 8 AS x, round(embedding[i]::DOUBLE * 1000)::BIGINT AS v FROM embeddings, range(1, 65) r(i))"""
+
+
+def _mosaic_files(spark, d, epsg: int, minx: float, maxy: float, step: float) -> tuple[DataFrame, str]:
+    """Sixteen tiles each as one file of 32 x 32 pixels, in deflated tiles of 16; what is missing is -999. The manifest and the folder."""
+    from ..session import ship
+    from ..sources import images
+
+    ship(spark)
+    k = F.col("vec_id") % 16
+    cells = table(spark, d, "embeddings").select(F.floor(F.col("vec_id") / 16).cast("bigint").alias("m"), k.alias("k"), F.posexplode("embedding").alias("pos", "v"))
+    placed = cells.select("m", (F.floor(F.col("k") / 4) * 8 + F.floor(F.col("pos") / 8)).alias("y"), (F.col("k") % 4 * 8 + F.col("pos") % 8).alias("x"), F.round(F.col("v").cast("double") * 1000).alias("v"))
+    whole = raster.to_blocks(placed, ["m"], "v", 32)
+    name = F.concat(F.lit("m"), F.col("m").cast("string"), F.lit(".tif"))
+    data = F.array(F.transform("data", lambda v: F.coalesce(v, F.lit(-999.0))))
+    tiles = whole.select(name.alias("name"), data.alias("data"), F.lit(32).alias("n"), F.lit("int16").alias("dtype"), F.lit(epsg).alias("epsg"), F.lit(minx).alias("minx"), F.lit(maxy).alias("maxy"), F.lit(step).alias("resolution"))
+    path = _folder(spark, "mosaics")
+    images.write_images(images.encode_chips(tiles, "tif", tile=16, nodata=-999), path).count()
+    return whole.select(name.alias("path"), F.col("m").alias("aoi_index"), F.lit("dem").alias("source"), F.lit("2023-01-01").cast("timestamp").alias("t"), F.array(F.lit("elevation")).alias("bands"), F.lit(12).alias("n")), path
+
+
+def _block_sums(blocks: DataFrame) -> DataFrame:
+    some = F.filter("data", lambda v: v.isNotNull())
+    total = F.aggregate(some, F.lit(0).cast("bigint"), lambda a, v: a + v.cast("bigint"))
+    return blocks.select("aoi_index", big("wy").alias("wy"), big("wx").alias("wx"), F.size(some).cast("bigint").alias("n"), total.alias("total")).where("n > 0")
+
+
+@query(f"""
+WITH {_MOSAIC} SELECT m AS aoi_index, (y // 12)::BIGINT AS wy, (x // 12)::BIGINT AS wx, count(*)::BIGINT AS n, sum(v)::BIGINT AS total FROM p WHERE y < 24 AND x < 24 GROUP BY ALL""")
+def tiled_blocks(spark, d):
+    """Tiled and compressed files, read by the byte ranges of their tiles into windows that the tiles' edges cut."""
+    from ..sources import rasters
+
+    manifest, path = _mosaic_files(spark, d, 32632, 500000.0, 5300000.0, 10.0)
+    return _block_sums(rasters.read_blocks(manifest, path))
+
+
+#: The corner of a grid in EPSG:3857 near 10 degrees east and 50 north, and the width of its windows of 6 x 6 pixels.
+_CORNER_X, _CORNER_Y, _SIDE = 1114195.2079327, 6445375.4149121, 10200.0
+
+
+@query(f"""
+WITH {_MOSAIC}, t AS (SELECT wy, wx, {_CORNER_X} + wx * {_SIDE} + (j + 0.5) * {_SIDE / 6} AS tx, {_CORNER_Y} - wy * {_SIDE} - (i + 0.5) * {_SIDE / 6} AS ty FROM range(3) a(wy), range(3) b(wx), range(6) c(i), range(6) e(j)),
+s AS (SELECT wy, wx, floor((degrees(tx / 6378137.0) - 10.0) / 0.01)::BIGINT AS x, floor((50.0 - degrees(2 * atan(exp(ty / 6378137.0)) - pi() / 2)) / 0.01)::BIGINT AS y FROM t)
+SELECT m AS aoi_index, wy::BIGINT AS wy, wx::BIGINT AS wx, count(*)::BIGINT AS n, sum(v)::BIGINT AS total FROM s JOIN p USING (x, y) GROUP BY ALL""")
+def warped_blocks(spark, d):
+    """Files in degrees onto a grid in metres of EPSG:3857: each pixel from the source pixel that it lies in."""
+    from ..sources import rasters
+
+    manifest, path = _mosaic_files(spark, d, 4326, 10.0, 50.0, 0.01)
+    values = (("epsg", 3857), ("minx", _CORNER_X), ("maxy", _CORNER_Y), ("side", _SIDE), ("n", 6), ("rows", 3), ("cols", 3))
+    grid = F.struct(*[F.lit(v).alias(c) for c, v in values]).cast(rasters.GRID)
+    return _block_sums(rasters.put_together(rasters.read_parts(rasters.tile_table(manifest, path).withColumn("grid", grid), path)))
+
+
+@query("""
+WITH p AS (SELECT vec_id, band, floor(greatest(least(embedding[i]::DOUBLE * 4 * (band + 1), 1), 0) * 255)::BIGINT AS b FROM embeddings, range(1, 65) r(i), range(3) s(band))
+SELECT vec_id, band::BIGINT AS band, sum(b)::BIGINT AS total FROM p GROUP BY ALL""")
+def thumbnail_files(spark, d):
+    """Thumbnails as PNG files, read by Spark's binary source and decoded."""
+    from ..session import ship
+    from ..sources import images
+
+    ship(spark)
+    plane = lambda k: F.transform("embedding", lambda v: pixels.to_byte(pixels.clip(v.cast("double") * 4 * (k + 1), 0, 1)))
+    thumbs = table(spark, d, "embeddings").select(F.concat(F.lit("t_"), F.col("vec_id").cast("string"), F.lit(".png")).alias("name"), F.array(plane(0), plane(1), plane(2)).alias("data"), F.lit(8).alias("n"))
+    path = _folder(spark, "thumbs")
+    images.write_images(images.encode_chips(thumbs, "png"), path).count()
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").load(_uri(path))
+    sums = images.decoded_sums(files.select(F.regexp_extract("path", "t_([0-9]+)", 1).cast("bigint").alias("vec_id"), "content"))
+    return sums.select("vec_id", F.posexplode("sums").alias("band", "total")).select("vec_id", big("band").alias("band"), "total")
