@@ -128,19 +128,51 @@ def interval_overlaps(a: DataFrame, b: DataFrame, a_low: str, a_high: str, b_low
     return left.join(right, [*keys, "__cell"]).where(first & (F.col(a_low) <= F.col(b_high)) & (F.col(b_low) <= F.col(a_high))).drop("__cell")
 
 
-def box_overlaps(a: DataFrame, b: DataFrame, a_box: str, b_box: str, cell: float) -> DataFrame:
-    """Pairs of boxes that overlap, by an equi-join on grid cells; each pair once."""
-    number = lambda c: F.floor(c / F.lit(cell))
+#: Levels of cells, each four times as wide as the one before.
+LEVELS = 6
 
-    def cells(df: DataFrame, box: str) -> DataFrame:
-        b = F.col(box)
-        xs, ys = F.sequence(number(b["minx"]), number(b["maxx"])), F.sequence(number(b["miny"]), number(b["maxy"]))
-        return df.withColumn("__x", F.explode(xs)).withColumn("__y", F.explode(ys))
 
-    joined = cells(a, a_box).join(cells(b, b_box), ["__x", "__y"])
+def box_overlaps(a: DataFrame, b: DataFrame, a_box: str, b_box: str, cell: float, levels: int = LEVELS) -> DataFrame:
+    """Pairs of boxes that overlap, by equi-joins on grid cells of several levels; each pair once.
+
+    A box's own level is the first whose cells are as wide as it, so it lies in four cells at most, however large it is (unless it is wider than
+    the last level's). A pair meets at the larger box's level, in the first cell that both have there. cell: the narrowest width.
+    """
+
+    def width(level: Column) -> Column:
+        return F.lit(float(cell)) * F.pow(F.lit(4.0), level)
+
+    def number(v: Column, level: Column) -> Column:
+        return F.floor(v / width(level))
+
+    def own(box: Column) -> Column:
+        size = F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])
+        fits = F.lit(levels - 1)
+        for k in reversed(range(levels - 1)):
+            fits = F.when(size <= cell * 4.0**k, F.lit(k)).otherwise(fits)
+        return fits
+
+    def cells(df: DataFrame, box: str, low: Column, high: Column) -> DataFrame:
+        """df for each of its cells at some levels."""
+        found = F.col(box)
+
+        def at(level: Column) -> Column:
+            xs = F.sequence(number(found["minx"], level), number(found["maxx"], level))
+            ys = F.sequence(number(found["miny"], level), number(found["maxy"], level))
+            return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(level.alias("__k"), x.alias("__x"), y.alias("__y")))))
+
+        places = F.when(low <= high, F.flatten(F.transform(F.sequence(F.least(low, high), high), at)))
+        return df.select("*", F.inline(places))
+
+    last = F.lit(levels - 1)
     x, y = F.col(a_box), F.col(b_box)
-    first = (F.col("__x") == F.greatest(number(x["minx"]), number(y["minx"]))) & (F.col("__y") == F.greatest(number(x["miny"]), number(y["miny"])))
-    return joined.where(first & geo.box_overlaps(x, y)).drop("__x", "__y")
+    key = ["__k", "__x", "__y"]
+    # the left box is as large or larger, or else the right one is larger
+    larger = cells(a, a_box, own(x), own(x)).join(cells(b, b_box, own(y), last), key)
+    smaller = cells(a, a_box, own(x) + 1, last).join(cells(b, b_box, own(y), own(y)), key)
+    k = F.col("__k")
+    first = (F.col("__x") == F.greatest(number(x["minx"], k), number(y["minx"], k))) & (F.col("__y") == F.greatest(number(x["miny"], k), number(y["miny"], k)))
+    return larger.unionByName(smaller).where(first & geo.box_overlaps(x, y)).drop(*key)
 
 
 def largest_overlap(pairs: DataFrame, keys: Sequence[str], area: Column, tie: Sequence[str]) -> DataFrame:

@@ -405,7 +405,7 @@ def main(argv: list[str] | None = None) -> None:
     folders.check_distinct(manifest)
     folders.copy_all(manifest, str(work), str(out))
     if cfg.directory.zip_output:
-        folders.archive(out if cfg.rules.zip_release else work, f"{out}_archive")
+        folders.archive(spark, str(out if cfg.rules.zip_release else work), str(out.parent), f"{out.name}_archive")
 
 
 if __name__ == "__main__":

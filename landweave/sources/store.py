@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyarrow import fs
 
@@ -28,14 +29,23 @@ def names(folder: str) -> list[str]:
     return sorted(f.base_name for f in store.get_file_info(fs.FileSelector(at, allow_not_found=True)))
 
 
-def put(folder: str, name: str, parts: Iterable) -> int:
-    """A file that is there as a whole or not at all; its size."""
+@contextmanager
+def writing(folder: str, name: str):
+    """A stream to a file that is there as a whole or not at all."""
     store, at = opened(folder)
-    made, size = f"{at}/.{name}-{uuid.uuid4().hex}", 0
+    made = f"{at}/.{name}-{uuid.uuid4().hex}"
     with store.open_output_stream(made) as out:
-        for part in parts:
-            size += out.write(part) or len(part)
+        yield out
     store.move(made, f"{at}/{name}")
+
+
+def put(folder: str, name: str, parts: Iterable) -> int:
+    """Writes a file; its size."""
+    size = 0
+    with writing(folder, name) as out:
+        for part in parts:
+            out.write(part)
+            size += len(part)
     return size
 
 

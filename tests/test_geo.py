@@ -82,14 +82,15 @@ def test_common_footprint_drops_undated_scenes(spark):
     assert all(v is None or math.isnan(v) for v in got[2])
 
 
-def test_box_join_gives_each_pair_once(spark):
+@pytest.mark.parametrize("cell", [0.5, 5.0, 400.0])
+def test_box_join_gives_each_pair_once(spark, cell):
     rng = np.random.default_rng(1)
 
     def boxes(n, name):
-        xy, wh = rng.uniform(-50, 50, (n, 2)), rng.uniform(0.1, 12, (n, 2))
+        xy, wh = rng.uniform(-50, 50, (n, 2)), rng.uniform(0.1, 12, (n, 2)) * rng.choice([0.0, 0.01, 1, 1, 30], (n, 1))
         return [(i, (float(a), float(b), float(a + w), float(b + h))) for i, ((a, b), (w, h)) in enumerate(zip(xy, wh, strict=True))], f"{name} int, {name}_box struct<minx:double,miny:double,maxx:double,maxy:double>"
 
     (ra, sa), (rb, sb) = boxes(60, "a"), boxes(80, "b")
-    got = scenes.box_overlaps(spark.createDataFrame(ra, sa), spark.createDataFrame(rb, sb), "a_box", "b_box", 5.0).select("a", "b").collect()
+    got = scenes.box_overlaps(spark.createDataFrame(ra, sa), spark.createDataFrame(rb, sb), "a_box", "b_box", cell).select("a", "b").collect()
     want = {(i, j) for i, p in ra for j, q in rb if p[0] <= q[2] and q[0] <= p[2] and p[1] <= q[3] and q[1] <= p[3]}
     assert len(got) == len(want) and {tuple(r) for r in got} == want

@@ -122,7 +122,29 @@ def test_images_and_release_copies(spark, tmp_path):
     assert {r["dst"]: r["copied"] for r in release.copy_files(manifest, str(tmp_path / "work"), str(tmp_path / "out")).collect()} == {"s2l2a_000000_20230101.png": True, "x.tif": False}
     with pytest.raises(ValueError, match="more than one"):
         release.check_distinct(manifest.unionByName(manifest))
-    assert release.archive(tmp_path / "out", tmp_path / "zipped").exists()
+
+
+def test_archives_are_written_by_tasks(spark, tmp_path):
+    import zipfile
+
+    rng = np.random.default_rng(3)
+    files = {f"{d}f {k}.bin": rng.integers(0, 9, int(rng.integers(0, 200_000))).astype(np.uint8).tobytes() for d in ("", "a/", "a/b+c/") for k in range(8)}
+    for name, data in files.items():
+        (tmp_path / "out" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "out" / name).write_bytes(data)
+    members = release.archive(spark, str(tmp_path / "out"), str(tmp_path / "zips"), "one")
+    assert {r["path"]: r["size"] for r in members.collect()} == {n: len(d) for n, d in files.items()}
+    release.archive(spark, f"file://{tmp_path}/out", f"file://{tmp_path}/zips", "some", 300_000)
+    release.archive(spark, str(tmp_path / "out"), str(tmp_path / "zips"), "some", 300_000)  # again: replaced by equal ones
+    names = sorted(p.name for p in (tmp_path / "zips").iterdir())
+    assert names[0] == "one.zip" and len(names) > 3 and all(n.startswith("some-0") for n in names[1:])
+    for group in (names[:1], names[1:]):
+        found = {}
+        for n in group:
+            with zipfile.ZipFile(tmp_path / "zips" / n) as z:
+                assert z.testzip() is None
+                found |= {m: z.read(m) for m in z.namelist()}
+        assert found == files
 
 
 def test_stream_appends_each_file_once(spark, tmp_path):
