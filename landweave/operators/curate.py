@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions import names
 from ..schemas import SOURCES
+from ..session import held
 
 #: Released classes, their categories and colours.
 CLASSES = {
@@ -58,15 +59,23 @@ def _seeded(item: str, seed: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(item).cast("string")))
 
 
-def marked(df: DataFrame, cls: str, item: str, quota: DataFrame, seed: str, out: str = "__drawn") -> DataFrame:
+def _bucket(item: str, seed: str) -> Column:
+    return F.conv(F.substring(_seeded(item, seed), 1, BUCKET_BITS // 4), 16, 10).cast("int")
+
+
+def histogram(df: DataFrame, cls: str, item: str, seed: str) -> DataFrame:
+    """Rows (__n) and ids (__ids) of each class and bucket of the seeded hash."""
+    return df.groupBy(cls, _bucket(item, seed).alias("__bucket")).agg(F.count("*").alias("__n"), F.count(item).alias("__ids"))
+
+
+def marked(df: DataFrame, cls: str, item: str, quota: DataFrame, seed: str, out: str = "__drawn", counts: DataFrame | None = None) -> DataFrame:
     """df with whether a row is of its class's first to_drop in an order given by a hash of the seed and the id.
 
-    No class is sorted as a whole: a histogram of the hash's first bits tells in which bucket a class's cut
+    No class is sorted as a whole: a histogram of the hash's first bits (counts, if it is known) tells in which bucket a class's cut
     lies, and only that bucket's rows, one in 2^BUCKET_BITS, are ranked.
     """
-    key = _seeded(item, seed)
-    bucket = F.conv(F.substring(key, 1, BUCKET_BITS // 4), 16, 10).cast("int")
-    counts = df.groupBy(cls, bucket.alias("__bucket")).agg(F.count("*").alias("__n"))
+    key, bucket = _seeded(item, seed), _bucket(item, seed)
+    counts = histogram(df, cls, item, seed) if counts is None else counts
     upto = Window.partitionBy(cls).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     placed = counts.withColumn("__before", F.coalesce(F.sum("__n").over(upto), F.lit(0))).join(F.broadcast(quota.select(cls, "to_drop")), cls)  # a row for each class
     at_cut = placed.where((F.col("__before") < F.col("to_drop")) & (F.col("__before") + F.col("__n") >= F.col("to_drop")))
@@ -81,8 +90,9 @@ def marked(df: DataFrame, cls: str, item: str, quota: DataFrame, seed: str, out:
 
 def balanced(df: DataFrame, cls: str, item: str, factor: float | None, seed: str = "42") -> DataFrame:
     """df without each class's quota, drawn by a seeded hash."""
-    quota = balance_quota(class_counts(df, cls, item), factor)
-    return marked(df, cls, item, quota, seed).where(~F.col("__drawn")).drop("__drawn")
+    counts = held(histogram(df, cls, item, seed), "histogram")  # a row for each class and bucket
+    quota = balance_quota(counts.groupBy(cls).agg(F.sum("__ids").alias("n")), factor)
+    return marked(df, cls, item, quota, seed, counts=counts).where(~F.col("__drawn")).drop("__drawn")
 
 
 def labelled(df: DataFrame, cls: str) -> DataFrame:
