@@ -27,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
     return shared_folder(spark)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
     Cuts the lineage so that a lost executor costs a re-read and not a recomputation, and gives
@@ -35,7 +35,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/landweave/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -320,7 +320,7 @@ def write_files(df: DataFrame, text: str, tokenizer_path: str, end_id: int, id_c
     """Write the ids of all texts below folder (by default a new one in the shared folder), which is returned."""
     spark = df.sparkSession
     folder = folder or f"{shared_dir(spark)}/landweave/tokens-{uuid.uuid4().hex}"
-    tokens = materialise(encoded(df, text, tokenizer_path, end_id, id_col), "encoded")
+    tokens = materialise(encoded(df, text, tokenizer_path, end_id, id_col), "encoded", "zstd")
     kind = np.dtype(unit(tokenizer_path, end_id))
     ids = ranked_ids(tokens, kind.str)
     store, path = opened(folder)
