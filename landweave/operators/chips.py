@@ -31,14 +31,15 @@ def land_cover_status(data: Column, edge: Column | None = None, ok: str = "ok")
     return first_failure(land_cover_checks(data, edge), ok)
 
 
-def capped(df: DataFrame, group: Sequence[str], cls: str, order: Sequence[str], ok: str, cap: int, out: str = "over_cap") -> DataFrame:
+def capped(df: DataFrame, group: Sequence[str], cls: str, order: Sequence[str], ok: str, cap: int, out: str = "over_cap", before: Column | None = None) -> DataFrame:
     """Marks rows after the cap-th successful one of their group and class, in order.
 
-    As a counter would that goes up with each success and rejects from cap on: rows before count.
+    As a counter would that goes up with each success and rejects from cap on: rows before count. before: successes of
+    the row's group and class that are not in df.
     """
-    before = Window.partitionBy(*group, cls).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    prior = F.coalesce(F.sum(F.col(ok).cast("int")).over(before), F.lit(0))
-    return df.withColumn(out, prior >= cap)
+    earlier = Window.partitionBy(*group, cls).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    prior = F.coalesce(F.sum(F.col(ok).cast("int")).over(earlier), F.lit(0))
+    return df.withColumn(out, (prior if before is None else prior + before) >= cap)
 
 
 def chip_status(lulc_status: Column, over_cap: Column, cls: Column, source_failures: Sequence[tuple[Column, str]]) -> Column:

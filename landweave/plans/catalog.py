@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo, names, pixels, timefn
 from ..operators import chips, curate, raster, scenes
-from ..session import table
+from ..session import held, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -65,9 +66,9 @@ SELECT event_id, user_id, event_type, value FROM events
 WHERE value < 30 AND event_type IN ('click', 'view', 'purchase')
   AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'""")
 def scene_filter(spark, d):
-    held = (F.col("value") < 30) & F.col("event_type").isin("click", "view", "purchase")
+    wanted = (F.col("value") < 30) & F.col("event_type").isin("click", "view", "purchase")
     within = scenes.within(timefn.ts("ts"), F.lit("2024-01-05").cast("timestamp"), F.lit("2024-01-20").cast("timestamp"))
-    return table(spark, d, "events").where(held & within).select("event_id", "user_id", "event_type", "value")
+    return table(spark, d, "events").where(wanted & within).select("event_id", "user_id", "event_type", "value")
 
 
 @query(f"""
@@ -297,14 +298,14 @@ c AS (SELECT vec_id, label, pos, pos // 8 AS y, pos % 8 AS x, ({_CLASS})::BIGINT
 w AS (SELECT vec_id, label, y // 2 AS wy, x // 2 AS wx, min(c) AS low, max(c) AS high, count(*) FILTER (c = 4) AS n4 FROM c GROUP BY ALL)"""
 
 
-def class_tiles(spark, d):
-    """Tiles of 64 classes from the embeddings' values."""
+def class_of(v):
+    v = v.cast("double")
+    return F.when(v < -0.08, 1.0).when(v < 0.02, 2.0).when(v < 0.12, 5.0).when(v < 0.30, 7.0).otherwise(4.0)
 
-    def cls(v):
-        v = v.cast("double")
-        return F.when(v < -0.08, 1.0).when(v < 0.02, 2.0).when(v < 0.12, 5.0).when(v < 0.30, 7.0).otherwise(4.0)
 
-    return table(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", cls).alias("tile"))
+def class_tiles(spark, d):
+    """Tiles of 64 classes from the embeddings' values."""
+    return table(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", class_of).alias("tile"))
 
 
 def class_windows(spark, d, n: int = 2):
@@ -325,11 +326,14 @@ def coarsen_trimmed(spark, d):
     return found.select("vec_id", big("wy").alias("wy"), big("wx").alias("wx"), big("low").alias("low"), big("high").alias("high"), "uniform")
 
 
+def spoiled(data):
+    """A window's classes with some values missing and some of class 3."""
+    return F.transform(data, lambda v, i: F.when((F.col("vec_id") % 11 == 0) & (F.col("wy") == 1) & (i == 3), F.lit(None).cast("double")).when((F.col("vec_id") % 7 == 0) & (F.col("wx") == 2), F.lit(3.0)).otherwise(v))
+
+
 def status_windows(spark, d):
     """2 x 2 class windows with some values missing and some of class 3, and the last row and column as edges."""
-    w = class_windows(spark, d)
-    spoiled = F.transform("data", lambda v, i: F.when((F.col("vec_id") % 11 == 0) & (F.col("wy") == 1) & (i == 3), F.lit(None).cast("double")).when((F.col("vec_id") % 7 == 0) & (F.col("wx") == 2), F.lit(3.0)).otherwise(v))
-    w = w.withColumn("data", spoiled)
+    w = class_windows(spark, d).withColumn("data", spoiled(F.col("data")))
     edge = (F.col("wy") == 3) | (F.col("wx") == 3)
     return w.withColumn("lulc_status", chips.land_cover_status(F.col("data"), edge))
 
@@ -1124,3 +1128,184 @@ def thumbnail_files(spark, d):
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").load(_uri(path))
     sums = images.decoded_sums(files.select(F.regexp_extract("path", "t_([0-9]+)", 1).cast("bigint").alias("vec_id"), "content"))
     return sums.select("vec_id", F.posexplode("sums").alias("band", "total")).select("vec_id", big("band").alias("band"), "total")
+
+
+# steps of the plans as a run calls them
+
+
+_STEP_CONFIG = _CONFIG.replace("resolution: 30", "resolution: 20").replace("sample_size: 960, chip_size: 960", "sample_size: 20, chip_size: 20").replace("bands: [B01]", "bands: [B01, SCL]").replace("bands: [red]", "bands: [red, qa_pixel]") + "rules: {class_cap: 1}\n"
+
+
+@query(f"""
+WITH {_STATUS}, e AS (SELECT vec_id, y // 2 AS wy, x // 2 AS wx, sum(v) FILTER (y % 2 = 0 AND x % 2 = 0) AS e0, sum(v) FILTER (y % 2 = 1 AND x % 2 = 1) AS e3 FROM c GROUP BY ALL),
+n AS (SELECT vec_id, wy, wx, min(c) AS cls, max(c) AS high, count(c) AS known, count(*) FILTER (c NOT IN (1, 2, 4, 5, 7, 8, 11)) AS odd FROM s GROUP BY ALL),
+g AS (SELECT vec_id // 16 AS area, (vec_id % 16 // 4) * 4 + wy AS gy, (vec_id % 4) * 4 + wx AS gx, cls, known, odd, round(e3 * 100) = 0 AS lc, round(e0 * 100) = 0 AS dem,
+  {" OR ".join(f"((vec_id + wx + {q}) % 5 = 0 AND (vec_id + wy + {q}) % 3 = 0)" for q in range(4))} AS s1, (vec_id + wy + wx) % 29 IN (0, 26, 27, 28) AS s2
+  FROM n JOIN e USING (vec_id, wy, wx) WHERE cls = high AND cls > 0),
+t AS (SELECT *, CASE WHEN gy = 15 OR gx = 15 THEN 'edge_out_of_bounds' WHEN known < 4 THEN 'lulc missing values' WHEN odd > 0 THEN 'lulc_values_wrong' WHEN cls = 4 THEN 'lulc_values_flooded_vegetation' ELSE 'ok' END AS st FROM g),
+k AS (SELECT *, coalesce(sum(CASE WHEN lc OR dem OR s1 OR s2 THEN 0 ELSE 1 END) OVER (PARTITION BY area, cls, st ORDER BY gy, gx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior FROM t),
+f AS (SELECT *, CASE WHEN st <> 'ok' THEN st WHEN prior >= 1 THEN 'lulc_' || cls || '_limit' WHEN lc THEN 'lc2l2 missing values' WHEN dem THEN 'dem missing values' WHEN s1 THEN 's1rtc missing values' WHEN s2 THEN 's2l2a missing values' ELSE 'success' END AS status FROM k)
+SELECT (row_number() OVER (ORDER BY area, gy, gx) - 1)::BIGINT AS chip_index, area AS aoi_index, gy::BIGINT AS wy, gx::BIGINT AS wx, CASE WHEN st = 'ok' THEN cls END AS lulc, status,
+  CASE WHEN status = 'success' THEN '1996020' || (area % 9 + 1) || ',1996050' || (area % 9 + 1) || ',1996080' || (area % 9 + 1) || ',1996110' || (area % 9 + 1) ELSE '[]' END AS s1rtc_dates FROM f""")
+def aligned_chips(spark, d):
+    """make_chips(): windows of five sources meet by their place; sixteen tiles each are an area of 16 x 16 windows.
+
+    Radar is composed of two scenes a quarter with gaps of their own, optical scenes are masked by their classes.
+    """
+    from ..config import RunConfig
+    from ..schemas import ID_COLUMNS
+    from . import pipeline
+
+    cfg = RunConfig.from_text(_STEP_CONFIG)
+    id_, wy, wx, data = F.col("vec_id"), F.col("wy"), F.col("wx"), F.col("data")
+    tiles = raster.windows_in_rows(table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("tile")), "tile", 8, 2, ["vec_id"])
+    place = [F.floor(id_ / 16).alias("aoi_index"), (F.floor(id_ % 16 / 4) * 4 + wy).cast("int").alias("wy"), (id_ % 4 * 4 + wx).cast("int").alias("wx")]
+    quarters = [F.to_timestamp(F.concat(F.lit(f"1996-{m}-0"), (F.floor(id_ / 16) % 9 + 1).cast("string"))) for m in ("02", "05", "08", "11")]
+    once = quarters[0]
+    hundredths = F.transform(data, lambda v: F.round(v.cast("double") * 100))
+    gap = lambda base, hit: F.transform(hundredths, lambda v, i: F.when((i == 2) & hit, F.lit(None).cast("double")).otherwise(v + base))
+    block = lambda source, t, band, values, n: F.struct(F.lit(source).alias("source"), t.alias("t"), F.lit(band).alias("band"), F.lit(n).alias("n"), values.alias("data"))
+    made = [block("lulc", once, "lulc", spoiled(F.transform(data, class_of)), 2), block("dem", once, "elevation", F.slice(hundredths, 1, 1), 1)]
+    for q, t in enumerate(quarters):
+        cloudy = (id_ + wy + wx + q) % 29 == 0
+        classes = F.transform(data, lambda v, i: F.when((i == 1) & cloudy, 9.0).otherwise(4.0))  # noqa: B023
+        made += [block("s2l2a", t, "B01", gap(5000.0, F.lit(False)), 2), block("s2l2a", t, "SCL", classes, 2)]
+        for k, hit in enumerate(((id_ + wx + q) % 5 == 0, (id_ + wy + q) % 3 == 0)):
+            later = t + F.expr(f"INTERVAL '{k}' DAY")
+            made += [block("s1rtc", later, "vv", gap(5000.0, hit), 2), block("s1rtc", later, "vh", gap(6000.0, F.lit(False)), 2)]
+        made += [block("lc2l2", t, "red", F.slice(hundredths, 4, 1), 1), block("lc2l2", t, "qa_pixel", F.array(F.lit(64.0)), 1)]
+    blocks = tiles.select("vec_id", "wy", "wx", F.inline(F.array(*made))).select(*place, "source", "t", "band", "n", "data")
+    areas = table(spark, d, "embeddings").select(F.floor(id_ / 16).alias("aoi_index")).distinct()
+    placed = areas.select("aoi_index", F.lit("success").alias("status"), F.lit(32632).alias("epsg"), F.lit(500000.0).alias("minx"), F.lit(5300000.0).alias("maxy"), F.lit(16).alias("rows"), F.lit(16).alias("cols"))
+    ids = areas.select("aoi_index", *[F.lit("x").alias(c) for c in ID_COLUMNS])
+    log = pipeline.make_chips(held(blocks, "blocks"), placed, ids, cfg)
+    return log.select("chip_index", "aoi_index", big("wy").alias("wy"), big("wx").alias("wx"), big("lulc").alias("lulc"), "status", "s1rtc_dates")
+
+
+@query("""
+WITH s AS (SELECT event_id, 'e' || event_id AS item_id, ts, user_id % 5 AS area, CASE WHEN event_id % 8 = 0 THEN 1 ELSE 2 END AS orbit FROM events),
+a AS (SELECT r_regionkey AS area, season, CASE season WHEN 0 THEN TIMESTAMP '2024-01-08' ELSE TIMESTAMP '2024-01-21' END AS center, CASE season WHEN 0 THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-01-16' END AS low,
+  CASE season WHEN 0 THEN TIMESTAMP '2024-01-15 23:59:59' ELSE TIMESTAMP '2024-01-31 23:59:59' END AS high FROM region, range(2) q(season)),
+n AS (SELECT a.area, season, s.*, abs(epoch_us(center) - epoch_us(ts)) AS distance FROM a JOIN s ON s.area = a.area AND ts BETWEEN greatest(low, center - INTERVAL 12 DAY) AND least(high, center + INTERVAL 12 DAY)),
+l AS (SELECT area, arg_max(orbit, CASE WHEN orbit = 1 THEN 40 - (event_id % 3) * 10 ELSE 45 - (event_id % 4) * 10 END) AS locked FROM n WHERE season = 0 GROUP BY area),
+k AS (SELECT n.* FROM n JOIN l ON n.area = l.area AND orbit = locked QUALIFY row_number() OVER (PARTITION BY n.area, season ORDER BY distance, ts, item_id) <= 50)
+SELECT area::BIGINT AS aoi_index, season AS season_idx, item_id, orbit::BIGINT AS orbit FROM k QUALIFY ts::DATE = first_value(ts::DATE) OVER (PARTITION BY area, season ORDER BY distance, ts, item_id)""")
+def radar_dates(spark, d):
+    """radar_scenes(): the orbit whose united footprints cover the area best, the 50 scenes nearest in time, and of them the best one's date."""
+    from ..config import RunConfig
+    from . import pipeline
+
+    def box(area, width):
+        x = (area * 10).cast("double")
+        return _box_wkt(x, F.lit(0.0), x + width, F.lit(1.0)), F.struct(x.alias("minx"), F.lit(0.0).alias("miny"), (x + width).alias("maxx"), F.lit(1.0).alias("maxy"))
+
+    def at(first, second):
+        return F.when(F.col("season_idx") == 0, F.lit(first).cast("timestamp")).otherwise(F.lit(second).cast("timestamp"))
+
+    foot, foot_box = box(F.col("r_regionkey"), F.lit(1.0))
+    seasons = table(spark, d, "region").withColumn("season_idx", F.explode(F.array(F.lit(0), F.lit(1))))
+    anchors = seasons.select(
+        big("r_regionkey").alias("aoi_index"), "season_idx", at("2024-01-08", "2024-01-21").alias("center"), at("2024-01-01", "2024-01-16").alias("range_start"),
+        at("2024-01-15 23:59:59", "2024-01-31 23:59:59").alias("range_end"), foot.alias("footprint"), foot_box.alias("foot_box"),
+    )
+    first = F.col("event_id") % 8 == 0
+    geom, bbox = box(F.col("user_id") % 5, F.when(first, 0.4 - F.col("event_id") % 3 * 0.1).otherwise(0.45 - F.col("event_id") % 4 * 0.1))
+    catalogue = table(spark, d, "events").select(
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("item_id"), F.lit("s1").alias("collection"), timefn.ts("ts").alias("dt"), geom.alias("scene_geom"), bbox.alias("bbox"), F.when(first, 1).otherwise(2).alias("rel_orbit"),
+    )
+    found = pipeline.radar_scenes(anchors, catalogue, RunConfig.from_text(_CONFIG))
+    return found.select("aoi_index", big("season_idx").alias("season_idx"), "item_id", big("rel_orbit").alias("orbit"))
+
+
+_MERC_Y = "6378137.0 * ln(tan(pi() / 4 + radians({}) / 2))"
+
+
+@query(f"""
+WITH b AS (SELECT c_custkey, {_LONLAT} FROM customer), s AS (SELECT s_suppkey AS path, (s_suppkey * 17 % 340) - 170.25 AS x, (s_suppkey * 29 % 140) - 70.25 AS y FROM supplier),
+o AS (SELECT o_custkey AS aoi_index, quarter(o_orderdate) - 1 AS season_idx, o_orderdate, o_totalprice, o_orderkey FROM orders WHERE {Y1997}
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, quarter(o_orderdate) ORDER BY o_totalprice, o_orderkey) = 1),
+j AS (SELECT c_custkey, path, 6378137.0 * radians(greatest(least(minx + 1, x + 3) - greatest(minx, x), 0))
+  * greatest({_MERC_Y.format("least(miny + 1, y + 3)")} - {_MERC_Y.format("greatest(miny, y)")}, 0) AS area FROM b JOIN s ON minx <= x + 3 AND x <= minx + 1 AND miny <= y + 3 AND y <= miny + 1
+  QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY round(area, 2) DESC, path) = 1)
+SELECT aoi_index, season_idx::BIGINT AS season_idx, strftime(o_orderdate, '%Y%m%d') AS center, path, (32601 + aoi_index % 60)::BIGINT AS area_epsg FROM o LEFT JOIN j ON aoi_index = c_custkey""")
+def season_paths(spark, d):
+    """A grid's table, read; season_anchors(): each area's seasons with the path that has most of its first scene."""
+    from ..sources import grid
+    from . import pipeline
+
+    k = F.col("s_suppkey")
+    x, y = k * 17 % 340 - 170.25, k * 29 % 140 - 70.25
+    path = _uri(_folder(spark, "grid"))
+    box = F.struct(*[v.cast("double").alias(c) for c, v in (("minx", x), ("miny", y), ("maxx", x + 3), ("maxy", y + 3))])
+    table(spark, d, "supplier").select(k.cast("int").alias("path"), box.alias("bbox")).write.parquet(path)
+    best = scenes.top_per_group(orders(spark, d), ["o_custkey", "q"], [F.asc("o_totalprice"), F.asc("o_orderkey")]).join(_customer_boxes(spark, d), F.col("o_custkey") == F.col("c_custkey"))
+    b = F.col("box")
+    scene_box = F.struct(*[b[c].cast("double").alias(c) for c in ("minx", "miny", "maxx", "maxy")])
+    optical = best.select(
+        F.col("o_custkey").alias("aoi_index"), (F.col("q") - 1).alias("season_idx"), F.col("t").alias("dt"), F.col("t").alias("range_start"), F.col("t").alias("range_end"), F.lit(None).cast("int").alias("epsg"),
+        F.concat(F.lit("EPSG:"), (F.col("o_custkey") % 60 + 32601).cast("string")).alias("proj_code"), _box_wkt(b["minx"], b["miny"], b["maxx"], b["maxy"]).alias("scene_geom"), scene_box.alias("scene_box"),
+    )
+    found = pipeline.season_anchors(optical, grid.read_grid(spark, path))
+    return found.select("aoi_index", big("season_idx").alias("season_idx"), timefn.day_stamp(F.col("center")).alias("center"), big("path").alias("path"), big("area_epsg").alias("area_epsg"))
+
+
+@query("""
+WITH o AS (SELECT o_custkey AS aoi_index, o_orderpriority[1] AS p, CASE WHEN o_orderpriority[1] IN ('4', '5') THEN -1 ELSE quarter(o_orderdate) - 1 END AS season, o_orderdate AS dt, o_orderkey::VARCHAR AS id FROM orders)
+SELECT aoi_index, string_agg(id, ',' ORDER BY season, dt, id) FILTER (p = '1') AS s2l2a_scene_ids, string_agg(id, ',' ORDER BY season, dt, id) FILTER (p = '2') AS s1rtc_scene_ids,
+  string_agg(id, ',' ORDER BY season, dt, id) FILTER (p = '3') AS lc2l2_scene_ids, string_agg(id, ',' ORDER BY season, dt, id) FILTER (p = '4') AS lulc_scene_ids, string_agg(id, ',' ORDER BY season, dt, id) FILTER (p = '5') AS dem_scene_ids
+FROM o GROUP BY aoi_index""")
+def chosen_id_lists(spark, d):
+    """scene_id_lists(): each source's chosen scenes as a text, in columns named for the source."""
+    from . import pipeline
+
+    source = F.element_at(F.array(*map(F.lit, ("s2l2a", "s1rtc", "lc2l2", "lulc", "dem"))), F.substring("o_orderpriority", 1, 1).cast("int"))
+    chosen = orders(spark, d, None).select(F.col("o_custkey").alias("aoi_index"), source.alias("source"), (F.col("q") - 1).alias("season_idx"), F.col("t").alias("dt"), F.col("o_orderkey").cast("string").alias("item_id"))
+    return pipeline.scene_id_lists(chosen.withColumn("season_idx", F.when(~F.col("source").isin("lulc", "dem"), F.col("season_idx"))))
+
+
+@query("SELECT c_custkey, c_nationkey::BIGINT AS nation, c_name || ', ' || c_mktsegment AS line FROM customer")
+def archived_rows(spark, d):
+    """Files in folders, packed by tasks into zip volumes, and read back from them."""
+    import io
+    import zipfile
+
+    from ..session import ship
+    from ..sources import release, store
+
+    ship(spark)
+    folder, target = _folder(spark, "packed"), _folder(spark, "volumes")
+    text = F.concat_ws("\t", F.col("c_custkey").cast("string"), F.concat(F.col("c_name"), F.lit(", "), F.col("c_mktsegment")))
+    table(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), text.alias("value")).repartition("nation").write.partitionBy("nation").text(_uri(folder))
+    release.archive(spark, _uri(folder), target, "customers", 1 << 14)
+
+    def members(batches):
+        for batch in batches:
+            for path in batch["path"]:
+                files, at = store.opened(path)
+                with files.open_input_file(at) as f, zipfile.ZipFile(f) as volume:
+                    for name in volume.namelist():
+                        nation = int(name.split("nation=")[1].split("/")[0])
+                        with volume.open(name) as member:
+                            cells = [line.rstrip("\n").split("\t") for line in io.TextIOWrapper(member, "utf-8")]
+                        yield pd.DataFrame({"c_custkey": [int(c[0]) for c in cells], "nation": nation, "line": [c[1] for c in cells]})
+
+    volumes = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(_uri(target)).select("path")
+    return volumes.mapInPandas(members, "c_custkey bigint, nation bigint, line string")
+
+
+@query(f"""
+WITH {_CAP}, n AS (SELECT max(vec_id) + 1 AS n FROM embeddings)
+SELECT vec_id, label::BIGINT AS label, wy::BIGINT AS wy, wx::BIGINT AS wx, cls AS lulc, status LIKE '%_limit' AS over_cap, (row_number() OVER (ORDER BY vec_id * 3 // n, label, vec_id, wy, wx) - 1)::BIGINT AS chip_index FROM cap, n""")
+def counted_windows(spark, d):
+    """Windows that arrive in three batches of a stream: caps and numbers go on from batch to batch."""
+    from ..streaming import counters
+
+    windows = capped_windows(spark, d).drop("over_cap", "status", "data")
+    n = table(spark, d, "embeddings").agg(F.max("vec_id") + 1).first()[0] or 1
+    path = _uri(_folder(spark, "counted"))
+    for part in range(3):
+        windows.where(F.floor(F.col("vec_id") * 3 / n) == part).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(windows.schema).parquet(f"{path}/in")
+        counters.counted_batches(stream, f"{path}/out", f"{path}/checkpoint", "label", "lulc", ["vec_id", "wy", "wx"], "ok", 5)
+    found = spark.read.parquet(f"{path}/out/rows")
+    return found.select("vec_id", big("label").alias("label"), big("wy").alias("wy"), big("wx").alias("wx"), big("lulc").alias("lulc"), "over_cap", "chip_index")

@@ -70,13 +70,14 @@ def _windowed(anchors: DataFrame, catalogue: DataFrame, collection: str, days: i
 
 def radar_scenes(anchors: DataFrame, catalogue: DataFrame, cfg: RunConfig) -> DataFrame:
     """Scenes on the date nearest to each season's centre, of the 50 nearest, all of the orbit that is best in the first season."""
-    near = _windowed(anchors, catalogue, cfg.s1rtc.collection, cfg.s1rtc.delta_days).withColumn("distance", timefn.apart(F.col("center"), F.col("dt")))
+    pairs = _windowed(anchors, catalogue, cfg.s1rtc.collection, cfg.s1rtc.delta_days).withColumn("distance", timefn.apart(F.col("center"), F.col("dt")))
+    near = held(pairs, "radar-pairs")  # read twice, and dear: polygons are held against each other
     first = near.where("season_idx = 0")
-    orbits = first.groupBy("aoi_index", "rel_orbit", "footprint").agg(F.collect_list("scene_geom").alias("geoms"), F.min("distance").alias("distance"))
+    orbits = first.groupBy("aoi_index", "rel_orbit", "footprint").agg(F.collect_set("scene_geom").alias("geoms"), F.min("distance").alias("distance"))
     plane = orbits.withColumn("area", geometry.mercator_overlap_area("geoms", "footprint"))
     locked = scenes.top_per_group(plane, AREA_KEYS, [F.desc("area"), F.asc("distance"), F.asc("rel_orbit")]).select("aoi_index", F.col("rel_orbit").alias("orbit"))
-    held = near.join(locked, "aoi_index").where(F.col("rel_orbit") == F.col("orbit"))
-    top = scenes.top_per_group(held, ["aoi_index", "season_idx"], [F.asc("distance"), F.asc("dt"), F.asc("item_id")], SEARCH_LIMIT)
+    of_orbit = near.join(locked, "aoi_index").where(F.col("rel_orbit") == F.col("orbit"))
+    top = scenes.top_per_group(of_orbit, ["aoi_index", "season_idx"], [F.asc("distance"), F.asc("dt"), F.asc("item_id")], SEARCH_LIMIT)
     return scenes.best_date_rows(top, ["aoi_index", "season_idx"], "dt", ["distance", "dt", "item_id"])
 
 
