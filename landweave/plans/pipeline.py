@@ -98,8 +98,9 @@ def annual_scenes(anchors: DataFrame, catalogue: DataFrame, collection: str, yea
 def select_scenes(areas: DataFrame, catalogue: DataFrame, grid: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
     """Chosen scenes (aoi_index, source, season_idx, item_id, collection, dt, geom) and areas with their status."""
     catalogue = catalogue.withColumnRenamed("geom", "scene_geom")
-    optical = optical_scenes(areas, catalogue, cfg)
-    anchors = season_anchors(optical, grid)
+    # each step's rows are stored: the next ones use them several times, and a box join twice more, so that one plan of all would grow by powers
+    optical = held(optical_scenes(areas, catalogue, cfg), "optical")
+    anchors = held(season_anchors(optical, grid), "anchors")
     parts = {
         "s2l2a": optical,
         "s1rtc": radar_scenes(anchors, catalogue, cfg),
@@ -108,7 +109,8 @@ def select_scenes(areas: DataFrame, catalogue: DataFrame, grid: DataFrame, cfg:
         "dem": annual_scenes(anchors, catalogue, cfg.dem.collection, cfg.dem.year),
     }
     none = F.lit(None).cast("int")
-    chosen = scenes.ragged_union(*[p.select("aoi_index", F.lit(s).alias("source"), (F.col("season_idx") if "season_idx" in p.columns else none).alias("season_idx"), "item_id", "collection", "dt", F.col("scene_geom").alias("geom")) for s, p in parts.items()])
+    found = scenes.ragged_union(*[p.select("aoi_index", F.lit(s).alias("source"), (F.col("season_idx") if "season_idx" in p.columns else none).alias("season_idx"), "item_id", "collection", "dt", F.col("scene_geom").alias("geom")) for s, p in parts.items()])
+    chosen = held(found, "chosen")
     of = lambda s: F.when(F.col("source") == s, F.to_date("dt"))
     counts = chosen.groupBy("aoi_index").agg(
         F.count_distinct(F.when(F.col("source") == "s2l2a", F.col("season_idx"))).alias("n_s2l2a_seasons"),

@@ -54,7 +54,7 @@ def process(areas: DataFrame, start: int, given: Given, work: str) -> Done:
     """Scenes, rasters, chips and images of some areas; chips are numbered from start."""
     spark, cfg = areas.sparkSession, given.cfg
     chosen, checked = pipeline.select_scenes(areas, given.catalogue, given.grid, cfg)
-    chosen, checked = held(chosen, "chosen"), held(checked, "checked")
+    checked = held(checked, "checked")
     geojson.write_features(chosen, "geom", f"{work}/scenes", partition=KEY)
     unread = spark.createDataFrame([], UNREAD)
     if given.assets:
