@@ -174,14 +174,15 @@ SELECT p_partkey, s_suppkey FROM
  (SELECT s_suppkey, 900 + (s_acctbal + 1000) / 10 AS lo, 900 + (s_acctbal + 1000) / 10 + 5 AS hi FROM supplier) s
  ON p.lo <= s.hi AND s.lo <= p.hi""")
 def bbox_overlap_join(spark, d):
-    return _price_overlaps(spark, d).select("p_partkey", "s_suppkey")
+    return scenes.interval_overlaps(*_price_intervals(spark, d)).select("p_partkey", "s_suppkey")
 
 
-def _price_overlaps(spark, d):
+def _price_intervals(spark, d):
+    """Both sides, their ends, and a width of cells: of that the number of keys depends, and nothing else."""
     p = table(spark, d, "part").select("p_partkey", F.col("p_retailprice").alias("p_lo"), (F.col("p_retailprice") + F.col("p_size")).alias("p_hi"))
     base = F.lit(900) + (F.col("s_acctbal") + 1000) / 10
     s = table(spark, d, "supplier").select("s_suppkey", base.alias("s_lo"), (base + 5).alias("s_hi"))
-    return scenes.interval_overlaps(p, s, "p_lo", "p_hi", "s_lo", "s_hi", 50.0)
+    return p, s, "p_lo", "p_hi", "s_lo", "s_hi", 5.0
 
 
 @query("""
@@ -192,7 +193,7 @@ WITH j AS (SELECT p_partkey, s_suppkey, round(least(p.hi, s.hi) - greatest(p.lo,
 SELECT p_partkey, s_suppkey, area FROM j QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY area DESC, s_suppkey) = 1""")
 def best_path(spark, d):
     area = F.round(F.least("p_hi", "s_hi") - F.greatest("p_lo", "s_lo"), 4)
-    return scenes.largest_overlap(_price_overlaps(spark, d), ["p_partkey"], area, ["s_suppkey"]).select("p_partkey", "s_suppkey", "area")
+    return scenes.best_interval(*_price_intervals(spark, d), area, "s_suppkey").select("p_partkey", "s_suppkey", "area")
 
 
 _LONLAT = "(c_custkey * 37 % 340) - 170.0 AS minx, (c_custkey * 53 % 140) - 70.0 AS miny"

@@ -90,5 +90,10 @@ def held(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows that are small but cost much, over all tasks; a count that is given isn't made smaller at run time."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def local_cpus() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 1))
