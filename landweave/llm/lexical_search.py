@@ -200,7 +200,7 @@ def build_index(documents: DataFrame, text: str = "text", id_col: str = "doc_id"
             yield shard(ids, np.concatenate(hashes), np.concatenate(counts), n_docs, n_terms)
 
     rows = documents.select(F.col(id_col).cast("long"), F.col(text))
-    return Index(materialise(rows.mapInArrow(run, SHARD), "posting-shards"), n_docs, n_terms, documents.schema[id_col].dataType)
+    return Index(materialise(rows.mapInArrow(run, SHARD), "posting-shards", large=True), n_docs, n_terms, documents.schema[id_col].dataType)
 
 
 def item_terms(items: DataFrame, text: str, id_col: str) -> DataFrame:

@@ -27,15 +27,20 @@ def shared_dir(spark: SparkSession) -> str:
     return shared_folder(spark)
 
 
-def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+#: Bytes of a row group, and of a page, in a table whose rows are large.
+LARGE_ROWS = {"parquet.block.size": 16 << 20, "parquet.page.size": 1 << 20, "parquet.page.size.row.check.min": 1}
+
+
+def materialise(df: DataFrame, name: str, compression: str = "snappy", large: bool = False) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
     Cuts the lineage so that a lost executor costs a re-read and not a recomputation, and gives
-    later joins true sizes.
+    later joins true sizes. large: rows of megabytes, of which a writer or reader holds a few at a time; by default it looks at
+    a row group's size after 100 rows only.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/landweave/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).options(**(LARGE_ROWS if large else {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -13,7 +13,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from landweave.llm import lexical_search, queries
+from landweave.llm import lexical_search, queries, tables
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -126,3 +126,13 @@ def test_impacts_of_enormous_tables_are_exact():
     got = lexical_search.impacts(np.array([3, 1]), n, 10**12, 10**14)
     assert got.tolist() == [3_000_000_000 // (3000 + 8 * (25 + 75 * 10**7 * 10**12 // 10**14)), 1_000_000_000 // (1000 + 8 * (25 + 75 * 5 * 10**12 // 10**14))]
     assert lexical_search.summed(np.array([0, 0, 1]), np.array([2**60, 1, 3]), 2).tolist() == [2**60 + 1, 3]
+
+
+def test_shards_lie_in_row_groups_of_bounded_size(spark, monkeypatch):
+    """A task that writes or reads the index holds some shards, however many its documents make."""
+    monkeypatch.setitem(tables.LARGE_ROWS, "parquet.block.size", 1 << 12)
+    docs = spark.range(60).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 40), x -> concat('w', x * (id + 1)))) AS text").coalesce(1)
+    index = lexical_search.build_index(docs, shard_tokens=80)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.shards.inputFiles()]
+    assert sum(f.num_rows for f in files) == 30
+    assert max(f.row_group(k).num_rows for f in files for k in range(f.num_row_groups)) <= 8
