@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -11,10 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geo, overlay
+from ..session import dealt
 
 
+@lru_cache(maxsize=64)
 def rings_of(text: str | None) -> list[np.ndarray]:
-    """The text's rings; none where it is no polygon, so that one malformed geometry leaves the others alone."""
+    """The text's rings; none where it is no polygon, so that one malformed geometry leaves the others alone. The last ones are remembered; they are not to be changed."""
     try:
         return geo.parse_wkt(text)
     except (ValueError, IndexError, AttributeError):
@@ -76,7 +79,7 @@ DEALT = 16
 def dissolved(df: DataFrame, keys: Sequence[str], geom: str) -> DataFrame:
     """keys, and in geom the union of each group's polygons as text: disjoint rings with holes, null where there is no area.
 
-    A group is dealt into parts that are united first, so that no task holds a hot group's polygons but only what is left of them.
+    Equal texts count once. A group is dealt into parts that are united first, so that no task holds a hot group's polygons but only what is left of them.
     Null keys are a group; malformed polygons add nothing.
     """
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
@@ -85,9 +88,9 @@ def dissolved(df: DataFrame, keys: Sequence[str], geom: str) -> DataFrame:
         found = geo.to_wkt(overlay.union([rings_of(t) for t in pdf["__geom"]]))
         return pd.DataFrame({**{k: pdf[k].iloc[:1] for k in keys}, "__geom": [found]}, index=pdf.index[:1])
 
-    dealt = df.select(*keys, F.col(geom).alias("__geom"), F.pmod(F.xxhash64(geom), F.lit(DEALT)).alias("__deal"))
-    parts = dealt.groupBy(*keys, "__deal").applyInPandas(united, f"{kinds}, __geom string")
-    return parts.groupBy(*keys).applyInPandas(united, f"{kinds}, __geom string").withColumnRenamed("__geom", geom)
+    once = df.select(*keys, F.col(geom).alias("__geom")).distinct()
+    parts = dealt(once.withColumn("__deal", F.pmod(F.xxhash64("__geom"), F.lit(DEALT))), *keys, "__deal").groupBy(*keys, "__deal").applyInPandas(united, f"{kinds}, __geom string")
+    return dealt(parts, *keys).groupBy(*keys).applyInPandas(united, f"{kinds}, __geom string").withColumnRenamed("__geom", geom)
 
 
 def common_geometry(df: DataFrame, key: str, geom: str) -> DataFrame:
@@ -100,7 +103,7 @@ def common_geometry(df: DataFrame, key: str, geom: str) -> DataFrame:
         return pd.DataFrame({key: pdf[key].iloc[:1], "__geom": [geo.to_wkt(rings)]}, index=pdf.index[:1])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, F.col(geom).alias("__geom")).groupBy(key).applyInPandas(fold, f"`{key}` {kind}, __geom string").withColumnRenamed("__geom", geom)
+    return dealt(df.select(key, F.col(geom).alias("__geom")), key).groupBy(key).applyInPandas(fold, f"`{key}` {kind}, __geom string").withColumnRenamed("__geom", geom)
 
 
 def common_footprint(scenes: DataFrame, key: str, union_keys: Sequence[str], geom: str) -> DataFrame:
