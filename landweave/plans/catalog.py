@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, names, pixels, timefn
 from ..operators import chips, curate, raster, scenes
-from ..session import held, table
+from ..session import dealt, held, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -851,7 +851,7 @@ def polygon_meeting(spark, d):
     k = F.col("c_custkey")
     x, y = (k % 6).cast("double"), (F.floor(k / 6) % 6).cast("double")
     triangle = F.lit("POLYGON ((0 0, 4 0, 0 4, 0 0))")
-    return table(spark, d, "customer").select("c_custkey", geometry.polygons_meet(triangle, _box_wkt(x, y, x + 1, y + 1)).alias("meets"))
+    return dealt(table(spark, d, "customer").select("c_custkey"), "c_custkey").select("c_custkey", geometry.polygons_meet(triangle, _box_wkt(x, y, x + 1, y + 1)).alias("meets"))
 
 
 @query("""

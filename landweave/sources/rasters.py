@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..operators.raster import fold_blocks
+from ..session import dealt
 from .geotiff import directory, tile_array
 from .store import Ranges
 
@@ -39,11 +40,6 @@ BLOCK_KEYS = ["aoi_index", "source", "t", "band", "wy", "wx", "n"]
 REMEMBERED = 256
 
 
-def _dealt(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows that are small but cost much, over all tasks; a count that is given isn't made smaller at run time."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
-
-
 def tile_table(manifest: DataFrame, folder: str, wanted: Sequence[str] | None = None) -> DataFrame:
     """A row for each tile of the manifest's files that holds a wanted band, or for each file that can't be read."""
     names = [c.split()[0] for c in TILE.split(", ")]
@@ -71,7 +67,7 @@ def tile_table(manifest: DataFrame, folder: str, wanted: Sequence[str] | None =
                 yield pa.RecordBatch.from_pylist([{c: r.get(c) for c in names} for r in out], schema=schema)
 
     schema = _arrow(TILE)
-    return _dealt(manifest.select("path", "aoi_index", "source", "t", "bands"), "path").mapInArrow(run, TILE)
+    return dealt(manifest.select("path", "aoi_index", "source", "t", "bands"), "path").mapInArrow(run, TILE)
 
 
 _ARROW = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "timestamp": pa.timestamp("us", "UTC"), "array<string>": pa.list_(pa.string()), "array<double>": pa.list_(pa.float64())}
@@ -178,7 +174,7 @@ def read_parts(tiles: DataFrame, folder: str, nodata: float | None = None) -> Da
                     own = pa.RecordBatch.from_pylist([{f.name: r.get(f.name) for f in schema if f.name != "data"} for r in rows], schema=pa.schema([f for f in schema if f.name != "data"]))
                     yield pa.RecordBatch.from_arrays([lists.cast(f.type) if f.name == "data" else own.column(f.name) for f in schema], schema=schema)
 
-    return _dealt(tiles.select(*columns), "path", "row").sortWithinPartitions("path", "row", "col").mapInArrow(run, PART)
+    return dealt(tiles.select(*columns), "path", "row").sortWithinPartitions("path", "row", "col").mapInArrow(run, PART)
 
 
 def put_together(parts: DataFrame) -> DataFrame:
