@@ -838,7 +838,7 @@ def wkt_boxes(spark, d):
 
     b = F.col("box")
     text = F.when(F.col("c_custkey") % 9 == 0, F.lit("POLYGON ((1 x, 2 y))")).otherwise(_box_wkt(b["minx"], b["miny"], b["maxx"], b["maxy"]))
-    found = _customer_boxes(spark, d).withColumn("wkt", text).select("c_custkey", geometry.wkt_box("wkt").alias("found"), geometry.well_formed("wkt").alias("valid"))
+    found = dealt(_customer_boxes(spark, d), "c_custkey").withColumn("wkt", text).select("c_custkey", geometry.wkt_box("wkt").alias("found"), geometry.well_formed("wkt").alias("valid"))
     return found.select("c_custkey", *[F.col(f"found.{c}").alias(c) for c in ("minx", "miny", "maxx", "maxy")], "valid")
 
 
