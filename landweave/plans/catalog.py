@@ -867,7 +867,7 @@ def union_overlap(spark, d):
     x, y = k * 17 % 300 - 150.0, k * 29 % 100 - 50.0
     both = F.array(_box_wkt(x, y, x + 2, y + 2), _box_wkt(x + 1, y + 1, x + 3, y + 3))
     area = geometry.mercator_overlap_area(both, _box_wkt(x + 0.5, y, x + 2.5, y + 3))
-    return table(spark, d, "supplier").select("s_suppkey", F.round(area / 1e6, 1).alias("km2"))
+    return dealt(table(spark, d, "supplier").select("s_suppkey"), "s_suppkey").select("s_suppkey", F.round(area / 1e6, 1).alias("km2"))
 
 
 @query("""
@@ -935,7 +935,7 @@ def polygon_centroids(spark, d):
     x, y = (k * 17 % 300 - 150.0).cast("double"), (k * 29 % 100 - 50.0).cast("double")
     point = lambda a, b: F.concat_ws(" ", a.cast("string"), b.cast("string"))
     text = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", point(x, y), point(x + 6, y), point(x, y + 3), point(x, y)), F.lit("))"))
-    at = table(spark, d, "supplier").select("s_suppkey", geometry.centroids(text).alias("c"))
+    at = dealt(table(spark, d, "supplier").select("s_suppkey"), "s_suppkey").select("s_suppkey", geometry.centroids(text).alias("c"))
     return at.select("s_suppkey", F.round("c.lon", 6).alias("lon"), F.round("c.lat", 6).alias("lat"))
 
 
