@@ -10,10 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..schemas import AOI
 
-_FEATURES = "features array<struct<geometry:struct<type:string,coordinates:string>,properties:map<string,string>>>"
+_FEATURE = "struct<geometry:struct<type:string,coordinates:string>,properties:map<string,string>>"
+_FEATURES = f"features array<{_FEATURE}>"
 
 
 def ring_box(points: Column) -> Column:
@@ -33,9 +35,31 @@ def polygon_wkt(kind: Column, coordinates: Column) -> tuple[Column, Column]:
     return wkt, F.flatten(F.flatten(polygons))
 
 
+#: The first and the last line of the collections written here, which have a feature on each line between.
+_HEAD, _TAIL = '{"type": "FeatureCollection", "features": [', "]}"
+
+
+def _feature_lines(spark: SparkSession, path: str) -> DataFrame:
+    """pos and f of a collection with a feature on each line, read by tasks of some lines each. Raises where a line is something else."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    before = lines.groupBy("block").count().withColumn("before", F.sum("count").over(Window.orderBy("block")) - F.col("count"))  # a row for each split
+    place = F.row_number().over(Window.partitionBy("block").orderBy("line")) + F.col("before") - 2
+    held = lines.join(F.broadcast(before.drop("count")), "block").withColumn("pos", place).where(~F.col("value").isin(_HEAD, _TAIL))
+    read = held.select("pos", "value", F.from_json(F.regexp_replace("value", ",$", ""), _FEATURE).alias("f"))
+    damaged = F.col("f.geometry").isNull() & F.col("f.properties").isNull()
+    return read.select("pos", F.when(damaged, F.raise_error(F.concat(F.lit("no feature: "), F.substring("value", 1, 200))).cast(_FEATURE)).otherwise(F.col("f")).alias("f"))
+
+
 def read_areas(spark: SparkSession, path: str) -> DataFrame:
-    """aoi_index, geom (WKT), bbox and status of each feature; the index is the property of that name or the place."""
-    raw = spark.read.schema(_FEATURES).option("multiLine", True).json(path).select(F.posexplode("features").alias("pos", "f"))
+    """aoi_index, geom (WKT), bbox and status of each feature; the index is the property of that name or the place.
+
+    Collections written here are read by line, in parallel; others are read whole, by one task.
+    """
+    first = spark.read.text(path).first()
+    if first is not None and first[0] == _HEAD:
+        raw = _feature_lines(spark, path)
+    else:
+        raw = spark.read.schema(_FEATURES).option("multiLine", True).json(path).select(F.posexplode("features").alias("pos", "f"))
     wkt, points = polygon_wkt(F.col("f.geometry.type"), F.col("f.geometry.coordinates"))
     index = F.coalesce(F.try_element_at("f.properties", F.lit("aoi_index")).try_cast("bigint"), F.col("pos").cast("bigint"))
     status = F.coalesce(F.try_element_at("f.properties", F.lit("status")), F.lit("not processed"))
@@ -73,10 +97,10 @@ def write_collection(df: DataFrame, geom: str, path: str) -> None:
     """
     part = f"{path}.part"
     with open(part, "w") as out:
-        out.write('{"type": "FeatureCollection", "features": [')
+        out.write(_HEAD)
         for k, row in enumerate(features(df, geom).toLocalIterator()):
             out.write((",\n" if k else "\n") + row["feature"])
-        out.write("\n]}\n")
+        out.write(f"\n{_TAIL}\n")
     os.replace(part, path)
 
 
