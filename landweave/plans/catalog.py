@@ -996,7 +996,7 @@ def geojson_parts(spark, d):
     boxes = _customer_boxes(spark, d).join(table(spark, d, "customer").select("c_custkey", big("c_nationkey").alias("nation")), "c_custkey")
     path = _folder(spark, "features")
     geojson.write_features(boxes.select("c_custkey", "nation", _box_wkt(b["minx"], b["miny"], b["maxx"], b["maxy"]).alias("geom")), "geom", path, "nation")
-    found = geojson.read_features(spark, path, "c_custkey bigint, nation bigint").withColumn("c", geometry.centroids("geom"))
+    found = dealt(geojson.read_features(spark, path, "c_custkey bigint, nation bigint"), "c_custkey").withColumn("c", geometry.centroids("geom"))
     return found.select("c_custkey", "nation", F.round("c.lon", 6).alias("lon"), F.round("c.lat", 6).alias("lat"))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..schemas import AOI
+from ..session import dealt
 
 _FEATURE = "struct<geometry:struct<type:string,coordinates:string>,properties:map<string,string>>"
 _FEATURES = f"features array<{_FEATURE}>"
@@ -104,12 +105,18 @@ def write_collection(df: DataFrame, geom: str, path: str) -> None:
     os.replace(part, path)
 
 
+#: Files of a partition, at most.
+FILES = 4
+
+
 def write_features(df: DataFrame, geom: str, path: str, partition: str | None = None) -> None:
     """Newline-delimited features, written in parallel by Spark to any store; the form for tables of any size.
 
     With partition, only the partitions that df has rows of are replaced.
     """
-    made = features(df, geom, partition).withColumnRenamed("feature", "value")
+    made = features(dealt(df), geom, partition).withColumnRenamed("feature", "value")
+    if partition:  # some files a partition, not one from each task
+        made = dealt(made.withColumn("__deal", F.pmod(F.xxhash64("value"), F.lit(FILES))), partition, "__deal").drop("__deal")
     writer = made.write.mode("overwrite")
     if partition:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
