@@ -28,8 +28,11 @@ def to_blocks(pixels: DataFrame, keys: Sequence[str], value: str, n: int) -> Dat
     """Windows of n x n values from pixel rows with global y and x; places without a row are null."""
     cells = pixels.withColumns({"wy": F.floor(F.col("y") / n).cast("int"), "wx": F.floor(F.col("x") / n).cast("int")})
     place = F.pmod("y", F.lit(n)) * n + F.pmod("x", F.lit(n))
-    found = cells.groupBy(*keys, "wy", "wx").agg(F.map_from_entries(F.collect_list(F.struct(place.cast("int"), F.col(value)))).alias("__m"))
-    whole = F.transform(F.sequence(F.lit(0), F.lit(n * n - 1)), lambda k: F.try_element_at("__m", k))
+    found = cells.groupBy(*keys, "wy", "wx").agg(F.sort_array(F.collect_list(F.struct(place.cast("int").alias("p"), F.col(value).alias("v")))).alias("__l"))
+    places = F.sequence(F.lit(0), F.lit(n * n - 1))
+    # a full block is its sorted list; looking each place up takes the square of them
+    some = F.transform(places, lambda k: F.try_element_at(F.map_from_entries("__l"), k))
+    whole = F.when(F.col("__l.p") == places, F.col("__l.v")).otherwise(some)
     return found.select(*keys, "wy", "wx", F.lit(n).alias("n"), whole.alias("data"))
 
 

@@ -1075,8 +1075,9 @@ def _mosaic_files(spark, d, epsg: int, minx: float, maxy: float, step: float) ->
     data = F.array(F.transform("data", lambda v: F.coalesce(v, F.lit(-999.0))))
     tiles = whole.select(name.alias("name"), data.alias("data"), F.lit(32).alias("n"), F.lit("int16").alias("dtype"), F.lit(epsg).alias("epsg"), F.lit(minx).alias("minx"), F.lit(maxy).alias("maxy"), F.lit(step).alias("resolution"))
     path = _folder(spark, "mosaics")
-    images.write_images(images.encode_chips(tiles, "tif", tile=16, nodata=-999), path).count()
-    return whole.select(name.alias("path"), F.col("m").alias("aoi_index"), F.lit("dem").alias("source"), F.lit("2023-01-01").cast("timestamp").alias("t"), F.array(F.lit("elevation")).alias("bands"), F.lit(12).alias("n")), path
+    images.write_images(images.encode_chips(dealt(tiles, "name"), "tif", tile=16, nodata=-999), path).count()
+    mosaics = table(spark, d, "embeddings").select(F.floor(F.col("vec_id") / 16).cast("bigint").alias("m")).distinct()  # without the pixels, as the manifest is read several times
+    return mosaics.select(name.alias("path"), F.col("m").alias("aoi_index"), F.lit("dem").alias("source"), F.lit("2023-01-01").cast("timestamp").alias("t"), F.array(F.lit("elevation")).alias("bands"), F.lit(12).alias("n")), path
 
 
 def _block_sums(blocks: DataFrame) -> DataFrame:
