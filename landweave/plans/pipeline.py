@@ -16,7 +16,7 @@ from ..config import RunConfig, parse_args
 from ..functions import geo, names, pixels, timefn
 from ..operators import chips, curate, geometry, raster, scenes
 from ..schemas import ID_COLUMNS, SEASON, SOURCES
-from ..session import held
+from ..session import dealt, held
 from ..sources import rasters
 
 AREA_KEYS = ["aoi_index"]
@@ -36,7 +36,7 @@ def seasons_of(spark: SparkSession, cfg: RunConfig) -> DataFrame:
 def meeting(areas: DataFrame, catalogue: DataFrame, box: str, geom: str) -> DataFrame:
     """Area and scene rows whose polygons meet: grid cells, then boxes, then the polygons."""
     pairs = scenes.box_overlaps(areas, catalogue.withColumnRenamed("bbox", "scene_box"), box, "scene_box", CELL)
-    return pairs.where(geometry.polygons_meet(F.col(geom), F.col("scene_geom")))
+    return dealt(pairs).where(geometry.polygons_meet(F.col(geom), F.col("scene_geom")))
 
 
 def optical_scenes(areas: DataFrame, catalogue: DataFrame, cfg: RunConfig) -> DataFrame:

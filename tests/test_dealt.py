@@ -64,3 +64,22 @@ def test_collection_is_read_by_line(spark, tmp_path):
     (tmp_path / "d.geojson").write_text(text.replace('{"type": "Feature"', "damaged", 1))
     with pytest.raises(Exception, match="no feature"):
         geojson.read_areas(spark, str(tmp_path / "d.geojson")).collect()
+
+
+def test_radar_pairs_are_dealt(spark):
+    from landweave.plans import pipeline
+
+    box, geom = "struct(0.0D AS minx, 0.0D AS miny, 1.0D AS maxx, 1.0D AS maxy)", "'POLYGON ((0 0, 1 0, 1 1, 0 0))'"
+    areas = spark.range(1).selectExpr(f"{box} AS box", f"{geom} AS geom")
+    scenes = spark.range(0, 64, 1, 1).selectExpr("id", f"{box} AS bbox", f"{geom} AS scene_geom")
+    met = pipeline.meeting(areas, scenes, "box", "geom").withColumn("p", F.spark_partition_id())
+    assert met.count() == 64 and met.select("p").distinct().count() > 1
+
+
+def test_full_and_partial_blocks(spark):
+    from landweave.operators import raster
+
+    pixels = spark.range(48).selectExpr("id DIV 8 AS y", "id % 8 AS x", "CAST(id AS double) AS v").where("NOT (y = 5 AND x = 6)")
+    blocks = {(r["wy"], r["wx"]): r["data"] for r in raster.to_blocks(pixels, [], "v", 4).collect()}
+    at = lambda y, x: float(8 * y + x) if y < 6 and (y, x) != (5, 6) else None
+    assert blocks == {(a, b): [at(4 * a + i, 4 * b + j) for i in range(4) for j in range(4)] for a in range(2) for b in range(2)}
