@@ -179,34 +179,45 @@ def train(windows: list[np.ndarray], tags: list[np.ndarray], steps: int, batch:
 def scan(p: dict, x: np.ndarray) -> np.ndarray:
     """The emissions of _emissions() for codes x (steps, batch), as (steps, tags, batch), without what training needs.
 
-    Sigmoids are taken as tanh of half the value, the embedding is folded into a table of one row
-    a character, and padding closes the gates, so that no mask is needed.
+    Sigmoids are taken as tanh of half the value. A window is a column, so that each gate is one run of memory, and both
+    directions go at once, from either end. The embedding has two more places: one is always 1, for the constants, and the
+    other is 1 for padding, which closes the gates, so that no mask is needed.
     """
     steps, batch = x.shape
     half = np.ones(4 * HIDDEN, np.float32)
     half[: 3 * HIDDEN] = 0.5
+    rows = np.zeros((CODES, EMBED + 2), np.float32)
+    rows[:, :EMBED], rows[:, EMBED], rows[0, EMBED + 1] = p["embed"], 1, 1
+    shut = np.zeros((1, 4 * HIDDEN), np.float32)
+    shut[:, : 2 * HIDDEN] = -60
+    weights = [np.vstack([p[f"w{d}"][:EMBED] * half, p[f"c{d}"] * half, shut, p[f"w{d}"][EMBED:] * half]).T.astype(np.float32, order="C") for d in "fb"]
+    out = [np.ascontiguousarray(p["out"][at : at + HIDDEN].T, dtype=np.float32) for at in (0, HIDDEN)]
+    table = np.ascontiguousarray(rows.T)
+    looked = np.empty((steps, EMBED + 2, batch), np.float32)
+    for t in range(steps):
+        np.take(table, x[t], axis=1, out=looked[t], mode="clip")
     e = np.empty((steps, TAGS, batch), np.float32)
     e[:] = p["bias"][:, None]
-    z, looked = np.empty((batch, 4 * HIDDEN), np.float32), np.empty((batch, 4 * HIDDEN), np.float32)
-    for d, at in (("f", 0), ("b", HIDDEN)):
-        table = ((p["embed"] @ p[f"w{d}"][:EMBED] + p[f"c{d}"]) * half).astype(np.float32)
-        table[0, : 2 * HIDDEN] = -50
-        again = np.ascontiguousarray(p[f"w{d}"][EMBED:] * half, dtype=np.float32)
-        out = np.ascontiguousarray(p["out"][at : at + HIDDEN].T, dtype=np.float32)
-        h, c = np.zeros((batch, HIDDEN), np.float32), np.zeros((batch, HIDDEN), np.float32)
-        for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-            np.dot(h, again, out=z)
-            np.take(table, x[t], axis=0, out=looked, mode="clip")
-            z += looked
-            np.tanh(z, out=z)
-            gate = z[:, : 3 * HIDDEN]
-            gate *= 0.5
-            gate += 0.5
-            c *= gate[:, HIDDEN : 2 * HIDDEN]
-            c += gate[:, :HIDDEN] * z[:, 3 * HIDDEN :]
-            np.tanh(c, out=h)
-            h *= gate[:, 2 * HIDDEN :]
-            e[t] += out @ h.T
+    inputs = np.zeros((2, EMBED + 2 + HIDDEN, batch), np.float32)  # a character's places, then what the step before left
+    z, c, more = np.empty((2, 4 * HIDDEN, batch), np.float32), np.zeros((2, HIDDEN, batch), np.float32), np.empty((TAGS, batch), np.float32)
+    h, gates = inputs[:, EMBED + 2 :], z[:, : 3 * HIDDEN]
+    i, f, o, g = (z[:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
+    for t in range(steps):
+        for d, at in ((0, t), (1, steps - 1 - t)):
+            inputs[d, : EMBED + 2] = looked[at]
+            np.dot(weights[d], inputs[d], out=z[d])
+        np.tanh(z, out=z)
+        gates += 1  # twice the gate
+        c *= f
+        i *= g
+        c += i
+        c *= 0.5
+        np.tanh(c, out=h)
+        h *= o
+        h *= 0.5
+        for d, at in ((0, t), (1, steps - 1 - t)):
+            np.dot(out[d], h[d], out=more)
+            e[at] += more
     return e
 
 
@@ -255,7 +266,7 @@ def decode(p: dict, windows: list[np.ndarray], together: int = 1 << 18) -> list[
 
     first = 0
     while first < len(windows):
-        last = min(len(windows), first + 1024)
+        last = min(len(windows), first + 512)
         last = min(last, first + max(1, together // max(1, *map(len, windows[first:last]))))
         part = windows[first:last]
         x = pad(part, max(map(len, part)))

@@ -517,6 +517,22 @@ def test_addresses_without_digits_and_long_ones_are_found(spark, network):
     assert max(b - a for a, b in private_spans.windows_of("a" * 100_000 + "@" + "b" * 100_000)) < 1000
 
 
+def test_scan_looks_each_character_up_once_for_both_directions(network, monkeypatch):
+    x = span_net.pad([span_net.codes("call +49 30 1234567 now"), span_net.codes("no")], 40)
+    slow, *_ = span_net._emissions(network, x)
+    calls, take = [], np.take
+    monkeypatch.setattr(span_net.np, "take", lambda *a, **k: calls.append(1) or take(*a, **k))
+    fast = span_net.scan(network, x).transpose(0, 2, 1)
+    assert len(calls) == len(x) and np.abs(fast - slow)[x > 0].max() < 1e-3
+
+
+def test_patterns_of_digits_pass_texts_with_too_few(monkeypatch):
+    assert private_spans.base_spans("x 1.2.3.4 y") == [(1, 2, 9)] and len(private_spans.base_spans("4111 1111 1111 1111")) == 1
+    for pattern in ("_IP", "_CARD"):
+        monkeypatch.setattr(private_spans, pattern, None)
+    assert private_spans.base_spans("in 123 lines") == []
+
+
 def test_span_query_matches_brute_force(spark, texts, network, monkeypatch):
     """The query, with the network that the other tests use: base counts and digests against plain patterns, and what may be added."""
     monkeypatch.setattr(private_spans, "fit", lambda documents: network)
