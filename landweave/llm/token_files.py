@@ -44,7 +44,7 @@ MAGIC = b"LWTOK001"
 #: Ids of a file, about; 4 million take 5 to 8 MB.
 SHARD_TOKENS = 1 << 22
 #: Bytes of text encoded at once, pieces that a process remembers, and new ones in a call of the library.
-SLICE_BYTES, REMEMBERED, TOGETHER = 1 << 21, 500_000, 256
+SLICE_BYTES, REMEMBERED, TOGETHER = 1 << 22, 500_000, 256
 #: magic, range, shard, documents, tokens, control bytes, data bytes
 HEADER = struct.Struct("<8s6q")
 
@@ -130,6 +130,11 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]
     return pa.Array.from_buffers(pa.large_string(), len(cut) - 1, [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(text)]), before
 
 
+def strings(column: pa.Array) -> list[str]:
+    """to_pylist() of a column of strings without nulls, which makes no scalar of Arrow's for each."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class Words:
     """The ids of pieces, remembered for as long as the process lives."""
 
@@ -152,7 +157,7 @@ class Words:
             return np.array([i for x in lists for i in x], dtype=np.uint32), np.array([len(x) for x in lists], dtype=np.int64)
         found, before = pieces(*flat.column_bytes(texts))
         coded = found.dictionary_encode()
-        place = self.places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        place = self.places(strings(coded.dictionary))[coded.indices.to_numpy(zero_copy_only=False)]
         first = self.firsts[place]
         count = self.firsts[place + 1] - first
         ends = np.concatenate([[0], np.cumsum(count)])

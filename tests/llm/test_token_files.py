@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
@@ -127,3 +128,10 @@ def test_empty_table_and_damaged_file(spark, tmp_path):
     token_files.put(str(tmp_path), "x", [b"1"])
     token_files.put(f"file://{tmp_path}", "x", [b"2"])
     assert [p.name for p in tmp_path.iterdir()] == ["x"] and (tmp_path / "x").read_bytes() == b"2"
+
+
+def test_strings_are_listed_as_arrow_lists_them():
+    for some in ([], ["", "a", "é\x00ü", "😀" * 3, "a"]):
+        for kind in (pa.string(), pa.large_string()):
+            assert token_files.strings(pa.array(some, kind)) == some
+    assert token_files.strings(pa.array(["x", "yy", "z"], pa.large_string()).slice(1)) == ["yy", "z"]
