@@ -6,6 +6,8 @@ windows whose emissions leave any path but "no span" a chance, by a bound that i
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 
 #: Characters with a code of their own; digits share one, as do all others.
@@ -179,18 +181,20 @@ def train(windows: list[np.ndarray], tags: list[np.ndarray], steps: int, batch:
 def scan(p: dict, x: np.ndarray) -> np.ndarray:
     """The emissions of _emissions() for codes x (steps, batch), as (steps, tags, batch), without what training needs.
 
-    Sigmoids are taken as tanh of half the value. A window is a column, so that each gate is one run of memory, and both
-    directions go at once, from either end. The embedding has two more places: one is always 1, for the constants, and the
-    other is 1 for padding, which closes the gates, so that no mask is needed.
+    A gate is 1 / (1 + exp(-x)) and tanh is 2 / (1 + exp(-2x)) - 1, as numpy's exp of 32-bit floats costs half of its tanh;
+    signs and factors are in the weights, and a gate's 1 + exp(-x) is divided by. An exp that overflows is a gate of 0 or a
+    tanh of -1. A window is a column, so that each gate is one run of memory, and both directions go at once, from either end.
+    The embedding has two more places: one is always 1, for the constants, and the other is 1 for padding, which closes the
+    gates, so that no mask is needed.
     """
     steps, batch = x.shape
-    half = np.ones(4 * HIDDEN, np.float32)
-    half[: 3 * HIDDEN] = 0.5
+    factor = np.full(4 * HIDDEN, -1, np.float32)
+    factor[3 * HIDDEN :] = -2
     rows = np.zeros((CODES, EMBED + 2), np.float32)
     rows[:, :EMBED], rows[:, EMBED], rows[0, EMBED + 1] = p["embed"], 1, 1
     shut = np.zeros((1, 4 * HIDDEN), np.float32)
-    shut[:, : 2 * HIDDEN] = -60
-    weights = [np.vstack([p[f"w{d}"][:EMBED] * half, p[f"c{d}"] * half, shut, p[f"w{d}"][EMBED:] * half]).T.astype(np.float32, order="C") for d in "fb"]
+    shut[:, : 2 * HIDDEN] = 120
+    weights = [np.vstack([p[f"w{d}"][:EMBED] * factor, p[f"c{d}"] * factor, shut, p[f"w{d}"][EMBED:] * factor]).T.astype(np.float32, order="C") for d in "fb"]
     out = [np.ascontiguousarray(p["out"][at : at + HIDDEN].T, dtype=np.float32) for at in (0, HIDDEN)]
     table = np.ascontiguousarray(rows.T)
     looked = np.empty((steps, EMBED + 2, batch), np.float32)
@@ -200,24 +204,28 @@ def scan(p: dict, x: np.ndarray) -> np.ndarray:
     e[:] = p["bias"][:, None]
     inputs = np.zeros((2, EMBED + 2 + HIDDEN, batch), np.float32)  # a character's places, then what the step before left
     z, c, more = np.empty((2, 4 * HIDDEN, batch), np.float32), np.zeros((2, HIDDEN, batch), np.float32), np.empty((TAGS, batch), np.float32)
-    h, gates = inputs[:, EMBED + 2 :], z[:, : 3 * HIDDEN]
+    h = inputs[:, EMBED + 2 :]
     i, f, o, g = (z[:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
-    for t in range(steps):
-        for d, at in ((0, t), (1, steps - 1 - t)):
-            inputs[d, : EMBED + 2] = looked[at]
-            np.dot(weights[d], inputs[d], out=z[d])
-        np.tanh(z, out=z)
-        gates += 1  # twice the gate
-        c *= f
-        i *= g
-        c += i
-        c *= 0.5
-        np.tanh(c, out=h)
-        h *= o
-        h *= 0.5
-        for d, at in ((0, t), (1, steps - 1 - t)):
-            np.dot(out[d], h[d], out=more)
-            e[at] += more
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            for d, at in ((0, t), (1, steps - 1 - t)):
+                inputs[d, : EMBED + 2] = looked[at]
+                np.dot(weights[d], inputs[d], out=z[d])
+            np.exp(z, out=z)
+            z += 1
+            np.divide(-4, g, out=g)
+            g += 2
+            g /= i
+            c /= f  # c is -2 times the cell
+            c += g
+            np.exp(c, out=h)
+            h += 1
+            np.divide(2, h, out=h)
+            h -= 1
+            h /= o
+            for d, at in ((0, t), (1, steps - 1 - t)):
+                np.dot(out[d], h[d], out=more)
+                e[at] += more
     return e
 
 
@@ -232,14 +240,15 @@ def hopeful(p: dict, e: np.ndarray, x: np.ndarray) -> np.ndarray:
     any_step = max(0.0, float(p["trans"].max()) - none)
     begin_inside = float(max(p["trans"][0, 2::2].max() - none, p["start"][2::2].max() - p["start"][0]))
     first = max(0.0, float(p["start"][1::2].max() - p["start"][0]))
-    begin = e[:, 1::2].max(axis=1) - e[:, 0] + any_step
-    inside = e[:, 2::2].max(axis=1) - e[:, 0] + any_step
+    begin = reduce(np.maximum, (e[:, k] for k in range(1, TAGS, 2))) - e[:, 0] + any_step
+    inside = reduce(np.maximum, (e[:, k] for k in range(2, TAGS, 2))) - e[:, 0] + any_step
     begin[0] += first
     go_on, start = np.maximum(begin, inside), np.maximum(begin, inside + begin_inside)
-    run, most = np.full(x.shape[1], -np.inf, np.float32), np.full(x.shape[1], -np.inf, np.float32)
+    go_on[x == 0] = start[x == 0] = -1e30
+    run, most = np.full(x.shape[1], -1e30, np.float32), np.full(x.shape[1], -1e30, np.float32)
     for t in range(len(x)):
-        run = np.maximum(np.maximum(run, -1e30) + go_on[t], start[t])
-        run[x[t] == 0] = -np.inf
+        np.add(run, go_on[t], out=run)
+        np.maximum(run, start[t], out=run)
         np.maximum(most, run, out=most)
     return np.flatnonzero(most + any_step >= 0)
 
